@@ -1,29 +1,36 @@
 """Local-collection source: small driver-side rows (report rows, metric
 rows, schema fields) as a DataFrame.
 
-Rows become one ``inline(array(struct(...)))`` of literals, so the frame is
-built in the JVM with no Python worker and no RDD of pickled rows. Only
-ever used for metadata whose size is bounded by sources x columns.
+Rows travel as one Arrow batch (no Python worker, no pickled RDD, one
+round trip). Only ever used for metadata whose size is bounded by
+sources x columns.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+_ARROW = {
+    T.StringType: pa.string(), T.LongType: pa.int64(), T.IntegerType: pa.int32(),
+    T.DoubleType: pa.float64(), T.BooleanType: pa.bool_(),
+}
 
-def _lit(value, dtype: T.DataType):
-    return F.lit(value).cast(dtype) if value is not None else F.lit(None).cast(dtype)
+
+def _arrow_type(dt: T.DataType) -> pa.DataType:
+    for cls, at in _ARROW.items():
+        if isinstance(dt, cls):
+            return at
+    raise TypeError(f"local_frame supports flat string/int/bigint/double/boolean, not {dt.simpleString()}")
 
 
 def local_frame(spark: SparkSession, rows: Sequence[Sequence], schema: T.StructType | str) -> DataFrame:
     if isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
-    if not rows:
-        return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
-    structs = [F.struct(*[_lit(v, f.dataType).alias(f.name) for v, f in zip(row, schema.fields)])
-               for row in rows]
-    return spark.range(1).select(F.inline(F.array(*structs)))
+    cols = list(zip(*rows)) if rows else [() for _ in schema.fields]
+    table = pa.table({f.name: pa.array(list(c), type=_arrow_type(f.dataType))
+                      for f, c in zip(schema.fields, cols)})
+    return spark.createDataFrame(table, schema=schema)

@@ -7,14 +7,14 @@ from .patterns import (
     joined_failures, rejects, valid,
 )
 from .schemas import (
-    EXPECTED_DDL, LAYERS, expected_schema, schema_diff, schema_report,
+    EXPECTED_SCHEMAS, LAYERS, expected_schema, schema_diff, schema_report,
 )
 from .volumetry import (
     VolumetryError, emptiness, volumetry_gate, volumetry_report,
 )
 
 __all__ = [
-    "EXPECTED_DDL", "JOB_FAILURE_SCHEMA", "LAYERS", "MissingRuleColumns",
+    "EXPECTED_SCHEMAS", "JOB_FAILURE_SCHEMA", "LAYERS", "MissingRuleColumns",
     "RUN_METRICS_SCHEMA", "VolumetryError", "annotate", "append_rows",
     "check_columns", "emptiness", "expected_schema", "failure_count_exprs",
     "joined_failures", "observe_rejects", "record_failure", "rejects",

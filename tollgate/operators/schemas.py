@@ -11,7 +11,6 @@ keeps every source (earlier designs overwrote each other).
 from __future__ import annotations
 
 from collections.abc import Mapping
-from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,35 +18,47 @@ from pyspark.sql import types as T
 
 from ..sources.local import local_frame
 
-# --- fixed values: expected schemas per (source, layer), as Spark DDL ---------
-_HIST_GOOGLE = "array<struct<title:string,snippet:string,app:string,segmento:string,rating:string,iso_date:string>>"
-_HIST_MONGO = ("array<struct<customer_id:string,cpf:string,app:string,comment:string,segmento:string,"
-               "rating:string,timestamp:string,app_version:string,os_version:string,os:string>>")
-_HIST_APPLE = "array<struct<title:string,content:string,app:string,segmento:string,im_version:string,im_rating:string>>"
-
-EXPECTED_DDL: dict[tuple[str, str], str] = {
-    ("google_play", "bronze"):
-        "avatar string, date string, id string, iso_date string, likes bigint, rating double, "
-        "response map<string,string>, snippet string, title string",
-    ("mongodb", "bronze"):
-        "id string, comment string, votes_count int, os string, os_version string, country string, "
-        "age int, customer_id string, cpf string, app_version string, rating int, timestamp string, "
-        "app string",
-    ("apple_store", "bronze"):
-        "author_name string, author_uri string, content string, content_attributes_label string, "
-        "content_attributes_term string, id string, im_rating string, im_version string, "
-        "im_votecount string, im_votesum string, link_attributes_href string, "
-        "link_attributes_related string, title string, updated string",
-    ("google_play", "silver"):
-        "id string, app string, segmento string, rating string, iso_date string, title string, "
-        f"snippet string, historical_data {_HIST_GOOGLE}",
-    ("mongodb", "silver"):
-        "id string, customer_id string, cpf string, app string, segmento string, rating string, "
-        "timestamp string, comment string, app_version string, os_version string, os string, "
-        f"historical_data {_HIST_MONGO}",
-    ("apple_store", "silver"):
-        "id string, name_client string, app string, im_version string, im_rating string, "
-        f"title string, content string, updated string, segmento string, historical_data {_HIST_APPLE}",
+S, L, I, D = T.StringType(), T.LongType(), T.IntegerType(), T.DoubleType()
+
+
+def fields(*pairs) -> T.StructType:
+    """Struct of nullable fields from (name, type) pairs."""
+    return T.StructType([T.StructField(n, t, True) for n, t in pairs])
+
+
+def strings(*names) -> T.StructType:
+    return fields(*[(n, S) for n in names])
+
+
+# --- fixed values: expected schemas per (source, layer) --------------------------
+EXPECTED_SCHEMAS: dict[tuple[str, str], T.StructType] = {
+    ("google_play", "bronze"): fields(
+        ("avatar", S), ("date", S), ("id", S), ("iso_date", S), ("likes", L), ("rating", D),
+        ("response", T.MapType(S, S, True)), ("snippet", S), ("title", S)),
+    ("mongodb", "bronze"): fields(
+        ("id", S), ("comment", S), ("votes_count", I), ("os", S), ("os_version", S),
+        ("country", S), ("age", I), ("customer_id", S), ("cpf", S), ("app_version", S),
+        ("rating", I), ("timestamp", S), ("app", S)),
+    ("apple_store", "bronze"): strings(
+        "author_name", "author_uri", "content", "content_attributes_label",
+        "content_attributes_term", "id", "im_rating", "im_version", "im_votecount",
+        "im_votesum", "link_attributes_href", "link_attributes_related", "title", "updated"),
+    ("google_play", "silver"): fields(
+        ("id", S), ("app", S), ("segmento", S), ("rating", S), ("iso_date", S), ("title", S),
+        ("snippet", S),
+        ("historical_data", T.ArrayType(strings(
+            "title", "snippet", "app", "segmento", "rating", "iso_date"), True))),
+    ("mongodb", "silver"): fields(
+        ("id", S), ("customer_id", S), ("cpf", S), ("app", S), ("segmento", S), ("rating", S),
+        ("timestamp", S), ("comment", S), ("app_version", S), ("os_version", S), ("os", S),
+        ("historical_data", T.ArrayType(strings(
+            "customer_id", "cpf", "app", "comment", "segmento", "rating", "timestamp",
+            "app_version", "os_version", "os"), True))),
+    ("apple_store", "silver"): fields(
+        ("id", S), ("name_client", S), ("app", S), ("im_version", S), ("im_rating", S),
+        ("title", S), ("content", S), ("updated", S), ("segmento", S),
+        ("historical_data", T.ArrayType(strings(
+            "title", "content", "app", "segmento", "im_version", "im_rating"), True))),
 }
 # --- end fixed values -----------------------------------------------------------
 
@@ -73,17 +84,12 @@ _FIELDS_SCHEMA = T.StructType([
 ])
 
 
-@lru_cache(maxsize=None)
-def _parse(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
-
-
 def expected_schema(source: str, layer: str) -> T.StructType:
     """Expected schema of ``source`` in ``layer``; unknown pair -> ValueError."""
     key = (source, layer)
-    if key not in EXPECTED_DDL:
+    if key not in EXPECTED_SCHEMAS:
         raise ValueError(f"unknown schema for source {source}_{layer}")
-    return _parse(EXPECTED_DDL[key])
+    return EXPECTED_SCHEMAS[key]
 
 
 def _as_schema(x) -> T.StructType | None:

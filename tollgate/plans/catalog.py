@@ -19,7 +19,7 @@ from ..functions.rules import (
     FAILED_COLUMNS, VALIDATION, any_violation, cast_regex, not_null, regex, violated,
 )
 from ..operators.patterns import annotate, joined_failures, rejects, valid
-from ..operators.schemas import expected_schema, schema_diff, schema_report
+from ..operators.schemas import D, I, L, S, expected_schema, fields, schema_diff, schema_report
 from ..operators.volumetry import emptiness, volumetry_report
 from ..session import fresh_run_dir
 from ..sources.lake import (
@@ -35,25 +35,30 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 REVIEWS = ("google_play", "mongodb", "apple_store")
 RUN_ODATE = "20240101"
 
+_TS, _F = T.TimestampNTZType(), T.FloatType()
+
 # --- fixed values: column contracts of the driver tables (TESTDATA.md) ----------
-TABLE_CONTRACTS: dict[str, str] = {
-    "region": "r_regionkey int, r_name string",
-    "nation": "n_nationkey int, n_name string, n_regionkey int",
-    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
-    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
-    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
-    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
-              "o_orderdate timestamp_ntz, o_orderpriority string",
-    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
-                "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
-                "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
-    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
-    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
-    "embeddings": "vec_id bigint, embedding array<float>, label int",
-    "pages": "page_id bigint, url string, html string",
-    "benchmark": "item_id bigint, text string",
-    "labels": "doc_id bigint, quality int, toxic int",
-    "conversations": "conv_id bigint, turn bigint, role string, text string",
+TABLE_CONTRACTS: dict[str, T.StructType] = {
+    "region": fields(("r_regionkey", I), ("r_name", S)),
+    "nation": fields(("n_nationkey", I), ("n_name", S), ("n_regionkey", I)),
+    "customer": fields(("c_custkey", L), ("c_name", S), ("c_nationkey", I), ("c_acctbal", D),
+                       ("c_mktsegment", S)),
+    "supplier": fields(("s_suppkey", L), ("s_name", S), ("s_nationkey", I), ("s_acctbal", D)),
+    "part": fields(("p_partkey", L), ("p_name", S), ("p_brand", S), ("p_type", S), ("p_size", I),
+                   ("p_retailprice", D)),
+    "orders": fields(("o_orderkey", L), ("o_custkey", L), ("o_orderstatus", S), ("o_totalprice", D),
+                     ("o_orderdate", _TS), ("o_orderpriority", S)),
+    "lineitem": fields(("l_orderkey", L), ("l_partkey", L), ("l_suppkey", L), ("l_linenumber", I),
+                       ("l_quantity", D), ("l_extendedprice", D), ("l_discount", D), ("l_tax", D),
+                       ("l_returnflag", S), ("l_linestatus", S), ("l_shipdate", _TS)),
+    "events": fields(("event_id", L), ("ts", _TS), ("user_id", L), ("event_type", S), ("value", D),
+                     ("props", S)),
+    "documents": fields(("doc_id", L), ("text", S), ("lang", S), ("source", S), ("n_chars", L)),
+    "embeddings": fields(("vec_id", L), ("embedding", T.ArrayType(_F, True)), ("label", I)),
+    "pages": fields(("page_id", L), ("url", S), ("html", S)),
+    "benchmark": fields(("item_id", L), ("text", S)),
+    "labels": fields(("doc_id", L), ("quality", I), ("toxic", I)),
+    "conversations": fields(("conv_id", L), ("turn", L), ("role", S), ("text", S)),
 }
 CONTRACT_LAYER = "raw"
 # Single-rule keys: priority codes "<1-3>-<WORD>"; a 0-5 rating read as string.
@@ -66,7 +71,7 @@ _GLOB_APPS = (("app1", "o_orderstatus = 'F'"), ("app2", "not (o_orderstatus = 'F
 
 
 def _contract(name: str) -> T.StructType:
-    return T.StructType.fromDDL(TABLE_CONTRACTS[name])
+    return TABLE_CONTRACTS[name]
 
 
 def _review(spark, sf, src):

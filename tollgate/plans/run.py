@@ -14,6 +14,7 @@ import re
 import time
 import uuid
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -83,7 +84,8 @@ class RunResult:
 
 def run_quality(spark: SparkSession, base: str, layer: str, odate: str, quality: str, *,
                 sources: Sequence[str] = SOURCES, write_valid: bool = False,
-                raise_on_failure: bool = True, rules: dict[str, list[Rule]] | None = None) -> RunResult:
+                raise_on_failure: bool = True, rules: dict[str, list[Rule]] | None = None,
+                parallel_sources: int = 4) -> RunResult:
     """Run the checks of ``layer`` on the ``odate`` load under ``base``.
 
     Bronze runs volumetry + schema; silver adds the pattern rules. Outputs go
@@ -97,9 +99,11 @@ def run_quality(spark: SparkSession, base: str, layer: str, odate: str, quality:
     res = RunResult(uuid.uuid4().hex, layer, odate, "success")
     metrics: list[tuple] = []
 
-    def metric(source, check, status, n_rows, n_bad, t0):
+    def metric(source, check, status, n_rows, n_bad, t0, elapsed=None):
+        if elapsed is None:
+            elapsed = time.perf_counter() - t0
         metrics.append((res.run_id, odate, layer, source, check, status, n_rows, n_bad,
-                        round(time.perf_counter() - t0, 3), now_iso()))
+                        round(elapsed, 3), now_iso()))
 
     def fail(stage, source, err):
         res.failures.append(record_failure(spark, job_failures_path(quality), run_id=res.run_id,
@@ -145,34 +149,47 @@ def run_quality(spark: SparkSession, base: str, layer: str, odate: str, quality:
         # -- pattern (silver): one pass per source ---------------------------------
         if layer == "silver":
             stage = "pattern"
-            for s in sources:
+
+            def check_source(s):
                 t0 = time.perf_counter()
                 src_rules = (rules or {}).get(s) or rules_for(s, layer)
                 try:
                     rej = rejects(frames[s], src_rules)
                 except MissingRuleColumns as exc:
-                    res.status = "partial"
-                    fail("pattern", s, exc)
-                    res.summary_rows.append((s, "pattern", "error", counts[s][0], None))
-                    metric(s, "pattern", "error", counts[s][0], None, t0)
-                    continue
+                    return s, time.perf_counter() - t0, exc, None, None
                 rej, obs = observe_rejects(rej, src_rules)
                 write_leaf(rej, pattern_out_path(quality, s, odate))
                 got = obs.get
-                n_bad = int(got.get("n_rows", 0))
-                res.rule_failures[s] = {r.name: int(got.get(f"failed_{r.name}", 0)) for r in src_rules}
+                per_rule = {r.name: int(got.get(f"failed_{r.name}", 0)) for r in src_rules}
                 if write_valid:
                     write_leaf(valid(frames[s], src_rules), pattern_out_path(quality, s, odate, "valid"))
+                return s, time.perf_counter() - t0, None, int(got.get("n_rows", 0)), per_rule
+
+            # Independent jobs, one per source, submitted together so small
+            # sources do not queue behind large ones.
+            with ThreadPoolExecutor(max_workers=max(1, min(len(sources), parallel_sources))) as pool:
+                outcomes = list(pool.map(check_source, sources))
+            for s, took, exc, n_bad, per_rule in outcomes:
+                if exc is not None:
+                    res.status = "partial"
+                    fail("pattern", s, exc)
+                    res.summary_rows.append((s, "pattern", "error", counts[s][0], None))
+                    metric(s, "pattern", "error", counts[s][0], None, None, took)
+                    continue
+                res.rule_failures[s] = per_rule
                 st = NO_MATCH if n_bad else "match"
                 res.summary_rows.append((s, "pattern", st, counts[s][0], n_bad))
-                metric(s, "pattern", st, counts[s][0], n_bad, t0)
-                for name, n in res.rule_failures[s].items():
-                    metric(s, f"pattern.{name}", NO_MATCH if n else "match", counts[s][0], n, t0)
+                metric(s, "pattern", st, counts[s][0], n_bad, None, took)
+                for name, n in per_rule.items():
+                    metric(s, f"pattern.{name}", NO_MATCH if n else "match", counts[s][0], n, None, took)
     except Exception as exc:  # noqa: BLE001 - every failure is recorded, then re-raised
         res.status, res.error = "failed", exc
         log.error("quality run failed at %s: %s", stage, exc)
-        fail(stage, None, exc)
-        append_rows(spark, metrics, RUN_METRICS_SCHEMA, run_metrics_path(quality))
+        try:
+            fail(stage, None, exc)
+            append_rows(spark, metrics, RUN_METRICS_SCHEMA, run_metrics_path(quality))
+        except Exception as rec_exc:  # noqa: BLE001 - never mask the original error
+            log.error("could not record the failure: %s", rec_exc)
         if raise_on_failure:
             raise
         return res

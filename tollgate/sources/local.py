@@ -20,6 +20,10 @@ _ARROW = {
 }
 
 
+_DDL = {"string": T.StringType(), "bigint": T.LongType(), "int": T.IntegerType(),
+        "double": T.DoubleType(), "boolean": T.BooleanType()}
+
+
 def _arrow_type(dt: T.DataType) -> pa.DataType:
     for cls, at in _ARROW.items():
         if isinstance(dt, cls):
@@ -29,7 +33,8 @@ def _arrow_type(dt: T.DataType) -> pa.DataType:
 
 def local_frame(spark: SparkSession, rows: Sequence[Sequence], schema: T.StructType | str) -> DataFrame:
     if isinstance(schema, str):
-        schema = T.StructType.fromDDL(schema)
+        schema = T.StructType([T.StructField(n, _DDL[t]) for n, t in
+                               (part.split() for part in schema.split(","))])
     cols = list(zip(*rows)) if rows else [() for _ in schema.fields]
     table = pa.table({f.name: pa.array(list(c), type=_arrow_type(f.dataType))
                       for f, c in zip(schema.fields, cols)})

@@ -4,7 +4,7 @@ from .metrics import (
 )
 from .patterns import (
     MissingRuleColumns, annotate, check_columns, failure_count_exprs,
-    joined_failures, rejects, valid,
+    joined_failures, preview_rejects, rejects, valid,
 )
 from .schemas import (
     EXPECTED_SCHEMAS, LAYERS, expected_schema, schema_diff, schema_report,
@@ -17,7 +17,7 @@ __all__ = [
     "EXPECTED_SCHEMAS", "JOB_FAILURE_SCHEMA", "LAYERS", "MissingRuleColumns",
     "RUN_METRICS_SCHEMA", "VolumetryError", "annotate", "append_rows",
     "check_columns", "emptiness", "expected_schema", "failure_count_exprs",
-    "joined_failures", "observe_rejects", "record_failure", "rejects",
+    "joined_failures", "observe_rejects", "preview_rejects", "record_failure", "rejects",
     "schema_diff", "schema_report", "valid", "valid_invalid_exprs",
     "volumetry_gate", "volumetry_report",
 ]

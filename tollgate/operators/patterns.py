@@ -78,3 +78,10 @@ def failure_count_exprs(rules: Sequence[Rule], col: str = FAILED_COLUMNS) -> lis
     """One ``count_if`` per rule over an annotated frame, for an Observation."""
     return [F.count_if(F.array_contains(F.col(col), r.name)).alias(f"failed_{r.name}")
             for r in rules]
+
+
+def preview_rejects(quarantined: DataFrame, n: int = 20, truncate: bool = True) -> None:
+    """Print the first ``n`` quarantined rows. Opt-in only: rejected rows
+    carry personal data (document numbers, names, comments). Reads the
+    written quarantine, so no rule is evaluated again."""
+    quarantined.show(n, truncate=truncate)

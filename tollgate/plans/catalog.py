@@ -23,10 +23,13 @@ from ..operators.schemas import D, I, L, S, expected_schema, fields, schema_diff
 from ..operators.volumetry import emptiness, volumetry_report
 from ..session import fresh_run_dir
 from ..sources.lake import (
-    pattern_out_path, pattern_root, read_parquet, source_path, source_root,
+    land_by_app, pattern_out_path, pattern_root, read_parquet, source_path, source_root,
     with_leaf_dir, write_leaf,
 )
-from ..sources.reviews import REVIEW_FIXTURES, review_source, review_sql, silver_source, table
+from ..sources.reviews import (
+    BRONZE_FIXTURES, REVIEW_FIXTURES, bronze_source, review_source, review_sql, silver_source, table,
+)
+from ..streaming.quarantine import quarantine_stream
 from . import oracle as O
 from .run import job_failures_path, run_quality
 
@@ -265,6 +268,27 @@ def q_quality_run_summary(spark, sf):
     return res.summary(spark)
 
 
+def q_bronze_run_summary(spark, sf):
+    root = fresh_run_dir(spark, "bronze_run")
+    base, quality = f"{root}/lake", f"{root}/quality"
+    for s in REVIEWS:
+        land_by_app(bronze_source(spark, sf, s), base, "bronze", s, RUN_ODATE)
+    return run_quality(spark, base, "bronze", RUN_ODATE, quality).summary(spark)
+
+
+def q_apple_store_rejects_stream(spark, sf):
+    """The apple_store load lands as several files; a streaming query drains
+    them in bounded micro-batches into the quarantine folder."""
+    root = fresh_run_dir(spark, "stream")
+    landing = f"{root}/landing"
+    src = _review(spark, sf, "apple_store")
+    write_leaf(src.repartition(4), landing)  # several files -> several micro-batches
+    q = quarantine_stream(spark, landing, src.schema, SILVER_RULES["apple_store"],
+                          f"{root}/quarantine", f"{root}/checkpoint", max_files_per_trigger=2)
+    q.awaitTermination()
+    return _comparable(read_parquet(spark, f"{root}/quarantine"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "parquet_scan": q_parquet_scan,
@@ -289,6 +313,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "odate_layout": q_odate_layout,
         "failure_log_roundtrip": q_failure_log_roundtrip,
         "quality_run_summary": q_quality_run_summary,
+        "bronze_run_summary": q_bronze_run_summary,
+        "apple_store_rejects_stream": q_apple_store_rejects_stream,
     }
 
 
@@ -341,6 +367,7 @@ def oracle_sql() -> dict[str, str]:
         f"count(*) filter (where {O.any_violation_sql(SILVER_RULES[s])}) as n_invalid from ({review_sql(s)}) r"
         for s in REVIEWS)
     sql["quarantine_roundtrip"] = sql["apple_store_rejects"]
+    sql["apple_store_rejects_stream"] = sql["apple_store_rejects"]
     sql["odate_layout"] = (f"select *, cast({RUN_ODATE} as integer) as odate "
                            f"from ({_review_annotated_sql('apple_store')}) a where validation = 'no_match'")
     sql["failure_log_roundtrip"] = (
@@ -358,4 +385,12 @@ def oracle_sql() -> dict[str, str]:
                        f"case when count(*) filter (where {any_bad}) > 0 then 'no_match' else 'match' end as status, "
                        f"count(*) as n_rows, count(*) filter (where {any_bad}) as n_bad from ({r}) r")
     sql["quality_run_summary"] = "\nunion all\n".join(summary)
+    bronze = []
+    for s in REVIEWS:
+        tbl = BRONZE_FIXTURES[s][0]
+        bronze.append(f"select '{s}' as source, 'volumetry' as \"check\", 'ok' as status, count(*) as n_rows, "
+                      f"cast(null as bigint) as n_bad from {tbl}")
+        bronze.append(f"select '{s}' as source, 'schema' as \"check\", 'match' as status, "
+                      f"cast(null as bigint) as n_rows, cast(0 as bigint) as n_bad")
+    sql["bronze_run_summary"] = "\nunion all\n".join(bronze)
     return sql

@@ -27,12 +27,12 @@ from ..operators.metrics import (
     JOB_FAILURE_SCHEMA, RUN_METRICS_SCHEMA, append_rows, now_iso, observe_rejects,
     record_failure,
 )
-from ..operators.patterns import MissingRuleColumns, rejects, valid
+from ..operators.patterns import MissingRuleColumns, preview_rejects, rejects, valid
 from ..operators.schemas import LAYERS, NO_MATCH, expected_schema, schema_diff, schema_report
 from ..operators.volumetry import EMPTY, MISSING, OK, VolumetryError, volumetry_report
 from ..sources.local import local_frame
 from ..sources.lake import (
-    SOURCES, load_sources, pattern_out_path, schema_out_path, write_leaf,
+    SOURCES, load_sources, pattern_out_path, read_parquet, schema_out_path, write_leaf,
 )
 
 log = logging.getLogger("tollgate.run")
@@ -85,7 +85,7 @@ class RunResult:
 def run_quality(spark: SparkSession, base: str, layer: str, odate: str, quality: str, *,
                 sources: Sequence[str] = SOURCES, write_valid: bool = False,
                 raise_on_failure: bool = True, rules: dict[str, list[Rule]] | None = None,
-                parallel_sources: int = 4) -> RunResult:
+                parallel_sources: int = 4, preview: int = 0) -> RunResult:
     """Run the checks of ``layer`` on the ``odate`` load under ``base``.
 
     Bronze runs volumetry + schema; silver adds the pattern rules. Outputs go
@@ -93,6 +93,8 @@ def run_quality(spark: SparkSession, base: str, layer: str, odate: str, quality:
     re-run of the same date is idempotent. A failed run appends a row to
     ``<quality>/job_failures`` and re-raises (unless ``raise_on_failure`` is
     false); a source whose rule columns are missing is recorded and skipped.
+    ``preview`` > 0 prints that many quarantined rows per source (off by
+    default: rejected rows hold personal data).
     """
     layer = validate_layer(layer)
     odate = validate_odate(odate)
@@ -152,6 +154,7 @@ def run_quality(spark: SparkSession, base: str, layer: str, odate: str, quality:
 
             def check_source(s):
                 t0 = time.perf_counter()
+                spark.sparkContext.setJobDescription(f"tollgate pattern {s} odate={odate}")
                 src_rules = (rules or {}).get(s) or rules_for(s, layer)
                 try:
                     rej = rejects(frames[s], src_rules)
@@ -163,6 +166,8 @@ def run_quality(spark: SparkSession, base: str, layer: str, odate: str, quality:
                 per_rule = {r.name: int(got.get(f"failed_{r.name}", 0)) for r in src_rules}
                 if write_valid:
                     write_leaf(valid(frames[s], src_rules), pattern_out_path(quality, s, odate, "valid"))
+                if preview and per_rule and any(per_rule.values()):
+                    preview_rejects(read_parquet(spark, pattern_out_path(quality, s, odate)), preview)
                 return s, time.perf_counter() - t0, None, int(got.get("n_rows", 0)), per_rule
 
             # Independent jobs, one per source, submitted together so small

@@ -1,12 +1,14 @@
 from .lake import (
-    PATTERN_DIRS, SOURCE_DIRS, SOURCES, Loaded, leaf_dirs, leaf_schemas, load_source,
+    PATTERN_DIRS, SOURCE_DIRS, SOURCES, Loaded, land_by_app, leaf_dirs, leaf_schemas, load_source,
     load_sources, pattern_out_path, pattern_root, read_parquet, schema_out_path,
     source_path, source_root, with_leaf_dir, write_leaf,
 )
-from .reviews import REVIEW_FIXTURES, review_source, review_sql, silver_source
+from .reviews import (
+    BRONZE_FIXTURES, REVIEW_FIXTURES, bronze_source, review_source, review_sql, silver_source,
+)
 
 __all__ = [
-    "Loaded", "PATTERN_DIRS", "REVIEW_FIXTURES", "SOURCES", "SOURCE_DIRS", "leaf_dirs",
+    "BRONZE_FIXTURES", "Loaded", "PATTERN_DIRS", "REVIEW_FIXTURES", "SOURCES", "SOURCE_DIRS", "bronze_source", "land_by_app", "leaf_dirs",
     "leaf_schemas", "load_source", "load_sources", "pattern_out_path", "pattern_root",
     "read_parquet", "review_source", "review_sql", "schema_out_path", "silver_source",
     "source_path", "source_root", "with_leaf_dir", "write_leaf",

@@ -143,3 +143,14 @@ def leaf_dirs(spark: SparkSession, path: str) -> list[str]:
 def leaf_schemas(spark: SparkSession, path: str) -> dict[str, object]:
     """Schema of each leaf directory under ``path`` (footer reads only)."""
     return {d: spark.read.parquet(d).schema for d in leaf_dirs(spark, path)}
+
+
+def land_by_app(df: DataFrame, base: str, layer: str, source: str, odate: str,
+                app_col: str = "app_folder") -> None:
+    """Land one dated load split into one sub-folder per app, in one job:
+    ``<root>/<app_col>=<name>/odate=D``. Every app folder matches the
+    ``<root>/*/odate=D`` glob; the static overwrite replaces the whole
+    source root, so a re-landing never mixes two loads."""
+    (df.withColumn("odate", F.lit(odate))
+       .write.mode("overwrite").option("partitionOverwriteMode", "static")
+       .partitionBy(app_col, "odate").parquet(source_root(base, layer, source)))

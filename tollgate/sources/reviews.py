@@ -54,6 +54,52 @@ REVIEW_FIXTURES: dict[str, tuple[str, str, list[tuple[str, str]]]] = {
         ("content", "case when o_orderkey % 10 = 0 then null else o_orderstatus end"),
     ]),
 }
+# Bronze-shaped copies (raw extracts: original types, one folder per app).
+# source -> (driver table, app-folder expression, [(column, expression template)])
+BRONZE_FIXTURES: dict[str, tuple[str, str, list[tuple[str, str]]]] = {
+    "google_play": ("documents", "source", [
+        ("avatar", "concat('avatar/', source)"),
+        ("date", "'2024-01-01'"),
+        ("id", "{uuid}"),
+        ("iso_date", "'2024-01-01T00:00:00Z'"),
+        ("likes", "n_chars"),
+        ("rating", "cast(doc_id % 6 as double)"),
+        ("response", "map('lang', lang)"),
+        ("snippet", "text"),
+        ("title", "lang"),
+    ]),
+    "mongodb": ("events", "event_type", [
+        ("id", "md5(cast(event_id as {s}))"),
+        ("comment", "props"),
+        ("votes_count", "cast(user_id % 100 as int)"),
+        ("os", "'ios'"),
+        ("os_version", "'13'"),
+        ("country", "'BR'"),
+        ("age", "cast(event_id % 80 as int)"),
+        ("customer_id", "cast(user_id as {s})"),
+        ("cpf", "lpad(cast(event_id as {s}), 11, '0')"),
+        ("app_version", "'1.2.3'"),
+        ("rating", "cast(event_id % 6 as int)"),
+        ("timestamp", "cast(ts as {s})"),
+        ("app", "event_type"),
+    ]),
+    "apple_store": ("orders", "o_orderstatus", [
+        ("author_name", "concat('client ', cast(o_custkey as {s}))"),
+        ("author_uri", "concat('client/', cast(o_custkey as {s}))"),
+        ("content", "o_orderstatus"),
+        ("content_attributes_label", "'Application'"),
+        ("content_attributes_term", "'Application'"),
+        ("id", "cast(o_orderkey as {s})"),
+        ("im_rating", "cast(o_orderkey % 6 as {s})"),
+        ("im_version", "'1.2'"),
+        ("im_votecount", "'0'"),
+        ("im_votesum", "'0'"),
+        ("link_attributes_href", "concat('review/', cast(o_orderkey as {s}))"),
+        ("link_attributes_related", "'related'"),
+        ("title", "o_orderpriority"),
+        ("updated", "cast(o_orderdate as {s})"),
+    ]),
+}
 # Literal columns that complete the silver schema of the lake copies.
 SEGMENTO = "retail"
 APPLE_UPDATED = "date_format(o_orderdate, \"yyyy-MM-dd'T'HH:mm:ss\")"
@@ -105,3 +151,13 @@ def silver_source(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
         (F.array().cast(hist) if f.name == "historical_data" else F.col(f"`{f.name}`")).alias(f.name)
         for f in schema.fields
     ])
+
+
+def bronze_source(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
+    """Bronze-shaped rows plus an ``app_folder`` column naming the app
+    sub-folder each row lands in (it becomes the folder, not a data column)."""
+    tbl, app_expr, cols = BRONZE_FIXTURES[source]
+    d = _DIALECTS["spark"]
+    uuid = _UUID.format(**d)
+    exprs = [f"{tpl.format(uuid=uuid, **d)} as `{name}`" for name, tpl in cols]
+    return table(spark, sf_dir, tbl).selectExpr(*exprs, f"{app_expr} as app_folder")

@@ -1,0 +1,3 @@
+from .quarantine import observed_rejects, quarantine_stream
+
+__all__ = ["observed_rejects", "quarantine_stream"]

@@ -23,7 +23,7 @@ from ..operators.schemas import D, I, L, S, expected_schema, fields, schema_diff
 from ..operators.volumetry import emptiness, volumetry_report
 from ..session import fresh_run_dir
 from ..sources.lake import (
-    land_by_app, pattern_out_path, pattern_root, read_parquet, source_path, source_root,
+    land_by_app, pattern_out_path, write_leaves, pattern_root, read_parquet, source_path, source_root,
     with_leaf_dir, write_leaf,
 )
 from ..sources.reviews import (
@@ -103,8 +103,7 @@ def q_glob_scan(spark, sf):
     base = fresh_run_dir(spark, "glob_scan")
     orders = table(spark, sf, "orders")
     root = source_root(base, "bronze", "orders")
-    for app, cond in _GLOB_APPS:
-        write_leaf(orders.filter(cond), f"{root}/{app}/odate={RUN_ODATE}")
+    write_leaves({f"{root}/{app}/odate={RUN_ODATE}": orders.filter(cond) for app, cond in _GLOB_APPS})
     return with_leaf_dir(read_parquet(spark, source_path(base, "bronze", "orders", RUN_ODATE)))
 
 
@@ -137,12 +136,9 @@ def _landed_reviews(spark, sf, label):
     silver leaf and read back (schemas are checked on Parquet, where every
     field is nullable, never on an in-memory projection)."""
     base = fresh_run_dir(spark, label)
-    out = {}
-    for s in REVIEWS:
-        leaf = source_path(base, "silver", s, RUN_ODATE)
-        write_leaf(_review(spark, sf, s), leaf)
-        out[s] = read_parquet(spark, leaf)
-    return out
+    leaves = {s: source_path(base, "silver", s, RUN_ODATE) for s in REVIEWS}
+    write_leaves({leaves[s]: _review(spark, sf, s) for s in REVIEWS})
+    return {s: read_parquet(spark, leaves[s]) for s in REVIEWS}
 
 
 def _schema_frames(spark, sf, fn):
@@ -251,8 +247,7 @@ def q_odate_layout(spark, sf):
 def _silver_lake(spark, sf, label, sources=REVIEWS):
     root = fresh_run_dir(spark, label)
     base, quality = f"{root}/lake", f"{root}/quality"
-    for s in sources:
-        write_leaf(silver_source(spark, sf, s), source_path(base, "silver", s, RUN_ODATE))
+    write_leaves({source_path(base, "silver", s, RUN_ODATE): silver_source(spark, sf, s) for s in sources})
     return base, quality
 
 

@@ -32,7 +32,7 @@ from ..operators.schemas import LAYERS, NO_MATCH, expected_schema, schema_diff,
 from ..operators.volumetry import EMPTY, MISSING, OK, VolumetryError, volumetry_report
 from ..sources.local import local_frame
 from ..sources.lake import (
-    SOURCES, load_sources, pattern_out_path, read_parquet, schema_out_path, write_leaf,
+    DEFAULT_PREFIX, SOURCES, load_sources, pattern_out_path, read_parquet, schema_out_path, write_leaf,
 )
 
 log = logging.getLogger("tollgate.run")
@@ -85,7 +85,8 @@ class RunResult:
 def run_quality(spark: SparkSession, base: str, layer: str, odate: str, quality: str, *,
                 sources: Sequence[str] = SOURCES, write_valid: bool = False,
                 raise_on_failure: bool = True, rules: dict[str, list[Rule]] | None = None,
-                parallel_sources: int = 4, preview: int = 0) -> RunResult:
+                parallel_sources: int = 4, preview: int = 0,
+                rebalance_rejects: bool = False, prefix: str = DEFAULT_PREFIX) -> RunResult:
     """Run the checks of ``layer`` on the ``odate`` load under ``base``.
 
     Bronze runs volumetry + schema; silver adds the pattern rules. Outputs go
@@ -94,7 +95,10 @@ def run_quality(spark: SparkSession, base: str, layer: str, odate: str, quality:
     ``<quality>/job_failures`` and re-raises (unless ``raise_on_failure`` is
     false); a source whose rule columns are missing is recorded and skipped.
     ``preview`` > 0 prints that many quarantined rows per source (off by
-    default: rejected rows hold personal data).
+    default: rejected rows hold personal data). ``rebalance_rejects`` adds
+    an AQE rebalance before the quarantine write: only rejected rows are
+    shuffled, into advisory-size files; worth it when rejects are sparse
+    (otherwise every scan task writes its own small file).
     """
     layer = validate_layer(layer)
     odate = validate_odate(odate)
@@ -117,7 +121,7 @@ def run_quality(spark: SparkSession, base: str, layer: str, odate: str, quality:
         # -- volumetry: one job counting every source ------------------------------
         stage = "volumetry"
         t0 = time.perf_counter()
-        loaded = load_sources(spark, base, layer, odate, sources)
+        loaded = load_sources(spark, base, layer, odate, sources, prefix=prefix)
         frames = {s: ld.df for s, ld in loaded.items()}
         counts = {r["source"]: (r["n_rows"], r["status"])
                   for r in volumetry_report(spark, frames).collect()}
@@ -161,6 +165,8 @@ def run_quality(spark: SparkSession, base: str, layer: str, odate: str, quality:
                 except MissingRuleColumns as exc:
                     return s, time.perf_counter() - t0, exc, None, None
                 rej, obs = observe_rejects(rej, src_rules)
+                if rebalance_rejects:
+                    rej = rej.hint("rebalance")
                 write_leaf(rej, pattern_out_path(quality, s, odate))
                 got = obs.get
                 per_rule = {r.name: int(got.get(f"failed_{r.name}", 0)) for r in src_rules}

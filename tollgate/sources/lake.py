@@ -2,12 +2,14 @@
 
 Layout (paths are strings; ``odate`` is ``YYYYMMDD``)::
 
-    <base>/<layer>/compass/reviews/<SourceDir>/odate=D          silver: one leaf
-    <base>/<layer>/compass/reviews/<SourceDir>/*/odate=D        bronze: one leaf per app
+    <base>/<layer>/<prefix>/<SourceDir>/odate=D          silver: one leaf
+    <base>/<layer>/<prefix>/<SourceDir>/*/odate=D        bronze: one leaf per app
     <quality>/schema/odate=D                                     schema mismatches
     <quality>/pattern/<pattern dir>/odate=D                      rejected rows
     <quality>/valid/<pattern dir>/odate=D                        accepted rows (opt-in)
 
+``prefix`` is the domain path between the layer and the source folders
+(default ``reviews``; pass your lake's own, e.g. ``<domain>/reviews``).
 A leaf is read as its own base path, so ``odate`` is not a column of a
 source; reading the parent directory instead discovers ``odate`` as an
 ``int`` partition column.
@@ -16,6 +18,8 @@ source; reading the parent directory instead discovers ``odate`` as an
 from __future__ import annotations
 
 import logging
+from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -27,20 +31,20 @@ log = logging.getLogger("tollgate.lake")
 # --- fixed values: lake folder names ------------------------------------------
 SOURCE_DIRS = {"google_play": "googlePlay", "mongodb": "mongodb", "apple_store": "appleStore"}
 PATTERN_DIRS = {"google_play": "google_play", "mongodb": "internal_databases", "apple_store": "apple_store"}
-REVIEWS_PREFIX = "compass/reviews"
 # --- end fixed values -----------------------------------------------------------
+DEFAULT_PREFIX = "reviews"
 
 SOURCES = tuple(SOURCE_DIRS)
 
 
-def source_root(base: str, layer: str, source: str) -> str:
-    return f"{base.rstrip('/')}/{layer}/{REVIEWS_PREFIX}/{SOURCE_DIRS.get(source, source)}"
+def source_root(base: str, layer: str, source: str, prefix: str = DEFAULT_PREFIX) -> str:
+    return f"{base.rstrip('/')}/{layer}/{prefix.strip('/')}/{SOURCE_DIRS.get(source, source)}"
 
 
-def source_path(base: str, layer: str, source: str, odate: str) -> str:
+def source_path(base: str, layer: str, source: str, odate: str, prefix: str = DEFAULT_PREFIX) -> str:
     """Silver: the dated leaf. Bronze: a glob over every app sub-directory."""
     wildcard = "*/" if layer == "bronze" else ""
-    return f"{source_root(base, layer, source)}/{wildcard}odate={odate}"
+    return f"{source_root(base, layer, source, prefix)}/{wildcard}odate={odate}"
 
 
 def schema_out_path(quality: str, odate: str) -> str:
@@ -102,12 +106,13 @@ def load_source(spark: SparkSession, path: str, source: str, merge_schema: bool
 
 
 def load_sources(spark: SparkSession, base: str, layer: str, odate: str,
-                 sources=SOURCES, merge_schema: bool | None = None) -> dict[str, Loaded]:
+                 sources=SOURCES, merge_schema: bool | None = None,
+                 prefix: str = DEFAULT_PREFIX) -> dict[str, Loaded]:
     """All sources of one layer and date. Bronze glob reads merge footers by
     default so a column added in only one app directory is not hidden."""
     if merge_schema is None:
         merge_schema = layer == "bronze"
-    return {s: load_source(spark, source_path(base, layer, s, odate), s, merge_schema)
+    return {s: load_source(spark, source_path(base, layer, s, odate, prefix), s, merge_schema)
             for s in sources}
 
 
@@ -120,6 +125,12 @@ def write_leaf(df: DataFrame, path: str, fmt: str = "parquet") -> None:
        .format(fmt).save(path))
 
 
+def write_leaves(frames: Mapping[str, DataFrame], max_workers: int = 4) -> None:
+    """Write several independent leaves (path -> frame) as concurrent jobs."""
+    with ThreadPoolExecutor(max_workers=max(1, min(len(frames), max_workers))) as pool:
+        list(pool.map(lambda kv: write_leaf(kv[1], kv[0]), frames.items()))
+
+
 def with_leaf_dir(df: DataFrame, name: str = "app_dir") -> DataFrame:
     """Add the name of the sub-directory above ``odate=`` each row came from
     (a glob read loses it)."""
@@ -146,11 +157,11 @@ def leaf_schemas(spark: SparkSession, path: str) -> dict[str, object]:
 
 
 def land_by_app(df: DataFrame, base: str, layer: str, source: str, odate: str,
-                app_col: str = "app_folder") -> None:
+                app_col: str = "app_folder", prefix: str = DEFAULT_PREFIX) -> None:
     """Land one dated load split into one sub-folder per app, in one job:
     ``<root>/<app_col>=<name>/odate=D``. Every app folder matches the
     ``<root>/*/odate=D`` glob; the static overwrite replaces the whole
     source root, so a re-landing never mixes two loads."""
     (df.withColumn("odate", F.lit(odate))
        .write.mode("overwrite").option("partitionOverwriteMode", "static")
-       .partitionBy(app_col, "odate").parquet(source_root(base, layer, source)))
+       .partitionBy(app_col, "odate").parquet(source_root(base, layer, source, prefix)))

@@ -112,8 +112,12 @@ def load_sources(spark: SparkSession, base: str, layer: str, odate: str,
     default so a column added in only one app directory is not hidden."""
     if merge_schema is None:
         merge_schema = layer == "bronze"
-    return {s: load_source(spark, source_path(base, layer, s, odate, prefix), s, merge_schema)
-            for s in sources}
+    sources = list(sources)
+    # File listing and footer reads of different sources overlap.
+    with ThreadPoolExecutor(max_workers=max(1, min(len(sources), 8))) as pool:
+        loaded = pool.map(lambda s: load_source(spark, source_path(base, layer, s, odate, prefix),
+                                                s, merge_schema), sources)
+        return dict(zip(sources, loaded))
 
 
 def write_leaf(df: DataFrame, path: str, fmt: str = "parquet") -> None:

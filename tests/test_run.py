@@ -83,3 +83,36 @@ def test_layer_and_odate_validation():
         validate_layer("gold")
     with pytest.raises(ValueError):
         run_quality(None, "/x", "silver", "2024-01-01", "/q")
+
+
+def test_bronze_merge_conflict_is_a_schema_failure(spark, workdir):
+    from pyspark.sql import functions as F
+    from tollgate.sources.lake import land_by_app, source_root
+    from tollgate.sources.reviews import bronze_source
+    from .conftest import SF001
+    base, quality = f"{workdir}/lake", f"{workdir}/quality"
+    for s in REVIEWS:
+        land_by_app(bronze_source(spark, SF001, s), base, "bronze", s, D)
+    # one extra app folder of google_play lands `likes` as a string
+    odd = bronze_source(spark, SF001, "google_play").drop("app_folder").withColumn("likes", F.lit("many"))
+    write_leaf(odd, f"{source_root(base, 'bronze', 'google_play')}/app_folder=odd/odate={D}")
+    res = run_quality(spark, base, "bronze", D, quality)
+    checks = {(r[0], r[1]): r[2] for r in res.summary_rows}
+    assert checks[("google_play", "schema")] == "no_match"
+    assert checks[("mongodb", "schema")] == "match"
+    fails = read_parquet(spark, job_failures_path(quality)).collect()
+    assert [(r["stage"], r["source"]) for r in fails] == [("schema", "google_play")]
+
+
+def test_odate_defaults_to_today():
+    from tollgate.plans.run import today_odate, validate_odate
+    assert validate_odate(None) == today_odate()
+
+
+def test_cli_runs_and_exit_codes(spark, workdir):
+    from tollgate.cli import main
+    base, quality = _lake(spark, workdir)
+    assert main(["silver", "--base", base, "--quality", quality, "--odate", D]) == 0
+    assert read_parquet(spark, pattern_out_path(quality, "mongodb", D)).count() == 5491
+    assert main(["silver", "--base", f"{workdir}/nowhere", "--quality", quality, "--odate", D]) == 1
+    assert main(["gold", "--base", base, "--quality", quality, "--odate", D]) == 1

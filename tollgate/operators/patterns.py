@@ -31,6 +31,10 @@ def check_columns(df: DataFrame, rules: Sequence[Rule]) -> None:
     collide = [c for c in (FAILED_COLUMNS, VALIDATION) if c in have]
     if collide:
         raise ValueError(f"source already has reserved column(s) {collide}; rename them first")
+    names = [r.name for r in rules]
+    dup = sorted({n for n in names if names.count(n) > 1})
+    if dup:
+        raise ValueError(f"several rules share the name(s) {dup}; give them distinct labels")
     missing = [c for c in rule_columns(rules) if c not in have]
     if missing:
         raise MissingRuleColumns(missing, df.columns)

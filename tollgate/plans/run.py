@@ -9,6 +9,7 @@ count. Nothing is cached and nothing but metric rows reaches the driver.
 
 from __future__ import annotations
 
+import datetime as _dt
 import logging
 import re
 import time
@@ -53,7 +54,13 @@ def validate_layer(layer: str) -> str:
     return norm
 
 
-def validate_odate(odate: str) -> str:
+def today_odate() -> str:
+    return _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%d")
+
+
+def validate_odate(odate: str | None) -> str:
+    if odate is None:
+        return today_odate()  # taken once per run
     if not re.fullmatch(r"\d{8}", str(odate)):
         raise ValueError(f"odate must be YYYYMMDD, got {odate!r}")
     return str(odate)
@@ -82,7 +89,7 @@ class RunResult:
         return local_frame(spark, self.summary_rows, SUMMARY_SCHEMA)
 
 
-def run_quality(spark: SparkSession, base: str, layer: str, odate: str, quality: str, *,
+def run_quality(spark: SparkSession, base: str, layer: str, odate: str | None, quality: str, *,
                 sources: Sequence[str] = SOURCES, write_valid: bool = False,
                 raise_on_failure: bool = True, rules: dict[str, list[Rule]] | None = None,
                 parallel_sources: int = 4, preview: int = 0,
@@ -141,6 +148,11 @@ def run_quality(spark: SparkSession, base: str, layer: str, odate: str, quality:
         t0 = time.perf_counter()
         expected = {s: expected_schema(s, layer) for s in sources}
         report = schema_report(spark, frames, expected, layer)
+        conflicted = [s for s in sources if loaded[s].merge_error]
+        if conflicted:
+            report = report.withColumn(
+                "validation_status",
+                F.when(F.col("source").isin(conflicted), F.lit(NO_MATCH)).otherwise(F.col("validation_status")))
         write_leaf(report.filter(f"validation_status = '{NO_MATCH}'").coalesce(1),
                    schema_out_path(quality, odate))
         n_diff = {r["source"]: r["n"] for r in
@@ -149,6 +161,9 @@ def run_quality(spark: SparkSession, base: str, layer: str, odate: str, quality:
                   .collect()}
         for s in sources:
             st = "match" if frames[s].schema == expected[s] else NO_MATCH
+            if loaded[s].merge_error:
+                st = NO_MATCH
+                fail("schema", s, f"app folders disagree on the schema: {loaded[s].merge_error}")
             res.summary_rows.append((s, "schema", st, None, n_diff.get(s, 0)))
             metric(s, "schema", st, None, n_diff.get(s, 0), t0)
 

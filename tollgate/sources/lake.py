@@ -89,20 +89,32 @@ class Loaded:
     df: DataFrame | None
     state: str  # "present" | "missing" | "empty_dir"
     error: str | None = None
+    merge_error: str | None = None  # footers of the app folders could not be merged
 
 
 def load_source(spark: SparkSession, path: str, source: str, merge_schema: bool = False) -> Loaded:
     """Read one dated source. A missing path or a folder without data files
-    is reported, not raised, so volumetry can name it."""
+    is reported, not raised, so volumetry can name it. When footers of the
+    app folders cannot be merged, the source is read on one footer's schema
+    and the conflict is kept in ``merge_error`` for the schema check."""
     try:
         return Loaded(source, path, read_parquet(spark, path, merge_schema), "present")
     except AnalysisException as exc:
-        cond = error_condition(exc) or ""
-        if "PATH_NOT_FOUND" in cond or "PATH_NOT_FOUND" in str(exc):
+        msg = (error_condition(exc) or "") + " " + str(exc)
+        if "PATH_NOT_FOUND" in msg:
             return Loaded(source, path, None, "missing", str(exc))
-        if "UNABLE_TO_INFER_SCHEMA" in cond or "UNABLE_TO_INFER_SCHEMA" in str(exc):
+        if "UNABLE_TO_INFER_SCHEMA" in msg:
             return Loaded(source, path, None, "empty_dir", str(exc))
-        raise
+        if not merge_schema:
+            raise
+        merge_exc: Exception = exc
+    except Exception as exc:  # noqa: BLE001 - schema merge failures surface as several types
+        if not merge_schema:
+            raise
+        merge_exc = exc
+    ld = load_source(spark, path, source, merge_schema=False)
+    ld.merge_error = str(merge_exc).strip().splitlines()[0] if str(merge_exc).strip() else repr(merge_exc)
+    return ld
 
 
 def load_sources(spark: SparkSession, base: str, layer: str, odate: str,

@@ -1,10 +1,12 @@
 """One quality run over a dated load: volumetry -> schema -> (silver) pattern.
 
-Per source, the pattern stage is a single Spark job: scan -> filter on the
-OR of the rule violations -> annotate -> write the quarantine leaf, with an
-Observation on that same job supplying the reject count and per-rule
-failure counts. Row totals come from the volumetry stage's column-free
-count. Nothing is cached and nothing but metric rows reaches the driver.
+Silver: the volumetry gate is ``isEmpty()`` per source (usually one task);
+then, per source, a single Spark job reads the data once: scan -> filter on
+the OR of the rule violations -> annotate -> write the quarantine leaf, with
+two Observations on that same job supplying the row total (before the
+filter) and the reject count with per-rule failure counts (after it).
+Bronze: one column-free count job over all sources, then the schema check.
+Nothing is cached and nothing but metric rows reaches the driver.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -124,24 +126,46 @@ def run_quality(spark: SparkSession, base: str, layer: str, odate: str | None, q
                                            error=err))
 
     stage = "load"
+    vol: dict[str, list] = {}  # source -> [status, n_rows]; rows go first in the summary
+    checks: list[tuple] = []
+
+    def finish_summary():
+        res.summary_rows = [(s, "volumetry", v[0], v[1], None) for s, v in vol.items()] + checks
+        t_vol = vol_elapsed[0]
+        for s, v in vol.items():
+            metric(s, "volumetry", v[0], v[1], None, None, t_vol)
+
+    vol_elapsed = [0.0]
     try:
-        # -- volumetry: one job counting every source ------------------------------
+        # -- volumetry ------------------------------------------------------------
+        # silver: an isEmpty() gate per source (usually one task); the row total
+        #         is observed on the pattern pass, so the data is read once.
+        # bronze: one count job over every source (its only touch of the data).
         stage = "volumetry"
         t0 = time.perf_counter()
         loaded = load_sources(spark, base, layer, odate, sources, prefix=prefix)
         frames = {s: ld.df for s, ld in loaded.items()}
-        counts = {r["source"]: (r["n_rows"], r["status"])
-                  for r in volumetry_report(spark, frames).collect()}
-        for s, ld in loaded.items():
-            if ld.state == "empty_dir":
-                counts[s] = (0, EMPTY)
-        for s in sources:
-            n, st = counts[s]
-            res.summary_rows.append((s, "volumetry", st, n, None))
-            metric(s, "volumetry", st, n, None, t0)
-        bad = {s: st for s, (n, st) in counts.items() if st != OK}
+        if layer == "silver":
+            present = [s for s in sources if frames[s] is not None]
+            with ThreadPoolExecutor(max_workers=max(1, min(len(present) or 1, parallel_sources))) as pool:
+                empty = dict(zip(present, pool.map(lambda s: frames[s].isEmpty(), present)))
+            for s in sources:
+                if frames[s] is None:
+                    vol[s] = [EMPTY if loaded[s].state == "empty_dir" else MISSING, 0 if loaded[s].state == "empty_dir" else None]
+                else:
+                    vol[s] = [EMPTY, 0] if empty[s] else [OK, None]
+        else:
+            counts = {r["source"]: (r["status"], r["n_rows"])
+                      for r in volumetry_report(spark, frames).collect()}
+            for s in sources:
+                st, n = counts[s]
+                if loaded[s].state == "empty_dir":
+                    st, n = EMPTY, 0
+                vol[s] = [st, n]
+        vol_elapsed[0] = time.perf_counter() - t0
+        bad = {s: v[0] for s, v in vol.items() if v[0] != OK}
         if bad:
-            raise VolumetryError({s: bad[s] for s in sources if s in bad})
+            raise VolumetryError(bad)
 
         # -- schema: strict verdict + field diff, all sources, one write -----------
         stage = "schema"
@@ -164,7 +188,7 @@ def run_quality(spark: SparkSession, base: str, layer: str, odate: str | None, q
             if loaded[s].merge_error:
                 st = NO_MATCH
                 fail("schema", s, f"app folders disagree on the schema: {loaded[s].merge_error}")
-            res.summary_rows.append((s, "schema", st, None, n_diff.get(s, 0)))
+            checks.append((s, "schema", st, None, n_diff.get(s, 0)))
             metric(s, "schema", st, None, n_diff.get(s, 0), t0)
 
         # -- pattern (silver): one pass per source ---------------------------------
@@ -175,10 +199,12 @@ def run_quality(spark: SparkSession, base: str, layer: str, odate: str | None, q
                 t0 = time.perf_counter()
                 spark.sparkContext.setJobDescription(f"tollgate pattern {s} odate={odate}")
                 src_rules = (rules or {}).get(s) or rules_for(s, layer)
+                seen = Observation()
+                scanned = frames[s].observe(seen, F.count(F.lit(1)).alias("n_rows"))
                 try:
-                    rej = rejects(frames[s], src_rules)
+                    rej = rejects(scanned, src_rules)
                 except MissingRuleColumns as exc:
-                    return s, time.perf_counter() - t0, exc, None, None
+                    return s, time.perf_counter() - t0, exc, frames[s].count(), None, None
                 rej, obs = observe_rejects(rej, src_rules)
                 if rebalance_rejects:
                     rej = rej.hint("rebalance")
@@ -187,30 +213,33 @@ def run_quality(spark: SparkSession, base: str, layer: str, odate: str | None, q
                 per_rule = {r.name: int(got.get(f"failed_{r.name}", 0)) for r in src_rules}
                 if write_valid:
                     write_leaf(valid(frames[s], src_rules), pattern_out_path(quality, s, odate, "valid"))
-                if preview and per_rule and any(per_rule.values()):
+                if preview and any(per_rule.values()):
                     preview_rejects(read_parquet(spark, pattern_out_path(quality, s, odate)), preview)
-                return s, time.perf_counter() - t0, None, int(got.get("n_rows", 0)), per_rule
+                return (s, time.perf_counter() - t0, None, int(seen.get["n_rows"]),
+                        int(got.get("n_rows", 0)), per_rule)
 
             # Independent jobs, one per source, submitted together so small
             # sources do not queue behind large ones.
             with ThreadPoolExecutor(max_workers=max(1, min(len(sources), parallel_sources))) as pool:
                 outcomes = list(pool.map(check_source, sources))
-            for s, took, exc, n_bad, per_rule in outcomes:
+            for s, took, exc, n_rows, n_bad, per_rule in outcomes:
+                vol[s][1] = n_rows
                 if exc is not None:
                     res.status = "partial"
                     fail("pattern", s, exc)
-                    res.summary_rows.append((s, "pattern", "error", counts[s][0], None))
-                    metric(s, "pattern", "error", counts[s][0], None, None, took)
+                    checks.append((s, "pattern", "error", n_rows, None))
+                    metric(s, "pattern", "error", n_rows, None, None, took)
                     continue
                 res.rule_failures[s] = per_rule
                 st = NO_MATCH if n_bad else "match"
-                res.summary_rows.append((s, "pattern", st, counts[s][0], n_bad))
-                metric(s, "pattern", st, counts[s][0], n_bad, None, took)
+                checks.append((s, "pattern", st, n_rows, n_bad))
+                metric(s, "pattern", st, n_rows, n_bad, None, took)
                 for name, n in per_rule.items():
-                    metric(s, f"pattern.{name}", NO_MATCH if n else "match", counts[s][0], n, None, took)
+                    metric(s, f"pattern.{name}", NO_MATCH if n else "match", n_rows, n, None, took)
     except Exception as exc:  # noqa: BLE001 - every failure is recorded, then re-raised
         res.status, res.error = "failed", exc
         log.error("quality run failed at %s: %s", stage, exc)
+        finish_summary()
         try:
             fail(stage, None, exc)
             append_rows(spark, metrics, RUN_METRICS_SCHEMA, run_metrics_path(quality))
@@ -219,6 +248,7 @@ def run_quality(spark: SparkSession, base: str, layer: str, odate: str | None, q
         if raise_on_failure:
             raise
         return res
+    finish_summary()
     append_rows(spark, metrics, RUN_METRICS_SCHEMA, run_metrics_path(quality))
     return res
 

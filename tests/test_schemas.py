@@ -1,5 +1,7 @@
 """Schema tests: strict verdict and field diff for every kind of drift."""
 
+import json
+
 import pytest
 from pyspark.sql import types as T
 
@@ -84,8 +86,14 @@ def test_unknown_source_guard():
 
 def test_report_columns_and_json(spark):
     r = schema_report(spark, {"google_play": SILVER_G}, {"google_play": SILVER_G}, "silver")
-    assert r.columns == ["source", "layer", "validation_status", "expected_schema", "current_schema"]
-    assert T.StructType.fromJson(__import__("json").loads(r.first()["expected_schema"])) == SILVER_G
+    assert r.columns == ["source", "layer", "validation_status", "expected_schema", "current_schema",
+                         "differences"]
+    assert T.StructType.fromJson(json.loads(r.first()["expected_schema"])) == SILVER_G
+    assert json.loads(r.first()["differences"]) == []
+    bad = schema_report(spark, {"google_play": _variant("retyped")}, {"google_play": SILVER_G}, "silver")
+    assert json.loads(bad.first()["differences"]) == [{
+        "column_name": "rating", "expected_position": 4, "actual_position": 4,
+        "expected_type": "string", "actual_type": "double", "status": "type_mismatch"}]
 
 
 def test_all_six_expected_schemas_parse():

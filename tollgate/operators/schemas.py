@@ -3,17 +3,17 @@
 The verdict is ``StructType`` equality (order-, case-, type-, nullability-
 and metadata-sensitive), the same test the data lake gate has always used.
 The diff explains a ``no_match``: one row per column that is expected or
-present, with its status. Both are computed from footers only; no data is
-read. Schemas of all sources are reported in one DataFrame so one write
-keeps every source (earlier designs overwrote each other).
+present, with its status. Both are computed on the driver from footer
+schemas (metadata, no data read, no Spark job); the report of all sources
+is one small frame, written once, so no source's report overwrites another.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..sources.local import local_frame
@@ -72,15 +72,18 @@ REPORT_SCHEMA = T.StructType([
     T.StructField("validation_status", T.StringType()),
     T.StructField("expected_schema", T.StringType()),
     T.StructField("current_schema", T.StringType()),
+    T.StructField("differences", T.StringType()),
 ])
 
-_FIELDS_SCHEMA = T.StructType([
+_DIFF_SCHEMA = T.StructType([
     T.StructField("source", T.StringType()),
     T.StructField("layer", T.StringType()),
     T.StructField("column_name", T.StringType()),
-    T.StructField("position", T.IntegerType()),
-    T.StructField("data_type", T.StringType()),
-    T.StructField("field_json", T.StringType()),
+    T.StructField("expected_position", T.IntegerType()),
+    T.StructField("actual_position", T.IntegerType()),
+    T.StructField("expected_type", T.StringType()),
+    T.StructField("actual_type", T.StringType()),
+    T.StructField("status", T.StringType()),
 ])
 
 
@@ -98,11 +101,51 @@ def _as_schema(x) -> T.StructType | None:
     return x.schema
 
 
+def _field_map(schema: T.StructType | None) -> dict[str, tuple[int, T.StructField]]:
+    return {} if schema is None else {f.name: (i + 1, f) for i, f in enumerate(schema.fields)}
+
+
+def _status(e, a) -> str:
+    if a is None:
+        return "missing"
+    if e is None:
+        return "unexpected"
+    (ep, ef), (ap, af) = e, a
+    if ef.dataType.simpleString() != af.dataType.simpleString():
+        return "type_mismatch"
+    if ep != ap:
+        return "moved"
+    if ef != af:
+        return "nullability_mismatch"
+    return "match"
+
+
+def schema_diff_rows(source: str, layer: str, actual: T.StructType | None,
+                     expected: T.StructType) -> list[tuple]:
+    """Field-by-field comparison of two schemas (metadata only, no job).
+
+    Fields are matched on exact, case-sensitive name; expected fields come
+    first in expected order, then unexpected ones in actual order.
+    """
+    emap, amap = _field_map(expected), _field_map(actual)
+    names = list(emap) + [n for n in amap if n not in emap]
+    rows = []
+    for n in names:
+        e, a = emap.get(n), amap.get(n)
+        rows.append((source, layer, n,
+                     e[0] if e else None, a[0] if a else None,
+                     e[1].dataType.simpleString() if e else None,
+                     a[1].dataType.simpleString() if a else None,
+                     _status(e, a)))
+    return rows
+
+
 def schema_report(spark: SparkSession, actual: Mapping[str, object],
                   expected: Mapping[str, T.StructType], layer: str) -> DataFrame:
     """One row per source: ``source, layer, validation_status, expected_schema,
-    current_schema`` (schemas as JSON). ``actual`` maps source -> DataFrame or
-    StructType (``None`` = source missing)."""
+    current_schema, differences`` (schemas as JSON; ``differences`` is a JSON
+    list of the fields that do not match). ``actual`` maps source ->
+    DataFrame or StructType (``None`` = source missing)."""
     rows = []
     for source, exp in expected.items():
         cur = _as_schema(actual.get(source))
@@ -110,17 +153,13 @@ def schema_report(spark: SparkSession, actual: Mapping[str, object],
             status = MISSING_SOURCE
         else:
             status = MATCH if cur == exp else NO_MATCH
-        rows.append((source, layer, status, exp.json(), cur.json() if cur is not None else None))
+        diffs = [dict(zip(_DIFF_SCHEMA.names[2:], r[2:]))
+                 for r in schema_diff_rows(source, layer, cur, exp) if r[-1] != "match"]
+        rows.append((source, layer, status, exp.json(), cur.json() if cur is not None else None,
+                     json.dumps(diffs)))
     return local_frame(spark, rows, REPORT_SCHEMA)
 
 
-def _field_rows(source: str, layer: str, schema: T.StructType | None):
-    if schema is None:
-        return []
-    return [(source, layer, f.name, i + 1, f.dataType.simpleString(), f.json())
-            for i, f in enumerate(schema.fields)]
-
-
 def schema_diff(spark: SparkSession, actual: Mapping[str, object],
                 expected: Mapping[str, T.StructType], layer: str) -> DataFrame:
     """Field-by-field comparison, matched on exact (case-sensitive) name.
@@ -130,24 +169,10 @@ def schema_diff(spark: SparkSession, actual: Mapping[str, object],
     ``nullability_mismatch`` (same type string, differing nullability or
     metadata), ``match``. Columns: source, layer, column_name,
     expected_position, actual_position, expected_type, actual_type, status.
+    Schemas are metadata, so the comparison runs on the driver and the rows
+    (at most sources x columns) become a frame in one Arrow batch.
     """
-    exp_rows, act_rows = [], []
+    rows = []
     for source, exp in expected.items():
-        exp_rows += _field_rows(source, layer, exp)
-        act_rows += _field_rows(source, layer, _as_schema(actual.get(source)))
-    e = local_frame(spark, exp_rows, _FIELDS_SCHEMA).alias("e")
-    a = local_frame(spark, act_rows, _FIELDS_SCHEMA).alias("a")
-    keys = ["source", "layer", "column_name"]
-    j = e.join(a, keys, "full_outer")
-    status = (F.when(F.col("a.position").isNull(), "missing")
-              .when(F.col("e.position").isNull(), "unexpected")
-              .when(F.col("e.data_type") != F.col("a.data_type"), "type_mismatch")
-              .when(F.col("e.position") != F.col("a.position"), "moved")
-              .when(F.col("e.field_json") != F.col("a.field_json"), "nullability_mismatch")
-              .otherwise("match"))
-    return j.select(*keys,
-                    F.col("e.position").alias("expected_position"),
-                    F.col("a.position").alias("actual_position"),
-                    F.col("e.data_type").alias("expected_type"),
-                    F.col("a.data_type").alias("actual_type"),
-                    status.alias("status"))
+        rows += schema_diff_rows(source, layer, _as_schema(actual.get(source)), exp)
+    return local_frame(spark, rows, _DIFF_SCHEMA)

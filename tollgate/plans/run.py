@@ -31,7 +31,7 @@ from ..operators.metrics import (
     record_failure,
 )
 from ..operators.patterns import MissingRuleColumns, preview_rejects, rejects, valid
-from ..operators.schemas import LAYERS, NO_MATCH, expected_schema, schema_diff, schema_report
+from ..operators.schemas import LAYERS, NO_MATCH, expected_schema, schema_diff_rows, schema_report
 from ..operators.volumetry import EMPTY, MISSING, OK, VolumetryError, volumetry_report
 from ..sources.local import local_frame
 from ..sources.lake import (
@@ -87,6 +87,11 @@ class RunResult:
     failures: list[dict] = field(default_factory=list)
     error: BaseException | None = None
 
+    @property
+    def job_group(self) -> str:
+        """Spark job group of every job of this run (status tracker / event log)."""
+        return f"tollgate-{self.run_id}"
+
     def summary(self, spark: SparkSession) -> DataFrame:
         return local_frame(spark, self.summary_rows, SUMMARY_SCHEMA)
 
@@ -120,6 +125,14 @@ def run_quality(spark: SparkSession, base: str, layer: str, odate: str | None, q
         metrics.append((res.run_id, odate, layer, source, check, status, n_rows, n_bad,
                         round(elapsed, 3), now_iso()))
 
+    def tag(what: str) -> None:
+        # job group and description per thread: local properties do not
+        # cross into plain Python threads
+        try:
+            spark.sparkContext.setJobGroup(res.job_group, f"tollgate {layer} {odate}: {what}")
+        except Exception:  # noqa: BLE001 - no SparkContext (e.g. Spark Connect)
+            pass
+
     def fail(stage, source, err):
         res.failures.append(record_failure(spark, job_failures_path(quality), run_id=res.run_id,
                                            odate=odate, layer=layer, stage=stage, source=source,
@@ -142,13 +155,17 @@ def run_quality(spark: SparkSession, base: str, layer: str, odate: str | None, q
         #         is observed on the pattern pass, so the data is read once.
         # bronze: one count job over every source (its only touch of the data).
         stage = "volumetry"
+        tag("volumetry")
         t0 = time.perf_counter()
         loaded = load_sources(spark, base, layer, odate, sources, prefix=prefix)
         frames = {s: ld.df for s, ld in loaded.items()}
         if layer == "silver":
             present = [s for s in sources if frames[s] is not None]
             with ThreadPoolExecutor(max_workers=max(1, min(len(present) or 1, parallel_sources))) as pool:
-                empty = dict(zip(present, pool.map(lambda s: frames[s].isEmpty(), present)))
+                def is_empty(s):
+                    tag(f"volumetry {s}")
+                    return frames[s].isEmpty()
+                empty = dict(zip(present, pool.map(is_empty, present)))
             for s in sources:
                 if frames[s] is None:
                     vol[s] = [EMPTY if loaded[s].state == "empty_dir" else MISSING, 0 if loaded[s].state == "empty_dir" else None]
@@ -169,6 +186,7 @@ def run_quality(spark: SparkSession, base: str, layer: str, odate: str | None, q
 
         # -- schema: strict verdict + field diff, all sources, one write -----------
         stage = "schema"
+        tag("schema")
         t0 = time.perf_counter()
         expected = {s: expected_schema(s, layer) for s in sources}
         report = schema_report(spark, frames, expected, layer)
@@ -179,10 +197,9 @@ def run_quality(spark: SparkSession, base: str, layer: str, odate: str | None, q
                 F.when(F.col("source").isin(conflicted), F.lit(NO_MATCH)).otherwise(F.col("validation_status")))
         write_leaf(report.filter(f"validation_status = '{NO_MATCH}'").coalesce(1),
                    schema_out_path(quality, odate))
-        n_diff = {r["source"]: r["n"] for r in
-                  schema_diff(spark, frames, expected, layer)
-                  .groupBy("source").agg(F.count_if(F.col("status") != "match").alias("n"))
-                  .collect()}
+        n_diff = {s: sum(r[-1] != "match" for r in
+                         schema_diff_rows(s, layer, frames[s].schema, expected[s]))
+                  for s in sources}
         for s in sources:
             st = "match" if frames[s].schema == expected[s] else NO_MATCH
             if loaded[s].merge_error:
@@ -197,7 +214,7 @@ def run_quality(spark: SparkSession, base: str, layer: str, odate: str | None, q
 
             def check_source(s):
                 t0 = time.perf_counter()
-                spark.sparkContext.setJobDescription(f"tollgate pattern {s} odate={odate}")
+                tag(f"pattern {s}")
                 src_rules = (rules or {}).get(s) or rules_for(s, layer)
                 seen = Observation()
                 scanned = frames[s].observe(seen, F.count(F.lit(1)).alias("n_rows"))

@@ -38,4 +38,5 @@ def local_frame(spark: SparkSession, rows: Sequence[Sequence], schema: T.StructT
     cols = list(zip(*rows)) if rows else [() for _ in schema.fields]
     table = pa.table({f.name: pa.array(list(c), type=_arrow_type(f.dataType))
                       for f, c in zip(schema.fields, cols)})
-    return spark.createDataFrame(table, schema=schema)
+    # metadata-sized: one partition, so a write of it is one task and one file
+    return spark.createDataFrame(table, schema=schema).coalesce(1)

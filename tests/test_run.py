@@ -116,3 +116,21 @@ def test_cli_runs_and_exit_codes(spark, workdir):
     assert read_parquet(spark, pattern_out_path(quality, "mongodb", D)).count() == 5491
     assert main(["silver", "--base", f"{workdir}/nowhere", "--quality", quality, "--odate", D]) == 1
     assert main(["gold", "--base", base, "--quality", quality, "--odate", D]) == 1
+
+
+def test_valid_output_rebalance_and_preview(spark, workdir, capsys):
+    base, quality = _lake(spark, workdir, sources=("apple_store",))
+    res = run_quality(spark, base, "silver", D, quality, sources=("apple_store",),
+                      write_valid=True, rebalance_rejects=True, preview=3)
+    rej = read_parquet(spark, pattern_out_path(quality, "apple_store", D))
+    ok = read_parquet(spark, pattern_out_path(quality, "apple_store", D, "valid"))
+    assert rej.count() == 9243 and ok.count() == 15000 - 9243
+    assert {r["validation"] for r in rej.select("validation").distinct().collect()} == {"no_match"}
+    assert {r["validation"] for r in ok.select("validation").distinct().collect()} == {"match"}
+    assert "only showing top 3 rows" in capsys.readouterr().out
+    assert res.status == "success"
+
+
+def test_shared_dir_comes_from_session(spark):
+    from tollgate.session import shared_dir
+    assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")

@@ -38,14 +38,15 @@ def shared_dir(spark: SparkSession) -> str:
     Only when the session leaves it unset (local tests) is a fresh local
     folder created and registered as the checkpoint directory.
     """
-    conf_dir = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+    if conf_dir:
+        return conf_dir.rstrip("/")
+    sc = spark.sparkContext
+    conf_dir = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if conf_dir:
         return conf_dir.rstrip("/")
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current.rstrip("/")
     local = tempfile.mkdtemp(prefix="tollgate-checkpoints-")
-    spark.sparkContext.setCheckpointDir(local)
+    sc.setCheckpointDir(local)
     return local
 
 

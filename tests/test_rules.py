@@ -1,7 +1,6 @@
 """Rule unit tests: pass / fail / NULL / empty / line terminators (FIXTURES.md section 4)."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from tollgate.functions import Rule, cast_regex, not_null, regex, violated
 

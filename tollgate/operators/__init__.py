@@ -1,6 +1,6 @@
 from .metrics import (
     JOB_FAILURE_SCHEMA, RUN_METRICS_SCHEMA, append_rows, observe_rejects,
-    record_failure, valid_invalid_exprs,
+    record_failure,
 )
 from .patterns import (
     MissingRuleColumns, annotate, check_columns, failure_count_exprs,
@@ -18,6 +18,6 @@ __all__ = [
     "RUN_METRICS_SCHEMA", "VolumetryError", "annotate", "append_rows",
     "check_columns", "emptiness", "expected_schema", "failure_count_exprs",
     "joined_failures", "observe_rejects", "preview_rejects", "record_failure", "rejects",
-    "schema_diff", "schema_report", "valid", "valid_invalid_exprs",
+    "schema_diff", "schema_report", "valid",
     "volumetry_gate", "volumetry_report",
 ]

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.rules import FAILED_COLUMNS, MATCH, VALIDATION, Rule
+from ..functions.rules import FAILED_COLUMNS, Rule
 from ..sources.local import local_frame
 from .patterns import failure_count_exprs
 
@@ -54,13 +54,6 @@ def observe_rejects(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, Ob
     return df.observe(obs, *exprs), obs
 
 
-def valid_invalid_exprs() -> list[Column]:
-    """Aggregates over an annotated frame: rows, valid rows, invalid rows."""
-    return [F.count(F.lit(1)).alias("n_rows"),
-            F.count_if(F.col(VALIDATION) == MATCH).alias("n_valid"),
-            F.count_if(F.col(VALIDATION) != MATCH).alias("n_invalid")]
-
-
 def append_rows(spark: SparkSession, rows: list[tuple], schema: T.StructType, path: str) -> None:
     if rows:
         local_frame(spark, rows, schema).write.mode("append").parquet(path)

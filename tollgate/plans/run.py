@@ -271,5 +271,4 @@ def run_quality(spark: SparkSession, base: str, layer: str, odate: str | None, q
 
 
 __all__ = ["JOB_FAILURE_SCHEMA", "RunResult", "SUMMARY_SCHEMA", "job_failures_path",
-           "run_metrics_path", "run_quality", "validate_layer", "validate_odate",
-           "MISSING"]
+           "run_metrics_path", "run_quality", "today_odate", "validate_layer", "validate_odate"]

@@ -22,5 +22,7 @@ def test_stream_quarantine_equals_batch_and_restarts_cleanly(spark, workdir):
     q2 = quarantine_stream(spark, landing, src.schema, rules, out, ckpt)
     q2.awaitTermination()
     expected = rejects(src, rules).count()
-    assert read_parquet(spark, out).count() == expected
+    back = read_parquet(spark, out)
+    assert back.count() == expected
+    assert back.columns == src.columns + ["failed_columns", "validation"]
     assert first + observed_rejects(q2) == expected

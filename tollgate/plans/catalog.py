@@ -277,9 +277,11 @@ def q_apple_store_rejects_stream(spark, sf):
     root = fresh_run_dir(spark, "stream")
     landing = f"{root}/landing"
     src = _review(spark, sf, "apple_store")
-    write_leaf(src.repartition(4), landing)  # several files -> several micro-batches
+    # two landings (no shuffle): one folder per delivery, drained one file per trigger
+    write_leaves({f"{landing}/delivery=1": src.filter("app <=> 'A B'"),
+                  f"{landing}/delivery=2": src.filter("not (app <=> 'A B')")})
     q = quarantine_stream(spark, landing, src.schema, SILVER_RULES["apple_store"],
-                          f"{root}/quarantine", f"{root}/checkpoint", max_files_per_trigger=2)
+                          f"{root}/quarantine", f"{root}/checkpoint", max_files_per_trigger=1)
     q.awaitTermination()
     return _comparable(read_parquet(spark, f"{root}/quarantine"))
 

@@ -34,7 +34,10 @@ def quarantine_stream(spark: SparkSession, landing: str, schema: T.StructType,
     reader = spark.readStream.schema(schema).format("parquet")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    rej = rejects(reader.load(landing), rules)
+    # only the declared columns: folder names like key=value would otherwise
+    # be discovered as extra partition columns
+    landed = reader.load(landing).select(*[F.col(f"`{n}`") for n in schema.fieldNames()])
+    rej = rejects(landed, rules)
     rej = rej.observe(OBSERVATION, F.count(F.lit(1)).alias("n_rejected"),
                       *failure_count_exprs(rules))
     writer = (rej.writeStream.format("parquet").outputMode("append")

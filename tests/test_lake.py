@@ -1,6 +1,8 @@
 """Lake tests in fresh folders: leaf and glob reads, missing / empty sources,
 drift hidden by glob reads, idempotent re-runs, several schema failures."""
 
+import os
+
 from pyspark.sql import functions as F
 
 from tollgate.functions import SILVER_RULES
@@ -75,3 +77,19 @@ def test_rerun_without_rejects_clears_quarantine(spark, workdir):
     clean = src.filter("o_orderkey < 0")  # a later load with no bad rows
     write_leaf(rejects(clean, rules), out)
     assert read_parquet(spark, out).count() == 0
+
+
+def test_folder_without_data_files_is_empty_not_missing(spark, workdir):
+    from tollgate.plans.run import run_quality
+    base, quality = f"{workdir}/lake", f"{workdir}/quality"
+    for s in ("google_play", "apple_store"):
+        write_leaf(silver_source(spark, SF001, s), source_path(base, "silver", s, D))
+    # mongodb's folder exists but holds no data file, only a commit marker
+    leaf = source_path(base, "silver", "mongodb", D)
+    os.makedirs(leaf)
+    open(os.path.join(leaf, "_SUCCESS"), "w").close()
+    res = run_quality(spark, base, "silver", D, quality, raise_on_failure=False)
+    vol = {r[0]: (r[2], r[3]) for r in res.summary_rows if r[1] == "volumetry"}
+    assert res.status == "failed"
+    assert vol["mongodb"][0] == "empty"
+    assert vol["google_play"] == ("ok", None)

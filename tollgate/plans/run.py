@@ -167,8 +167,10 @@ def run_quality(spark: SparkSession, base: str, layer: str, odate: str | None, q
                     return frames[s].isEmpty()
                 empty = dict(zip(present, pool.map(is_empty, present)))
             for s in sources:
-                if frames[s] is None:
-                    vol[s] = [EMPTY if loaded[s].state == "empty_dir" else MISSING, 0 if loaded[s].state == "empty_dir" else None]
+                if loaded[s].state == "empty_dir":
+                    vol[s] = [EMPTY, 0]
+                elif frames[s] is None:
+                    vol[s] = [MISSING, None]
                 else:
                     vol[s] = [EMPTY, 0] if empty[s] else [OK, None]
         else:

@@ -93,3 +93,16 @@ def test_folder_without_data_files_is_empty_not_missing(spark, workdir):
     assert res.status == "failed"
     assert vol["mongodb"][0] == "empty"
     assert vol["google_play"] == ("ok", None)
+
+
+def test_corrupt_file_makes_the_source_unreadable(spark, workdir):
+    from tollgate.plans.run import run_quality
+    base, quality = f"{workdir}/lake", f"{workdir}/quality"
+    for s in ("google_play", "apple_store"):
+        write_leaf(silver_source(spark, SF001, s), source_path(base, "silver", s, D))
+    spark.createDataFrame([("x",)], "v string").write.mode("overwrite").text(
+        source_path(base, "silver", "mongodb", D))  # not Parquet
+    res = run_quality(spark, base, "silver", D, quality, raise_on_failure=False)
+    vol = {r[0]: r[2] for r in res.summary_rows if r[1] == "volumetry"}
+    assert vol == {"google_play": "ok", "mongodb": "unreadable", "apple_store": "ok"}
+    assert "mongodb: unreadable" in str(res.error)

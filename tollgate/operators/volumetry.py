@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from ..sources.local import local_frame
 
-OK, EMPTY, MISSING = "ok", "empty", "missing"
+OK, EMPTY, MISSING, UNREADABLE = "ok", "empty", "missing", "unreadable"
 
 _MISSING_SCHEMA = T.StructType([
     T.StructField("source", T.StringType()),

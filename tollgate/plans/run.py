@@ -32,7 +32,7 @@ from ..operators.metrics import (
 )
 from ..operators.patterns import MissingRuleColumns, preview_rejects, rejects, valid
 from ..operators.schemas import LAYERS, NO_MATCH, expected_schema, schema_diff_rows, schema_report
-from ..operators.volumetry import EMPTY, MISSING, OK, VolumetryError, volumetry_report
+from ..operators.volumetry import EMPTY, MISSING, OK, UNREADABLE, VolumetryError, volumetry_report
 from ..sources.local import local_frame
 from ..sources.lake import (
     DEFAULT_PREFIX, SOURCES, load_sources, pattern_out_path, read_parquet, schema_out_path, write_leaf,
@@ -68,6 +68,11 @@ def validate_odate(odate: str | None) -> str:
     return str(odate)
 
 
+def _absent(state: str) -> list:
+    """Volumetry [status, n_rows] of a source that yielded no DataFrame."""
+    return {"empty_dir": [EMPTY, 0], "unreadable": [UNREADABLE, None]}.get(state, [MISSING, None])
+
+
 def job_failures_path(quality: str) -> str:
     return f"{quality.rstrip('/')}/job_failures"
 
@@ -167,20 +172,15 @@ def run_quality(spark: SparkSession, base: str, layer: str, odate: str | None, q
                     return frames[s].isEmpty()
                 empty = dict(zip(present, pool.map(is_empty, present)))
             for s in sources:
-                if loaded[s].state == "empty_dir":
-                    vol[s] = [EMPTY, 0]
-                elif frames[s] is None:
-                    vol[s] = [MISSING, None]
+                if frames[s] is None:
+                    vol[s] = _absent(loaded[s].state)
                 else:
                     vol[s] = [EMPTY, 0] if empty[s] else [OK, None]
         else:
             counts = {r["source"]: (r["status"], r["n_rows"])
                       for r in volumetry_report(spark, frames).collect()}
             for s in sources:
-                st, n = counts[s]
-                if loaded[s].state == "empty_dir":
-                    st, n = EMPTY, 0
-                vol[s] = [st, n]
+                vol[s] = list(counts[s]) if frames[s] is not None else _absent(loaded[s].state)
         vol_elapsed[0] = time.perf_counter() - t0
         bad = {s: v[0] for s, v in vol.items() if v[0] != OK}
         if bad:

@@ -87,34 +87,40 @@ class Loaded:
     source: str
     path: str
     df: DataFrame | None
-    state: str  # "present" | "missing" | "empty_dir"
+    state: str  # "present" | "missing" | "empty_dir" | "unreadable"
     error: str | None = None
     merge_error: str | None = None  # footers of the app folders could not be merged
 
 
+def _first_line(exc: BaseException) -> str:
+    text = str(exc).strip()
+    return text.splitlines()[0] if text else repr(exc)
+
+
 def load_source(spark: SparkSession, path: str, source: str, merge_schema: bool = False) -> Loaded:
-    """Read one dated source. A missing path or a folder without data files
-    is reported, not raised, so volumetry can name it. When footers of the
-    app folders cannot be merged, the source is read on one footer's schema
-    and the conflict is kept in ``merge_error`` for the schema check."""
+    """Read one dated source; never raises for the source's own state.
+
+    ``missing``: no such path. ``empty_dir``: a folder without data files.
+    ``unreadable``: the footer cannot be read (corrupt or foreign files).
+    When footers of several app folders cannot be merged, the source is
+    read on one footer's schema and the conflict is kept in ``merge_error``.
+    """
     try:
         return Loaded(source, path, read_parquet(spark, path, merge_schema), "present")
     except AnalysisException as exc:
         msg = (error_condition(exc) or "") + " " + str(exc)
         if "PATH_NOT_FOUND" in msg:
-            return Loaded(source, path, None, "missing", str(exc))
+            return Loaded(source, path, None, "missing", _first_line(exc))
         if "UNABLE_TO_INFER_SCHEMA" in msg:
-            return Loaded(source, path, None, "empty_dir", str(exc))
-        if not merge_schema:
-            raise
-        merge_exc: Exception = exc
-    except Exception as exc:  # noqa: BLE001 - schema merge failures surface as several types
-        if not merge_schema:
-            raise
-        merge_exc = exc
-    ld = load_source(spark, path, source, merge_schema=False)
-    ld.merge_error = str(merge_exc).strip().splitlines()[0] if str(merge_exc).strip() else repr(merge_exc)
-    return ld
+            return Loaded(source, path, None, "empty_dir", _first_line(exc))
+        err: Exception = exc
+    except Exception as exc:  # noqa: BLE001 - footer and merge failures surface as several types
+        err = exc
+    if merge_schema:
+        ld = load_source(spark, path, source, merge_schema=False)
+        ld.merge_error = _first_line(err)
+        return ld
+    return Loaded(source, path, None, "unreadable", _first_line(err))
 
 
 def load_sources(spark: SparkSession, base: str, layer: str, odate: str,

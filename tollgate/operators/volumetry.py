@@ -1,14 +1,15 @@
 """Volumetry: did each source arrive, and does it hold rows?
 
 ``volumetry_report`` counts every source in one Spark job (a union of
-count aggregates; Parquet answers a column-free count without decoding
-data). ``volumetry_gate`` only needs to know emptiness, so it reads at most
-one row per partition (``limit(1)``) instead of counting.
+count aggregates over column-free scans, with a map-side partial count).
+``volumetry_gate`` and ``emptiness`` only need to know emptiness, so they
+use ``DataFrame.isEmpty`` per source (about one split each) instead.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -57,23 +58,24 @@ def volumetry_report(spark: SparkSession, sources: Mapping[str, DataFrame | None
     return _union(frames)
 
 
+def _is_empty_all(sources: Mapping[str, DataFrame | None], max_workers: int = 8) -> dict[str, bool]:
+    """``DataFrame.isEmpty`` per present source, as concurrent jobs. Each
+    fetches one row incrementally (one partition first, more only while
+    the partitions read so far are empty), so a large source costs about
+    one split, not a scan."""
+    present = [n for n, df in sources.items() if df is not None]
+    if not present:
+        return {}
+    with ThreadPoolExecutor(max_workers=max(1, min(len(present), max_workers))) as pool:
+        return dict(zip(present, pool.map(lambda n: sources[n].isEmpty(), present)))
+
+
 def emptiness(spark: SparkSession, sources: Mapping[str, DataFrame | None]) -> DataFrame:
-    """``source, is_empty`` per source as a report frame (missing sources
-    count as empty). A column-free count: Parquet answers it from row-group
-    metadata, with a map-side partial count per task."""
-    frames = []
-    missing = []
-    for name, df in sources.items():
-        if df is None:
-            missing.append((name, True))
-            continue
-        frames.append(df.agg((F.count(F.lit(1)) == 0).alias("is_empty"))
-                        .select(F.lit(name).alias("source"), "is_empty"))
-    if missing:
-        frames.append(local_frame(spark, missing, "source string, is_empty boolean"))
-    if not frames:
-        return local_frame(spark, [], "source string, is_empty boolean")
-    return _union(frames)
+    """``source, is_empty`` per source (missing sources count as empty),
+    from ``isEmpty`` per source rather than a count."""
+    flags = _is_empty_all(sources)
+    rows = [(n, True if df is None else flags[n]) for n, df in sources.items()]
+    return local_frame(spark, rows, "source string, is_empty boolean")
 
 
 def volumetry_gate(spark: SparkSession, sources: Mapping[str, DataFrame | None]) -> None:
@@ -82,11 +84,12 @@ def volumetry_gate(spark: SparkSession, sources: Mapping[str, DataFrame | None])
     ``DataFrame.isEmpty`` fetches one row incrementally (one partition
     first, more only if it is empty), so the gate rarely scans more than a
     single split however large the source is."""
+    flags = _is_empty_all(sources)
     failures = {}
     for name, df in sources.items():
         if df is None:
             failures[name] = MISSING
-        elif df.isEmpty():
+        elif flags[name]:
             failures[name] = EMPTY
     if failures:
         raise VolumetryError(failures)

@@ -166,10 +166,11 @@ def run_quality(spark: SparkSession, base: str, layer: str, odate: str | None, q
         frames = {s: ld.df for s, ld in loaded.items()}
         if layer == "silver":
             present = [s for s in sources if frames[s] is not None]
+
+            def is_empty(s):
+                tag(f"volumetry {s}")
+                return frames[s].isEmpty()
             with ThreadPoolExecutor(max_workers=max(1, min(len(present) or 1, parallel_sources))) as pool:
-                def is_empty(s):
-                    tag(f"volumetry {s}")
-                    return frames[s].isEmpty()
                 empty = dict(zip(present, pool.map(is_empty, present)))
             for s in sources:
                 if frames[s] is None:

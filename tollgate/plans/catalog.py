@@ -23,11 +23,12 @@ from ..operators.schemas import D, I, L, S, expected_schema, fields, schema_diff
 from ..operators.volumetry import emptiness, volumetry_report
 from ..session import fresh_run_dir
 from ..sources.lake import (
-    land_by_app, pattern_out_path, write_leaves, pattern_root, read_parquet, source_path, source_root,
+    land_by_app, pattern_out_path, read_many, write_leaves, pattern_root, read_parquet, source_path, source_root,
     with_leaf_dir, write_leaf,
 )
 from ..sources.reviews import (
     BRONZE_FIXTURES, REVIEW_FIXTURES, bronze_source, review_source, review_sql, silver_source, table,
+    tables,
 )
 from ..streaming.quarantine import quarantine_stream
 from . import oracle as O
@@ -110,13 +111,13 @@ def q_glob_scan(spark, sf):
 # ---- volumetry --------------------------------------------------------------------
 
 def _all_sources(spark, sf):
-    srcs = {t: table(spark, sf, t) for t in TABLES}
+    srcs = tables(spark, sf, TABLES)
     srcs.update({s: _review(spark, sf, s) for s in REVIEWS})
     return srcs
 
 
 def q_volumetry_report(spark, sf):
-    return volumetry_report(spark, {t: table(spark, sf, t) for t in TABLES})
+    return volumetry_report(spark, tables(spark, sf, TABLES))
 
 
 def q_volumetry_gate(spark, sf):
@@ -126,7 +127,7 @@ def q_volumetry_gate(spark, sf):
 # ---- schema -------------------------------------------------------------------------
 
 def _schema_inputs(spark, sf):
-    actual = {t: table(spark, sf, t) for t in TABLES}
+    actual = tables(spark, sf, TABLES)
     expected = {t: _contract(t) for t in TABLES}
     return actual, expected
 
@@ -138,7 +139,7 @@ def _landed_reviews(spark, sf, label):
     base = fresh_run_dir(spark, label)
     leaves = {s: source_path(base, "silver", s, RUN_ODATE) for s in REVIEWS}
     write_leaves({leaves[s]: _review(spark, sf, s) for s in REVIEWS})
-    return {s: read_parquet(spark, leaves[s]) for s in REVIEWS}
+    return read_many(spark, leaves)
 
 
 def _schema_frames(spark, sf, fn):

@@ -82,6 +82,14 @@ def read_parquet(spark: SparkSession, path: str, merge_schema: bool = False) ->
         raise
 
 
+def read_many(spark: SparkSession, paths: Mapping[str, str], max_workers: int = 8) -> dict[str, DataFrame]:
+    """``name -> DataFrame`` for several Parquet paths, opened concurrently:
+    file listing and footer reads are driver-side latency that overlaps."""
+    names = list(paths)
+    with ThreadPoolExecutor(max_workers=max(1, min(len(names), max_workers))) as pool:
+        return dict(zip(names, pool.map(lambda n: read_parquet(spark, paths[n]), names)))
+
+
 @dataclass
 class Loaded:
     source: str

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.schemas import expected_schema
+from .lake import read_many
 
 _UUID = ("regexp_replace(md5(cast(doc_id as {s})), "
          "'^(.{{8}})(.{{4}})(.{{4}})(.{{4}})(.{{12}})$', '{r1}-{r2}-{r3}-{r4}-{r5}')")
@@ -129,6 +130,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def tables(spark: SparkSession, sf_dir: str, names) -> dict[str, DataFrame]:
+    """Several driver tables, opened concurrently."""
+    return read_many(spark, {n: f"{sf_dir.rstrip('/')}/{n}.parquet" for n in names})
+
+
 def review_source(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
     """Keyed review table: key column first, then the rule-bearing columns."""
     tbl, key, cols = review_exprs(source, "spark")

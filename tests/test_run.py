@@ -129,6 +129,10 @@ def test_valid_output_rebalance_and_preview(spark, workdir, capsys):
     assert {r["validation"] for r in ok.select("validation").distinct().collect()} == {"match"}
     assert "only showing top 3 rows" in capsys.readouterr().out
     assert res.status == "success"
+    # observations survive the extra exchange of the rebalance
+    got = {(r[0], r[1]): (r[3], r[4]) for r in res.summary_rows}
+    assert got[("apple_store", "pattern")] == (15000, 9243)
+    assert res.rule_failures["apple_store"]["im_rating"] == 3750
 
 
 def test_shared_dir_comes_from_session(spark):

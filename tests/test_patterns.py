@@ -74,3 +74,11 @@ def test_per_column_failure_counts_sf001(spark):
 def test_joined_failures_empty_string(df):
     out = {r["k"]: r["f"] for r in annotate(df, RULES).select("k", joined_failures().alias("f")).collect()}
     assert out[1] == "" and out[2] == "a,b,c"
+
+
+def test_rule_failure_counts_match_recorded_totals(spark):
+    from tollgate.operators import rule_failure_counts
+    got = {r["column_name"]: r["n_failed"] for r in
+           rule_failure_counts(review_source(spark, SF01, "mongodb"), SILVER_RULES["mongodb"], "mongodb").collect()}
+    assert got == {"rating": 3273, "id": 1429, "timestamp": 1112, "customer_id": 1000, "app": 834,
+                   "cpf": 833, "comment": 715, "app_version": 625, "os_version": 556, "os": 500}

@@ -4,7 +4,7 @@ from .metrics import (
 )
 from .patterns import (
     MissingRuleColumns, annotate, check_columns, failure_count_exprs,
-    joined_failures, preview_rejects, rejects, valid,
+    joined_failures, preview_rejects, rejects, rule_failure_counts, valid,
 )
 from .schemas import (
     EXPECTED_SCHEMAS, LAYERS, expected_schema, schema_diff, schema_report,
@@ -18,6 +18,6 @@ __all__ = [
     "RUN_METRICS_SCHEMA", "VolumetryError", "annotate", "append_rows",
     "check_columns", "emptiness", "expected_schema", "failure_count_exprs",
     "joined_failures", "observe_rejects", "preview_rejects", "record_failure", "rejects",
-    "schema_diff", "schema_report", "valid",
+    "rule_failure_counts", "schema_diff", "schema_report", "valid",
     "volumetry_gate", "volumetry_report",
 ]

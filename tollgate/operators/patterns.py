@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.rules import (
     FAILED_COLUMNS, MATCH, NO_MATCH, VALIDATION, Rule, any_violation,
-    classification, failed_columns, rule_columns,
+    classification, failed_columns, rule_columns, violated,
 )
 
 
@@ -89,3 +89,15 @@ def preview_rejects(quarantined: DataFrame, n: int = 20, truncate: bool = True)
     carry personal data (document numbers, names, comments). Reads the
     written quarantine, so no rule is evaluated again."""
     quarantined.show(n, truncate=truncate)
+
+
+def rule_failure_counts(df: DataFrame, rules: Sequence[Rule], source: str) -> DataFrame:
+    """``source, column_name, n_failed`` per rule: one aggregate with a
+    ``count_if`` per rule (map-side partial counts), unpivoted to one row
+    per rule. No list is built and nothing is exploded."""
+    check_columns(df, rules)
+    wide = df.agg(*[F.count_if(violated(r)).alias(f"r{i}") for i, r in enumerate(rules)])
+    long = wide.unpivot([], [f"r{i}" for i in range(len(rules))], "slot", "n_failed")
+    names = F.create_map(*[x for i, r in enumerate(rules) for x in (F.lit(f"r{i}"), F.lit(r.name))])
+    return long.select(F.lit(source).alias("source"), names[F.col("slot")].alias("column_name"),
+                       F.col("n_failed"))

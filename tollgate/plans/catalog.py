@@ -18,7 +18,7 @@ from ..functions.review_rules import SILVER_RULES
 from ..functions.rules import (
     FAILED_COLUMNS, VALIDATION, any_violation, cast_regex, not_null, regex, violated,
 )
-from ..operators.patterns import annotate, joined_failures, rejects, valid
+from ..operators.patterns import annotate, joined_failures, rejects, rule_failure_counts, valid
 from ..operators.schemas import D, I, L, S, expected_schema, fields, schema_diff, schema_report
 from ..operators.volumetry import emptiness, volumetry_report
 from ..session import fresh_run_dir
@@ -226,6 +226,11 @@ def q_valid_invalid_counts(spark, sf):
     return frames[0].unionByName(frames[1]).unionByName(frames[2])
 
 
+def q_rule_failure_counts(spark, sf):
+    frames = [rule_failure_counts(_review(spark, sf, s), SILVER_RULES[s], s) for s in REVIEWS]
+    return frames[0].unionByName(frames[1]).unionByName(frames[2])
+
+
 # ---- lake round trips ------------------------------------------------------------------------
 
 def _write_apple_rejects(spark, sf, quality):
@@ -307,6 +312,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         **{f"{s}_rejects": _rejects(s) for s in REVIEWS},
         "google_play_valid": q_google_play_valid,
         "valid_invalid_counts": q_valid_invalid_counts,
+        "rule_failure_counts": q_rule_failure_counts,
         "quarantine_roundtrip": q_quarantine_roundtrip,
         "odate_layout": q_odate_layout,
         "failure_log_roundtrip": q_failure_log_roundtrip,
@@ -364,6 +370,10 @@ def oracle_sql() -> dict[str, str]:
         f"select '{s}' as source, count(*) as n_rows, count(*) filter (where not {O.any_violation_sql(SILVER_RULES[s])}) as n_valid, "
         f"count(*) filter (where {O.any_violation_sql(SILVER_RULES[s])}) as n_invalid from ({review_sql(s)}) r"
         for s in REVIEWS)
+    sql["rule_failure_counts"] = "\nunion all\n".join(
+        f"select '{s}' as source, '{r.name}' as column_name, "
+        f"count(*) filter (where {O.violated_sql(r)}) as n_failed from ({review_sql(s)}) x"
+        for s in REVIEWS for r in SILVER_RULES[s])
     sql["quarantine_roundtrip"] = sql["apple_store_rejects"]
     sql["apple_store_rejects_stream"] = sql["apple_store_rejects"]
     sql["odate_layout"] = (f"select *, cast({RUN_ODATE} as integer) as odate "

@@ -117,7 +117,10 @@ def run_quality(spark: SparkSession, base: str, layer: str, odate: str | None, q
     default: rejected rows hold personal data). ``rebalance_rejects`` adds
     an AQE rebalance before the quarantine write: only rejected rows are
     shuffled, into advisory-size files; worth it when rejects are sparse
-    (otherwise every scan task writes its own small file).
+    (otherwise every scan task writes its own small file). Counts observed
+    in a result stage are exact under task retries; with the rebalance the
+    row total is observed in the shuffle-map stage, where a stage re-run
+    after a lost executor can add to it (reject counts stay exact).
     """
     layer = validate_layer(layer)
     odate = validate_odate(odate)
@@ -225,9 +228,11 @@ def run_quality(spark: SparkSession, base: str, layer: str, odate: str | None, q
                     rej = rejects(scanned, src_rules)
                 except MissingRuleColumns as exc:
                     return s, time.perf_counter() - t0, exc, frames[s].count(), None, None
-                rej, obs = observe_rejects(rej, src_rules)
                 if rebalance_rejects:
                     rej = rej.hint("rebalance")
+                # observed in the write's result stage (after any exchange):
+                # accumulator updates of result tasks count once, retries or not
+                rej, obs = observe_rejects(rej, src_rules)
                 write_leaf(rej, pattern_out_path(quality, s, odate))
                 got = obs.get
                 per_rule = {r.name: int(got.get(f"failed_{r.name}", 0)) for r in src_rules}

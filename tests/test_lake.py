@@ -106,3 +106,16 @@ def test_corrupt_file_makes_the_source_unreadable(spark, workdir):
     vol = {r[0]: r[2] for r in res.summary_rows if r[1] == "volumetry"}
     assert vol == {"google_play": "ok", "mongodb": "unreadable", "apple_store": "ok"}
     assert "mongodb: unreadable" in str(res.error)
+
+
+def test_quarantine_history_prunes_partitions(spark, workdir):
+    from tollgate.sources.lake import read_quarantine
+    rules = SILVER_RULES["apple_store"]
+    src = review_source(spark, SF001, "apple_store")
+    for d in ("20240101", "20240102", "20240103"):
+        write_leaf(rejects(src, rules), pattern_out_path(workdir, "apple_store", d))
+    one = read_quarantine(spark, workdir, "apple_store", ["20240102"])
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(odate" in plan and "20240102" in plan
+    assert one.count() == rejects(src, rules).count()
+    assert read_quarantine(spark, workdir, "apple_store").select("odate").distinct().count() == 3

@@ -23,8 +23,8 @@ from ..operators.schemas import D, I, L, S, expected_schema, fields, schema_diff
 from ..operators.volumetry import emptiness, volumetry_report
 from ..session import fresh_run_dir
 from ..sources.lake import (
-    land_by_app, pattern_out_path, read_many, write_leaves, pattern_root, read_parquet, source_path, source_root,
-    with_leaf_dir, write_leaf,
+    land_by_app, pattern_out_path, read_many, read_parquet, read_quarantine, source_path, source_root,
+    with_leaf_dir, write_leaf, write_leaves,
 )
 from ..sources.reviews import (
     BRONZE_FIXTURES, REVIEW_FIXTURES, bronze_source, review_source, review_sql, silver_source, table,
@@ -247,7 +247,7 @@ def q_quarantine_roundtrip(spark, sf):
 def q_odate_layout(spark, sf):
     quality = fresh_run_dir(spark, "odate_layout")
     _write_apple_rejects(spark, sf, quality)
-    return _comparable(read_parquet(spark, pattern_root(quality, "apple_store")))
+    return _comparable(read_quarantine(spark, quality, "apple_store", [RUN_ODATE]))
 
 
 def _silver_lake(spark, sf, label, sources=REVIEWS):

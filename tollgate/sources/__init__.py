@@ -1,6 +1,6 @@
 from .lake import (
     PATTERN_DIRS, SOURCE_DIRS, SOURCES, Loaded, land_by_app, leaf_dirs, leaf_schemas, load_source,
-    load_sources, pattern_out_path, pattern_root, read_many, read_parquet, schema_out_path,
+    load_sources, pattern_out_path, pattern_root, read_many, read_parquet, read_quarantine, schema_out_path,
     source_path, source_root, with_leaf_dir, write_leaf,
 )
 from .reviews import (
@@ -10,6 +10,6 @@ from .reviews import (
 __all__ = [
     "BRONZE_FIXTURES", "Loaded", "PATTERN_DIRS", "REVIEW_FIXTURES", "SOURCES", "SOURCE_DIRS", "bronze_source", "land_by_app", "leaf_dirs",
     "leaf_schemas", "load_source", "load_sources", "pattern_out_path", "pattern_root",
-    "read_many", "read_parquet", "review_source", "review_sql", "schema_out_path", "silver_source",
+    "read_many", "read_parquet", "read_quarantine", "review_source", "review_sql", "schema_out_path", "silver_source",
     "source_path", "source_root", "with_leaf_dir", "write_leaf",
 ]

@@ -155,6 +155,17 @@ def write_leaf(df: DataFrame, path: str, fmt: str = "parquet") -> None:
        .format(fmt).save(path))
 
 
+def read_quarantine(spark: SparkSession, quality: str, source: str, odates=None,
+                    kind: str = "pattern") -> DataFrame:
+    """Quarantined (or valid) rows of ``source`` across load dates, read from
+    the parent folder so ``odate`` is a partition column; a list of dates
+    becomes a partition filter, so only those folders are listed and read."""
+    df = read_parquet(spark, pattern_root(quality, source, kind))
+    if odates is not None:
+        df = df.filter(F.col("odate").isin([int(d) for d in odates]))
+    return df
+
+
 def write_leaves(frames: Mapping[str, DataFrame], max_workers: int = 4) -> None:
     """Write several independent leaves (path -> frame) as concurrent jobs."""
     with ThreadPoolExecutor(max_workers=max(1, min(len(frames), max_workers))) as pool:

@@ -133,11 +133,15 @@ def run_quality(spark: SparkSession, base: str, layer: str, odate: str | None, q
         metrics.append((res.run_id, odate, layer, source, check, status, n_rows, n_bad,
                         round(elapsed, 3), now_iso()))
 
-    def tag(what: str) -> None:
-        # job group and description per thread: local properties do not
-        # cross into plain Python threads
+    def tag(what: str, pool: str | None = None) -> None:
+        # job group, description and scheduler pool per thread: local
+        # properties do not cross into plain Python threads. Pools matter
+        # under spark.scheduler.mode=FAIR (sources then share the slots);
+        # under FIFO they are ignored.
         try:
-            spark.sparkContext.setJobGroup(res.job_group, f"tollgate {layer} {odate}: {what}")
+            sc = spark.sparkContext
+            sc.setJobGroup(res.job_group, f"tollgate {layer} {odate}: {what}")
+            sc.setLocalProperty("spark.scheduler.pool", pool)
         except Exception:  # noqa: BLE001 - no SparkContext (e.g. Spark Connect)
             pass
 
@@ -220,7 +224,7 @@ def run_quality(spark: SparkSession, base: str, layer: str, odate: str | None, q
 
             def check_source(s):
                 t0 = time.perf_counter()
-                tag(f"pattern {s}")
+                tag(f"pattern {s}", pool=f"tollgate-{s}")
                 src_rules = (rules or {}).get(s) or rules_for(s, layer)
                 seen = Observation()
                 scanned = frames[s].observe(seen, F.count(F.lit(1)).alias("n_rows"))

@@ -138,3 +138,27 @@ def test_valid_output_rebalance_and_preview(spark, workdir, capsys):
 def test_shared_dir_comes_from_session(spark):
     from tollgate.session import shared_dir
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
+
+
+def test_custom_source_with_own_schema_and_rules(spark, workdir):
+    from tollgate.functions import regex
+    from tollgate.plans.catalog import TABLE_CONTRACTS
+    base, quality = _lake(spark, workdir, sources=("google_play",))
+    orders = spark.read.parquet(f"{SF01}/orders.parquet")
+    write_leaf(orders, source_path(base, "silver", "orders", D))
+    res = run_quality(spark, base, "silver", D, quality, sources=("google_play", "orders"),
+                      expected={"orders": TABLE_CONTRACTS["orders"]},
+                      rules={"orders": [regex("o_orderpriority", r"^[1-3]-[A-Z]+$")]})
+    got = {(r[0], r[1]): (r[2], r[3], r[4]) for r in res.summary_rows}
+    assert got[("orders", "schema")] == ("match", None, 0)
+    assert got[("orders", "pattern")] == ("no_match", 15000, 6016)
+    assert got[("orders", "volumetry")] == ("ok", 15000, None)
+
+
+def test_source_without_rules_skips_pattern(spark, workdir):
+    base, quality = _lake(spark, workdir, sources=("apple_store",))
+    res = run_quality(spark, base, "silver", D, quality, sources=("apple_store",),
+                      rules={"apple_store": []})
+    got = {(r[0], r[1]): r[2] for r in res.summary_rows}
+    assert got[("apple_store", "pattern")] == "skipped"
+    assert res.status == "success"

@@ -162,3 +162,19 @@ def test_source_without_rules_skips_pattern(spark, workdir):
     got = {(r[0], r[1]): r[2] for r in res.summary_rows}
     assert got[("apple_store", "pattern")] == "skipped"
     assert res.status == "success"
+
+
+def test_rebalance_compacts_quarantine_files(spark, workdir):
+    import glob
+    base = f"{workdir}/lake"
+    df = silver_source(spark, SF01, "apple_store")
+    (df.write.mode("overwrite").option("maxRecordsPerFile", 500)
+       .parquet(source_path(base, "silver", "apple_store", D)))  # 30 small files
+    counts = {}
+    for flag in (False, True):
+        quality = f"{workdir}/quality_{flag}"
+        run_quality(spark, base, "silver", D, quality, sources=("apple_store",), rebalance_rejects=flag)
+        out = pattern_out_path(quality, "apple_store", D)
+        counts[flag] = len(glob.glob(out.replace("file:", "") + "/*.parquet"))
+        assert read_parquet(spark, out).count() == 9243
+    assert counts[True] < counts[False]

@@ -79,11 +79,8 @@ def emptiness(spark: SparkSession, sources: Mapping[str, DataFrame | None]) -> D
 
 
 def volumetry_gate(spark: SparkSession, sources: Mapping[str, DataFrame | None]) -> None:
-    """Raise ``VolumetryError`` naming each empty or missing source.
-
-    ``DataFrame.isEmpty`` fetches one row incrementally (one partition
-    first, more only if it is empty), so the gate rarely scans more than a
-    single split however large the source is."""
+    """Raise ``VolumetryError`` naming each empty or missing source; about
+    one split read per source (see ``_is_empty_all``)."""
     flags = _is_empty_all(sources)
     failures = {}
     for name, df in sources.items():

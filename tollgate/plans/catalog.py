@@ -9,6 +9,7 @@ the shared directory named by ``spark.checkpoint.dir``.
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -272,8 +273,9 @@ def q_quality_run_summary(spark, sf):
 def q_bronze_run_summary(spark, sf):
     root = fresh_run_dir(spark, "bronze_run")
     base, quality = f"{root}/lake", f"{root}/quality"
-    for s in REVIEWS:
-        land_by_app(bronze_source(spark, sf, s), base, "bronze", s, RUN_ODATE)
+    with ThreadPoolExecutor(max_workers=len(REVIEWS)) as pool:  # independent landings
+        list(pool.map(lambda s: land_by_app(bronze_source(spark, sf, s), base, "bronze", s, RUN_ODATE),
+                      REVIEWS))
     return run_quality(spark, base, "bronze", RUN_ODATE, quality).summary(spark)
 
 

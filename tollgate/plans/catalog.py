@@ -72,7 +72,9 @@ VALUE_RULE = cast_regex("value", r"^[0-5](\.\d+)?$")
 # --- end fixed values -------------------------------------------------------------
 
 _KEYS = {s: REVIEW_FIXTURES[s][1] for s in REVIEWS}
-_GLOB_APPS = (("app1", "o_orderstatus = 'F'"), ("app2", "not (o_orderstatus = 'F')"))
+# null-safe split: every order lands in exactly one app folder
+_GLOB_APPS = (("app1", "o_orderstatus is not distinct from 'F'"),
+              ("app2", "not (o_orderstatus is not distinct from 'F')"))
 
 
 def _contract(name: str) -> T.StructType:
@@ -286,8 +288,8 @@ def q_apple_store_rejects_stream(spark, sf):
     landing = f"{root}/landing"
     src = _review(spark, sf, "apple_store")
     # two landings (no shuffle): one folder per delivery, drained one file per trigger
-    write_leaves({f"{landing}/delivery=1": src.filter("app <=> 'A B'"),
-                  f"{landing}/delivery=2": src.filter("not (app <=> 'A B')")})
+    write_leaves({f"{landing}/delivery=1": src.filter("app is not distinct from 'A B'"),
+                  f"{landing}/delivery=2": src.filter("not (app is not distinct from 'A B')")})
     q = quarantine_stream(spark, landing, src.schema, SILVER_RULES["apple_store"],
                           f"{root}/quarantine", f"{root}/checkpoint", max_files_per_trigger=1)
     q.awaitTermination()

@@ -178,3 +178,20 @@ def test_rebalance_compacts_quarantine_files(spark, workdir):
         counts[flag] = len(glob.glob(out.replace("file:", "") + "/*.parquet"))
         assert read_parquet(spark, out).count() == 9243
     assert counts[True] < counts[False]
+
+
+def test_cli_exit_code_partial(spark, workdir):
+    from tollgate.cli import main
+    base, quality = _lake(spark, workdir, transform=lambda s, df: df.drop("os") if s == "mongodb" else df)
+    assert main(["silver", "--base", base, "--quality", quality, "--odate", D]) == 2
+
+
+def test_caller_job_group_is_restored(spark, workdir):
+    base, quality = _lake(spark, workdir, sources=("apple_store",))
+    sc = spark.sparkContext
+    sc.setJobGroup("caller-group", "caller")
+    res = run_quality(spark, base, "silver", D, quality, sources=("apple_store",))
+    assert sc.getLocalProperty("spark.jobGroup.id") == "caller-group"
+    ids = sc.statusTracker().getJobIdsForGroup(res.job_group)
+    assert len(ids) >= 3  # gate, schema report, pattern pass, metrics append
+    sc.setLocalProperty("spark.jobGroup.id", None)

@@ -101,6 +101,10 @@ class RunResult:
         return local_frame(spark, self.summary_rows, SUMMARY_SCHEMA)
 
 
+_LOCAL_PROPS = ("spark.jobGroup.id", "spark.job.description", "spark.job.interruptOnCancel",
+                "spark.scheduler.pool")
+
+
 def run_quality(spark: SparkSession, base: str, layer: str, odate: str | None, quality: str, *,
                 sources: Sequence[str] = SOURCES, write_valid: bool = False,
                 raise_on_failure: bool = True, rules: dict[str, list[Rule]] | None = None,
@@ -126,6 +130,28 @@ def run_quality(spark: SparkSession, base: str, layer: str, odate: str | None, q
     row total is observed in the shuffle-map stage, where a stage re-run
     after a lost executor can add to it (reject counts stay exact).
     """
+    try:
+        sc = spark.sparkContext
+        saved = {k: sc.getLocalProperty(k) for k in _LOCAL_PROPS}
+    except Exception:  # noqa: BLE001 - no SparkContext (e.g. Spark Connect)
+        sc, saved = None, {}
+    try:
+        return _run(spark, base, layer, odate, quality, sources=sources, write_valid=write_valid,
+                    raise_on_failure=raise_on_failure, rules=rules, expected=expected,
+                    parallel_sources=parallel_sources, preview=preview,
+                    rebalance_rejects=rebalance_rejects, prefix=prefix)
+    finally:
+        # restore the caller's job group, description and pool: local
+        # properties are per thread and would otherwise tag later jobs
+        for k, v in saved.items():
+            sc.setLocalProperty(k, v)
+
+
+def _run(spark: SparkSession, base: str, layer: str, odate: str | None, quality: str, *,
+         sources: Sequence[str], write_valid: bool, raise_on_failure: bool,
+         rules: dict[str, list[Rule]] | None, expected: dict[str, T.StructType] | None,
+         parallel_sources: int, preview: int, rebalance_rejects: bool, prefix: str) -> RunResult:
+    """Body of ``run_quality``."""
     layer = validate_layer(layer)
     odate = validate_odate(odate)
     res = RunResult(uuid.uuid4().hex, layer, odate, "success")

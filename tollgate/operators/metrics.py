@@ -42,6 +42,9 @@ JOB_FAILURE_SCHEMA = T.StructType([
 ])
 
 
+MAX_ERROR_CHARS = 4000
+
+
 def now_iso() -> str:
     return _dt.datetime.now(_dt.timezone.utc).isoformat()
 
@@ -63,6 +66,9 @@ def record_failure(spark: SparkSession, path: str, *, run_id: str, odate: str, l
                    stage: str, source: str | None, error: BaseException | str) -> dict:
     """Append one failure row (replaces a metric document sent to a search
     index). Returns the row as a dict."""
-    row = (run_id, odate, layer, stage, source, str(error), now_iso())
+    text = str(error)
+    if len(text) > MAX_ERROR_CHARS:  # JVM errors carry whole stack traces
+        text = text[:MAX_ERROR_CHARS] + " ...[truncated]"
+    row = (run_id, odate, layer, stage, source, text, now_iso())
     append_rows(spark, [row], JOB_FAILURE_SCHEMA, path)
     return dict(zip(JOB_FAILURE_SCHEMA.names, row))

@@ -69,3 +69,15 @@ def test_rule_validation():
 def test_column_names_with_dots_are_quoted(spark):
     df = spark.createDataFrame([("x",)], "`a.b` string")
     assert df.select(violated(regex("a.b", "^y$")).alias("bad")).first()["bad"] is True
+
+
+def test_rules_from_plain_data():
+    import json
+    from tollgate.functions import SILVER_RULES, rules_from_dicts
+    data = json.loads('[{"column": "id", "kind": "regex", "pattern": "^[a-f0-9]+$"},'
+                      ' {"column": "customer_id", "kind": "not_null"},'
+                      ' {"column": "rating", "kind": "cast_regex", "pattern": "^[0-5](\\\\.\\\\d+)?$"}]')
+    assert rules_from_dicts(data) == [SILVER_RULES["mongodb"][0], SILVER_RULES["mongodb"][1],
+                                      SILVER_RULES["mongodb"][4]]
+    with pytest.raises(ValueError, match="unknown rule field"):
+        rules_from_dicts([{"column": "a", "kind": "not_null", "severity": "high"}])

@@ -195,3 +195,16 @@ def test_caller_job_group_is_restored(spark, workdir):
     ids = sc.statusTracker().getJobIdsForGroup(res.job_group)
     assert len(ids) >= 3  # gate, schema report, pattern pass, metrics append
     sc.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_cli_rules_file(spark, workdir):
+    import json
+    from tollgate.cli import main
+    base, quality = _lake(spark, workdir, sources=("google_play", "mongodb", "apple_store"))
+    path = f"{workdir}/rules.json".replace("file:", "")
+    import os
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w") as fh:
+        json.dump({"apple_store": [{"column": "content", "kind": "not_null"}]}, fh)
+    assert main(["silver", "--base", base, "--quality", quality, "--odate", D, "--rules", path]) == 0
+    assert read_parquet(spark, pattern_out_path(quality, "apple_store", D)).count() == 1500

@@ -8,6 +8,7 @@ errors), 1 when the run failed (the failure is in ``<quality>/job_failures``),
 from __future__ import annotations
 
 import argparse
+import json
 import logging
 import os
 import sys
@@ -18,6 +19,7 @@ if __package__ in (None, ""):  # run as a file by spark-submit
 from pyspark.sql import SparkSession  # noqa: E402
 
 from tollgate.sources.lake import DEFAULT_PREFIX  # noqa: E402
+from tollgate.functions.rules import rules_from_dicts  # noqa: E402
 from tollgate.plans.run import run_quality  # noqa: E402
 
 
@@ -31,13 +33,19 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--write-valid", action="store_true", help="also write accepted rows")
     p.add_argument("--rebalance-rejects", action="store_true", help="compact sparse rejects")
     p.add_argument("--preview", type=int, default=0, help="print N quarantined rows per source")
+    p.add_argument("--rules", default=None,
+                   help="JSON file {source: [{column, kind, pattern, ...}]} overriding the built-in rules")
     a = p.parse_args(argv)
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(name)s %(message)s")
+    rules = None
+    if a.rules:
+        with open(a.rules, encoding="utf-8") as fh:
+            rules = {src: rules_from_dicts(items) for src, items in json.load(fh).items()}
     spark = SparkSession.builder.appName(f"tollgate-{a.layer}").getOrCreate()
     try:
         res = run_quality(spark, a.base, a.layer, a.odate, a.quality, prefix=a.prefix,
                           write_valid=a.write_valid, rebalance_rejects=a.rebalance_rejects,
-                          preview=a.preview, raise_on_failure=False)
+                          preview=a.preview, raise_on_failure=False, rules=rules)
     except ValueError as exc:  # bad arguments
         logging.error("%s", exc)
         return 1

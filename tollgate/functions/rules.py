@@ -67,6 +67,20 @@ class Rule:
         return bad
 
 
+def rules_from_dicts(items) -> list[Rule]:
+    """Rules from plain data, e.g. parsed JSON:
+    ``[{"column": "id", "kind": "regex", "pattern": "^\\d+$"}, {"column": "os", "kind": "not_null"}]``.
+    Optional keys: ``cast`` (default ``string``), ``nullable``, ``label``."""
+    allowed = {"column", "kind", "pattern", "cast", "nullable", "label"}
+    out = []
+    for item in items:
+        unknown = set(item) - allowed
+        if unknown:
+            raise ValueError(f"unknown rule field(s) {sorted(unknown)} in {item}")
+        out.append(Rule(**item))
+    return out
+
+
 def quote(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 

@@ -208,3 +208,13 @@ def test_cli_rules_file(spark, workdir):
         json.dump({"apple_store": [{"column": "content", "kind": "not_null"}]}, fh)
     assert main(["silver", "--base", base, "--quality", quality, "--odate", D, "--rules", path]) == 0
     assert read_parquet(spark, pattern_out_path(quality, "apple_store", D)).count() == 1500
+
+
+def test_rerun_same_odate_replaces_outputs(spark, workdir):
+    base, quality = _lake(spark, workdir, sources=("mongodb",))
+    for _ in range(2):
+        res = run_quality(spark, base, "silver", D, quality, sources=("mongodb",))
+        assert res.status == "success"
+    assert read_parquet(spark, pattern_out_path(quality, "mongodb", D)).count() == 5491
+    m = read_parquet(spark, run_metrics_path(quality)).filter("check = 'pattern'")
+    assert m.count() == 2 and m.select("run_id").distinct().count() == 2

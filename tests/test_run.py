@@ -218,3 +218,21 @@ def test_rerun_same_odate_replaces_outputs(spark, workdir):
     assert read_parquet(spark, pattern_out_path(quality, "mongodb", D)).count() == 5491
     m = read_parquet(spark, run_metrics_path(quality)).filter("check = 'pattern'")
     assert m.count() == 2 and m.select("run_id").distinct().count() == 2
+
+
+def test_bronze_drift_names_the_app_folder(spark, workdir):
+    from pyspark.sql import functions as F
+    from tollgate.sources.lake import land_by_app, source_root
+    from tollgate.sources.reviews import bronze_source
+    from .conftest import SF001
+    base, quality = f"{workdir}/lake", f"{workdir}/quality"
+    for s in REVIEWS:
+        land_by_app(bronze_source(spark, SF001, s), base, "bronze", s, D)
+    # one extra app folder of apple_store carries an additional column
+    extra = bronze_source(spark, SF001, "apple_store").drop("app_folder").withColumn("z", F.lit("new"))
+    write_leaf(extra, f"{source_root(base, 'bronze', 'apple_store')}/app_folder=late/odate={D}")
+    res = run_quality(spark, base, "bronze", D, quality)
+    checks = {(r[0], r[1]): r[2] for r in res.summary_rows}
+    assert checks[("apple_store", "schema")] == "no_match"
+    msg = [f["error"] for f in res.failures if f["source"] == "apple_store"]
+    assert msg and "app_folder=late" in msg[0] and msg[0].startswith("1 of 4 app folders")

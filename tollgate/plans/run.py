@@ -35,7 +35,8 @@ from ..operators.schemas import LAYERS, NO_MATCH, expected_schema, schema_diff_r
 from ..operators.volumetry import EMPTY, MISSING, OK, UNREADABLE, VolumetryError, volumetry_report
 from ..sources.local import local_frame
 from ..sources.lake import (
-    DEFAULT_PREFIX, SOURCES, load_sources, pattern_out_path, read_parquet, schema_out_path, write_leaf,
+    DEFAULT_PREFIX, SOURCES, leaf_schemas, load_sources, pattern_out_path, read_parquet,
+    schema_out_path, write_leaf,
 )
 
 log = logging.getLogger("tollgate.run")
@@ -73,6 +74,17 @@ def _absent(state: str) -> list:
     return {"empty_dir": [EMPTY, 0], "unreadable": [UNREADABLE, None]}.get(state, [MISSING, None])
 
 
+def _drifted_folders(spark: SparkSession, glob_path: str, expected: T.StructType) -> str | None:
+    """Which app folders of a bronze load differ from the expected schema
+    (only called on a mismatch; one footer per folder)."""
+    per_folder = leaf_schemas(spark, glob_path)
+    bad = sorted(d.rstrip("/").split("/")[-2] for d, sch in per_folder.items() if sch != expected)
+    if not bad:
+        return None
+    shown = ", ".join(bad[:20]) + (" ..." if len(bad) > 20 else "")
+    return f"{len(bad)} of {len(per_folder)} app folders differ from the expected schema: {shown}"
+
+
 def job_failures_path(quality: str) -> str:
     return f"{quality.rstrip('/')}/job_failures"
 
@@ -245,6 +257,10 @@ def _run(spark: SparkSession, base: str, layer: str, odate: str | None, quality:
             if loaded[s].merge_error:
                 st = NO_MATCH
                 fail("schema", s, f"app folders disagree on the schema: {loaded[s].merge_error}")
+            elif st == NO_MATCH and layer == "bronze":
+                drifted = _drifted_folders(spark, loaded[s].path, expected[s])
+                if drifted:
+                    fail("schema", s, drifted)
             checks.append((s, "schema", st, None, n_diff.get(s, 0)))
             metric(s, "schema", st, None, n_diff.get(s, 0), t0)
 

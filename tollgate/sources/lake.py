@@ -193,8 +193,10 @@ def leaf_dirs(spark: SparkSession, path: str) -> list[str]:
 
 
 def leaf_schemas(spark: SparkSession, path: str) -> dict[str, object]:
-    """Schema of each leaf directory under ``path`` (footer reads only)."""
-    return {d: spark.read.parquet(d).schema for d in leaf_dirs(spark, path)}
+    """Schema of each leaf directory under ``path`` (footer reads only,
+    opened concurrently)."""
+    dirs = leaf_dirs(spark, path)
+    return {d: df.schema for d, df in read_many(spark, {d: d for d in dirs}).items()}
 
 
 def land_by_app(df: DataFrame, base: str, layer: str, source: str, odate: str,

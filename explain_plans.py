@@ -12,6 +12,7 @@ import sys
 from tollgate.functions import SILVER_RULES
 from tollgate.operators import observe_rejects, rejects, volumetry_report
 from tollgate.plans import catalog as C
+from tollgate.plans.run import run_quality
 from tollgate.session import fresh_run_dir, local_session
 from tollgate.sources.lake import land_by_app, load_sources, source_path, write_leaves
 from tollgate.sources.reviews import bronze_source, silver_source
@@ -58,6 +59,22 @@ def main(sf: str) -> None:
     print(f"Generated by `python explain_plans.py {sf}` (PySpark {spark.version}, AQE on).\n")
     for title, note, df in sections:
         print(f"## {title}\n\n{note}\n\n```\n{_plan(df)}\n```\n")
+
+    res = run_quality(spark, root, "silver", "20240101", f"{root}/quality")
+    tracker = spark.sparkContext.statusTracker()
+    print("## Jobs of one silver run (three sources)\n")
+    print("From the status tracker, by the run's job group: three `isEmpty` gates (one split "
+          "each); four `save` jobs — the schema report and the three per-source pattern passes, "
+          "the only jobs that read data columns; one `parquet` job appending run metrics. "
+          "Task counts are per split (one here: the inputs are single files).\n")
+    print("| job | stages | tasks |\n| --- | --- | --- |")
+    for j in sorted(tracker.getJobIdsForGroup(res.job_group)):
+        info = tracker.getJobInfo(j)
+        stages = [tracker.getStageInfo(st) for st in info.stageIds]
+        names = "; ".join(st.name.split(" at ")[0] for st in stages if st)
+        tasks = sum(st.numTasks for st in stages if st)
+        print(f"| {j} | {names} | {tasks} |")
+    print()
     spark.stop()
 
 

@@ -329,6 +329,7 @@ def _run(spark: SparkSession, base: str, layer: str, odate: str | None, quality:
         res.status, res.error = "failed", exc
         log.error("quality run failed at %s: %s", stage, exc)
         finish_summary()
+        tag("metrics")
         try:
             fail(stage, None, exc)
             append_rows(spark, metrics, RUN_METRICS_SCHEMA, run_metrics_path(quality))
@@ -338,6 +339,7 @@ def _run(spark: SparkSession, base: str, layer: str, odate: str | None, quality:
             raise
         return res
     finish_summary()
+    tag("metrics")
     append_rows(spark, metrics, RUN_METRICS_SCHEMA, run_metrics_path(quality))
     return res
 

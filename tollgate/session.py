@@ -11,14 +11,17 @@ from pyspark.sql import SparkSession
 
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int | None = None,
-                  app_name: str = "tollgate") -> SparkSession:
+                  app_name: str = "tollgate", extra: dict[str, str] | None = None) -> SparkSession:
     """Session for tests and the bench. On a cluster the caller owns the
     session; nothing in the library creates one."""
     cpus = str(cpus)
     if shuffle_partitions is None:
         shuffle_partitions = 8 if cpus == "*" else max(1, int(cpus))
+    builder = SparkSession.builder
+    for k, v in (extra or {}).items():
+        builder = builder.config(k, v)
     return (
-        SparkSession.builder.master(f"local[{cpus}]")
+        builder.master(f"local[{cpus}]")
         .appName(app_name)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")

@@ -46,3 +46,19 @@ def test_rule_verdicts_agree_with_translated_oracle(spark):
 def test_translation_leaves_classes_and_escapes_alone():
     assert java_to_re2(r"^[a-z.\-]+\.x$").startswith(r"^[a-z.\-]+\.x")
     assert "[^\\n" in java_to_re2("^.+$")
+
+
+def test_translation_edge_cases(spark):
+    cases = [r"^a\$b$", r"^[]a]+$", r"^[^]a]+$", r"^[.]+$", r"^a.c$", r"^\d+\.\d+$", r"x$|^y"]
+    values = ["a$b", "a$b\n", "]a]", "]a]\n", "bcd", "...", "..\n", "abc", "a\nc", "1.5", "1.5\r\n",
+              "x", "x\n", "yz", "\ny", "1x5"]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v string")
+    got = {r["i"]: tuple(r[f"p{j}"] for j in range(len(cases)))
+           for r in df.select("i", *[F.col("v").rlike(p).alias(f"p{j}") for j, p in enumerate(cases)]).collect()}
+    con = duckdb.connect()
+    con.execute("create table t(i integer, v varchar)")
+    con.executemany("insert into t values (?, ?)", list(enumerate(values)))
+    sel = ", ".join(f"regexp_matches(v, ?) as p{j}" for j in range(len(cases)))
+    want = {r[0]: tuple(r[1:]) for r in
+            con.execute(f"select i, {sel} from t", [java_to_re2(p) for p in cases]).fetchall()}
+    assert got == want

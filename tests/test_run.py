@@ -236,3 +236,16 @@ def test_bronze_drift_names_the_app_folder(spark, workdir):
     assert checks[("apple_store", "schema")] == "no_match"
     msg = [f["error"] for f in res.failures if f["source"] == "apple_store"]
     assert msg and "app_folder=late" in msg[0] and msg[0].startswith("1 of 4 app folders")
+
+
+def test_bronze_without_count_pass(spark, workdir):
+    from tollgate.sources.lake import land_by_app
+    from tollgate.sources.reviews import bronze_source
+    from .conftest import SF001
+    base, quality = f"{workdir}/lake", f"{workdir}/quality"
+    for s in REVIEWS:
+        land_by_app(bronze_source(spark, SF001, s), base, "bronze", s, D)
+    res = run_quality(spark, base, "bronze", D, quality, count_rows=False)
+    vol = {r[0]: (r[2], r[3]) for r in res.summary_rows if r[1] == "volumetry"}
+    assert vol == {s: ("ok", None) for s in REVIEWS}
+    assert {r[2] for r in res.summary_rows if r[1] == "schema"} == {"match"}

@@ -33,6 +33,8 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--write-valid", action="store_true", help="also write accepted rows")
     p.add_argument("--rebalance-rejects", action="store_true", help="compact sparse rejects")
     p.add_argument("--preview", type=int, default=0, help="print N quarantined rows per source")
+    p.add_argument("--no-count", action="store_true",
+                   help="bronze: gate on emptiness only, skip the row-count pass")
     p.add_argument("--rules", default=None,
                    help="JSON file {source: [{column, kind, pattern, ...}]} overriding the built-in rules")
     a = p.parse_args(argv)
@@ -45,7 +47,8 @@ def main(argv: list[str] | None = None) -> int:
     try:
         res = run_quality(spark, a.base, a.layer, a.odate, a.quality, prefix=a.prefix,
                           write_valid=a.write_valid, rebalance_rejects=a.rebalance_rejects,
-                          preview=a.preview, raise_on_failure=False, rules=rules)
+                          preview=a.preview, raise_on_failure=False, rules=rules,
+                          count_rows=not a.no_count)
     except ValueError as exc:  # bad arguments
         logging.error("%s", exc)
         return 1

@@ -122,7 +122,8 @@ def run_quality(spark: SparkSession, base: str, layer: str, odate: str | None, q
                 raise_on_failure: bool = True, rules: dict[str, list[Rule]] | None = None,
                 expected: dict[str, T.StructType] | None = None,
                 parallel_sources: int = 4, preview: int = 0,
-                rebalance_rejects: bool = False, prefix: str = DEFAULT_PREFIX) -> RunResult:
+                rebalance_rejects: bool = False, prefix: str = DEFAULT_PREFIX,
+                count_rows: bool = True) -> RunResult:
     """Run the checks of ``layer`` on the ``odate`` load under ``base``.
 
     Bronze runs volumetry + schema; silver adds the pattern rules. Outputs go
@@ -141,6 +142,8 @@ def run_quality(spark: SparkSession, base: str, layer: str, odate: str | None, q
     in a result stage are exact under task retries; with the rebalance the
     row total is observed in the shuffle-map stage, where a stage re-run
     after a lost executor can add to it (reject counts stay exact).
+    ``count_rows=False`` lets a bronze run gate on ``isEmpty()`` only (no
+    full count pass; volumetry rows then carry no row total).
     """
     try:
         sc = spark.sparkContext
@@ -151,7 +154,7 @@ def run_quality(spark: SparkSession, base: str, layer: str, odate: str | None, q
         return _run(spark, base, layer, odate, quality, sources=sources, write_valid=write_valid,
                     raise_on_failure=raise_on_failure, rules=rules, expected=expected,
                     parallel_sources=parallel_sources, preview=preview,
-                    rebalance_rejects=rebalance_rejects, prefix=prefix)
+                    rebalance_rejects=rebalance_rejects, prefix=prefix, count_rows=count_rows)
     finally:
         # restore the caller's job group, description and pool: local
         # properties are per thread and would otherwise tag later jobs
@@ -162,7 +165,8 @@ def run_quality(spark: SparkSession, base: str, layer: str, odate: str | None, q
 def _run(spark: SparkSession, base: str, layer: str, odate: str | None, quality: str, *,
          sources: Sequence[str], write_valid: bool, raise_on_failure: bool,
          rules: dict[str, list[Rule]] | None, expected: dict[str, T.StructType] | None,
-         parallel_sources: int, preview: int, rebalance_rejects: bool, prefix: str) -> RunResult:
+         parallel_sources: int, preview: int, rebalance_rejects: bool, prefix: str,
+         count_rows: bool) -> RunResult:
     """Body of ``run_quality``."""
     layer = validate_layer(layer)
     odate = validate_odate(odate)
@@ -213,7 +217,7 @@ def _run(spark: SparkSession, base: str, layer: str, odate: str | None, quality:
         t0 = time.perf_counter()
         loaded = load_sources(spark, base, layer, odate, sources, prefix=prefix)
         frames = {s: ld.df for s, ld in loaded.items()}
-        if layer == "silver":
+        if layer == "silver" or not count_rows:
             present = [s for s in sources if frames[s] is not None]
 
             def is_empty(s):

@@ -176,3 +176,16 @@ def schema_diff(spark: SparkSession, actual: Mapping[str, object],
     for source, exp in expected.items():
         rows += schema_diff_rows(source, layer, _as_schema(actual.get(source)), exp)
     return local_frame(spark, rows, _DIFF_SCHEMA)
+
+
+def folder_schema_report(spark: SparkSession, glob_path: str, expected: T.StructType) -> DataFrame:
+    """``folder, validation_status, n_differences`` for every app folder a
+    bronze glob matches: the strict verdict per folder, which a merged (or
+    single-footer) read of the glob cannot give. One footer per folder."""
+    from ..sources.lake import leaf_schemas  # lake -> schemas would be circular at import time
+    rows = []
+    for path, schema in sorted(leaf_schemas(spark, glob_path).items()):
+        folder = path.rstrip("/").split("/")[-2]
+        n = sum(r[-1] != "match" for r in schema_diff_rows("", "", schema, expected))
+        rows.append((folder, MATCH if schema == expected else NO_MATCH, n))
+    return local_frame(spark, rows, "folder string, validation_status string, n_differences int")

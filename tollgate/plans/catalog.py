@@ -20,7 +20,9 @@ from ..functions.rules import (
     FAILED_COLUMNS, VALIDATION, any_violation, cast_regex, not_null, regex, violated,
 )
 from ..operators.patterns import annotate, joined_failures, rejects, rule_failure_counts, valid
-from ..operators.schemas import D, I, L, S, expected_schema, fields, schema_diff, schema_report
+from ..operators.schemas import (
+    D, I, L, S, expected_schema, fields, folder_schema_report, schema_diff, schema_report,
+)
 from ..operators.volumetry import emptiness, volumetry_report
 from ..session import fresh_run_dir
 from ..sources.lake import (
@@ -281,6 +283,21 @@ def q_bronze_run_summary(spark, sf):
     return run_quality(spark, base, "bronze", RUN_ODATE, quality).summary(spark)
 
 
+def q_bronze_folder_schemas(spark, sf):
+    """Bronze apple_store landed per order status, plus a late delivery of
+    the urgent orders in its own folder with one column added: the merged
+    read hides where the drift is, the per-folder report names it."""
+    root = fresh_run_dir(spark, "bronze_folders")
+    src = bronze_source(spark, sf, "apple_store")
+    land_by_app(src, root, "bronze", "apple_store", RUN_ODATE)
+    late = (src.filter("title = '1-URGENT'").drop("app_folder")
+               .withColumn("priority_rank", F.lit(1)))
+    folder = f"{source_root(root, 'bronze', 'apple_store')}/app_folder=late/odate={RUN_ODATE}"
+    write_leaf(late, folder)
+    return folder_schema_report(spark, source_path(root, "bronze", "apple_store", RUN_ODATE),
+                                expected_schema("apple_store", "bronze"))
+
+
 def q_apple_store_rejects_stream(spark, sf):
     """The apple_store load lands as several files; a streaming query drains
     them in bounded micro-batches into the quarantine folder."""
@@ -322,6 +339,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "failure_log_roundtrip": q_failure_log_roundtrip,
         "quality_run_summary": q_quality_run_summary,
         "bronze_run_summary": q_bronze_run_summary,
+        "bronze_folder_schemas": q_bronze_folder_schemas,
         "apple_store_rejects_stream": q_apple_store_rejects_stream,
     }
 
@@ -405,4 +423,10 @@ def oracle_sql() -> dict[str, str]:
         bronze.append(f"select '{s}' as source, 'schema' as \"check\", 'match' as status, "
                       f"cast(null as bigint) as n_rows, cast(0 as bigint) as n_bad")
     sql["bronze_run_summary"] = "\nunion all\n".join(bronze)
+    sql["bronze_folder_schemas"] = (
+        "select distinct 'app_folder=' || o_orderstatus as folder, 'match' as validation_status, "
+        "cast(0 as integer) as n_differences from orders\n"
+        "union all\n"
+        "select distinct 'app_folder=late' as folder, 'no_match' as validation_status, "
+        "cast(1 as integer) as n_differences from orders where o_orderpriority = '1-URGENT'")
     return sql

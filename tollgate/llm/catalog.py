@@ -6,11 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import toxicity
 from .common import table
 from .decontaminate import contamination
+from .simhash import near_duplicates
 from .token_counts import count_tokens
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.predict(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"))
 
@@ -20,7 +31,7 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op6_token_counts, op8_decontamination)}
+    return {f.__name__: f for f in (op2_toxicity, op4_simhash, op6_token_counts, op8_decontamination)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from . import language, pii, toxicity
 from .common import table
 from .decontaminate import contamination
+from .packing import pack
 from .simhash import near_duplicates
 from .token_counts import count_tokens
 
@@ -40,8 +41,13 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_toxicity, op3_language, op4_simhash, op5_pii, op6_token_counts, op8_decontamination)}
+    return {f.__name__: f for f in (op2_toxicity, op3_language, op4_simhash, op5_pii, op6_token_counts, op8_decontamination,
+                                   op9_packing)}
 
 
 def oracle_sql() -> dict[str, str]:

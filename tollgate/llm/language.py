@@ -22,7 +22,7 @@ UNKNOWN = "und"
 #: Bounds of the training sample: documents for each language (about),
 #: characters of each, bytes of a dictionary, and languages.
 SAMPLE_DOCS, SAMPLE_CHARS, DICTIONARY_BYTES, LANGUAGES = 400, 1_500, 98_304, 200
-BLOCK, LEVEL = 4_096, 3
+BLOCK, LEVEL, MIN_MATCH = 4_096, 5, 3
 _LETTER_BYTES = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c > 127 else 32 for c in range(256))
 
 
@@ -51,10 +51,11 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
 def _compressors(dictionaries: dict[str, bytes]) -> dict[str, zstandard.ZstdCompressor]:
     out = {}
     for lang, content in dictionaries.items():
+        params = zstandard.ZstdCompressionParameters.from_level(
+            LEVEL, min_match=MIN_MATCH, source_size=BLOCK, dict_size=len(content), write_content_size=False, write_dict_id=False)
         d = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-        d.precompute_compress(level=LEVEL)
-        out[lang] = zstandard.ZstdCompressor(level=LEVEL, dict_data=d, write_content_size=False, write_checksum=False,
-                                             write_dict_id=False)
+        d.precompute_compress(compression_params=params)
+        out[lang] = zstandard.ZstdCompressor(compression_params=params, dict_data=d)
     return out
 
 

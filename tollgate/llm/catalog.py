@@ -12,6 +12,7 @@ from .decontaminate import contamination
 from .packing import pack
 from .simhash import near_duplicates
 from .token_counts import count_tokens
+from .warc import archive_round_trip
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,6 +38,10 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"))
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_round_trip(table(spark, sf_dir, "pages"))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -46,7 +51,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_toxicity, op3_language, op4_simhash, op5_pii, op6_token_counts, op8_decontamination,
+    return {f.__name__: f for f in (op2_toxicity, op3_language, op4_simhash, op5_pii, op6_token_counts, op7_warc, op8_decontamination,
                                    op9_packing)}
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language, pii, toxicity
+from . import language, licenses, pii, toxicity
 from .common import table
 from .decontaminate import contamination
 from .packing import pack
@@ -15,6 +15,10 @@ from .token_counts import count_tokens
 from .warc import archive_round_trip
 
 
+def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents")).drop("blocks")
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxicity.predict(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
@@ -51,7 +55,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_toxicity, op3_language, op4_simhash, op5_pii, op6_token_counts, op7_warc, op8_decontamination,
+    return {f.__name__: f for f in (op1_licenses, op2_toxicity, op3_language, op4_simhash, op5_pii, op6_token_counts, op7_warc, op8_decontamination,
                                    op9_packing)}
 
 

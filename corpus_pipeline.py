@@ -1,29 +1,74 @@
-"""From raw documents to packed token sequences, stage by stage."""
+"""From raw documents to packed token sequences.
+
+Each stage takes what its predecessor kept, written as Parquet and read again:
+toxic documents go, one document of each group of near-duplicates stays,
+documents that hold benchmark passages go, personal data is replaced, and the
+texts are cut and packed into token sequences. All but the last return the
+columns of ``documents``.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tollgate.llm.common import table, written
+from tollgate.llm import pii, toxicity
+from tollgate.llm.common import ship_package, table, written
 from tollgate.llm.decontaminate import decontaminate
+from tollgate.llm.packing import pack
+from tollgate.llm.simhash import deduplicate
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejected documents go; the model is fitted on the labelled ones among ``docs``."""
+    return toxicity.drop_toxic(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group that SimHash links join, the document with the smallest id stays."""
+    ship_package(spark)
+    return deduplicate(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold benchmark passages by the contamination rule go."""
+    """Documents with benchmark passages go: a word is hit, and at least one in 20."""
     return decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
-STAGES = [("benchmark decontamination", drop_contaminated)]
+def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Spans are replaced by their kind, and n_chars follows the text."""
+    ship_package(spark)
+    redacted = pii.redact(docs, pii.fit(docs))
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        redacted = redacted.withColumn("n_chars", F.coalesce(F.length("text").cast(kind), "n_chars"))
+    return redacted
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row per piece of a document, with its sequence and offset."""
+    ship_package(spark)
+    return pack(docs)
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("SimHash near-dedup", drop_near_duplicates),
+    ("benchmark decontamination", drop_contaminated),
+    ("PII", redact_personal_data),
+    ("packing", pack_sequences),
+]
 
-#: Toxicity, redaction and token ids have no SQL form.
+#: Boosted trees and token ids have no SQL form; the tests use brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each is written and read again by the next."""
+    """All stages over ``documents``; each result but the last is written to the
+    shared folder and read again."""
     docs = table(spark, sf_dir, "documents")
     for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k + 1 < len(STAGES):
-            docs = written(docs, "pipeline-" + name.replace(" ", "-"))
+            docs = written(docs, "pipeline-" + name.lower().replace(" ", "-"))
     return docs

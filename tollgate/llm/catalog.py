@@ -11,6 +11,7 @@ from .common import table
 from .decontaminate import contamination
 from .packing import pack
 from .simhash import near_duplicates
+from .spotsigs import fingerprints
 from .token_counts import count_tokens
 from .warc import archive_round_trip
 
@@ -54,9 +55,13 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
 
+def op10_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_licenses, op2_toxicity, op3_language, op4_simhash, op5_pii, op6_token_counts, op7_warc, op8_decontamination,
-                                   op9_packing)}
+                                   op9_packing, op10_spotsigs)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -1,0 +1,340 @@
+"""Operators against plain Python on small inputs."""
+
+import base64
+import hashlib
+import random
+import re
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+import xxhash
+from tokenizers import Tokenizer
+
+from tollgate.llm import bpe, components, decontaminate, licenses, packing, pii, simhash, spotsigs, token_counts, warc
+from tollgate.llm.common import ship_package
+
+from .conftest import TEXTS
+
+SF = "/root/testdata/sf0.001"
+
+
+def plain_words(text):
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    ship_package(spark)
+    return spark.read.parquet(f"{SF}/documents.parquet")
+
+
+@pytest.fixture(scope="module")
+def texts(docs):
+    return {r.doc_id: r.text for r in docs.collect()}
+
+
+# --- tokens --------------------------------------------------------------------
+
+TRICKY = ["", " ", "  a", "a \n b", "a\n \nb", "don't  stop\t\tnow ", "x <|endoftext|> y  <|endoftext|>", "  a b",
+          "\x1c a \x1cb", "你好 \U0001f600 é ٠١ ²", "tab\t word", "A  B   C    ", "\r\n x\r\n"]
+
+
+@pytest.fixture(scope="module")
+def plain_tokenizer():
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def test_token_counts(spark, plain_tokenizer, texts):
+    rng = random.Random(3)
+    random_texts = ["".join(rng.choice("ab \n\t.1'é 你") for _ in range(rng.randrange(40))) for _ in range(400)]
+    rows = list(enumerate([*TRICKY, *random_texts, *texts.values()]))
+    ship_package(spark)
+    got = {r.doc_id: r for r in token_counts.count_tokens(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, t in rows:
+        assert got[i].n_tokens == len(plain_tokenizer.encode(t, add_special_tokens=False).ids), t
+        assert got[i].n_bytes == len(t.encode()) and got[i].over_limit == (got[i].n_tokens > 1024)
+
+
+def test_token_bytes(plain_tokenizer, texts):
+    rng = random.Random(4)
+    random_texts = ["".join(rng.choice("ab \n\t.1'é 你") for _ in range(rng.randrange(40))) for _ in range(400)]
+    for t in [*TRICKY, *random_texts, *texts.values(), *(t or "" for _, t in TEXTS[:5])]:
+        want = [*plain_tokenizer.encode(t, add_special_tokens=False).ids, 0]
+        assert packing.token_bytes(t) == np.array(want, dtype="<u4").tobytes(), t
+
+
+def test_chunks_join_to_the_text(texts):
+    for t in [*TRICKY, *texts.values()]:
+        assert " ".join(bpe.chunks(t)) == t
+
+
+def test_packing_places_every_id_once(docs, texts, plain_tokenizer):
+    rows = packing.pack(docs, with_ids=True).collect()
+    by_doc, by_sequence = {}, {}
+    for r in rows:
+        by_doc.setdefault(r.doc_id, []).append(r)
+        by_sequence.setdefault(r.sequence_id, []).append(r)
+    for i, t in texts.items():
+        ids = [*plain_tokenizer.encode(t or "", add_special_tokens=False).ids, 0]
+        pieces = sorted(by_doc[i], key=lambda r: r.start)
+        assert b"".join(bytes(p.ids) for p in pieces) == np.array(ids, dtype="<u4").tobytes()
+        assert [p.start for p in pieces] == [sum(q.length for q in pieces[:k]) for k in range(len(pieces))]
+        assert all(p.ids_crc32 == zlib.crc32(bytes(p.ids)) and p.doc_tokens == len(ids) for p in pieces)
+    for own in by_sequence.values():
+        own.sort(key=lambda r: r.offset)
+        assert [r.offset for r in own] == [sum(q.length for q in own[:k]) for k in range(len(own))]
+        assert sum(r.length for r in own) <= 1024
+    assert sum(r.length for r in rows) / (1024 * len(by_sequence)) > 0.95
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_histogram_packing(seed):
+    rng = random.Random(seed)
+    histogram = {n: rng.randrange(1, 50) for n in rng.sample(range(1, 65), 20)}
+    packs = packing.patterns(histogram, 64)
+    placed = {}
+    for lengths, n in packs:
+        assert sum(lengths) <= 64 and n > 0
+        for x in lengths:
+            placed[x] = placed.get(x, 0) + n
+    assert placed == histogram
+    for length, count in histogram.items():  # ranks are dealt without gap or overlap
+        spans = sorted((r[1], r[2]) for r in packing.places(packs, 0) if r[0] == length)
+        assert spans[0][0] == 0 and spans[-1][1] == count and all(a[1] == b[0] for a, b in zip(spans, spans[1:], strict=False))
+
+
+# --- SimHash -------------------------------------------------------------------
+
+
+def test_fingerprint(texts):
+    for t in [*texts.values(), "", " ", "One", "one two", "a  B\x0bc\x0cd\x1ce f"]:
+        w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t))
+        grams = [" ".join(w[i:i + 3]) for i in range(len(w) - 2)] or ([" ".join(w)] if w else [])
+        h = [xxhash.xxh64_intdigest(g.encode(), 42) for g in grams]
+        assert simhash.fingerprint(t.encode()) == sum(1 << k for k in range(64) if 2 * sum(x >> k & 1 for x in h) > len(h))
+
+
+def test_code_covers_every_block():
+    _, patterns = simhash._cosets(0)
+    assert all(len(errors) == 1 for errors, _ in patterns)
+
+
+@pytest.mark.parametrize("max_bits", [0, 1, 2])
+def test_links_against_all_pairs(spark, max_bits):
+    ship_package(spark)
+    rng = random.Random(max_bits)
+    values = {0, (1 << 64) - 1}
+    for _ in range(40):
+        x = rng.getrandbits(64)
+        for _ in range(12):  # a cloud around each centre
+            values.add(x)
+            x ^= sum(1 << b for b in rng.sample(range(64), rng.randrange(1, 4)))
+    signed = sorted(np.array(sorted(values), dtype=np.uint64).view(np.int64).tolist())
+    got = simhash.links(spark.createDataFrame([(v,) for v in signed], "fp long").repartition(3), max_bits).collect()
+    want = {(a, b) for a in signed for b in signed if b < a and ((a ^ b) & (1 << 64) - 1).bit_count() <= max_bits}
+    assert len(got) == len(want) and {(r.u, r.v) for r in got} == want
+
+
+def _roots(edges):
+    parent = {}
+
+    def find(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for u, v in edges:
+        a, b = find(u), find(v)
+        parent[max(a, b)] = min(a, b)
+    return {x: find(x) for x in parent if find(x) != x}
+
+
+@pytest.mark.parametrize("shape", ["chain", "star", "random", "none"])
+def test_components(spark, shape):
+    rng = random.Random(1)
+    edges = {"chain": [(i + 1, i) for i in range(60)], "star": [(i, -5) for i in range(200)], "none": [],
+             "random": [(max(p), min(p)) for p in ((rng.randrange(150), rng.randrange(150)) for _ in range(110)) if p[0] != p[1]]}[shape]
+    got = components.components(spark.createDataFrame(edges, "u long, v long").distinct(), "test-stars")
+    assert {r.node: r.root for r in got.collect()} == _roots(edges)
+
+
+def test_near_duplicates_and_survivors(spark):
+    ship_package(spark)
+    base = " ".join(f"w{i}" for i in range(400))
+    rows = [(30, base), (20, base), (20, base), (None, base), (10, base + " x"), (5, "other words here"), (None, "lonely null"), (7, None), (8, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.doc_id, r.fingerprint): r.component_id for r in simhash.near_duplicates(df).collect()}
+    fps = [simhash.fingerprint((t or "").encode()) for _, t in rows]
+    near = [(i, j) for i in range(len(rows)) for j in range(i) if (fps[i] ^ fps[j]).bit_count() <= 2]
+    roots = _roots(near)
+    for i, (doc, _) in enumerate(rows):
+        members = [rows[j][0] for j in range(len(rows)) if roots.get(j, j) == roots.get(i, i) and rows[j][0] is not None]
+        assert got[doc, f"{fps[i]:016x}"] == min(members, default=None)
+    kept = simhash.deduplicate(df).collect()
+    assert len(kept) == len({roots.get(i, i) for i in range(len(rows))})
+
+
+# --- decontamination -------------------------------------------------------------
+
+
+@pytest.mark.parametrize("slice_chars", [30, 10**9])
+def test_windows(spark, slice_chars):
+    ship_package(spark)
+    rng = random.Random(2)
+    text = lambda n: " ".join(rng.choice("abcd") for _ in range(n))
+    items = [(i, text(rng.choice([0, 1, 3, 12, 13, 14, 20]))) for i in range(12)]
+    docs = [(i, text(rng.randrange(60)) + rng.choice(["", " E-" + items[i % 12][1].upper() + "!"])) for i in range(80)]
+    got = decontaminate.contamination(spark.createDataFrame(docs, "doc_id long, text string"),
+                                      spark.createDataFrame(items, "item_id long, text string"), slice_chars=slice_chars)
+    for r in got.collect():
+        w, hit, found = plain_words(dict(docs)[r.doc_id]), set(), set()
+        for item, t in items:
+            v = plain_words(t)
+            k = min(13, len(v))
+            for s in range(len(v) - k + 1) if k else ():
+                for p in range(len(w) - k + 1):
+                    if w[p:p + k] == v[s:s + k]:
+                        hit.update(range(p, p + k))
+                        found.add(str(item))
+        assert (r.n_words, r.n_hit, r.n_items) == (len(w), len(hit), len(found))
+        assert r.items_sha256 == hashlib.sha256(",".join(sorted(found)).encode()).hexdigest()
+        assert r.contaminated == (len(hit) > 0 and 20 * len(hit) >= len(w))
+
+
+# --- personal data -----------------------------------------------------------------
+
+BASE = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+        "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
+
+
+def plain_spans(text):
+    out = []
+    for kind, pattern in BASE.items():
+        for m in re.finditer(pattern, text):
+            digits = re.sub("[^0-9]", "", m[0])
+            doubled = [int(c) * (1 + i % 2) for i, c in enumerate(reversed(digits))]
+            if (kind == "ip" and any(int(p) > 255 for p in m[0].split("."))
+                    or kind == "card" and not (16 <= len(digits) <= 19 and sum(x - 9 * (x > 9) for x in doubled) % 10 == 0)
+                    or kind == "phone" and not 8 <= len(digits) <= 15):
+                continue
+            out.append((kind, *m.span()))
+    return out
+
+
+def test_base_spans(texts):
+    rng = random.Random(5)
+    for alphabet in ("a@.-", "1.2@a", "1 -", "+1 (.-)", "+12 -.@ab("):
+        for _ in range(1500):
+            t = "".join(rng.choice(alphabet) for _ in range(rng.randrange(30)))
+            assert pii.base_spans(t) == plain_spans(t), t
+    for t in [*texts.values(), *(t or "" for _, t in TEXTS)]:
+        assert pii.base_spans(t) == plain_spans(t)
+
+
+def test_spans_hold_the_base_and_redaction_covers_them(docs, texts):
+    model = pii.fit(docs)
+    for r in pii.find(docs, model).collect():
+        spans = [s for s in r.spans.split(",") if s]
+        base = [f"{k}:{s}:{e}" for k, s, e in plain_spans(texts[r.doc_id])]
+        assert set(base) <= set(spans)
+        assert r.base_sha256 == hashlib.sha256(",".join(base).encode()).hexdigest()
+    for r in pii.redact(docs, model).collect():
+        assert not plain_spans(r.text) or not plain_spans(texts[r.doc_id])
+    assert pii.redacted("a bb c", [("ip", 2, 4), ("card", 3, 5)]) == "a [IP]c"
+
+
+# --- licenses ----------------------------------------------------------------------
+
+
+def test_licenses(spark):
+    ship_package(spark)
+    rng = random.Random(6)
+    pool = sorted({w for t in licenses.TEMPLATES for w in t.text.split()})
+    docs = []
+    for i in range(60):
+        w = [rng.choice(pool) for _ in range(rng.randrange(50))]
+        t = rng.choice(licenses.TEMPLATES)
+        v = [rng.choice(pool) if rng.random() < 0.1 and not t.base else x for x in t.text.split()]
+        at = rng.randrange(len(w) + 1)
+        docs.append((i, "! ".join(w[:at] + v + w[at:]).title()))
+    for r in licenses.scan(spark.createDataFrame(docs, "doc_id long, text string")).collect():
+        w = plain_words(dict(docs)[r.doc_id])
+        base, labels, best = [], set(), 0.0
+        for t in licenses.TEMPLATES:
+            v = t.text.split()
+            for s in range(max(1, len(w) - len(v) + 1)):
+                share = len(set(w[s:s + len(v)]) & set(v)) / len(set(v))
+                if share >= t.threshold - 1e-9:
+                    labels.add(t.label)
+                    best = max(best, share)
+                if t.base and w[s:s + len(v)] == v:
+                    base.append((s, t.label))
+        assert (r.n_words, r.n_base, r.labels) == (len(w), len(base), ",".join(sorted(labels)))
+        assert r.base_labels == ",".join(sorted({k for _, k in base}))
+        assert (r.first_word, r.last_word) == (min(base)[0] if base else None, max(base)[0] if base else None)
+        assert r.score == pytest.approx(best)
+
+
+# --- archives ------------------------------------------------------------------------
+
+
+def test_archives(spark, workdir):
+    ship_package(spark)
+    rows = [(i, f"http://h/{i} x\r\ny", "<p>\r\n\r\n" + "é" * (i % 4) * 50) for i in range(40)]
+    rows += [(100, None, None), (101, "u", ""), (101, "u", ""), (None, "u", "<p>\r\n\r\n"), (None, "n", "only null"), (None, "n", "only null")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    got = warc.archive_round_trip(pages).collect()
+    first = {}
+    for i, _, h in rows:
+        first[h or ""] = min(x for x in (first.get(h or ""), i, 1 << 60) if x is not None)
+    want = []
+    for i, _, h in rows:
+        f = first[h or ""] if first[h or ""] < 1 << 60 else None
+        data = (h or "").encode()
+        revisit = f is not None and i != f
+        want.append((i, len(data), base64.b32encode(hashlib.sha1(data).digest()).decode(), "revisit" if revisit else "response", f if revisit else None))
+    order = lambda r: tuple((x is None, x) for x in r)
+    assert sorted((tuple(r) for r in got), key=order) == sorted(want, key=order)
+
+    index = warc.write_archives(pages, workdir, archive_bytes=2_000)
+    assert index.select("file").distinct().count() > 3
+    some = index.filter("page_id in ('3', '7', '11')")
+    records = {r.page_id: r for r in warc.read_records(some, workdir, range_bytes=700, gap_bytes=100).collect()}
+    assert set(records) == {"3", "7", "11"}
+    assert bytes(warc.read_records(index.filter("page_id = '3' and record_type = 'response'"), workdir).first().payload).decode() == rows[3][2]
+
+
+# --- SpotSigs ----------------------------------------------------------------------------
+
+
+def plain_edits(rows):
+    order = sorted(rows, key=lambda r: -r[0])
+    out = {}
+    for k, (i, t) in enumerate(order):
+        t, following = t or "", order[(k + 1) % len(order)][1] or ""
+        out[i] = t[:len(t) - len(t) // 3] + following[:len(t) // 3]
+    return out
+
+
+def test_spotsigs(spark, docs, texts):
+    rows = [*texts.items(), (10_000, None), (10_001, ""), (10_002, "\U0001f600é" * 7), (-3, texts[1]), (10_003, texts[1])]
+    got = {r.doc_id: r for r in spotsigs.fingerprints(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    edits, order = plain_edits(rows), sorted(dict(rows), reverse=True)
+    sets = spark.createDataFrame([(f"{k}{i}", t or "") for k, own in (("d", dict(rows)), ("e", edits)) for i, t in own.items()], "k string, t string")
+    sets = {r.k: set(r.s) for r in spotsigs.with_signatures(sets, "t", "s").collect()}
+
+    def like(a, b):
+        n, m = sorted((len(a), len(b)))
+        return len(a & b) / len(a | b) if n >= spotsigs.LEAST * m else 0.0
+
+    for k, i in enumerate(order):
+        r = got[i]
+        assert r.n_chars == len(dict(rows)[i] or "") and r.edited_sha256 == hashlib.sha256(edits[i].encode()).hexdigest()
+        assert r.near_edited == pytest.approx(like(sets[f"d{i}"], sets[f"e{i}"]))
+        assert r.near_next == pytest.approx(like(sets[f"d{i}"], sets[f"d{order[(k + 1) % len(order)]}"]))
+    assert got[-3].fingerprint == got[10_003].fingerprint == got[1].fingerprint
+    by_text = {}
+    for i, t in rows:
+        assert by_text.setdefault(t or "", got[i].fingerprint) == got[i].fingerprint

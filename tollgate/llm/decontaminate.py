@@ -6,9 +6,10 @@ item). Texts are scanned where they are: a window of k words must cover one of
 the word pairs that start at every (k-1)-th word, so only these pairs are
 probed; around a known pair every window is compared in full with the set.
 
-The set is broadcast, so the benchmark is dealt into slices of at most
+The set is broadcast, so the benchmark is dealt into slices of about
 ``slice_chars`` characters of text; each slice is one scan over the rows, in a
-chain without any shuffle. A benchmark of usual size is one slice.
+chain without any shuffle that is written out after every fourth. A benchmark
+of usual size is one slice.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD_BYTES, utf8
+from .common import WORD_BYTES, utf8, written
 
 _WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 _FOUND = "spans array<struct<start:long,end:long>>, items array<string>"
@@ -95,7 +96,8 @@ def find_windows(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
     kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in cols)
     schema = f"{kinds}, found struct<n_words:long, {_FOUND.replace(' array', ':array')}>"
     out = docs.select(*cols, F.lit(None).cast("struct<n_words:long," + _FOUND.replace(" array", ":array") + ">").alias("found"))
-    for items in _slices(benchmark, item_col, item_text_col, slice_chars):
+    for k, items in enumerate(_slices(benchmark, item_col, item_text_col, slice_chars)):
+        out = written(out, "decontaminate") if k and k % 4 == 0 else out
         known = spark.sparkContext.broadcast(windows(items, n))
 
         def search(batches: Iterator[pa.RecordBatch], known=known) -> Iterator[pa.RecordBatch]:

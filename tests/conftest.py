@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -19,6 +20,8 @@ def spark():
          .config("spark.sql.shuffle.partitions", "8")
          .config("spark.ui.enabled", "false")
          .config("spark.sql.session.timeZone", "UTC")
+         .config("spark.driver.memory", "8g")
+         .config("spark.checkpoint.dir", os.environ.get("TOLLGATE_TEST_CHECKPOINTS") or tempfile.mkdtemp(prefix="tollgate-tests-"))
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
     yield s

@@ -9,7 +9,7 @@ from tollgate.functions import SILVER_RULES
 from tollgate.operators import rejects, volumetry_gate, volumetry_report
 from tollgate.operators.volumetry import VolumetryError
 from tollgate.sources.lake import (
-    leaf_schemas, load_source, pattern_out_path, read_parquet, source_path,
+    load_source, pattern_out_path, read_parquet, source_path,
     source_root, with_leaf_dir, write_leaf,
 )
 from tollgate.sources.reviews import review_source, silver_source
@@ -60,12 +60,40 @@ def test_drift_in_one_app_is_seen(spark, workdir):
     root = source_root(workdir, "bronze", "apple_store")
     write_leaf(orders, f"{root}/app1/odate={D}")
     write_leaf(orders.withColumn("z", F.lit("drift")), f"{root}/app2/odate={D}")
+    from tollgate.operators.schemas import folder_schema_report
     glob = source_path(workdir, "bronze", "apple_store", D)
-    merged = load_source(spark, glob, "apple_store", merge_schema=True).df
-    assert "z" in merged.columns
-    per_leaf = leaf_schemas(spark, glob)
-    assert len(per_leaf) == 2
-    assert sorted("z" in s.fieldNames() for s in per_leaf.values()) == [False, True]
+    got = {r["folder"]: (r["validation_status"], r["n_differences"])
+           for r in folder_schema_report(spark, glob, orders.schema).collect()}
+    assert got == {"app1": ("match", 0), "app2": ("no_match", 1)}
+
+
+def test_files_of_any_name_and_depth_are_judged(spark, workdir):
+    from tollgate.operators.schemas import file_schema_report
+    from tollgate.session import move_path
+    orders = spark.read.parquet(f"{SF001}/orders.parquet")
+    leaf = f"{source_root(workdir, 'bronze', 'apple_store')}/app1/odate={D}"
+    write_leaf(orders.coalesce(1), f"{workdir}/other")
+    name = next(f for f in os.listdir(f"{workdir}/other".replace("file:", "")) if f.endswith(".parquet"))
+    move_path(spark, f"{workdir}/other/{name}", f"{leaf}/delivered data")
+    orders.drop("o_orderstatus").coalesce(1).write.parquet(f"{leaf}/hour=7")
+    got = {r["file"].rsplit("odate=", 1)[1]: r for r in
+           file_schema_report(spark, "x", f"{leaf}", orders.schema).collect()}
+    odd = got.pop(next(k for k in got if k.startswith(f"{D}/delivered")))
+    below = list(got.values())
+    assert odd["validation_status"] == "match" and odd["folder"] == "app1"
+    assert [(r["folder"], sorted((d["column_name"], d["status"]) for d in r["differences"])) for r in below] == [
+        ("app1", [("hour", "unexpected"), ("o_orderstatus", "missing")])]
+
+
+def test_landing_replaces_its_own_date_only(spark, workdir):
+    from tollgate.sources.lake import land_by_app
+    from tollgate.sources.reviews import bronze_source
+    src = bronze_source(spark, SF001, "apple_store")
+    for d in ("20240101", "20240102", "20240102"):
+        land_by_app(src, workdir, "bronze", "apple_store", d)
+    n = src.count()
+    for d in ("20240101", "20240102"):
+        assert read_parquet(spark, source_path(workdir, "bronze", "apple_store", d)).count() == n
 
 
 def test_rerun_without_rejects_clears_quarantine(spark, workdir):
@@ -115,7 +143,7 @@ def test_quarantine_history_prunes_partitions(spark, workdir):
     for d in ("20240101", "20240102", "20240103"):
         write_leaf(rejects(src, rules), pattern_out_path(workdir, "apple_store", d))
     one = read_quarantine(spark, workdir, "apple_store", ["20240102"])
-    plan = one._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(odate" in plan and "20240102" in plan
+    assert all("odate=20240102" in f for f in one.inputFiles())  # the file index holds no other date
+    assert one.schema["odate"].dataType.simpleString() == "int"
     assert one.count() == rejects(src, rules).count()
     assert read_quarantine(spark, workdir, "apple_store").select("odate").distinct().count() == 3

@@ -83,6 +83,10 @@ def test_layer_and_odate_validation():
         validate_layer("gold")
     with pytest.raises(ValueError):
         run_quality(None, "/x", "silver", "2024-01-01", "/q")
+    from tollgate.plans.run import validate_odate
+    for bad in ("20241399", "20230229", "\u0662\u0660\u0662\u0664\u0660\u0661\u0660\u0661", "2024010"):
+        with pytest.raises(ValueError):
+            validate_odate(bad)
 
 
 def test_bronze_merge_conflict_is_a_schema_failure(spark, workdir):
@@ -102,6 +106,10 @@ def test_bronze_merge_conflict_is_a_schema_failure(spark, workdir):
     assert checks[("mongodb", "schema")] == "match"
     fails = read_parquet(spark, job_failures_path(quality)).collect()
     assert [(r["stage"], r["source"]) for r in fails] == [("schema", "google_play")]
+    assert fails[0]["error"] == "files disagree on the type of a column: likes: bigint and string"
+    assert res.status == "partial"
+    report = read_parquet(spark, schema_out_path(quality, D)).first()
+    assert '"likes"' in report["differences"] and "type_mismatch" in report["differences"]
 
 
 def test_odate_defaults_to_today():
@@ -116,6 +124,9 @@ def test_cli_runs_and_exit_codes(spark, workdir):
     assert read_parquet(spark, pattern_out_path(quality, "mongodb", D)).count() == 5491
     assert main(["silver", "--base", f"{workdir}/nowhere", "--quality", quality, "--odate", D]) == 1
     assert main(["gold", "--base", base, "--quality", quality, "--odate", D]) == 1
+    with pytest.raises(SystemExit) as usage:
+        main(["silver", "--base", base])
+    assert usage.value.code == 1
 
 
 def test_valid_output_rebalance_and_preview(spark, workdir, capsys):
@@ -137,7 +148,85 @@ def test_valid_output_rebalance_and_preview(spark, workdir, capsys):
 
 def test_shared_dir_comes_from_session(spark):
     from tollgate.session import shared_dir
-    assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
+    assert shared_dir(spark) == (spark.conf.get("spark.checkpoint.dir", None)
+                                 or spark.sparkContext.getCheckpointDir()).rstrip("/")
+
+
+def test_cluster_without_shared_dir_is_an_error():
+    from types import SimpleNamespace as N
+    from tollgate.session import shared_dir
+    for master, fine in (("local[2]", True), ("spark://h:7077", False), ("yarn", False), ("local-cluster[1,1,1024]", False)):
+        sc = N(master=master, getConf=lambda: N(get=lambda k, d: d), getCheckpointDir=lambda: None, setCheckpointDir=lambda p: None)
+        cluster = N(conf=N(get=lambda k, d: d), sparkContext=sc)
+        if fine:
+            assert shared_dir(cluster)
+        else:
+            with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+                shared_dir(cluster)
+
+
+def test_rerun_that_cannot_check_leaves_no_stale_rows(spark, workdir):
+    base, quality = _lake(spark, workdir, sources=("apple_store",))
+    run_quality(spark, base, "silver", D, quality, sources=("apple_store",), write_valid=True)
+    write_leaf(silver_source(spark, SF01, "apple_store").drop("content"), source_path(base, "silver", "apple_store", D))
+    res = run_quality(spark, base, "silver", D, quality, sources=("apple_store",))
+    assert res.status == "partial"
+    from tollgate.session import path_exists
+    for kind in ("pattern", "valid"):
+        assert not path_exists(spark, pattern_out_path(quality, "apple_store", D, kind))
+
+
+def test_one_bad_source_leaves_the_others(spark, workdir):
+    from pyspark.sql import functions as F
+    base, quality = _lake(spark, workdir, transform=lambda s, df: df.withColumn("validation", F.lit(1)) if s == "google_play" else df)
+    res = run_quality(spark, base, "silver", D, quality)
+    got = {(r[0], r[1]): (r[2], r[3], r[4]) for r in res.summary_rows}
+    assert res.status == "partial"
+    assert got[("google_play", "pattern")] == ("error", 1000, None)
+    assert got[("mongodb", "pattern")] == ("no_match", 10000, 5491)
+    assert set(res.rule_failures) == {"mongodb", "apple_store"}
+    m = read_parquet(spark, run_metrics_path(quality)).filter("check = 'pattern'").collect()
+    assert {r["source"]: r["status"] for r in m} == {"google_play": "error", "mongodb": "no_match", "apple_store": "no_match"}
+
+
+def test_long_errors_are_stored_whole(spark, workdir):
+    from tollgate.operators.metrics import record_failure
+    text = "x" * 5000
+    record_failure(spark, job_failures_path(workdir), run_id="r", odate=D, layer="silver", stage="s", source=None, error=text)
+    assert read_parquet(spark, job_failures_path(workdir)).first()["error"] == text
+
+
+def test_every_drifting_folder_is_a_row(spark, workdir):
+    from tollgate.sources.lake import schema_folders_path, source_root
+    from tollgate.sources.reviews import bronze_source
+    base, quality = f"{workdir}/lake", f"{workdir}/quality"
+    one = bronze_source(spark, "/root/testdata/sf0.001", "apple_store").drop("app_folder").limit(1).cache()
+    for k in range(25):
+        write_leaf(one.drop("title"), f"{source_root(base, 'bronze', 'apple_store')}/app{k}/odate={D}")
+    res = run_quality(spark, base, "bronze", D, quality, sources=("apple_store",))
+    rows = read_parquet(spark, schema_folders_path(quality, D)).filter("validation_status = 'no_match'").collect()
+    assert len({r["folder"] for r in rows}) == len(rows) == 25
+    assert all(r["variants"][0][0]["column_name"] == "title" for r in rows)
+    assert res.status == "success" and res.summary_rows[1][2:5] == ("no_match", None, 1)
+
+
+def test_failing_metrics_are_on_record(spark, workdir, monkeypatch):
+    from tollgate.plans import run
+    base, quality = _lake(spark, workdir, sources=("apple_store",))
+
+    def broken(*a, **k):
+        raise OSError("metrics table is locked")
+    monkeypatch.setattr(run, "append_rows", broken)
+    with pytest.raises(OSError, match="locked"):
+        run_quality(spark, base, "silver", D, quality, sources=("apple_store",))
+    row = read_parquet(spark, job_failures_path(quality)).first()
+    assert (row["stage"], row["error"]) == ("metrics", "metrics table is locked")
+
+
+def test_bad_arguments_are_on_record(spark, workdir):
+    with pytest.raises(ValueError):
+        run_quality(spark, workdir, "gold", D, workdir)
+    assert read_parquet(spark, job_failures_path(workdir)).first()["stage"] == "arguments"
 
 
 def test_custom_source_with_own_schema_and_rules(spark, workdir):
@@ -193,7 +282,7 @@ def test_caller_job_group_is_restored(spark, workdir):
     res = run_quality(spark, base, "silver", D, quality, sources=("apple_store",))
     assert sc.getLocalProperty("spark.jobGroup.id") == "caller-group"
     ids = sc.statusTracker().getJobIdsForGroup(res.job_group)
-    assert len(ids) >= 3  # gate, schema report, pattern pass, metrics append
+    assert len(ids) >= 5  # load, gate, footers, schema report, pattern pass, metrics append
     sc.setLocalProperty("spark.jobGroup.id", None)
 
 
@@ -234,8 +323,9 @@ def test_bronze_drift_names_the_app_folder(spark, workdir):
     res = run_quality(spark, base, "bronze", D, quality)
     checks = {(r[0], r[1]): r[2] for r in res.summary_rows}
     assert checks[("apple_store", "schema")] == "no_match"
-    msg = [f["error"] for f in res.failures if f["source"] == "apple_store"]
-    assert msg and "app_folder=late" in msg[0] and msg[0].startswith("1 of 4 app folders")
+    from tollgate.sources.lake import schema_folders_path
+    bad = read_parquet(spark, schema_folders_path(quality, D)).filter("validation_status = 'no_match'").collect()
+    assert [(r["source"], r["folder"], r["n_differences"]) for r in bad] == [("apple_store", "app_folder=late", 1)]
 
 
 def test_bronze_without_count_pass(spark, workdir):

@@ -21,6 +21,8 @@ def _variant(kind):
         f[3] = T.StructField("rating", T.DoubleType())
     elif kind == "extra":
         f.append(T.StructField("extra", T.StringType()))
+    elif kind == "front":
+        f.insert(0, T.StructField("extra", T.StringType()))
     elif kind == "missing":
         f = f[:-2] + f[-1:]
     elif kind == "nested":
@@ -51,7 +53,8 @@ def test_exact_schema_matches(spark):
     ("upper", {"id": "missing", "ID": "unexpected"}),
     ("retyped", {"rating": "type_mismatch"}),
     ("extra", {"extra": "unexpected"}),
-    ("missing", {"snippet": "missing", "historical_data": "moved"}),
+    ("missing", {"snippet": "missing"}),
+    ("front", {"extra": "unexpected"}),
     ("nested", {"historical_data": "type_mismatch"}),
     ("non_nullable", {"id": "nullability_mismatch"}),
 ])
@@ -78,7 +81,7 @@ def test_missing_source_reported(spark):
 
 
 def test_unknown_source_guard():
-    with pytest.raises(ValueError, match="unknown schema"):
+    with pytest.raises(ValueError, match="no expected schema"):
         expected_schema("tiktok", "silver")
     with pytest.raises(ValueError):
         expected_schema("google_play", "gold")

@@ -23,8 +23,16 @@ from tollgate.functions.rules import rules_from_dicts  # noqa: E402
 from tollgate.plans.run import run_quality  # noqa: E402
 
 
+class _Parser(argparse.ArgumentParser):
+    """A usage error is a failed run (1); 2 says that a source was not checked."""
+
+    def error(self, message: str):
+        self.print_usage(sys.stderr)
+        self.exit(1, f"{self.prog}: error: {message}\n")
+
+
 def main(argv: list[str] | None = None) -> int:
-    p = argparse.ArgumentParser(prog="tollgate", description=__doc__.splitlines()[0])
+    p = _Parser(prog="tollgate", description=__doc__.splitlines()[0])
     p.add_argument("layer", help="bronze or silver")
     p.add_argument("--base", required=True, help="lake root holding <layer>/<prefix>/<source>/...")
     p.add_argument("--quality", required=True, help="root of the quality outputs")
@@ -33,6 +41,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--write-valid", action="store_true", help="also write accepted rows")
     p.add_argument("--rebalance-rejects", action="store_true", help="compact sparse rejects")
     p.add_argument("--preview", type=int, default=0, help="print N quarantined rows per source")
+    p.add_argument("--preview-full", action="store_true", help="print their values in full width")
     p.add_argument("--no-count", action="store_true",
                    help="bronze: gate on emptiness only, skip the row-count pass")
     p.add_argument("--rules", default=None,
@@ -47,7 +56,7 @@ def main(argv: list[str] | None = None) -> int:
     try:
         res = run_quality(spark, a.base, a.layer, a.odate, a.quality, prefix=a.prefix,
                           write_valid=a.write_valid, rebalance_rejects=a.rebalance_rejects,
-                          preview=a.preview, raise_on_failure=False, rules=rules,
+                          preview=a.preview, preview_truncate=not a.preview_full, raise_on_failure=False, rules=rules,
                           count_rows=not a.no_count)
     except ValueError as exc:  # bad arguments
         logging.error("%s", exc)

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.rules import FAILED_COLUMNS, Rule
+from ..functions.rules import FAILED_COLUMNS, NO_MATCH, VALIDATION, Rule
 from ..sources.local import local_frame
 from .patterns import failure_count_exprs
 
@@ -42,18 +42,17 @@ JOB_FAILURE_SCHEMA = T.StructType([
 ])
 
 
-MAX_ERROR_CHARS = 4000
-
-
 def now_iso() -> str:
     return _dt.datetime.now(_dt.timezone.utc).isoformat()
 
 
 def observe_rejects(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, Observation]:
-    """Attach an Observation counting rows and per-rule failures to an
-    annotated (rejects) frame. Values are available after the frame's action."""
+    """Attach an Observation counting rejected rows and per-rule failures to an
+    annotated frame, with or without its valid rows. Values are available after
+    the frame's action."""
     obs = Observation()
-    exprs: list[Column] = [F.count(F.lit(1)).alias("n_rows")] + failure_count_exprs(rules, FAILED_COLUMNS)
+    exprs: list[Column] = [F.count_if(F.col(VALIDATION) == NO_MATCH).alias("n_bad")]
+    exprs += failure_count_exprs(rules, FAILED_COLUMNS)
     return df.observe(obs, *exprs), obs
 
 
@@ -65,10 +64,7 @@ def append_rows(spark: SparkSession, rows: list[tuple], schema: T.StructType, pa
 def record_failure(spark: SparkSession, path: str, *, run_id: str, odate: str, layer: str,
                    stage: str, source: str | None, error: BaseException | str) -> dict:
     """Append one failure row (replaces a metric document sent to a search
-    index). Returns the row as a dict."""
-    text = str(error)
-    if len(text) > MAX_ERROR_CHARS:  # JVM errors carry whole stack traces
-        text = text[:MAX_ERROR_CHARS] + " ...[truncated]"
-    row = (run_id, odate, layer, stage, source, text, now_iso())
+    index). The error is stored whole. Returns the row as a dict."""
+    row = (run_id, odate, layer, stage, source, str(error), now_iso())
     append_rows(spark, [row], JOB_FAILURE_SCHEMA, path)
     return dict(zip(JOB_FAILURE_SCHEMA.names, row))

@@ -109,3 +109,13 @@ def rule_failure_counts(df: DataFrame, rules: Sequence[Rule], source: str) -> Da
     names = F.create_map(*[x for i, r in enumerate(rules) for x in (F.lit(f"r{i}"), F.lit(r.name))])
     return long.select(F.lit(source).alias("source"), names[F.col("slot")].alias("column_name"),
                        F.col("n_failed"))
+
+
+def valid_invalid_counts(df: DataFrame, rules: Sequence[Rule], source: str) -> DataFrame:
+    """``source, n_rows, n_valid, n_invalid``: one aggregate that evaluates the
+    violations once per row."""
+    check_columns(df, rules)
+    counts = df.agg(F.count(F.lit(1)).alias("n_rows"),
+                    F.count_if(any_violation(_cheap_first(rules))).alias("n_invalid"))
+    return counts.select(F.lit(source).alias("source"), "n_rows",
+                         (F.col("n_rows") - F.col("n_invalid")).alias("n_valid"), "n_invalid")

@@ -70,23 +70,31 @@ def _is_empty_all(sources: Mapping[str, DataFrame | None], max_workers: int = 8)
         return dict(zip(present, pool.map(lambda n: sources[n].isEmpty(), present)))
 
 
-def emptiness(spark: SparkSession, sources: Mapping[str, DataFrame | None]) -> DataFrame:
-    """``source, is_empty`` per source (missing sources count as empty),
-    from ``isEmpty`` per source rather than a count."""
+def gate_states(spark: SparkSession, sources: Mapping[str, DataFrame | None],
+                absent: Mapping[str, str] | None = None) -> dict[str, str]:
+    """``ok``, ``empty`` or, for a source that is ``None``, what ``absent`` says
+    of it (default ``missing``); about one split read per source."""
     flags = _is_empty_all(sources)
-    rows = [(n, True if df is None else flags[n]) for n, df in sources.items()]
-    return local_frame(spark, rows, "source string, is_empty boolean")
+    return {n: (absent or {}).get(n, MISSING) if df is None else EMPTY if flags[n] else OK
+            for n, df in sources.items()}
 
 
-def volumetry_gate(spark: SparkSession, sources: Mapping[str, DataFrame | None]) -> None:
-    """Raise ``VolumetryError`` naming each empty or missing source; about
-    one split read per source (see ``_is_empty_all``)."""
-    flags = _is_empty_all(sources)
-    failures = {}
-    for name, df in sources.items():
-        if df is None:
-            failures[name] = MISSING
-        elif flags[name]:
-            failures[name] = EMPTY
+def volumetry_gate(spark: SparkSession, sources: Mapping[str, DataFrame | None],
+                   absent: Mapping[str, str] | None = None) -> dict[str, str]:
+    """Raise ``VolumetryError`` naming each source that does not hold rows;
+    else return the states (see ``gate_states``)."""
+    states = gate_states(spark, sources, absent)
+    failures = {n: st for n, st in states.items() if st != OK}
     if failures:
         raise VolumetryError(failures)
+    return states
+
+
+def emptiness(spark: SparkSession, sources: Mapping[str, DataFrame | None]) -> DataFrame:
+    """``source, is_empty, status`` per source, as the gate judges them."""
+    try:
+        states = volumetry_gate(spark, sources)
+    except VolumetryError as exc:
+        states = {n: exc.failures.get(n, OK) for n in sources}
+    return local_frame(spark, [(n, st != OK, st) for n, st in states.items()],
+                       "source string, is_empty boolean, status string")

@@ -19,9 +19,11 @@ from ..functions.review_rules import SILVER_RULES
 from ..functions.rules import (
     FAILED_COLUMNS, VALIDATION, any_violation, cast_regex, not_null, regex, violated,
 )
-from ..operators.patterns import annotate, joined_failures, rejects, rule_failure_counts, valid
+from ..operators.patterns import (
+    annotate, joined_failures, rejects, rule_failure_counts, valid, valid_invalid_counts,
+)
 from ..operators.schemas import (
-    D, I, L, S, expected_schema, fields, folder_schema_report, schema_diff, schema_report,
+    DOUBLE, INT, LONG, STRING, expected_schema, fields, folder_schema_report, schema_diff, schema_report,
 )
 from ..operators.volumetry import emptiness, volumetry_report
 from ..session import fresh_run_dir
@@ -33,9 +35,9 @@ from ..sources.reviews import (
     BRONZE_FIXTURES, REVIEW_FIXTURES, bronze_source, review_source, review_sql, silver_source, table,
     tables,
 )
-from ..streaming.quarantine import quarantine_stream
+from ..streaming.quarantine import drift_path, quarantine_stream
 from . import oracle as O
-from .run import job_failures_path, run_quality
+from .run import job_failures_path, run_metrics_path, run_quality
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
@@ -46,26 +48,26 @@ _TS, _F = T.TimestampNTZType(), T.FloatType()
 
 # --- fixed values: column contracts of the driver tables (TESTDATA.md) ----------
 TABLE_CONTRACTS: dict[str, T.StructType] = {
-    "region": fields(("r_regionkey", I), ("r_name", S)),
-    "nation": fields(("n_nationkey", I), ("n_name", S), ("n_regionkey", I)),
-    "customer": fields(("c_custkey", L), ("c_name", S), ("c_nationkey", I), ("c_acctbal", D),
-                       ("c_mktsegment", S)),
-    "supplier": fields(("s_suppkey", L), ("s_name", S), ("s_nationkey", I), ("s_acctbal", D)),
-    "part": fields(("p_partkey", L), ("p_name", S), ("p_brand", S), ("p_type", S), ("p_size", I),
-                   ("p_retailprice", D)),
-    "orders": fields(("o_orderkey", L), ("o_custkey", L), ("o_orderstatus", S), ("o_totalprice", D),
-                     ("o_orderdate", _TS), ("o_orderpriority", S)),
-    "lineitem": fields(("l_orderkey", L), ("l_partkey", L), ("l_suppkey", L), ("l_linenumber", I),
-                       ("l_quantity", D), ("l_extendedprice", D), ("l_discount", D), ("l_tax", D),
-                       ("l_returnflag", S), ("l_linestatus", S), ("l_shipdate", _TS)),
-    "events": fields(("event_id", L), ("ts", _TS), ("user_id", L), ("event_type", S), ("value", D),
-                     ("props", S)),
-    "documents": fields(("doc_id", L), ("text", S), ("lang", S), ("source", S), ("n_chars", L)),
-    "embeddings": fields(("vec_id", L), ("embedding", T.ArrayType(_F, True)), ("label", I)),
-    "pages": fields(("page_id", L), ("url", S), ("html", S)),
-    "benchmark": fields(("item_id", L), ("text", S)),
-    "labels": fields(("doc_id", L), ("quality", I), ("toxic", I)),
-    "conversations": fields(("conv_id", L), ("turn", L), ("role", S), ("text", S)),
+    "region": fields(("r_regionkey", INT), ("r_name", STRING)),
+    "nation": fields(("n_nationkey", INT), ("n_name", STRING), ("n_regionkey", INT)),
+    "customer": fields(("c_custkey", LONG), ("c_name", STRING), ("c_nationkey", INT), ("c_acctbal", DOUBLE),
+                       ("c_mktsegment", STRING)),
+    "supplier": fields(("s_suppkey", LONG), ("s_name", STRING), ("s_nationkey", INT), ("s_acctbal", DOUBLE)),
+    "part": fields(("p_partkey", LONG), ("p_name", STRING), ("p_brand", STRING), ("p_type", STRING), ("p_size", INT),
+                   ("p_retailprice", DOUBLE)),
+    "orders": fields(("o_orderkey", LONG), ("o_custkey", LONG), ("o_orderstatus", STRING), ("o_totalprice", DOUBLE),
+                     ("o_orderdate", _TS), ("o_orderpriority", STRING)),
+    "lineitem": fields(("l_orderkey", LONG), ("l_partkey", LONG), ("l_suppkey", LONG), ("l_linenumber", INT),
+                       ("l_quantity", DOUBLE), ("l_extendedprice", DOUBLE), ("l_discount", DOUBLE), ("l_tax", DOUBLE),
+                       ("l_returnflag", STRING), ("l_linestatus", STRING), ("l_shipdate", _TS)),
+    "events": fields(("event_id", LONG), ("ts", _TS), ("user_id", LONG), ("event_type", STRING), ("value", DOUBLE),
+                     ("props", STRING)),
+    "documents": fields(("doc_id", LONG), ("text", STRING), ("lang", STRING), ("source", STRING), ("n_chars", LONG)),
+    "embeddings": fields(("vec_id", LONG), ("embedding", T.ArrayType(_F, True)), ("label", INT)),
+    "pages": fields(("page_id", LONG), ("url", STRING), ("html", STRING)),
+    "benchmark": fields(("item_id", LONG), ("text", STRING)),
+    "labels": fields(("doc_id", LONG), ("quality", INT), ("toxic", INT)),
+    "conversations": fields(("conv_id", LONG), ("turn", LONG), ("role", STRING), ("text", STRING)),
 }
 CONTRACT_LAYER = "raw"
 # Single-rule keys: priority codes "<1-3>-<WORD>"; a 0-5 rating read as string.
@@ -125,8 +127,14 @@ def q_volumetry_report(spark, sf):
     return volumetry_report(spark, tables(spark, sf, TABLES))
 
 
+# rows that no table holds, for a source that arrives empty
+_EMPTY_SOURCE = ("orders", "o_orderkey is null and o_orderkey is not null")
+
+
 def q_volumetry_gate(spark, sf):
-    return emptiness(spark, _all_sources(spark, sf))
+    srcs = _all_sources(spark, sf)
+    name, nothing = _EMPTY_SOURCE
+    return emptiness(spark, {**srcs, "derived_empty": srcs[name].filter(nothing), "never_landed": None})
 
 
 # ---- schema -------------------------------------------------------------------------
@@ -137,22 +145,28 @@ def _schema_inputs(spark, sf):
     return actual, expected
 
 
-def _landed_reviews(spark, sf, label):
+_landed: dict[tuple, dict[str, DataFrame]] = {}
+
+
+def _landed_reviews(spark, sf):
     """The keyed review tables as a load lands them: written to their dated
     silver leaf and read back (schemas are checked on Parquet, where every
-    field is nullable, never on an in-memory projection)."""
-    base = fresh_run_dir(spark, label)
-    leaves = {s: source_path(base, "silver", s, RUN_ODATE) for s in REVIEWS}
-    write_leaves({leaves[s]: _review(spark, sf, s) for s in REVIEWS})
-    return read_many(spark, leaves)
+    field is nullable, never on an in-memory projection). Landed once for the
+    three schema keys of a session."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _landed:
+        base = fresh_run_dir(spark, "schema")
+        leaves = {s: source_path(base, "silver", s, RUN_ODATE) for s in REVIEWS}
+        write_leaves({leaves[s]: _review(spark, sf, s) for s in REVIEWS})
+        _landed[key] = read_many(spark, leaves)
+    return _landed[key]
 
 
 def _schema_frames(spark, sf, fn):
     actual, expected = _schema_inputs(spark, sf)
     raw = fn(spark, actual, expected, CONTRACT_LAYER)
-    rev_actual = _landed_reviews(spark, sf, f"schema_{fn.__name__}")
     rev_expected = {s: expected_schema(s, "silver") for s in REVIEWS}
-    return raw.unionByName(fn(spark, rev_actual, rev_expected, "silver"))
+    return raw.unionByName(fn(spark, _landed_reviews(spark, sf), rev_expected, "silver"))
 
 
 def q_schema_report(spark, sf):
@@ -220,14 +234,7 @@ def q_google_play_valid(spark, sf):
 
 
 def q_valid_invalid_counts(spark, sf):
-    frames = []
-    for src in REVIEWS:
-        bad = any_violation(SILVER_RULES[src])
-        frames.append(_review(spark, sf, src)
-                      .agg(F.count(F.lit(1)).alias("n_rows"),
-                           F.count_if(~bad).alias("n_valid"),
-                           F.count_if(bad).alias("n_invalid"))
-                      .select(F.lit(src).alias("source"), "n_rows", "n_valid", "n_invalid"))
+    frames = [valid_invalid_counts(_review(spark, sf, s), SILVER_RULES[s], s) for s in REVIEWS]
     return frames[0].unionByName(frames[1]).unionByName(frames[2])
 
 
@@ -262,8 +269,16 @@ def _silver_lake(spark, sf, label, sources=REVIEWS):
     return base, quality
 
 
+# the events that a day without high values would bring: none, or a load
+_RARE_VALUE = "value > 1000000"
+
+
 def q_failure_log_roundtrip(spark, sf):
-    base, quality = _silver_lake(spark, sf, "failure_log", sources=("google_play", "apple_store"))
+    """mongodb lands only its rare events: whether the gate finds it empty, and
+    what the failure log holds, depends on the table. apple_store never lands."""
+    base, quality = _silver_lake(spark, sf, "failure_log", sources=("google_play",))
+    keyed = table(spark, sf, "events").filter(_RARE_VALUE)
+    write_leaf(keyed, source_path(base, "silver", "mongodb", RUN_ODATE))
     run_quality(spark, base, "silver", RUN_ODATE, quality, raise_on_failure=False)
     return read_parquet(spark, job_failures_path(quality)).select("layer", "odate", "stage", "error")
 
@@ -271,7 +286,82 @@ def q_failure_log_roundtrip(spark, sf):
 def q_quality_run_summary(spark, sf):
     base, quality = _silver_lake(spark, sf, "run_summary")
     res = run_quality(spark, base, "silver", RUN_ODATE, quality)
-    return res.summary(spark)
+    return res.summary(spark).drop("elapsed_sec")
+
+
+def q_run_metrics_roundtrip(spark, sf):
+    """What a run appends to the metrics table, read back without clock and id;
+    timed says that the row has its own elapsed time."""
+    base, quality = _silver_lake(spark, sf, "run_metrics")
+    run_quality(spark, base, "silver", RUN_ODATE, quality, write_valid=True)
+    return read_parquet(spark, run_metrics_path(quality)).select(
+        "odate", "layer", "source", "check", "status", "n_rows", "n_bad",
+        F.coalesce(F.col("elapsed_sec") >= 0, F.lit(False)).alias("timed"))
+
+
+def q_partial_run_summary(spark, sf):
+    """google_play lands with a column that clashes with the annotation: it is
+    recorded, the other two sources keep their counts."""
+    base, quality = _silver_lake(spark, sf, "partial_run")
+    leaf = source_path(base, "silver", "google_play", RUN_ODATE)
+    write_leaf(silver_source(spark, sf, "google_play").withColumn(VALIDATION, F.lit("own")), leaf)
+    res = run_quality(spark, base, "silver", RUN_ODATE, quality)
+    return res.summary(spark).drop("elapsed_sec").withColumn("run_status", F.lit(res.status))
+
+
+def _drifting_bronze(spark, sf, root):
+    """Bronze apple_store, a folder per order status, and four late deliveries
+    of the urgent orders: a column too few, columns reversed, another type, and
+    a folder whose two files have different schemas."""
+    src = bronze_source(spark, sf, "apple_store")
+    land_by_app(src, root, "bronze", "apple_store", RUN_ODATE)
+    urgent = src.filter("title = '1-URGENT'").drop("app_folder")
+    late = {"short": urgent.drop("title"), "reversed": urgent.select(*reversed(urgent.columns)),
+            "typed": urgent.withColumn("im_rating", F.col("im_rating").cast("int"))}
+    folder = source_root(root, "bronze", "apple_store") + "/app_folder={}/odate=" + RUN_ODATE
+    write_leaves({folder.format(name): df for name, df in late.items()})
+    write_leaf(urgent.filter("content = 'F'"), folder.format("mixed"))
+    urgent.filter("not (content <=> 'F')").drop("updated").write.mode("append").parquet(folder.format("mixed"))
+
+
+def q_bronze_drift_folders(spark, sf):
+    root = fresh_run_dir(spark, "bronze_drift")
+    _drifting_bronze(spark, sf, root)
+    return folder_schema_report(spark, source_path(root, "bronze", "apple_store", RUN_ODATE),
+                                expected_schema("apple_store", "bronze"))
+
+
+def q_bronze_drift_run(spark, sf):
+    """The run over the same load: the verdict, and the clash of types on record."""
+    root = fresh_run_dir(spark, "bronze_drift_run")
+    _drifting_bronze(spark, sf, f"{root}/lake")
+    res = run_quality(spark, f"{root}/lake", "bronze", RUN_ODATE, f"{root}/quality", sources=("apple_store",))
+    failures = read_parquet(spark, job_failures_path(f"{root}/quality")).select("stage", "source", "error")
+    return (res.summary(spark).select("source", "check", "status", "n_rows", "n_bad")
+            .withColumn("run_status", F.lit(res.status)).join(failures, "source"))
+
+
+def q_silver_two_schemas(spark, sf):
+    """A silver leaf of two files, one without content and title: no match, though
+    the footer that gives the frame its schema may be the whole one."""
+    root = fresh_run_dir(spark, "silver_two")
+    leaf = source_path(f"{root}/lake", "silver", "apple_store", RUN_ODATE)
+    src = silver_source(spark, sf, "apple_store")
+    write_leaf(src.filter("im_rating = '1'"), leaf)
+    src.filter("not (im_rating <=> '1')").drop("content", "title").write.mode("append").parquet(leaf)
+    return folder_schema_report(spark, leaf, expected_schema("apple_store", "silver"))
+
+
+def q_dated_landings(spark, sf):
+    """Two dates land, the second again without one app: both dates are there,
+    and nothing of the first landing of the second is."""
+    root = fresh_run_dir(spark, "dated_landings")
+    src = bronze_source(spark, sf, "apple_store")
+    land_by_app(src, root, "bronze", "apple_store", RUN_ODATE)
+    land_by_app(src, root, "bronze", "apple_store", "20240102")
+    land_by_app(src.filter("not (content <=> 'F')"), root, "bronze", "apple_store", "20240102")
+    return (read_parquet(spark, source_root(root, "bronze", "apple_store")).groupBy("app_folder", "odate")
+            .agg(F.count(F.lit(1)).alias("n_rows")))
 
 
 def q_bronze_run_summary(spark, sf):
@@ -280,7 +370,7 @@ def q_bronze_run_summary(spark, sf):
     with ThreadPoolExecutor(max_workers=len(REVIEWS)) as pool:  # independent landings
         list(pool.map(lambda s: land_by_app(bronze_source(spark, sf, s), base, "bronze", s, RUN_ODATE),
                       REVIEWS))
-    return run_quality(spark, base, "bronze", RUN_ODATE, quality).summary(spark)
+    return run_quality(spark, base, "bronze", RUN_ODATE, quality).summary(spark).drop("elapsed_sec")
 
 
 def q_bronze_folder_schemas(spark, sf):
@@ -310,7 +400,25 @@ def q_apple_store_rejects_stream(spark, sf):
     q = quarantine_stream(spark, landing, src.schema, SILVER_RULES["apple_store"],
                           f"{root}/quarantine", f"{root}/checkpoint", max_files_per_trigger=1)
     q.awaitTermination()
-    return _comparable(read_parquet(spark, f"{root}/quarantine"))
+    return _comparable(read_parquet(spark, f"{root}/quarantine").drop("batch_id"))
+
+
+def q_stream_drift(spark, sf):
+    """A third delivery lacks title: its rows are reported, not read as NULL, and
+    the others are checked. One row per delivery: rejected rows, files reported."""
+    root = fresh_run_dir(spark, "stream_drift")
+    landing, out = f"{root}/landing", f"{root}/quarantine"
+    src = _review(spark, sf, "apple_store")
+    write_leaves({f"{landing}/delivery=1": src.filter("app is not distinct from 'A B'"),
+                  f"{landing}/delivery=2": src.filter("not (app is not distinct from 'A B')").drop("title")})
+    quarantine_stream(spark, landing, src.schema, SILVER_RULES["apple_store"], out, f"{root}/checkpoint",
+                      max_files_per_trigger=1).awaitTermination()
+    rejected = (read_parquet(spark, out).groupBy(F.lit("1").alias("delivery"))
+                .agg(F.count(F.lit(1)).alias("n_rejected")).withColumn("missing", F.lit("")))
+    reported = (read_parquet(spark, drift_path(out)).select(
+        F.regexp_extract("file", "delivery=([0-9]+)", 1).alias("delivery"), F.lit(0).cast("long").alias("n_rejected"),
+        F.array_join(F.transform("differences", lambda d: d["column_name"]), ",").alias("missing")).distinct())
+    return rejected.unionByName(reported)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -341,6 +449,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "bronze_run_summary": q_bronze_run_summary,
         "bronze_folder_schemas": q_bronze_folder_schemas,
         "apple_store_rejects_stream": q_apple_store_rejects_stream,
+        "stream_drift": q_stream_drift,
+        "run_metrics_roundtrip": q_run_metrics_roundtrip,
+        "partial_run_summary": q_partial_run_summary,
+        "bronze_drift_folders": q_bronze_drift_folders,
+        "bronze_drift_run": q_bronze_drift_run,
+        "silver_two_schemas": q_silver_two_schemas,
+        "dated_landings": q_dated_landings,
     }
 
 
@@ -367,8 +482,11 @@ def oracle_sql() -> dict[str, str]:
     sql["volumetry_report"] = "\nunion all\n".join(
         f"select '{t}' as source, count(*) as n_rows, "
         f"case when count(*) = 0 then 'empty' else 'ok' end as status from {t}" for t in TABLES)
-    gate = [f"select '{t}' as source, count(*) = 0 as is_empty from {t}" for t in TABLES]
-    gate += [f"select '{s}' as source, count(*) = 0 as is_empty from ({review_sql(s)}) r" for s in REVIEWS]
+    empty = "count(*) = 0 as is_empty, case when count(*) = 0 then 'empty' else 'ok' end as status"
+    gate = [f"select '{t}' as source, {empty} from {t}" for t in TABLES]
+    gate += [f"select '{s}' as source, {empty} from ({review_sql(s)}) r" for s in REVIEWS]
+    gate += [f"select 'derived_empty' as source, {empty} from {_EMPTY_SOURCE[0]} where {_EMPTY_SOURCE[1]}",
+             "select 'never_landed' as source, true as is_empty, 'missing' as status"]
     sql["volumetry_gate"] = "\nunion all\n".join(gate)
     exp, tabs = _schema_oracle_inputs()
     sql["schema_report"] = O.schema_report_sql(exp, tabs)
@@ -402,7 +520,9 @@ def oracle_sql() -> dict[str, str]:
                            f"from ({_review_annotated_sql('apple_store')}) a where validation = 'no_match'")
     sql["failure_log_roundtrip"] = (
         f"select 'silver' as layer, '{RUN_ODATE}' as odate, 'volumetry' as stage, "
-        f"'source load failed volumetry (mongodb: missing)' as error")
+        f"'source load failed volumetry (' || case when (select count(*) from documents) = 0 then 'google_play: empty, ' else '' end "
+        f"|| case when (select count(*) from events where {_RARE_VALUE}) = 0 then 'mongodb: empty, ' else '' end "
+        f"|| 'apple_store: missing)' as error")
     summary = []
     for s in REVIEWS:
         r = review_sql(s)
@@ -415,6 +535,23 @@ def oracle_sql() -> dict[str, str]:
                        f"case when count(*) filter (where {any_bad}) > 0 then 'no_match' else 'match' end as status, "
                        f"count(*) as n_rows, count(*) filter (where {any_bad}) as n_bad from ({r}) r")
     sql["quality_run_summary"] = "\nunion all\n".join(summary)
+    metrics = [f"select * from ({sql['quality_run_summary']}) s"]
+    for s in REVIEWS:
+        for r in SILVER_RULES[s]:
+            bad = f"count(*) filter (where {O.violated_sql(r)})"
+            metrics.append(f"select '{s}' as source, 'pattern.{r.name}' as \"check\", "
+                           f"case when {bad} > 0 then 'no_match' else 'match' end as status, count(*) as n_rows, "
+                           f"{bad} as n_bad from ({review_sql(s)}) r")
+    sql["run_metrics_roundtrip"] = (
+        f"select '{RUN_ODATE}' as odate, 'silver' as layer, source, \"check\", status, n_rows, n_bad, "
+        f"not starts_with(\"check\", 'pattern.') as timed from ({' union all '.join(metrics)}) m")
+    partial = f"select * from ({sql['quality_run_summary']}) s"
+    own = "source = 'google_play'"
+    sql["partial_run_summary"] = (
+        f"select source, \"check\", case when {own} and \"check\" = 'schema' then 'no_match' "
+        f"when {own} and \"check\" = 'pattern' then 'error' else status end as status, n_rows, "
+        f"case when {own} and \"check\" = 'schema' then 1 when {own} and \"check\" = 'pattern' then null else n_bad end as n_bad, "
+        f"'partial' as run_status from ({partial}) p")
     bronze = []
     for s in REVIEWS:
         tbl = BRONZE_FIXTURES[s][0]
@@ -429,4 +566,32 @@ def oracle_sql() -> dict[str, str]:
         "union all\n"
         "select distinct 'app_folder=late' as folder, 'no_match' as validation_status, "
         "cast(1 as integer) as n_differences from orders where o_orderpriority = '1-URGENT'")
+    urgent = "from orders where o_orderpriority = '1-URGENT'"
+    # of 14 columns in reversed order none keeps its place
+    drifted = (("short", 1), ("reversed", 14), ("typed", 1))
+    sql["bronze_drift_folders"] = (
+        "select distinct 'app_folder=' || o_orderstatus as folder, 'match' as validation_status, "
+        "cast(0 as integer) as n_differences from orders\nunion all\n" + "\nunion all\n".join(
+            f"select distinct 'app_folder={name}' as folder, 'no_match' as validation_status, "
+            f"cast({n} as integer) as n_differences {urgent}" for name, n in drifted) +
+        f"\nunion all\nselect 'app_folder=mixed' as folder, 'no_match' as validation_status, "
+        f"cast(1 as integer) as n_differences {urgent} having count(*) filter (where o_orderstatus <> 'F') > 0")
+    # short and mixed lack a column each, typed has one of another type, and every column is out of place in reversed
+    sql["bronze_drift_run"] = (
+        f"select 'apple_store' as source, c.\"check\", c.status, c.n_rows, c.n_bad, 'partial' as run_status, "
+        f"'schema' as stage, 'files disagree on the type of a column: im_rating: int and string' as error from ("
+        f"select 'volumetry' as \"check\", 'ok' as status, (select count(*) from orders) + 4 * (select count(*) {urgent}) as n_rows, "
+        f"cast(null as bigint) as n_bad union all "
+        f"select 'schema' as \"check\", 'no_match' as status, cast(null as bigint) as n_rows, cast(17 as bigint) as n_bad) c")
+    sql["silver_two_schemas"] = (
+        "select distinct 'appleStore' as folder, 'no_match' as validation_status, cast(2 as integer) as n_differences "
+        "from orders where o_orderkey % 8 <> 1")
+    sql["dated_landings"] = (
+        f"select o_orderstatus as app_folder, {RUN_ODATE} as odate, count(*) as n_rows from orders group by 1\nunion all\n"
+        f"select o_orderstatus as app_folder, 20240102 as odate, count(*) as n_rows from orders where o_orderstatus <> 'F' group by 1")
+    sql["stream_drift"] = (
+        f"select '1' as delivery, count(*) as n_rejected, '' as missing from ({_review_annotated_sql('apple_store')}) a "
+        f"where validation = 'no_match' and app = 'A B'\nunion all\n"
+        f"select distinct '2' as delivery, cast(0 as bigint) as n_rejected, 'title' as missing "
+        f"from ({review_sql('apple_store')}) r where app <> 'A B'")
     return sql

@@ -169,14 +169,20 @@ group by 1, 2"""
 
 
 def schema_diff_sql(expected, tables) -> str:
+    """``moved``: another place among the columns that both schemas have."""
     return f"""
 with e as ({expected_fields_sql(expected)}),
-a as ({actual_fields_sql(tables)})
+a as ({actual_fields_sql(tables)}),
+c as (select e.source, e.layer, e.column_name,
+             row_number() over (partition by e.source, e.layer order by e.pos) as e_rank,
+             row_number() over (partition by e.source, e.layer order by a.pos) as a_rank
+      from e join a on e.source = a.source and e.layer = a.layer and e.column_name = a.column_name)
 select coalesce(e.source, a.source) as source, coalesce(e.layer, a.layer) as layer,
        coalesce(e.column_name, a.column_name) as column_name,
        cast(e.pos as integer) as expected_position, cast(a.pos as integer) as actual_position,
        e.spark_type as expected_type, {SPARK_TYPE_SQL.format(c='a.duck_type')} as actual_type,
        case when a.pos is null then 'missing' when e.pos is null then 'unexpected'
             when e.duck_type <> a.duck_type then 'type_mismatch'
-            when e.pos <> a.pos then 'moved' else 'match' end as status
-from e full join a on e.source = a.source and e.layer = a.layer and e.column_name = a.column_name"""
+            when c.e_rank <> c.a_rank then 'moved' else 'match' end as status
+from e full join a on e.source = a.source and e.layer = a.layer and e.column_name = a.column_name
+left join c on c.source = e.source and c.layer = e.layer and c.column_name = e.column_name"""

@@ -30,13 +30,18 @@ from ..operators.metrics import (
     JOB_FAILURE_SCHEMA, RUN_METRICS_SCHEMA, append_rows, now_iso, observe_rejects,
     record_failure,
 )
-from ..operators.patterns import MissingRuleColumns, preview_rejects, rejects, valid
-from ..operators.schemas import LAYERS, NO_MATCH, expected_schema, schema_diff_rows, schema_report
-from ..operators.volumetry import EMPTY, MISSING, OK, UNREADABLE, VolumetryError, volumetry_report
+from ..functions.rules import VALIDATION
+from ..operators.patterns import annotate, preview_rejects, rejects
+from ..operators.schemas import (
+    LAYERS, MATCH, NO_MATCH, by_folder, expected_schema, file_schema_report, schema_diff_rows, schema_report,
+    type_clashes,
+)
+from ..operators.volumetry import EMPTY, MISSING, OK, UNREADABLE, VolumetryError, volumetry_gate, volumetry_report
+from ..session import remove_paths
 from ..sources.local import local_frame
 from ..sources.lake import (
-    DEFAULT_PREFIX, SOURCES, leaf_schemas, load_sources, pattern_out_path, read_parquet,
-    schema_out_path, write_leaf,
+    DEFAULT_PREFIX, SOURCES, load_sources, pattern_out_path, read_parquet, schema_folders_path,
+    schema_out_path, write_leaf, write_split,
 )
 
 log = logging.getLogger("tollgate.run")
@@ -47,6 +52,7 @@ SUMMARY_SCHEMA = T.StructType([
     T.StructField("status", T.StringType()),
     T.StructField("n_rows", T.LongType()),
     T.StructField("n_bad", T.LongType()),
+    T.StructField("elapsed_sec", T.DoubleType()),
 ])
 
 
@@ -64,25 +70,18 @@ def today_odate() -> str:
 def validate_odate(odate: str | None) -> str:
     if odate is None:
         return today_odate()  # taken once per run
-    if not re.fullmatch(r"\d{8}", str(odate)):
-        raise ValueError(f"odate must be YYYYMMDD, got {odate!r}")
+    try:
+        if not re.fullmatch(r"[0-9]{8}", str(odate)):
+            raise ValueError
+        _dt.datetime.strptime(str(odate), "%Y%m%d")
+    except ValueError:
+        raise ValueError(f"odate must be a calendar date YYYYMMDD, got {odate!r}") from None
     return str(odate)
 
 
-def _absent(state: str) -> list:
-    """Volumetry [status, n_rows] of a source that yielded no DataFrame."""
-    return {"empty_dir": [EMPTY, 0], "unreadable": [UNREADABLE, None]}.get(state, [MISSING, None])
-
-
-def _drifted_folders(spark: SparkSession, glob_path: str, expected: T.StructType) -> str | None:
-    """Which app folders of a bronze load differ from the expected schema
-    (only called on a mismatch; one footer per folder)."""
-    per_folder = leaf_schemas(spark, glob_path)
-    bad = sorted(d.rstrip("/").split("/")[-2] for d, sch in per_folder.items() if sch != expected)
-    if not bad:
-        return None
-    shown = ", ".join(bad[:20]) + (" ..." if len(bad) > 20 else "")
-    return f"{len(bad)} of {len(per_folder)} app folders differ from the expected schema: {shown}"
+def _absent(state: str) -> str:
+    """Volumetry status of a source that yielded no DataFrame."""
+    return {"empty_dir": EMPTY, "unreadable": UNREADABLE}.get(state, MISSING)
 
 
 def job_failures_path(quality: str) -> str:
@@ -121,21 +120,29 @@ def run_quality(spark: SparkSession, base: str, layer: str, odate: str | None, q
                 sources: Sequence[str] = SOURCES, write_valid: bool = False,
                 raise_on_failure: bool = True, rules: dict[str, list[Rule]] | None = None,
                 expected: dict[str, T.StructType] | None = None,
-                parallel_sources: int = 4, preview: int = 0,
+                parallel_sources: int = 4, preview: int = 0, preview_truncate: bool = True,
                 rebalance_rejects: bool = False, prefix: str = DEFAULT_PREFIX,
                 count_rows: bool = True) -> RunResult:
     """Run the checks of ``layer`` on the ``odate`` load under ``base``.
 
     Bronze runs volumetry + schema; silver adds the pattern rules. Outputs go
-    under ``quality``; each output leaf is overwritten even when empty, so a
-    re-run of the same date is idempotent. A failed run appends a row to
-    ``<quality>/job_failures`` and re-raises (unless ``raise_on_failure`` is
-    false); a source whose rule columns are missing is recorded and skipped.
+    under ``quality``; each output leaf is cleared or overwritten, so a re-run
+    of the same date leaves nothing of an earlier one. A failed run appends a
+    row to ``<quality>/job_failures`` and re-raises (unless ``raise_on_failure``
+    is false). A source that cannot be checked - its rule columns are missing,
+    a column clashes, its files disagree on a type - is recorded there too and
+    the run is ``partial``; the other sources keep their results.
+
+    The schema verdict looks at every file's footer, on the executors; the
+    verdict of each folder is a row of ``<quality>/schema_folders/odate=D``.
+
     ``rules`` and ``expected`` override or extend the built-in rule sets and
     expected schemas per source (so other sources can be gated too); a
     source with no rules skips the pattern check.
     ``preview`` > 0 prints that many quarantined rows per source (off by
-    default: rejected rows hold personal data). ``rebalance_rejects`` adds
+    default: rejected rows hold personal data); ``preview_truncate=False`` prints
+    whole values. ``write_valid`` also writes the accepted rows, from the same
+    pass. ``rebalance_rejects`` adds
     an AQE rebalance before the quarantine write: only rejected rows are
     shuffled, into advisory-size files; worth it when rejects are sparse
     (otherwise every scan task writes its own small file). Counts observed
@@ -153,7 +160,7 @@ def run_quality(spark: SparkSession, base: str, layer: str, odate: str | None, q
     try:
         return _run(spark, base, layer, odate, quality, sources=sources, write_valid=write_valid,
                     raise_on_failure=raise_on_failure, rules=rules, expected=expected,
-                    parallel_sources=parallel_sources, preview=preview,
+                    parallel_sources=parallel_sources, preview=preview, preview_truncate=preview_truncate,
                     rebalance_rejects=rebalance_rejects, prefix=prefix, count_rows=count_rows)
     finally:
         # restore the caller's job group, description and pool: local
@@ -165,19 +172,22 @@ def run_quality(spark: SparkSession, base: str, layer: str, odate: str | None, q
 def _run(spark: SparkSession, base: str, layer: str, odate: str | None, quality: str, *,
          sources: Sequence[str], write_valid: bool, raise_on_failure: bool,
          rules: dict[str, list[Rule]] | None, expected: dict[str, T.StructType] | None,
-         parallel_sources: int, preview: int, rebalance_rejects: bool, prefix: str,
+         parallel_sources: int, preview: int, preview_truncate: bool, rebalance_rejects: bool, prefix: str,
          count_rows: bool) -> RunResult:
     """Body of ``run_quality``."""
-    layer = validate_layer(layer)
-    odate = validate_odate(odate)
+    try:
+        layer, odate = validate_layer(layer), validate_odate(odate)
+    except ValueError as exc:
+        try:
+            record_failure(spark, job_failures_path(quality), run_id=uuid.uuid4().hex, odate=str(odate),
+                           layer=str(layer), stage="arguments", source=None, error=exc)
+        except Exception as rec_exc:  # noqa: BLE001 - never mask the original error
+            log.error("could not record the failure: %s", rec_exc)
+        raise
     res = RunResult(uuid.uuid4().hex, layer, odate, "success")
-    metrics: list[tuple] = []
-
-    def metric(source, check, status, n_rows, n_bad, t0, elapsed=None):
-        if elapsed is None:
-            elapsed = time.perf_counter() - t0
-        metrics.append((res.run_id, odate, layer, source, check, status, n_rows, n_bad,
-                        round(elapsed, 3), now_iso()))
+    checks: list[tuple] = []  # source, check, status, n_rows, n_bad, elapsed
+    per_rule_rows: list[tuple] = []
+    vol: dict[str, list] = {}  # source -> [status, n_rows, elapsed]; first in the summary
 
     def tag(what: str, pool: str | None = None) -> None:
         # job group, description and scheduler pool per thread: local
@@ -196,77 +206,94 @@ def _run(spark: SparkSession, base: str, layer: str, odate: str | None, quality:
                                            odate=odate, layer=layer, stage=stage, source=source,
                                            error=err))
 
-    stage = "load"
-    vol: dict[str, list] = {}  # source -> [status, n_rows]; rows go first in the summary
-    checks: list[tuple] = []
-
-    def finish_summary():
-        res.summary_rows = [(s, "volumetry", v[0], v[1], None) for s, v in vol.items()] + checks
-        t_vol = vol_elapsed[0]
-        for s, v in vol.items():
-            metric(s, "volumetry", v[0], v[1], None, None, t_vol)
+    def fail_source(stage, source, err):
+        """A source that could not be checked: on record, and the run goes on."""
+        res.status = "partial"
+        fail(stage, source, err)
 
-    vol_elapsed = [0.0]
+    def finish() -> None:
+        """Summary and metrics: one row per source and check, then one per rule
+        (whose time is part of its source's pattern row, so it has none)."""
+        res.summary_rows = [(s, "volumetry", v[0], v[1], None, round(v[2], 3)) for s, v in vol.items()] + [
+            (*c[:-1], round(c[-1], 3)) for c in checks]
+        tag("metrics")
+        rows = [(res.run_id, odate, layer, *r, now_iso()) for r in [*res.summary_rows, *per_rule_rows]]
+        append_rows(spark, rows, RUN_METRICS_SCHEMA, run_metrics_path(quality))
+
+    def timed(what: str, fn, names: Sequence[str]) -> dict[str, tuple]:
+        """(result, seconds) of ``fn`` for each source, side by side."""
+        def one(s):
+            tag(f"{what} {s}", pool=f"tollgate-{s}")
+            t0 = time.perf_counter()
+            out = fn(s)
+            return out, time.perf_counter() - t0
+        with ThreadPoolExecutor(max_workers=max(1, min(len(names) or 1, parallel_sources))) as pool:
+            return dict(zip(names, pool.map(one, names)))
+
+    stage = "volumetry"
     try:
         # -- volumetry ------------------------------------------------------------
         # silver: an isEmpty() gate per source (usually one task); the row total
         #         is observed on the pattern pass, so the data is read once.
-        # bronze: one count job over every source (its only touch of the data).
-        stage = "volumetry"
+        # bronze: one count job per source (its only touch of the data).
         tag("volumetry")
-        t0 = time.perf_counter()
-        loaded = load_sources(spark, base, layer, odate, sources, prefix=prefix)
+        loaded = load_sources(spark, base, layer, odate, sources, prefix=prefix,
+                              before=lambda s: tag(f"load {s}"))
         frames = {s: ld.df for s, ld in loaded.items()}
-        if layer == "silver" or not count_rows:
-            present = [s for s in sources if frames[s] is not None]
-
-            def is_empty(s):
-                tag(f"volumetry {s}")
-                return frames[s].isEmpty()
-            with ThreadPoolExecutor(max_workers=max(1, min(len(present) or 1, parallel_sources))) as pool:
-                empty = dict(zip(present, pool.map(is_empty, present)))
-            for s in sources:
-                if frames[s] is None:
-                    vol[s] = _absent(loaded[s].state)
-                else:
-                    vol[s] = [EMPTY, 0] if empty[s] else [OK, None]
-        else:
-            counts = {r["source"]: (r["status"], r["n_rows"])
-                      for r in volumetry_report(spark, frames).collect()}
-            for s in sources:
-                vol[s] = list(counts[s]) if frames[s] is not None else _absent(loaded[s].state)
-        vol_elapsed[0] = time.perf_counter() - t0
+        for s, ld in loaded.items():
+            if ld.state == "unreadable":
+                fail("load", s, ld.error)
+
+        def measure(s):
+            try:
+                if layer == "silver" or not count_rows or frames[s] is None:
+                    states = volumetry_gate(spark, {s: frames[s]}, {s: _absent(loaded[s].state)})
+                    return states[s], None
+            except VolumetryError as exc:
+                return exc.failures[s], 0 if exc.failures[s] == EMPTY else None
+            row = volumetry_report(spark, {s: frames[s]}).first()
+            return row["status"], row["n_rows"]
+
+        for s, ((status, n), took) in timed("volumetry", measure, sources).items():
+            vol[s] = [status, n, took]
         bad = {s: v[0] for s, v in vol.items() if v[0] != OK}
         if bad:
             raise VolumetryError(bad)
 
-        # -- schema: strict verdict + field diff, all sources, one write -----------
+        # -- schema: strict verdict over every file, all sources ---------------------
         stage = "schema"
-        tag("schema")
-        t0 = time.perf_counter()
         expected = {s: (expected or {}).get(s) or expected_schema(s, layer) for s in sources}
-        report = schema_report(spark, frames, expected, layer)
-        conflicted = [s for s in sources if loaded[s].merge_error]
-        if conflicted:
-            report = report.withColumn(
-                "validation_status",
-                F.when(F.col("source").isin(conflicted), F.lit(NO_MATCH)).otherwise(F.col("validation_status")))
-        write_leaf(report.filter(f"validation_status = '{NO_MATCH}'").coalesce(1),
-                   schema_out_path(quality, odate))
-        n_diff = {s: sum(r[-1] != "match" for r in
-                         schema_diff_rows(s, layer, frames[s].schema, expected[s]))
-                  for s in sources}
-        for s in sources:
-            st = "match" if frames[s].schema == expected[s] else NO_MATCH
-            if loaded[s].merge_error:
-                st = NO_MATCH
-                fail("schema", s, f"app folders disagree on the schema: {loaded[s].merge_error}")
-            elif st == NO_MATCH and layer == "bronze":
-                drifted = _drifted_folders(spark, loaded[s].path, expected[s])
-                if drifted:
-                    fail("schema", s, drifted)
-            checks.append((s, "schema", st, None, n_diff.get(s, 0)))
-            metric(s, "schema", st, None, n_diff.get(s, 0), t0)
+        folders_at = schema_folders_path(quality, odate)
+        remove_paths(spark, folders_at)
+
+        def check_schema(s):
+            verdicts = f"{folders_at}/source={s}"
+            by_folder(file_schema_report(spark, s, loaded[s].path, expected[s])).withColumn(
+                "layer", F.lit(layer)).write.parquet(verdicts)
+            found = read_parquet(spark, verdicts)
+            variants = [r.v for r in found.select(F.explode("variants").alias("v")).distinct().collect()]
+            return variants, [r.e for r in found.select(F.explode("errors").alias("e")).distinct().collect()]
+
+        judged = timed("schema", check_schema, sources)
+        tag("schema")
+        drift: dict[str, list[tuple]] = {}
+        for s, ((variants, errors), took) in judged.items():
+            own = [r[2:] for r in schema_diff_rows(s, layer, frames[s].schema, expected[s]) if r[-1] != MATCH]
+            known = {(r[0], r[-1]) for r in own}
+            others = sorted({(d.column_name, None, None, d.expected_type, d.actual_type, d.status)
+                             for v in variants for d in v if (d.column_name, d.status) not in known},
+                            key=lambda r: (r[0], r[-1], str(r[4])))
+            drift[s] = own + others
+            matched = not drift[s] and not errors and frames[s].schema == expected[s]
+            checks.append((s, "schema", MATCH if matched else NO_MATCH, None, len(drift[s]), took))
+            clashes = type_clashes(variants, expected[s])
+            if clashes:  # such files cannot be read as one table
+                fail_source("schema", s, "files disagree on the type of a column: " + "; ".join(
+                    f"{c}: {' and '.join(t)}" for c, t in clashes.items()))
+            for e in errors:
+                fail_source("schema", s, e)
+        report = schema_report(spark, frames, expected, layer, drift)
+        write_leaf(report.filter(f"validation_status = '{NO_MATCH}'").coalesce(1), schema_out_path(quality, odate))
 
         # -- pattern (silver): one pass per source ---------------------------------
         if layer == "silver":
@@ -281,70 +308,65 @@ def _run(spark: SparkSession, base: str, layer: str, odate: str | None, quality:
                     return []
 
             def check_source(s):
-                t0 = time.perf_counter()
-                tag(f"pattern {s}", pool=f"tollgate-{s}")
-                src_rules = _rules_of(s)
-                if not src_rules:
-                    return s, 0.0, None, None, None, None
-                seen = Observation()
-                scanned = frames[s].observe(seen, F.count(F.lit(1)).alias("n_rows"))
+                """(error, n_rows, n_bad, per rule); n_rows is None when not known."""
+                leaves = {k: pattern_out_path(quality, s, odate, k) for k in ("pattern", "valid")}
                 try:
-                    rej = rejects(scanned, src_rules)
-                except MissingRuleColumns as exc:
-                    return s, time.perf_counter() - t0, exc, frames[s].count(), None, None
-                if rebalance_rejects:
-                    rej = rej.hint("rebalance")
-                # observed in the write's result stage (after any exchange):
-                # accumulator updates of result tasks count once, retries or not
-                rej, obs = observe_rejects(rej, src_rules)
-                write_leaf(rej, pattern_out_path(quality, s, odate))
-                got = obs.get
-                per_rule = {r.name: int(got.get(f"failed_{r.name}", 0)) for r in src_rules}
-                if write_valid:
-                    write_leaf(valid(frames[s], src_rules), pattern_out_path(quality, s, odate, "valid"))
-                if preview and any(per_rule.values()):
-                    preview_rejects(read_parquet(spark, pattern_out_path(quality, s, odate)), preview)
-                return (s, time.perf_counter() - t0, None, int(seen.get["n_rows"]),
-                        int(got.get("n_rows", 0)), per_rule)
+                    for leaf in leaves.values():  # nothing of an earlier run stays
+                        remove_paths(spark, leaf)
+                    src_rules = _rules_of(s)
+                    if not src_rules:
+                        return None, None, None, None
+                    seen = Observation()
+                    scanned = frames[s].observe(seen, F.count(F.lit(1)).alias("n_rows"))
+                    if write_valid:
+                        both, obs = observe_rejects(annotate(scanned, src_rules), src_rules)
+                        write_split(both, VALIDATION, {NO_MATCH: leaves["pattern"], MATCH: leaves["valid"]},
+                                    f"{quality.rstrip('/')}/_staging/{res.run_id}/{s}")
+                    else:
+                        rej = rejects(scanned, src_rules)
+                        if rebalance_rejects:
+                            rej = rej.hint("rebalance")
+                        # observed in the write's result stage (after any exchange):
+                        # accumulator updates of result tasks count once, retries or not
+                        rej, obs = observe_rejects(rej, src_rules)
+                        write_leaf(rej, leaves["pattern"])
+                    got = obs.get
+                    per_rule = {r.name: int(got.get(f"failed_{r.name}", 0)) for r in src_rules}
+                    if preview and any(per_rule.values()):
+                        preview_rejects(read_parquet(spark, leaves["pattern"]), preview, preview_truncate)
+                    return None, int(seen.get["n_rows"]), int(got.get("n_bad", 0)), per_rule
+                except Exception as exc:  # noqa: BLE001 - recorded; the other sources go on
+                    log.error("pattern check of %s failed: %s", s, exc)
+                    return exc, None, None, None
 
             # Independent jobs, one per source, submitted together so small
             # sources do not queue behind large ones.
-            with ThreadPoolExecutor(max_workers=max(1, min(len(sources), parallel_sources))) as pool:
-                outcomes = list(pool.map(check_source, sources))
-            for s, took, exc, n_rows, n_bad, per_rule in outcomes:
-                if per_rule is None and exc is None:  # no rules for this source
-                    checks.append((s, "pattern", "skipped", None, None))
-                    metric(s, "pattern", "skipped", None, None, None, took)
-                    continue
-                vol[s][1] = n_rows
+            for s, ((exc, n_rows, n_bad, per_rule), took) in timed("pattern", check_source, sources).items():
                 if exc is not None:
-                    res.status = "partial"
-                    fail("pattern", s, exc)
-                    checks.append((s, "pattern", "error", n_rows, None))
-                    metric(s, "pattern", "error", n_rows, None, None, took)
-                    continue
-                res.rule_failures[s] = per_rule
-                st = NO_MATCH if n_bad else "match"
-                checks.append((s, "pattern", st, n_rows, n_bad))
-                metric(s, "pattern", st, n_rows, n_bad, None, took)
-                for name, n in per_rule.items():
-                    metric(s, f"pattern.{name}", NO_MATCH if n else "match", n_rows, n, None, took)
+                    vol[s][1] = frames[s].count()
+                    fail_source("pattern", s, exc)
+                    checks.append((s, "pattern", "error", vol[s][1], None, took))
+                elif per_rule is None:  # no rules for this source
+                    checks.append((s, "pattern", "skipped", None, None, took))
+                else:
+                    vol[s][1] = n_rows
+                    res.rule_failures[s] = per_rule
+                    checks.append((s, "pattern", NO_MATCH if n_bad else MATCH, n_rows, n_bad, took))
+                    per_rule_rows.extend((s, f"pattern.{name}", NO_MATCH if n else MATCH, n_rows, n, None)
+                                         for name, n in per_rule.items())
+        stage = "metrics"
+        finish()
     except Exception as exc:  # noqa: BLE001 - every failure is recorded, then re-raised
         res.status, res.error = "failed", exc
         log.error("quality run failed at %s: %s", stage, exc)
-        finish_summary()
-        tag("metrics")
         try:
             fail(stage, None, exc)
-            append_rows(spark, metrics, RUN_METRICS_SCHEMA, run_metrics_path(quality))
+            if stage != "metrics":
+                finish()
         except Exception as rec_exc:  # noqa: BLE001 - never mask the original error
             log.error("could not record the failure: %s", rec_exc)
         if raise_on_failure:
             raise
-        return res
-    finish_summary()
-    tag("metrics")
-    append_rows(spark, metrics, RUN_METRICS_SCHEMA, run_metrics_path(quality))
     return res
 
 

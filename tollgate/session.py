@@ -3,12 +3,18 @@ work folder every lake write of the query catalog goes to."""
 
 from __future__ import annotations
 
+import atexit
+import logging
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
+log = logging.getLogger("tollgate.session")
+
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int | None = None,
                   app_name: str = "tollgate", extra: dict[str, str] | None = None) -> SparkSession:
@@ -38,8 +44,9 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int | None = None,
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the session leaves it unset (local tests) is a fresh local
-    folder created and registered as the checkpoint directory.
+    Only on a local master may it be unset: a fresh local folder is then created
+    and registered as the checkpoint directory. Elsewhere every executor would
+    write to its own disk, so that is an error.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if conf_dir:
@@ -48,11 +55,76 @@ def shared_dir(spark: SparkSession) -> str:
     conf_dir = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if conf_dir:
         return conf_dir.rstrip("/")
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError(f"set spark.checkpoint.dir to a folder that all executors of {sc.master} share")
     local = tempfile.mkdtemp(prefix="tollgate-checkpoints-")
     sc.setCheckpointDir(local)
     return local
 
 
 def fresh_run_dir(spark: SparkSession, label: str) -> str:
-    """A new, never reused folder under the shared directory for one run."""
-    return f"{shared_dir(spark)}/tollgate/{label}-{uuid.uuid4().hex[:12]}"
+    """A new, never reused folder under the shared directory for one run. It is
+    removed when the driver ends: results read from it stay readable till then."""
+    path = f"{shared_dir(spark)}/tollgate/{label}-{uuid.uuid4().hex[:12]}"
+    if not _scratch:
+        atexit.register(_remove_scratch)
+    _scratch.append((spark, path))
+    return path
+
+
+_scratch: list[tuple[SparkSession, str]] = []
+
+
+def _remove_scratch() -> None:
+    for spark, path in _scratch:
+        try:
+            if spark.sparkContext._jsc is None or spark.sparkContext._jsc.sc().isStopped():
+                continue
+            remove_paths(spark, path)
+        except Exception as exc:  # noqa: BLE001 - the driver is ending, maybe its JVM has gone
+            log.debug("scratch folder %s stays: %s", path, exc)
+    _scratch.clear()
+
+
+def _hadoop_path(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p, store = _hadoop_path(spark, path)
+    return store.exists(p)
+
+
+def remove_paths(spark: SparkSession, pattern: str) -> int:
+    """Removes what ``pattern`` (a path, or a glob) matches, in whatever store
+    Spark reads; returns how many entries that were."""
+    p, store = _hadoop_path(spark, pattern)
+    found = [st.getPath() for st in store.globStatus(p) or []]
+    for one in found:
+        store.delete(one, True)
+    return len(found)
+
+
+def move_path(spark: SparkSession, source: str, target: str) -> None:
+    """Renames a folder in its store; the target must not exist."""
+    p, store = _hadoop_path(spark, source)
+    q, _ = _hadoop_path(spark, target)
+    store.mkdirs(q.getParent())
+    if not store.rename(p, q):
+        raise OSError(f"could not move {source} to {target}")
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Sends this package's modules to the executors, once per application, so
+    that Python workers can import them wherever the driver was started."""
+    sc = spark.sparkContext
+    if getattr(sc, "_tollgate_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    path = os.path.join(tempfile.mkdtemp(prefix="tollgate-modules-"), "tollgate-modules.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    sc.addPyFile(path)
+    sc._tollgate_shipped = True

@@ -1,5 +1,5 @@
 from .lake import (
-    PATTERN_DIRS, SOURCE_DIRS, SOURCES, Loaded, land_by_app, leaf_dirs, leaf_schemas, load_source,
+    PATTERN_DIRS, SOURCE_DIRS, SOURCES, Loaded, data_files, land_by_app, load_source,
     load_sources, pattern_out_path, pattern_root, read_many, read_parquet, read_quarantine, schema_out_path,
     source_path, source_root, with_leaf_dir, write_leaf,
 )
@@ -8,8 +8,8 @@ from .reviews import (
 )
 
 __all__ = [
-    "BRONZE_FIXTURES", "Loaded", "PATTERN_DIRS", "REVIEW_FIXTURES", "SOURCES", "SOURCE_DIRS", "bronze_source", "land_by_app", "leaf_dirs",
-    "leaf_schemas", "load_source", "load_sources", "pattern_out_path", "pattern_root",
+    "BRONZE_FIXTURES", "Loaded", "PATTERN_DIRS", "REVIEW_FIXTURES", "SOURCES", "SOURCE_DIRS", "bronze_source", "data_files", "land_by_app",
+    "load_source", "load_sources", "pattern_out_path", "pattern_root",
     "read_many", "read_parquet", "read_quarantine", "review_source", "review_sql", "schema_out_path", "silver_source",
     "source_path", "source_root", "with_leaf_dir", "write_leaf",
 ]

@@ -5,6 +5,7 @@ Layout (paths are strings; ``odate`` is ``YYYYMMDD``)::
     <base>/<layer>/<prefix>/<SourceDir>/odate=D          silver: one leaf
     <base>/<layer>/<prefix>/<SourceDir>/*/odate=D        bronze: one leaf per app
     <quality>/schema/odate=D                                     schema mismatches
+    <quality>/schema_folders/odate=D                             folders whose files differ
     <quality>/pattern/<pattern dir>/odate=D                      rejected rows
     <quality>/valid/<pattern dir>/odate=D                        accepted rows (opt-in)
 
@@ -18,14 +19,15 @@ source; reading the parent directory instead discovers ``odate`` as an
 from __future__ import annotations
 
 import logging
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import move_path, path_exists, remove_paths
+
 log = logging.getLogger("tollgate.lake")
 
 # --- fixed values: lake folder names ------------------------------------------
@@ -36,21 +38,28 @@ DEFAULT_PREFIX = "reviews"
 
 SOURCES = tuple(SOURCE_DIRS)
 
+#: Where a layer's dated leaves lie under a source's root.
+LEAVES = {"silver": "odate={odate}", "bronze": "*/odate={odate}"}
+
 
 def source_root(base: str, layer: str, source: str, prefix: str = DEFAULT_PREFIX) -> str:
     return f"{base.rstrip('/')}/{layer}/{prefix.strip('/')}/{SOURCE_DIRS.get(source, source)}"
 
 
 def source_path(base: str, layer: str, source: str, odate: str, prefix: str = DEFAULT_PREFIX) -> str:
-    """Silver: the dated leaf. Bronze: a glob over every app sub-directory."""
-    wildcard = "*/" if layer == "bronze" else ""
-    return f"{source_root(base, layer, source, prefix)}/{wildcard}odate={odate}"
+    """The path that holds a source's load of one date: a leaf, or for bronze a
+    glob over the leaves of its app folders."""
+    return source_root(base, layer, source, prefix) + "/" + LEAVES[layer].format(odate=odate)
 
 
 def schema_out_path(quality: str, odate: str) -> str:
     return f"{quality.rstrip('/')}/schema/odate={odate}"
 
 
+def schema_folders_path(quality: str, odate: str) -> str:
+    return f"{quality.rstrip('/')}/schema_folders/odate={odate}"
+
+
 def pattern_root(quality: str, source: str, kind: str = "pattern") -> str:
     return f"{quality.rstrip('/')}/{kind}/{PATTERN_DIRS.get(source, source)}"
 
@@ -70,13 +79,10 @@ def error_condition(exc: BaseException) -> str | None:
     return None
 
 
-def read_parquet(spark: SparkSession, path: str, merge_schema: bool = False) -> DataFrame:
+def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     """``spark.read.parquet`` that logs the path before re-raising."""
     try:
-        reader = spark.read
-        if merge_schema:
-            reader = reader.option("mergeSchema", "true")
-        return reader.parquet(path)
+        return spark.read.parquet(path)
     except Exception as exc:
         log.error("parquet read failed: path=%s error=%s", path, exc)
         raise
@@ -97,53 +103,39 @@ class Loaded:
     df: DataFrame | None
     state: str  # "present" | "missing" | "empty_dir" | "unreadable"
     error: str | None = None
-    merge_error: str | None = None  # footers of the app folders could not be merged
 
 
-def _first_line(exc: BaseException) -> str:
-    text = str(exc).strip()
-    return text.splitlines()[0] if text else repr(exc)
-
-
-def load_source(spark: SparkSession, path: str, source: str, merge_schema: bool = False) -> Loaded:
+def load_source(spark: SparkSession, path: str, source: str) -> Loaded:
     """Read one dated source; never raises for the source's own state.
 
     ``missing``: no such path. ``empty_dir``: a folder without data files.
-    ``unreadable``: the footer cannot be read (corrupt or foreign files).
-    When footers of several app folders cannot be merged, the source is
-    read on one footer's schema and the conflict is kept in ``merge_error``.
+    ``unreadable``: the footer cannot be read (corrupt or foreign files); the
+    whole error is kept. One footer gives the schema of the frame; whether all
+    files have it is ``schemas.file_schema_report``'s to say.
     """
     try:
-        return Loaded(source, path, read_parquet(spark, path, merge_schema), "present")
-    except AnalysisException as exc:
+        return Loaded(source, path, read_parquet(spark, path), "present")
+    except Exception as exc:  # noqa: BLE001 - footer failures surface as several types
         msg = (error_condition(exc) or "") + " " + str(exc)
-        if "PATH_NOT_FOUND" in msg:
-            return Loaded(source, path, None, "missing", _first_line(exc))
-        if "UNABLE_TO_INFER_SCHEMA" in msg:
-            return Loaded(source, path, None, "empty_dir", _first_line(exc))
-        err: Exception = exc
-    except Exception as exc:  # noqa: BLE001 - footer and merge failures surface as several types
-        err = exc
-    if merge_schema:
-        ld = load_source(spark, path, source, merge_schema=False)
-        ld.merge_error = _first_line(err)
-        return ld
-    return Loaded(source, path, None, "unreadable", _first_line(err))
-
-
-def load_sources(spark: SparkSession, base: str, layer: str, odate: str,
-                 sources=SOURCES, merge_schema: bool | None = None,
-                 prefix: str = DEFAULT_PREFIX) -> dict[str, Loaded]:
-    """All sources of one layer and date. Bronze glob reads merge footers by
-    default so a column added in only one app directory is not hidden."""
-    if merge_schema is None:
-        merge_schema = layer == "bronze"
+        state = ("missing" if "PATH_NOT_FOUND" in msg else
+                 "empty_dir" if "UNABLE_TO_INFER_SCHEMA" in msg else "unreadable")
+        return Loaded(source, path, None, state, str(exc) or repr(exc))
+
+
+def load_sources(spark: SparkSession, base: str, layer: str, odate: str, sources=SOURCES,
+                 prefix: str = DEFAULT_PREFIX, before: Callable[[str], None] | None = None) -> dict[str, Loaded]:
+    """All sources of one layer and date; file listing and footer reads of
+    different sources overlap. ``before`` is called with the source in the
+    thread that reads it (job group and description are set per thread)."""
     sources = list(sources)
-    # File listing and footer reads of different sources overlap.
+
+    def load(s: str) -> Loaded:
+        if before:
+            before(s)
+        return load_source(spark, source_path(base, layer, s, odate, prefix), s)
+
     with ThreadPoolExecutor(max_workers=max(1, min(len(sources), 8))) as pool:
-        loaded = pool.map(lambda s: load_source(spark, source_path(base, layer, s, odate, prefix),
-                                                s, merge_schema), sources)
-        return dict(zip(sources, loaded))
+        return dict(zip(sources, pool.map(load, sources)))
 
 
 def write_leaf(df: DataFrame, path: str, fmt: str = "parquet") -> None:
@@ -155,15 +147,35 @@ def write_leaf(df: DataFrame, path: str, fmt: str = "parquet") -> None:
        .format(fmt).save(path))
 
 
+def write_split(df: DataFrame, column: str, paths: Mapping[str, str], staging: str) -> None:
+    """Replace several leaves from one pass over ``df``: rows whose ``column``
+    has a key of ``paths`` go to that leaf. The job writes a tree under
+    ``staging`` that is split on a copy of the column; its folders are then
+    moved into place, a value without rows leaves an empty leaf."""
+    spark = df.sparkSession
+    (df.withColumn("_leaf", F.col(column)).write.mode("overwrite").option("partitionOverwriteMode", "static")
+       .partitionBy("_leaf").parquet(staging))
+    for value, path in paths.items():
+        remove_paths(spark, path)
+        if path_exists(spark, f"{staging}/_leaf={value}"):
+            move_path(spark, f"{staging}/_leaf={value}", path)
+        else:
+            write_leaf(df.limit(0), path)
+    remove_paths(spark, staging)
+
+
 def read_quarantine(spark: SparkSession, quality: str, source: str, odates=None,
                     kind: str = "pattern") -> DataFrame:
-    """Quarantined (or valid) rows of ``source`` across load dates, read from
-    the parent folder so ``odate`` is a partition column; a list of dates
-    becomes a partition filter, so only those folders are listed and read."""
-    df = read_parquet(spark, pattern_root(quality, source, kind))
-    if odates is not None:
-        df = df.filter(F.col("odate").isin([int(d) for d in odates]))
-    return df
+    """Quarantined (or valid) rows of ``source`` across load dates, with ``odate``
+    as a partition column. With a list of dates only their leaves are listed:
+    the history beside them is not looked at. Dates without a leaf are left out;
+    none with one is ``PATH_NOT_FOUND``, as for a read of the parent."""
+    root = pattern_root(quality, source, kind)
+    if odates is None:
+        return read_parquet(spark, root)
+    wanted = [pattern_out_path(quality, source, str(d), kind) for d in odates]
+    there = [p for p in wanted if path_exists(spark, p)]
+    return spark.read.option("basePath", root).parquet(*(there or wanted[:1] or [f"{root}/odate=none"]))
 
 
 def write_leaves(frames: Mapping[str, DataFrame], max_workers: int = 4) -> None:
@@ -175,36 +187,27 @@ def write_leaves(frames: Mapping[str, DataFrame], max_workers: int = 4) -> None:
 def with_leaf_dir(df: DataFrame, name: str = "app_dir") -> DataFrame:
     """Add the name of the sub-directory above ``odate=`` each row came from
     (a glob read loses it)."""
-    return df.withColumn(name, F.regexp_extract(F.col("_metadata.file_path"),
-                                                r"/([^/]+)/odate=[^/]+/[^/]+$", 1))
-
-
-def leaf_dirs(spark: SparkSession, path: str) -> list[str]:
-    """Directories holding the Parquet files of ``path`` (which may be a glob).
-
-    Listing goes through the binary-file source with its ``content`` column
-    pruned, so no file is opened; only distinct directories (one per app
-    sub-directory, a handful) reach the driver.
-    """
-    listing = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
-               .load(path).select(F.regexp_extract("path", r"^(.*)/[^/]+$", 1).alias("dir"))
-               .distinct())
-    return sorted(r["dir"] for r in listing.collect())
+    return df.withColumn(name, F.regexp_extract(F.col("_metadata.file_path"), r"/([^/]+)/odate=[^/]+/", 1))
 
 
-def leaf_schemas(spark: SparkSession, path: str) -> dict[str, object]:
-    """Schema of each leaf directory under ``path`` (footer reads only,
-    opened concurrently)."""
-    dirs = leaf_dirs(spark, path)
-    return {d: df.schema for d, df in read_many(spark, {d: d for d in dirs}).items()}
+def data_files(spark: SparkSession, path: str) -> DataFrame:
+    """``file`` for every data file at or below ``path`` (which may be a glob),
+    whatever its name, also those that a read passes over because folders beside
+    them look like partitions. Listing goes through the binary-file source with
+    its ``content`` column pruned, so no file is opened."""
+    return (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+            .select(F.col("path").alias("file")))
 
 
 def land_by_app(df: DataFrame, base: str, layer: str, source: str, odate: str,
                 app_col: str = "app_folder", prefix: str = DEFAULT_PREFIX) -> None:
     """Land one dated load split into one sub-folder per app, in one job:
     ``<root>/<app_col>=<name>/odate=D``. Every app folder matches the
-    ``<root>/*/odate=D`` glob; the static overwrite replaces the whole
-    source root, so a re-landing never mixes two loads."""
-    (df.withColumn("odate", F.lit(odate))
-       .write.mode("overwrite").option("partitionOverwriteMode", "static")
-       .partitionBy(app_col, "odate").parquet(source_root(base, layer, source, prefix)))
+    ``<root>/*/odate=D`` glob. Only that date is replaced: its leaves go first
+    (also of apps that deliver nothing any more), other dates stay. Rows are
+    dealt by app before the write, and AQE splits large apps, so files follow
+    the data, not tasks times apps."""
+    root = source_root(base, layer, source, prefix)
+    remove_paths(df.sparkSession, f"{root}/*/odate={odate}")
+    (df.withColumn("odate", F.lit(odate)).hint("rebalance", F.col(app_col))
+       .write.mode("append").partitionBy(app_col, "odate").parquet(root))

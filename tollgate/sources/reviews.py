@@ -152,9 +152,12 @@ def silver_source(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
     schema = expected_schema(source, "silver")
     out = table(spark, sf_dir, tbl).selectExpr(
         *[f"{exprs[f.name]} as `{f.name}`" for f in schema.fields if f.name in exprs])
+    # a row's own values as its one earlier version: nested values are written,
+    # quarantined and read back like the others
     hist = schema["historical_data"].dataType
+    past = F.struct(*[F.col(f"`{n}`").cast("string").alias(n) for n in hist.elementType.names])
     return out.select(*[
-        (F.array().cast(hist) if f.name == "historical_data" else F.col(f"`{f.name}`")).alias(f.name)
+        (F.array(past).cast(hist) if f.name == "historical_data" else F.col(f"`{f.name}`")).alias(f.name)
         for f in schema.fields
     ])
 

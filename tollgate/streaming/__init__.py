@@ -1,3 +1,3 @@
-from .quarantine import observed_rejects, quarantine_stream
+from .quarantine import drift_path, quarantine_stream, rejected_rows
 
-__all__ = ["observed_rejects", "quarantine_stream"]
+__all__ = ["drift_path", "quarantine_stream", "rejected_rows"]

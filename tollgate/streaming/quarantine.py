@@ -1,26 +1,32 @@
 """Incremental pattern check: the same rules over files as they land.
 
 The row logic is stateless (one row in, at most one row out), so the batch
-``rejects`` transformation applies unchanged to a streaming DataFrame: a
-file-source ``readStream`` with a declared schema, the OR-of-violations
-filter, the annotation, and a Parquet file sink whose checkpoint makes the
-output exactly-once across restarts and lost executors. Reject counts per
-micro-batch come from ``observe`` and appear in each progress report.
+``rejects`` transformation applies unchanged to each micro-batch of a file
+stream. Before a batch is checked, the footers of its files are compared with
+the declared schema on the executors: a file that lacks a declared column, or
+holds it in another type, would be read as NULL and pass rules it was never
+held against, so its rows are not checked and it becomes a row of the drift
+table instead. A batch replaces its own leaves (``batch_id=N``), so the output
+is exactly-once across restarts and lost executors.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.rules import Rule
-from ..operators.patterns import failure_count_exprs, rejects
+from ..operators.patterns import rejects
+from ..operators.schemas import footer_report
+from ..sources.lake import write_leaf
 
-OBSERVATION = "tollgate_rejects"
+def drift_path(out: str) -> str:
+    """Where a stream that writes to ``out`` reports files it did not check."""
+    return f"{out.rstrip('/')}_drift"
 
 
 def quarantine_stream(spark: SparkSession, landing: str, schema: T.StructType,
@@ -28,33 +34,42 @@ def quarantine_stream(spark: SparkSession, landing: str, schema: T.StructType,
                       available_now: bool = True, max_files_per_trigger: int | None = None,
                       processing_time: str | None = None) -> StreamingQuery:
     """Start a query writing rejected rows of every new Parquet file under
-    ``landing`` to ``out``. ``available_now`` drains the backlog in bounded
-    micro-batches and stops; otherwise the query runs on ``processing_time``.
+    ``landing`` to ``out/batch_id=N``, and files that do not have the declared
+    columns to ``drift_path(out)``. ``available_now`` drains the backlog in
+    bounded micro-batches and stops; otherwise the query runs on
+    ``processing_time``. Columns beyond the declared ones are passed over.
     """
     reader = spark.readStream.schema(schema).format("parquet")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    # only the declared columns: folder names like key=value would otherwise
-    # be discovered as extra partition columns
-    landed = reader.load(landing).select(*[F.col(f"`{n}`") for n in schema.fieldNames()])
-    rej = rejects(landed, rules)
-    rej = rej.observe(OBSERVATION, F.count(F.lit(1)).alias("n_rejected"),
-                      *failure_count_exprs(rules))
-    writer = (rej.writeStream.format("parquet").outputMode("append")
-              .option("checkpointLocation", checkpoint))
+    names = [F.col(f"`{n}`") for n in schema.fieldNames()]
+    landed = reader.load(landing).select(*names, F.col("_metadata.file_path").alias(_FILE))
+
+    def check(batch: DataFrame, batch_id: int) -> None:
+        files = batch.select(F.col(_FILE).alias("file")).distinct()
+        drift = (footer_report(files, "", schema).withColumn("broken", F.filter(
+                     "differences", lambda d: ~d["status"].isin("unexpected", "moved", "nullability_mismatch")))
+                 .filter("error is not null or size(broken) > 0")
+                 .select("file", "error", F.col("broken").alias("differences")))
+        report = f"{drift_path(out)}/batch_id={batch_id}"
+        write_leaf(drift, report)
+        # a small table: files of one micro-batch that differ
+        broken = spark.read.schema(drift.schema).parquet(report).select(F.col("file").alias(_FILE))
+        whole = batch.join(broken, _FILE, "left_anti").select(*names)
+        write_leaf(rejects(whole, rules), f"{out.rstrip('/')}/batch_id={batch_id}")
+
+    writer = landed.writeStream.foreachBatch(check).option("checkpointLocation", checkpoint)
     if available_now:
         writer = writer.trigger(availableNow=True)
     elif processing_time:
         writer = writer.trigger(processingTime=processing_time)
-    return writer.start(out)
-
-
-def observed_rejects(query: StreamingQuery) -> int:
-    """Rejected rows summed over the progress reports still held by the query."""
-    total = 0
-    for p in query.recentProgress:
-        metrics = p.observedMetrics if hasattr(p, "observedMetrics") else p.get("observedMetrics", {})
-        row = metrics.get(OBSERVATION) if metrics else None
-        if row is not None:
-            total += int(row["n_rejected"])
-    return total
+    return writer.start()
+
+
+_FILE = "_tollgate_file"
+
+
+def rejected_rows(spark: SparkSession, out: str) -> int:
+    """Rejected rows that the stream has written, counted in its output (a
+    query's progress reports are forgotten after a while)."""
+    return spark.read.parquet(out).count()

@@ -13,10 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tollgate.llm import pii, toxicity
-from tollgate.llm.common import ship_package, table, written
+from tollgate.llm.common import table, written
 from tollgate.llm.decontaminate import decontaminate
 from tollgate.llm.packing import pack
 from tollgate.llm.simhash import deduplicate
+from tollgate.session import ship_package
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import types as T
 
-from tollgate.llm.common import ship_package
+from tollgate.session import ship_package
 
 #: Columns of ``documents``, and some that clash with names used inside operators.
 SCHEMA = T.StructType([

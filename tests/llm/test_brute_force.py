@@ -13,7 +13,7 @@ import xxhash
 from tokenizers import Tokenizer
 
 from tollgate.llm import bpe, components, decontaminate, licenses, packing, pii, simhash, spotsigs, token_counts, warc
-from tollgate.llm.common import ship_package
+from tollgate.session import ship_package
 
 from .conftest import TEXTS
 

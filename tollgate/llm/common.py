@@ -3,16 +3,11 @@ shared folder, and Arrow batches of bytes."""
 
 from __future__ import annotations
 
-import os
-import tempfile
-import zipfile
-from pathlib import Path
-
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import fresh_run_dir
+from ..session import fresh_run_dir, ship_package
 
 #: Upper case A-Z to lower case, and every byte that is not part of a word
 #: ``[^\x00-\x2F\x3A-\x60\x7B-\x7F]`` to a space. UTF-8 bytes over 0x7F stay.
@@ -22,21 +17,6 @@ WORD_BYTES = bytes(
 )
 
 
-def ship_package(spark: SparkSession) -> None:
-    """Sends this package's modules to the executors, once per application, so
-    that Python workers can import them wherever the driver was started."""
-    sc = spark.sparkContext
-    if getattr(sc, "_tollgate_shipped", False):
-        return
-    root = Path(__file__).resolve().parents[1]
-    path = os.path.join(tempfile.mkdtemp(prefix="tollgate-modules-"), "tollgate-modules.zip")
-    with zipfile.ZipFile(path, "w") as z:
-        for f in sorted(root.rglob("*.py")):
-            z.write(f, f.relative_to(root.parent))
-    sc.addPyFile(path)
-    sc._tollgate_shipped = True
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

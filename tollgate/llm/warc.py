@@ -29,6 +29,8 @@ from .common import written
 
 ARCHIVE_BYTES = 128 << 20
 RANGE_BYTES, GAP_BYTES = 8 << 20, 64 << 10
+#: Bytes of archives that one task reads, about.
+TASK_BYTES = 64 << 20
 DATE = "1970-01-01T00:00:00Z"
 _HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -169,7 +171,11 @@ def read_records(index: DataFrame, folder: str, *, payload: bool = True, **range
                     found.append(one if payload else one | {"payload": None})
                 yield pa.RecordBatch.from_pylist(found, schema=kinds)
 
-    wanted = byte_ranges(index, **ranges).sortWithinPartitions("file", "start")
+    # An index row is small and its record is not: ranges are dealt by the bytes
+    # they read, and neighbours stay together.
+    size = index.agg(F.sum("length")).first()[0] or 0
+    tasks = max(index.sparkSession.sparkContext.defaultParallelism, -(-size // TASK_BYTES))
+    wanted = byte_ranges(index, **ranges).repartitionByRange(tasks, "file", "start").sortWithinPartitions("file", "start")
     return wanted.mapInArrow(read, _RECORD)
 
 

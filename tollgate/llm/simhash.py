@@ -32,6 +32,8 @@ from .components import components
 #: Generator x^11+x^9+x^7+x^6+x^5+x+1 of the [23, 12, 7] Golay code (fixed value).
 GOLAY = 0b101011100011
 BLOCK, RADIUS = 23, 3
+#: Fingerprints that one task replicates, about.
+TASK_ROWS = 100_000
 _MASK = (1 << BLOCK) - 1
 
 
@@ -121,6 +123,9 @@ def links(fingerprints: DataFrame, max_bits: int) -> DataFrame:
                 yield pa.RecordBatch.from_pydict(
                     {"anchor": np.concatenate(found), name: np.repeat(part, [len(a) for a in found])})
 
+    # A fingerprint is 8 bytes and becomes 61 rows: dealt by rows, not bytes.
+    tasks = max(fingerprints.sparkSession.sparkContext.defaultParallelism, -(-fingerprints.count() // TASK_ROWS))
+    fingerprints = fingerprints.repartition(tasks)
     homes = fingerprints.mapInArrow(lambda b: replicate(b, 0, "v"), "anchor long, v long")
     others = fingerprints.mapInArrow(lambda b: replicate(b, max_bits, "u"), "anchor long, u long")
     near = F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= max_bits

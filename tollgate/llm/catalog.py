@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from . import language, licenses, pii, toxicity
 from .common import table
 from .decontaminate import contamination
+from .oracle import oracle_sql
 from .packing import pack
 from .simhash import near_duplicates
 from .spotsigs import fingerprints
@@ -64,5 +65,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
                                    op9_packing, op10_spotsigs)}
 
 
-def oracle_sql() -> dict[str, str]:
-    return {}
+__all__ = ["oracle_sql", "queries"]

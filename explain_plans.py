@@ -63,10 +63,11 @@ def main(sf: str) -> None:
     res = run_quality(spark, root, "silver", "20240101", f"{root}/quality")
     tracker = spark.sparkContext.statusTracker()
     print("## Jobs of one silver run (three sources)\n")
-    print("From the status tracker, by the run's job group: three `isEmpty` gates (one split "
-          "each); four `save` jobs — the schema report and the three per-source pattern passes, "
-          "the only jobs that read data columns; one `parquet` job appending run metrics. "
-          "Task counts are per split (one here: the inputs are single files).\n")
+    print("From the status tracker, by the run's job group, the jobs that open the sources "
+          "included: footer inference, `isEmpty` gates (one split each), per source the file "
+          "verdicts (listing, footers, one row per folder written and read back), the schema "
+          "report, the three pattern passes (the only jobs that read data columns) and the append "
+          "of the run metrics. Task counts are per split (one here: the inputs are single files).\n")
     print("| job | stages | tasks |\n| --- | --- | --- |")
     for j in sorted(tracker.getJobIdsForGroup(res.job_group)):
         info = tracker.getJobInfo(j)

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from ..functions.review_rules import SILVER_RULES
 from ..functions.rules import (
-    FAILED_COLUMNS, VALIDATION, any_violation, cast_regex, not_null, regex, violated,
+    FAILED_COLUMNS, VALIDATION, cast_regex, not_null, regex, violated,
 )
 from ..operators.patterns import (
     annotate, joined_failures, rejects, rule_failure_counts, valid, valid_invalid_counts,

@@ -25,12 +25,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.review_rules import rules_for
-from ..functions.rules import Rule
+from ..functions.rules import VALIDATION, Rule
 from ..operators.metrics import (
     JOB_FAILURE_SCHEMA, RUN_METRICS_SCHEMA, append_rows, now_iso, observe_rejects,
     record_failure,
 )
-from ..functions.rules import VALIDATION
 from ..operators.patterns import annotate, preview_rejects, rejects
 from ..operators.schemas import (
     LAYERS, MATCH, NO_MATCH, by_folder, expected_schema, file_schema_report, schema_diff_rows, schema_report,

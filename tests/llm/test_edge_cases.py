@@ -4,6 +4,7 @@ an empty table, and extra columns with clashing names."""
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tollgate.llm import boosting, decontaminate, language, licenses, packing, pii, simhash, spotsigs, token_counts, toxicity, warc
 
 from .conftest import SCHEMA, TEXTS
@@ -13,7 +14,10 @@ def labels(spark, rows=((1, 0, 0), (4, 1, 1), (4, 1, 0), (None, 1, 1), (5, None,
     return spark.createDataFrame(list(rows), "doc_id long, quality int, toxic int")
 
 
-def benchmark(spark, rows=((1, "under 12 1 555 0100 the mit of license under 12 1 555 0100"), (2, None), (2, ""), (None, "a"), (3, "one two"))):
+ITEMS = ((1, "under 12 1 555 0100 the mit of license under 12 1 555 0100"), (2, None), (2, ""), (None, "a"), (3, "one two"))
+
+
+def benchmark(spark, rows=ITEMS):
     return spark.createDataFrame(list(rows), "item_id long, text string")
 
 
@@ -74,3 +78,26 @@ def test_benchmark_without_words_hits_nothing(spark, edge_docs):
     got = decontaminate.contamination(edge_docs, benchmark(spark, [(1, ""), (2, None)]))
     assert got.filter("n_hit > 0 or contaminated or n_items > 0").count() == 0
     assert got.filter(F.col("doc_id") == 5).first().n_words > 100_000
+
+
+def test_packing_edge_cases(spark, edge_docs):
+    rows = packing.pack(edge_docs).collect()
+    whole = [r for r in rows if r.start == 0]
+    assert sorted(r.doc_id or -1 for r in whole) == sorted(i or -1 for i, _ in TEXTS)
+    assert {r.doc_tokens for r in whole if r.doc_id in (1, 2)} == {1}  # the end id alone
+    assert len({(r.sequence_id, r.offset) for r in rows}) == len(rows)
+
+
+@pytest.mark.parametrize("kind", ["edge", "empty"])
+def test_pipeline_edge_cases(spark, edge_docs, no_docs, workdir, kind):
+    columns = ["doc_id", "text", "lang", "source", "n_chars"]
+    (edge_docs if kind == "edge" else no_docs).select(*columns, F.lit("x").alias("_fp")).write.parquet(f"{workdir}/documents.parquet")
+    labels(spark).write.parquet(f"{workdir}/labels.parquet")
+    benchmark(spark).write.parquet(f"{workdir}/benchmark.parquet")
+    rows = corpus_pipeline.run(spark, workdir).collect()
+    left = {r.doc_id for r in rows}
+    if kind == "empty":
+        assert rows == []
+    else:
+        assert 4 in left and 12 not in left and 5 not in left  # 12 and 5 hold benchmark windows
+        assert sum(r.doc_id == 4 and r.start == 0 for r in rows) == 1  # of two equal rows one stays

@@ -63,14 +63,15 @@ def fit(sample: DataFrame, *, rounds: int = 15, depth: int = 4, step: float = 0.
     """Boosted trees for ``sample``: features array<double>, label int, key (any
     value; its hash sets a share ``held`` aside, on which the isotonic steps are
     fitted). The caller bounds the sample. With fewer than 20 rows, or one class
-    only, the model is the share of label 1."""
+    only, nothing is learned: the score is the share of label 1, but under 0.5, so
+    that such a model rejects nothing."""
     rows = sample.select(array_to_vector("features").alias("features"), F.col("label").cast("double").alias("label"),
                          (F.pmod(F.xxhash64("key"), F.lit(1000)) < int(1000 * held)).alias("held")).persist()
     try:
         got = {(r.held, r.label): r["count"] for r in rows.groupBy("held", "label").count().collect()}
         n, ones = sum(got.values()), sum(v for (_, y), v in got.items() if y == 1)
         if n < 20 or len(got) < 4:
-            return Boosted((), (), np.zeros(1), np.zeros(1), ones / n if n else 0.0)
+            return Boosted((), (), np.zeros(1), np.zeros(1), min(0.49, ones / n) if n else 0.0)
         model = GBTClassifier(maxIter=rounds, maxDepth=depth, stepSize=step, minInstancesPerNode=5, maxBins=64,
                               seed=7).fit(rows.filter("not held"))
         java = model._java_obj  # the trees' nodes have no Python form

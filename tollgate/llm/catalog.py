@@ -61,8 +61,9 @@ def op10_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_licenses, op2_toxicity, op3_language, op4_simhash, op5_pii, op6_token_counts, op7_warc, op8_decontamination,
-                                   op9_packing, op10_spotsigs)}
+    every = (op1_licenses, op2_toxicity, op3_language, op4_simhash, op5_pii, op6_token_counts, op7_warc,
+             op8_decontamination, op9_packing, op10_spotsigs)
+    return {f.__name__: f for f in every}
 
 
 __all__ = ["oracle_sql", "queries"]

@@ -3,6 +3,9 @@ shared folder, and Arrow batches of bytes."""
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+from typing import Any
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,6 +34,31 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows whose Python objects a worker holds at a time, and their bytes, about.
+SLICE_ROWS, SLICE_BYTES = 1_000, 8 << 20
+
+
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Arrow batches in slices (views) of bounded rows and bytes, so that texts
+    become Python objects a few megabytes at a time; a longer row is a slice."""
+    for batch in batches:
+        rows = max(1, min(SLICE_ROWS, batch.num_rows * SLICE_BYTES // max(1, batch.nbytes)))
+        for i in range(0, batch.num_rows, rows):
+            yield batch.slice(i, rows)
+
+
+_worker: dict[str, Any] = {"owner": None, "value": None}
+
+
+def worker_cache(owner: object, make: Callable[[], Any]) -> Any:
+    """What ``make`` gave for ``owner``, kept in this Python worker until another
+    owner asks: a worker that runs several operators holds one's cache."""
+    if _worker["owner"] != owner:
+        _worker.update(owner=None, value=None)  # let go of the old one first
+        _worker.update(owner=owner, value=make())
+    return _worker["value"]
+
+
 def utf8(batch: pa.RecordBatch, name: str) -> list[bytes]:
     """A string column of an Arrow batch as UTF-8 bytes; null is empty."""
     return [x or b"" for x in batch.column(name).cast(pa.binary()).to_pylist()]

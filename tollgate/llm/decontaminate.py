@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD_BYTES, utf8, written
+from .common import WORD_BYTES, slices, utf8, written
 
 _WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 _FOUND = "spans array<struct<start:long,end:long>>, items array<string>"
@@ -101,7 +101,7 @@ def find_windows(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
         known = spark.sparkContext.broadcast(windows(items, n))
 
         def search(batches: Iterator[pa.RecordBatch], known=known) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in slices(batches):
                 found = []
                 for text, before in zip(utf8(batch, text_col), batch.column("found").to_pylist(), strict=True):
                     w = words(text)
@@ -170,7 +170,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
     text = f"c{cols.index(text_col)}"
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             texts = [_cut(t, f["spans"]) if f["spans"] else t
                      for t, f in zip(batch.column(text).to_pylist(), batch.column("found").to_pylist(), strict=True)]
             names = [c for c in batch.schema.names if c != "found"]

@@ -16,7 +16,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_text_crc32, strings
+from .common import id_text_crc32, slices, strings, worker_cache
 
 UNKNOWN = "und"
 #: Bounds of the training sample: documents for each language (about),
@@ -86,8 +86,8 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], id_col: str = "doc
     shared, key = docs.sparkSession.sparkContext.broadcast(dictionaries), uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        compressors = _worker_compressors(key, shared)
-        for batch in batches:
+        compressors = worker_cache(("compressors", key), lambda: _compressors(shared.value))
+        for batch in slices(batches):
             found = [classify(t, compressors) for t in strings(batch, "text")]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), pa.array([x for x, _ in found], pa.string()), pa.array([m for _, m in found], pa.float64())],
@@ -98,12 +98,3 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], id_col: str = "doc
         F.col("id").alias(id_col), F.coalesce(id_text_crc32("id") % 4 == 2, F.lit(False)).alias("held_out"), "lang_pred",
         F.when(F.col("lang_pred") == UNKNOWN, 0.0).otherwise(0.5 + F.least(F.lit(0.5), 2.5 * F.col("margin"))).alias("score"),
         ((F.col("lang_pred") == UNKNOWN) | (F.col("margin") < narrow)).alias("rejected"))
-
-
-_worker: dict[str, object] = {}
-
-
-def _worker_compressors(key: str, shared) -> dict[str, zstandard.ZstdCompressor]:
-    if _worker.get("key") != key:
-        _worker.update(key=key, compressors=_compressors(shared.value))
-    return _worker["compressors"]

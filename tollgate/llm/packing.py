@@ -20,12 +20,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import bpe
-from .common import strings, written
+from .common import slices, strings, worker_cache, written
 
 TOKENIZER, RANKS, END = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken", 0
 #: Rows that one task ranks, about.
 RANKED_ROWS = 200_000
-WORKER_ENTRIES = 400_000
+WORKER_ENTRIES = 300_000
 
 
 def patterns(histogram: dict[int, int], size: int) -> list[tuple[list[int], int]]:
@@ -88,9 +88,6 @@ class _Ids(dict):
         return ids
 
 
-_ids = _Ids()
-
-
 def _encode(chunk: str) -> bytes:
     if not chunk:
         return b""
@@ -104,6 +101,7 @@ def _encode(chunk: str) -> bytes:
 def token_bytes(text: str) -> bytes:
     """The ids of a text as the tokenizer gives them, and the end id, as
     little-endian unsigned 32-bit integers."""
+    ids = worker_cache("token ids", _Ids)
     out = []
     for i, part in enumerate(bpe.segments(text, TOKENIZER)):
         if i % 2:
@@ -111,7 +109,7 @@ def token_bytes(text: str) -> bytes:
         else:
             first, *rest = bpe.chunks(part)
             out.append(_encode(first))
-            out += map(_ids.__getitem__, rest)
+            out += map(ids.__getitem__, rest)
     out.append(np.array([END], dtype="<u4").tobytes())
     return b"".join(out)
 
@@ -130,9 +128,9 @@ def cut(docs: DataFrame, id_col: str, text_col: str, size: int, with_ids: bool =
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fulls = 0
-        for batch in batches:
+        for batch in slices(batches):
             out: list[list] = [[] for _ in range(7)]
-            part = batch.column("part")[0].as_py() << 40 if batch.num_rows else 0
+            part = batch.column("part")[0].as_py() << 36
             at = []
             for row, text in enumerate(strings(batch, "text")):
                 data = token_bytes(text)
@@ -163,14 +161,14 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, siz
 
     Null and empty texts are a single end id. Ids may be null or repeat: each
     row is a document. Full pieces fill a sequence of their own, whose id is
-    at least 2**32; sequences of rests are numbered from 0. An empty table gives
+    at least 2**62; sequences of rests are numbered from 0. An empty table gives
     an empty result; other columns are ignored.
     """
     spark = docs.sparkSession
     cutted = written(cut(docs, id_col, text_col, size, with_ids), "packing-pieces")
     keep = ["id", "start", "length", "ids_crc32", "doc_tokens", *(["ids"] if with_ids else [])]
     full = cutted.filter("full_no is not null").select(
-        *keep, (F.col("full_no") + F.lit(1 << 32)).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+        *keep, (F.col("full_no") + F.lit(1 << 62)).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
 
     rests = cutted.filter("full_no is null").withColumn("order", F.xxhash64("id", "doc_tokens", "ids_crc32"))
     n = rests.count()

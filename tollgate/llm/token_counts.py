@@ -11,6 +11,7 @@ No pre-token is shuffled to be counted, and texts never leave their task.
 
 from __future__ import annotations
 
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 
@@ -19,12 +20,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bpe
-from .common import strings
+from .common import slices, strings, worker_cache
 
 TOKENIZER = "byte_bpe_50k.json"
 MAX_KEY = 64
 #: Entries a worker's counter or cache may hold before it is pruned or emptied.
-WORKER_ENTRIES = 400_000
+WORKER_ENTRIES = 300_000
 
 
 def frequent_chunks(docs: DataFrame, text_col: str = "text", table_size: int = 32_768,
@@ -38,7 +39,7 @@ def frequent_chunks(docs: DataFrame, text_col: str = "text", table_size: int = 3
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter[str] = Counter()
-        for batch in batches:
+        for batch in slices(batches):
             for text in strings(batch, "text"):
                 counts.update(bpe.chunks(text)[1:])
                 if len(counts) > WORKER_ENTRIES:
@@ -72,17 +73,6 @@ class _Lengths(dict):
         return n
 
 
-_worker_tables: dict[object, _Lengths] = {}
-
-
-def _lengths(shared, tokenizer: str) -> _Lengths:
-    key = (shared.value["id"], tokenizer)
-    if key not in _worker_tables:
-        _worker_tables.clear()
-        _worker_tables[key] = _Lengths(shared.value["frequent"], tokenizer)
-    return _worker_tables[key]
-
-
 def count_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, limit: int = 1024,
                  tokenizer: str = TOKENIZER, table_size: int = 32_768) -> DataFrame:
     """One row per row of ``docs``: id, n_bytes (UTF-8), n_tokens, over_limit.
@@ -91,15 +81,13 @@ def count_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     every row is counted by itself; other columns are ignored; an empty table
     gives an empty result.
     """
-    import uuid
-
     frequent = frequent_chunks(docs, text_col, table_size, tokenizer=tokenizer)
-    shared = docs.sparkSession.sparkContext.broadcast({"id": uuid.uuid4().hex, "frequent": frequent})
+    shared, key = docs.sparkSession.sparkContext.broadcast(frequent), uuid.uuid4().hex
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lengths = _lengths(shared, tokenizer)
+        lengths = worker_cache(("token lengths", key), lambda: _Lengths(shared.value, tokenizer))
         encode = bpe.tokenizer(tokenizer).encode
-        for batch in batches:
+        for batch in slices(batches):
             n_bytes, n_tokens = [], []
             for text in strings(batch, "text"):
                 n_bytes.append(len(text.encode()))

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import math
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -21,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import boosting
-from .common import WORD_BYTES, bounded_share, id_text_crc32, utf8
+from .common import WORD_BYTES, bounded_share, id_text_crc32, slices, utf8, worker_cache
 
 #: Labelled documents that a fit uses at most, about.
 SAMPLE = 12_000
@@ -40,7 +41,7 @@ _PLAIN = bytes.maketrans(b"@$!013457", b"asioieast")
 _PUNCTUATION = np.array([33 <= c <= 47 or 58 <= c <= 64 or 91 <= c <= 96 or 123 <= c <= 126 for c in range(256)])
 _LETTERS = np.array([65 <= c <= 90 or 97 <= c <= 122 for c in range(256)])
 #: Words a worker remembers before it starts afresh.
-_WORKER_WORDS = 300_000
+_WORKER_WORDS = 200_000
 
 
 def terms(word: bytes) -> list[bytes]:
@@ -96,22 +97,13 @@ class Model:
     boosted: boosting.Boosted
 
 
-_worker: dict[str, object] = {}
-
-
-def _lexicon(key: str, weights: dict[bytes, float]) -> Lexicon:
-    if _worker.get("key") != key:
-        _worker.update(key=key, lexicon=Lexicon(weights))
-    return _worker["lexicon"]
-
-
 def _learn_lexicon(sample: DataFrame) -> dict[bytes, float]:
     """Terms with log odds of at least log 8 and no fewer than 4 toxic texts in
     each half of the sample; the smaller log odds is the weight."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter[tuple[bytes, int, int]] = Counter()
-        for batch in batches:
+        for batch in slices(batches):
             for text, label, half in zip(utf8(batch, "text"), batch.column("label").to_pylist(),
                                          batch.column("half").to_pylist(), strict=True):
                 found = {t for w in set(text.lower().translate(WORD_BYTES).split()) for t in terms(w)}
@@ -139,8 +131,8 @@ def _featured(rows: DataFrame, weights: dict[bytes, float], key: str) -> DataFra
     """(key, label, features) of rows (key, label, text)."""
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lexicon = _lexicon(key, weights)
-        for batch in batches:
+        lexicon = worker_cache(("lexicon", key), lambda: Lexicon(weights))
+        for batch in slices(batches):
             found = [features(t, lexicon) for t in utf8(batch, "text")]
             yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("label"), pa.array(found, pa.list_(pa.float64()))],
                                              names=["key", "label", "features"])
@@ -156,8 +148,6 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     their broadcast is bounded and no text is shuffled. A repeated label counts
     as toxic if one of its rows is; null ids and labels are left out.
     """
-    import uuid
-
     known = (labels.select(F.col(id_col).cast("long").alias("key"), F.col(label_col).cast("int").alias("label"))
              .filter((id_text_crc32("key") % 5 != 0) & F.col("label").isin(0, 1)).groupBy("key").agg(F.max("label").alias("label")))
     chosen = bounded_share(known, F.col("key"), sample)
@@ -172,13 +162,11 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
 
 def _scored(docs: DataFrame, model: Model, text_col: str, use) -> DataFrame:
-    import uuid
-
     shared, key = docs.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lexicon = _lexicon(key, shared.value.weights)
-        for batch in batches:
+        lexicon = worker_cache(("lexicon", key), lambda: Lexicon(shared.value.weights))
+        for batch in slices(batches):
             x = np.array([features(t, lexicon) for t in utf8(batch, text_col)]).reshape(-1, len(FEATURES))
             yield use(batch, shared.value.boosted.probability(x))
 

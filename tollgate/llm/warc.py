@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import fresh_run_dir
-from .common import written
+from .common import slices, written
 
 ARCHIVE_BYTES = 128 << 20
 RANGE_BYTES, GAP_BYTES = 8 << 20, 64 << 10
@@ -113,7 +113,7 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, path = open_store(folder)
         sink, name, offset = None, "", 0
-        for batch in batches:
+        for batch in slices(batches):
             out: dict[str, list] = {k.split()[0]: [] for k in _INDEX.split(", ")}
             for r in batch.to_pylist():
                 if sink is None or offset >= archive_bytes:

@@ -113,7 +113,9 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     taken. Null texts are empty; other columns are ignored. Ids are integers.
     """
     lowest = F.lit(-(1 << 63))
-    rows = docs.select(F.col(id_col).alias("doc"), F.coalesce(F.col(id_col).cast("long"), lowest).alias("id"),
+    # Both joins below deal out exactly these rows by id, so that texts are
+    # shuffled once and the exchange is used twice.
+    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), lowest).alias("id"),
                        F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     sizes = rows.groupBy("id").agg(F.max(F.length("text")).alias("n"))
     follow = next_ids(rows.select("id"))
@@ -121,16 +123,16 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                                               F.floor(F.col("n") / 3).cast("int").alias("head")))
     wanted = written(wanted, "spot-wanted")
     # Each document sends its predecessor only the head it takes and its set.
-    sent = with_signatures(rows.select("id", "text").join(wanted, "id"), "text", "next_sigs")
+    sent = with_signatures(rows.join(wanted, "id"), "text", "next_sigs")
     sent = (sent.select(F.col("for_id").alias("id"), F.struct(F.expr("substring(text, 1, head)").alias("head"), "next_sigs").alias("sent"))
             .groupBy("id").agg(F.min("sent").alias("sent")))
     third = F.floor(F.col("n") / 3).cast("int")
     both = with_signatures(rows.join(sent, "id").withColumn("n", F.length("text")), "text", "sigs")
-    both = both.select("doc", "n", "sigs", F.col("sent.next_sigs").alias("next_sigs"), F.concat(
+    both = both.select("id", "n", "sigs", F.col("sent.next_sigs").alias("next_sigs"), F.concat(
         F.substring("text", F.lit(1), F.col("n") - third), F.substring("sent.head", F.lit(1), third)).alias("edited"))
     both = with_signatures(both, "edited", "edited_sigs")
     return both.select(
-        F.col("doc").alias(id_col), F.col("n").cast("long").alias("n_chars"),
+        F.nullif(F.col("id"), lowest).cast(docs.schema[id_col].dataType).alias(id_col), F.col("n").cast("long").alias("n_chars"),
         F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), digest(F.col("sigs")).alias("fingerprint"),
         digest(F.col("edited_sigs")).alias("edited_fingerprint"), jaccard(F.col("sigs"), F.col("edited_sigs")).alias("near_edited"),
         jaccard(F.col("sigs"), F.col("next_sigs")).alias("near_next"),

@@ -45,6 +45,7 @@ def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = max(1, min(SLICE_ROWS, batch.num_rows * SLICE_BYTES // max(1, batch.nbytes)))
         for i in range(0, batch.num_rows, rows):
             yield batch.slice(i, rows)
+    pa.default_memory_pool().release_unused()  # the worker lives on
 
 
 _worker: dict[str, Any] = {"owner": None, "value": None}

@@ -25,7 +25,7 @@ from .common import slices, strings, worker_cache, written
 TOKENIZER, RANKS, END = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken", 0
 #: Rows that one task ranks, about.
 RANKED_ROWS = 200_000
-WORKER_ENTRIES = 300_000
+WORKER_ENTRIES = 150_000
 
 
 def patterns(histogram: dict[int, int], size: int) -> list[tuple[list[int], int]]:

@@ -25,7 +25,7 @@ from .common import slices, strings, worker_cache
 TOKENIZER = "byte_bpe_50k.json"
 MAX_KEY = 64
 #: Entries a worker's counter or cache may hold before it is pruned or emptied.
-WORKER_ENTRIES = 300_000
+WORKER_ENTRIES = 200_000
 
 
 def frequent_chunks(docs: DataFrame, text_col: str = "text", table_size: int = 32_768,

@@ -41,7 +41,7 @@ _PLAIN = bytes.maketrans(b"@$!013457", b"asioieast")
 _PUNCTUATION = np.array([33 <= c <= 47 or 58 <= c <= 64 or 91 <= c <= 96 or 123 <= c <= 126 for c in range(256)])
 _LETTERS = np.array([65 <= c <= 90 or 97 <= c <= 122 for c in range(256)])
 #: Words a worker remembers before it starts afresh.
-_WORKER_WORDS = 200_000
+_WORKER_WORDS = 100_000
 
 
 def terms(word: bytes) -> list[bytes]:

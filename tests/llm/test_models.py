@@ -1,11 +1,12 @@
 """Learned operators: held-out accuracy, and what they must not look at."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 import corpus_pipeline
-from tollgate.llm import language, toxicity
+from tollgate.llm import boosting, language, pii, toxicity
 from tollgate.llm.common import table
 
 from ..conftest import SF01
@@ -42,6 +43,21 @@ def test_language_without_letters(spark):
     assert language.identify(docs, {}).filter("lang_pred != 'und'").count() == 0
 
 
+def test_numbers_side_by_side_are_proposed_apart():
+    text = "le 7536784127813050 4845168114407329 or +1 (826) 555-4081 (017) 555-7713, 999.10.1.2.3"
+    got = {(k, text[s:e]) for k, s, e in pii.candidates(text)}
+    assert {("card", "7536784127813050"), ("card", "4845168114407329"), ("phone", "+1 (826) 555-4081"),
+            ("phone", "(017) 555-7713"), ("ip", "10.1.2.3")} <= got
+    assert not pii.base_spans("7536784127813050 4845168114407329")  # by contract: no retries inside a run
+
+
+def test_likeliest_disjoint_numbers_are_kept():
+    sure = boosting.Boosted((), (), np.zeros(1), np.zeros(1), 0.95)
+    text = "le 7536784127813050 4845168114407329 ma"
+    assert pii.added_spans(text, pii.base_spans(text), sure, 0.9) == [("card", 3, 19), ("card", 20, 36)]
+    assert len(pii.candidates("7 " * 20_000)) < 20 * 20_000  # parts grow with the text, not with its square
+
+
 @pytest.fixture(scope="module")
 def stages(spark):
     docs, out = table(spark, "/root/testdata/sf0.001", "documents"), []

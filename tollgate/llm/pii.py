@@ -1,8 +1,8 @@
 """Personal data: base patterns, and candidates judged by boosted trees.
 
 The base spans (email, ip, card, phone) are always taken. Besides, generators
-of high recall propose looser spans that may overlap: numbers in groups, spelt
-mail addresses and long keys. Boosted trees judge their format and their
+of high recall propose looser spans that may overlap: numbers in groups and
+their parts between separators, spelt mail addresses and long keys. Boosted trees judge their format and their
 context. They learn from the corpus itself: a candidate counts as positive when
 a rule that the features do not show confirms it (it is a base span; for a key,
 a word such as ``token`` names it). The probability is calibrated, and
@@ -38,6 +38,8 @@ _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _NUMBER = re.compile(r"\+?\(?[0-9](?:[ ().\-/]{0,2}[0-9])+")
+_GROUP = re.compile(r"\+?\(?[0-9]+")
+_QUAD = re.compile(r"[0-9]+(?:\.[0-9]+){3}")
 _SPELT = re.compile(r"[A-Za-z0-9._%+-]++ ?[\[(]at[\])] ?[A-Za-z0-9-]++(?: ?(?:\.|[\[(]dot[\])]) ?[A-Za-z0-9-]++)+")
 _KEY = re.compile(r"(?<![A-Za-z0-9_+/-])[A-Za-z0-9_+/-]{24,}+={0,2}")
 _NAMED = re.compile(r"(?:token|key|secret|passw(?:or)?d|bearer)\W{0,6}$", re.I)
@@ -78,17 +80,33 @@ def _octet(part: str) -> bool:
     return len(part.lstrip("0")) <= 3 and int(part.lstrip("0") or 0) <= 255
 
 
+def _numbers(text: str, start: int, end: int) -> Iterator[tuple[int, int, int]]:
+    """(start, end, digits) of a run of number groups, if it has 4 digits at
+    least, and of its parts: at most 19 digits in whole groups, parentheses closed."""
+    groups = [(m.start(), m.end(), len(_digits(m[0]))) for m in _GROUP.finditer(text, start, end)]
+    if (n := sum(g for _, _, g in groups)) >= 4:
+        yield start, end, n
+    for i, (s, _, _) in enumerate(groups):
+        n = 0
+        for _, e, g in groups[i:i + 19]:
+            if (n := n + g) > 19:
+                break
+            if n >= 4 and (s, e) != (start, end) and text.count("(", s, e) == text.count(")", s, e):
+                yield s, e, n
+
+
 def candidates(text: str) -> list[tuple[str, int, int]]:
     """Looser spans, which may overlap base spans and each other."""
     found = []
     for m in _NUMBER.finditer(text):
-        if (n := len(_digits(m[0]))) >= 7:
-            if m[0].count(".") == 3:
-                found.append(("ip", *m.span()))
+        for s, e, n in _numbers(text, *m.span()):
+            whole = (s, e) == m.span()
+            if whole and n >= 7 and text.count(".", s, e) == 3 or not whole and _QUAD.fullmatch(text, s, e):
+                found.append(("ip", s, e))
             if 15 <= n <= 19:
-                found.append(("card", *m.span()))
+                found.append(("card", s, e))
             if 7 <= n <= 15:
-                found.append(("phone", *m.span()))
+                found.append(("phone", s, e))
     if "at)" in text or "at]" in text:
         found += [("email", *m.span()) for m in _SPELT.finditer(text)]
     found += [("secret", *m.span()) for m in _KEY.finditer(text) if any(c.isdigit() for c in m[0])]
@@ -149,21 +167,26 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> boos
 
 
 def added_spans(text: str, base: list[tuple[str, int, int]], model: boosting.Boosted, threshold: float) -> list[tuple[str, int, int]]:
-    """Candidates of at least ``threshold``, the likeliest first, that overlap
-    neither a base span nor a likelier candidate."""
+    """Candidates of at least ``threshold``, the likeliest first (the longest of
+    a tie), that overlap neither a base span nor a likelier candidate."""
     taken = _disjoint((s, e) for _, s, e in base)
     free = [c for c in candidates(text) if not _meets(taken, c[1], c[2])]
     if not free:
         return []
-    p = model.probability(np.array([features(text, *c) for c in free]))
     out = []
-    for q, c in sorted(zip((-p).tolist(), free, strict=True)):
-        if -q >= threshold and not _meets(taken, c[1], c[2]):
+    for _, _, c in sorted((-q, c[1] - c[2], c) for q, c in zip(_scores(text, free, model), free, strict=True) if q >= threshold):
+        if not _meets(taken, c[1], c[2]):
             out.append(c)
             insort(taken, c[1:])
     return out
 
 
+def _scores(text: str, spans: list[tuple[str, int, int]], model: boosting.Boosted) -> list[float]:
+    """Probabilities; the features of a few thousand candidates at a time."""
+    return [p for i in range(0, len(spans), 4_096)
+            for p in model.probability(np.array([features(text, *c) for c in spans[i:i + 4_096]])).tolist()]
+
+
 def _disjoint(spans: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
     out: list[tuple[int, int]] = []
     for s, e in sorted(spans):

@@ -58,6 +58,39 @@ def test_likeliest_disjoint_numbers_are_kept():
     assert len(pii.candidates("7 " * 20_000)) < 20 * 20_000  # parts grow with the text, not with its square
 
 
+def test_common_forms_that_no_rule_settles_are_found(spark):
+    def text(i):
+        n = f"{200 + i % 700} {4_000_000 + 7919 * i}"
+        return (f"ring +49 {n} or", f"bob{i} (at) mail.example.org. So", f"so 49 {n} it", f"und 49 {n} ja", f"order 49 {n} of",
+                f"the {i:04}a{n[-7:]}0 by", f"mail bob{i}@mail.example.org for", f"le {4_000_000_000_000_000 + 7919 * i} or")[i % 8]
+
+    texts = {i: text(i) for i in range(1_600)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    model = pii.fit(docs)
+    got = {r.doc_id: [(k, texts[r.doc_id][int(s):int(e)]) for k, s, e in (x.split(":") for x in r.spans.split(",") if x)]
+           for r in pii.find(docs, model).collect()}
+    assert all(got[i] == [("email", f"bob{i} (at) mail.example.org")] for i in texts if i % 8 == 1)
+    assert all(got[i] == [("phone", texts[i][3:-3].strip())] for i in texts if i % 8 == 2)
+    assert not any(got[i] for i in texts if i % 8 in (4, 5))
+    assert all(bool(got[i]) == pii.luhn(texts[i][3:19]) for i in texts if i % 8 == 7)
+
+
+@pytest.mark.parametrize("kind, text, expected", [
+    ("card", "le 378282246310005 or", 1), ("card", "le 378282246310006 or", 0), ("card", "le 4111.1111.1111.1111 or", 1),
+    ("ip", "le 10.1.2.300 or", 0), ("phone", "le 030 1234567 or", None), ("phone", "invoice no. 030 1234567", 0),
+    ("phone", "le 2024-01-01 or", 0), ("email", "bob (at) a.example.org", 1), ("email", "meet (at) noon. Then", 0)])
+def test_rules_confirm_refute_or_leave_open(kind, text, expected):
+    span = max((c for c in pii.candidates(text) if c[0] == kind), key=lambda c: c[2] - c[1])
+    assert pii.verdict(text, *span) == pii.label(text, *span, []) == expected
+
+
+def test_numbers_in_one_run_are_found_by_rule():
+    nothing = boosting.Boosted((), (), np.zeros(1), np.zeros(1), 0.0)
+    text = "le 7536784127813050 4845168114407329, +1 (826) 555-4081 (017) 555-7713, 4111 1111 1111 1111 5500 0000 0000 0004"
+    assert {text[s:e] for _, s, e in pii.added_spans(text, pii.base_spans(text), nothing, 0.9)} == {
+        "7536784127813050", "4845168114407329", "+1 (826) 555-4081", "4111 1111 1111 1111", "5500 0000 0000 0004"}
+
+
 @pytest.fixture(scope="module")
 def stages(spark):
     docs, out = table(spark, "/root/testdata/sf0.001", "documents"), []

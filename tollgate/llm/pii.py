@@ -2,11 +2,14 @@
 
 The base spans (email, ip, card, phone) are always taken. Besides, generators
 of high recall propose looser spans that may overlap: numbers in groups and
-their parts between separators, spelt mail addresses and long keys. Boosted trees judge their format and their
-context. They learn from the corpus itself: a candidate counts as positive when
-a rule that the features do not show confirms it (it is a base span; for a key,
-a word such as ``token`` names it). The probability is calibrated, and
-candidates over the threshold that overlap no better span are taken as well.
+their parts between separators, spelt mail addresses and long keys. Rules
+confirm some of them (a check digit, a plus, a well-formed spelt address) and
+refute others (``verdict``). Boosted trees judge the format and the context of
+the rest. They learn from the corpus itself, from candidates that a rule settles
+and the features do not give away; what no rule settles is in neither class, so
+that a form does not become less likely by being common. The probability is
+calibrated; candidates that a rule confirms, and those over the threshold, are
+taken as well where they overlap no better span.
 """
 
 from __future__ import annotations
@@ -43,8 +46,18 @@ _QUAD = re.compile(r"[0-9]+(?:\.[0-9]+){3}")
 _SPELT = re.compile(r"[A-Za-z0-9._%+-]++ ?[\[(]at[\])] ?[A-Za-z0-9-]++(?: ?(?:\.|[\[(]dot[\])]) ?[A-Za-z0-9-]++)+")
 _KEY = re.compile(r"(?<![A-Za-z0-9_+/-])[A-Za-z0-9_+/-]{24,}+={0,2}")
 _NAMED = re.compile(r"(?:token|key|secret|passw(?:or)?d|bearer)\W{0,6}$", re.I)
+#: Words that say a number is no phone or card number (its first groups may be
+#: between), dates, issuers' first digits, spelt addresses.
+_OTHER = re.compile(r"\b(?:order|invoice|ref(?:erence)?|ticket|serial|isbn|issn|sku|item|article|tracking|case|version|doi)"
+                    r"(?:\W{0,3}(?:no|nr|number|id))?\W{0,4}[0-9 ().\-/]{0,8}$", re.I)
+_DATE = re.compile(r"(?:19|20)[0-9]{2}([-/. ])(?:0?[1-9]|1[0-2])\1(?:0?[1-9]|[12][0-9]|3[01])(?![0-9])"
+                   r"|(?:0?[1-9]|[12][0-9]|3[01])([-/. ])(?:0?[1-9]|[12][0-9]|3[01])\2(?:19|20)[0-9]{2}(?![0-9])")
+_ISSUED, _AMEX = re.compile(r"[3-6]|2[2-7]"), re.compile(r"3[47]")
+_AT, _DOT = re.compile(r" ?[\[(]at[\])] ?"), re.compile(r" ?[\[(]dot[\])] ?")
+_LOOSE = re.compile(r" \. ?|\. ")
+_ADDRESS = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,24}")
 _CUES = [re.compile(p, re.I) for p in (r"mail|contact|write", r"\bip\b|host|server|addr", r"card|visa|pay|credit",
-                                       r"phone|call|tel|mobile|fax")]
+                                       r"phone|call|tel|mobile|fax")] + [_OTHER]
 
 
 def luhn(digits: str) -> bool:
@@ -108,15 +121,19 @@ def candidates(text: str) -> list[tuple[str, int, int]]:
             if 7 <= n <= 15:
                 found.append(("phone", s, e))
     if "at)" in text or "at]" in text:
-        found += [("email", *m.span()) for m in _SPELT.finditer(text)]
+        for m in _SPELT.finditer(text):
+            found.append(("email", *m.span()))
+            # a loose dot may end a sentence: the address up to there
+            found += [("email", *p.span()) for d in _LOOSE.finditer(text, *m.span()) if (p := _SPELT.fullmatch(text, m.start(), d.start()))]
     found += [("secret", *m.span()) for m in _KEY.finditer(text) if any(c.isdigit() for c in m[0])]
     return found
 
 
 def features(text: str, kind: str, start: int, end: int) -> list[float]:
     """Format and context of a candidate; nothing that names its own rule (no
-    leading plus, check digit, number range or key word)."""
-    s = text[start:end].lstrip("+")
+    leading plus, check digit, number range, key word or spelling of an address). What refutes by context is shown: it
+    must not speak against the form elsewhere."""
+    s = _plain(text[start:end]) if kind == "email" else text[start:end].lstrip("+")
     before, after = text[max(0, start - 24):start], text[end:end + 12]
     groups = [len(g) for g in re.split(r"[^0-9]+", s) if g] or [0]
     n, digits = max(1, len(s)), sum(groups)
@@ -134,10 +151,63 @@ def features(text: str, kind: str, start: int, end: int) -> list[float]:
 N_FEATURES = 17 + len(_CUES)
 
 
-def confirmed(text: str, kind: str, start: int, end: int, base: set[tuple[str, int, int]]) -> int:
+def _plain(address: str) -> str:
+    return _DOT.sub(".", _AT.sub("@", address))
+
+
+def verdict(text: str, kind: str, start: int, end: int) -> int | None:
+    """1: a rule confirms the candidate, 0: a rule refutes it, None: neither."""
+    s, before, after = text[start:end], text[max(0, start - 24):start], text[end:end + 2]
+    if kind == "email":
+        return 1 if _ADDRESS.fullmatch(_plain(s)) else 0 if _LOOSE.search(s) else None
     if kind == "secret":
-        return int(bool(_NAMED.search(text[max(0, start - 24):start])))
-    return int((kind, start, end) in base)
+        return 1 if _NAMED.search(before) else None
+    if kind == "ip":
+        if not _QUAD.fullmatch(s) or not all(_octet(p) for p in s.split(".")):
+            return 0
+        longer = before[-1:] == "." or after[:1] == "." and after[1:].isdigit()
+        return None if longer else 1
+    digits = _digits(s)
+    if before[-1:].isalnum() or before[-1:] == "_" or after[:1].isalnum() or after[:1] == "_":
+        return 0
+    if kind == "phone":
+        if s[0] == "+" and len(digits) >= 8:
+            return 1
+        return 0 if _OTHER.search(before) or _DATE.match(s) else None
+    if not luhn(digits) or s[0] == "+":
+        return 0
+    groups = [len(g) for g in re.split("[^0-9]+", s) if g]
+    if len(digits) == 15:
+        return 1 if _AMEX.match(digits) and groups in ([15], [4, 6, 5]) else 0 if _OTHER.search(before) else None
+    if len(groups) == 1 or _ISSUED.match(digits) and groups[:4] == [4] * 4 and len(groups) <= 5:
+        return 1
+    return 0 if _OTHER.search(before) else None
+
+
+def label(text: str, kind: str, start: int, end: int, base: list[tuple[str, int, int]]) -> int | None:
+    """What a fit learns of a candidate: 1 for a base span, 0 for one that
+    overlaps base spans of other kinds only, None (left out) for one that
+    overlaps its own kind and for what no rule settles. A key is settled by its name."""
+    if (kind, start, end) in base:
+        return 1
+    if met := {k for k, s, e in base if s < end and start < e}:
+        return None if kind in met else 0
+    found = verdict(text, kind, start, end)
+    return int(found or 0) if kind == "secret" else found
+
+
+def examples(text: str) -> Iterator[tuple[int, int, list[float]]]:
+    """(start, label, features) of candidates and base addresses that have a
+    label, and of base phone numbers as if written without their country code."""
+    base = base_spans(text)
+    for c in (*candidates(text), *(b for b in base if b[0] == "email")):
+        if (y := label(text, *c, base)) is not None:
+            yield c[1], y, features(text, *c)
+    for kind, s, e in base:
+        if kind == "phone":
+            groups = [m.start() for m in _GROUP.finditer(text, s, e)]
+            if len(groups) > 1 and len(_digits(text[groups[1]:e])) >= 7:
+                yield groups[1], 1, features(text[:s] + text[groups[1]:], kind, s, s + e - groups[1])
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> boosting.Boosted:
@@ -149,12 +219,10 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> boos
         for batch in slices(batches):
             out: dict[str, list] = {"key": [], "label": [], "features": []}
             for key, text in zip(batch.column("id").to_pylist(), strings(batch, "text"), strict=True):
-                if found := candidates(text):
-                    base = set(base_spans(text))
-                    for c in found:
-                        out["key"].append(f"{key}:{c[1]}")
-                        out["label"].append(confirmed(text, *c, base))
-                        out["features"].append(features(text, *c))
+                for start, y, x in examples(text):
+                    out["key"].append(f"{key}:{start}")
+                    out["label"].append(y)
+                    out["features"].append(x)
             yield pa.RecordBatch.from_arrays([pa.array(out["key"], pa.string()), pa.array(out["label"], pa.int32()),
                                               pa.array(out["features"], pa.list_(pa.float64()))], names=list(out))
 
@@ -167,14 +235,16 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> boos
 
 
 def added_spans(text: str, base: list[tuple[str, int, int]], model: boosting.Boosted, threshold: float) -> list[tuple[str, int, int]]:
-    """Candidates of at least ``threshold``, the likeliest first (the longest of
-    a tie), that overlap neither a base span nor a likelier candidate."""
+    """Candidates that a rule confirms, then those of at least ``threshold`` that
+    none refutes, the likeliest first (the longest of a tie), if they overlap
+    neither a base span nor a better candidate."""
     taken = _disjoint((s, e) for _, s, e in base)
-    free = [c for c in candidates(text) if not _meets(taken, c[1], c[2])]
+    free = [(v or 0, c) for c in candidates(text) if not _meets(taken, c[1], c[2]) and (v := verdict(text, *c)) != 0]
     if not free:
         return []
     out = []
-    for _, _, c in sorted((-q, c[1] - c[2], c) for q, c in zip(_scores(text, free, model), free, strict=True) if q >= threshold):
+    scored = zip(free, _scores(text, [c for _, c in free], model), strict=True)
+    for _, _, _, c in sorted((-v, -q, c[1] - c[2], c) for (v, c), q in scored if v or q >= threshold):
         if not _meets(taken, c[1], c[2]):
             out.append(c)
             insort(taken, c[1:])

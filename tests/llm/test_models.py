@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as E
 import corpus_pipeline
 from tollgate.llm import boosting, language, pii, toxicity
-from tollgate.llm.common import table
+from tollgate.llm.common import highest_hash, table
 
 from ..conftest import SF01
 
@@ -91,6 +91,31 @@ def test_numbers_in_one_run_are_found_by_rule():
         "7536784127813050", "4845168114407329", "+1 (826) 555-4081", "4111 1111 1111 1111", "5500 0000 0000 0004"}
 
 
+def test_shares_of_huge_tables_are_not_empty():
+    assert highest_hash(400, 400) == 2**63 - 1
+    for most, n in ((400, 401), (400, 10**9), (400, 10**12), (12_000, 10**13)):
+        assert abs((highest_hash(most, n) + 2**63) / 2**64 * n - most) < 1
+
+
+def test_languages_beyond_one_part_are_predicted(spark, monkeypatch):
+    docs = table(spark, SF01, "documents").filter("length(text) < 3000")
+    whole = language.train(docs)
+    monkeypatch.setattr(language, "LANGUAGES", 1)
+    apart = language.train(docs)
+    assert apart == whole and list(apart) == list(whole) and len(whole) > 1
+    compressors = [language._compressors(p) for p in language._parts(whole)]
+    assert len(compressors) == len(whole)
+    for text in [r.text for r in docs.limit(40).collect()]:
+        two = []
+        for c in compressors:
+            two = language.smallest(text, c, two)
+        assert language._chosen(two) == language.classify(text, language._compressors(whole))
+    many = {f"l{i:03}": f"{chr(0x4e00 + i)} ".encode() * 40 for i in range(230)}
+    monkeypatch.undo()
+    rare = spark.createDataFrame([(1, f"{chr(0x4e00 + 225)} " * 30)], "doc_id long, text string")
+    assert language.identify(rare, many).first().lang_pred == "l225"
+
+
 @pytest.fixture(scope="module")
 def stages(spark):
     docs, out = table(spark, "/root/testdata/sf0.001", "documents"), []

@@ -75,10 +75,16 @@ def id_text_crc32(id_col: str) -> Column:
     return F.crc32(F.col(id_col).cast("string").cast("binary"))
 
 
+def highest_hash(most: int, n: int) -> int:
+    """The 64-bit hash up to which about ``most`` of ``n`` rows lie; the share
+    is of the whole range, so it does not round to 0."""
+    return 2**63 - 1 if n <= most else 2**64 * most // n - 2**63
+
+
 def bounded_share(df: DataFrame, key: Column, most: int) -> DataFrame:
     """About ``most`` rows of ``df`` (all, if it has no more), chosen by a hash
     of ``key``: the documented bound of a classifier's training sample."""
     n = df.count()
     if n <= most:
         return df
-    return df.filter(F.pmod(F.xxhash64(key), F.lit(1_000_000)) < int(1e6 * most / n))
+    return df.filter(F.xxhash64(key) <= F.lit(highest_hash(most, n)))

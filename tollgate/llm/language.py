@@ -9,18 +9,20 @@ narrow margin between the smallest and the next is reported as a rejection.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from heapq import nsmallest
+from itertools import islice
 
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_text_crc32, slices, strings, worker_cache
+from .common import highest_hash, id_text_crc32, slices, strings, worker_cache
 
 UNKNOWN = "und"
 #: Bounds of the training sample: documents for each language (about),
-#: characters of each, bytes of a dictionary, and languages.
+#: characters of each, bytes of a dictionary, and languages at a time.
 SAMPLE_DOCS, SAMPLE_CHARS, DICTIONARY_BYTES, LANGUAGES = 400, 1_500, 98_304, 200
 BLOCK, LEVEL, MIN_MATCH = 4_096, 5, 3
 _LETTER_BYTES = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c > 127 else 32 for c in range(256))
@@ -37,15 +39,22 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     rows without an id are left out. Sampled by a hash of the id."""
     rows = (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
             .filter((id_text_crc32("id") % 4 != 2) & F.col("lang").isNotNull() & (F.length("text") > 0)))
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
-    if not counts:
-        return {}
-    share = F.create_map(*(F.lit(x) for r in counts for x in (r.lang, int(1e6 * min(1, SAMPLE_DOCS / r["count"])))))
-    chosen = rows.filter(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < share[F.col("lang")])
-    found: dict[str, list] = {r.lang: [] for r in counts}
-    for r in chosen.select("id", "lang", F.substring("text", 1, SAMPLE_CHARS).alias("text")).collect():
-        found[r.lang].append((r.id, normalised(r.text)))
-    return {k: b"\n".join(t for _, t in sorted(v))[-DICTIONARY_BYTES:] for k, v in found.items() if any(t for _, t in v)}
+    counts = [(r.lang, r["count"]) for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").collect()]
+    out: dict[str, bytes] = {}
+    for part in _parts(dict(counts)):
+        highest = F.create_map(*(F.lit(x) for lang, n in part.items() for x in (lang, highest_hash(SAMPLE_DOCS, n))))
+        chosen = rows.filter(F.xxhash64("id") <= highest[F.col("lang")])
+        found: dict[str, list] = {lang: [] for lang in part}
+        for r in chosen.select("id", "lang", F.substring("text", 1, SAMPLE_CHARS).alias("text")).collect():
+            found[r.lang].append((r.id, normalised(r.text)))
+        out |= {k: b"\n".join(t for _, t in sorted(v))[-DICTIONARY_BYTES:] for k, v in found.items() if any(t for _, t in v)}
+    return out
+
+
+def _parts(languages: dict) -> list[dict]:
+    """At most ``LANGUAGES`` at a time, in order."""
+    rest = iter(languages.items())
+    return list(iter(lambda: dict(islice(rest, LANGUAGES)), {}))
 
 
 def _compressors(dictionaries: dict[str, bytes]) -> dict[str, zstandard.ZstdCompressor]:
@@ -59,17 +68,30 @@ def _compressors(dictionaries: dict[str, bytes]) -> dict[str, zstandard.ZstdComp
     return out
 
 
+def smallest(text: str, compressors: dict[str, zstandard.ZstdCompressor],
+             before: Sequence[tuple[str, int]] = ()) -> list[tuple[str, int]]:
+    """The two languages with the smallest encodings (the earlier one of a tie)
+    of these and those ``before``; none for a text without a letter."""
+    if not any(map(str.isalpha, text)):
+        return []
+    data = normalised(text)
+    blocks = [data[i:i + BLOCK] for i in range(0, len(data), BLOCK)]
+    sizes = [(lang, sum(len(c.compress(b)) for b in blocks)) for lang, c in compressors.items()]
+    return nsmallest(2, [*before, *sizes], key=lambda x: x[1])
+
+
+def _chosen(two: list[tuple[str, int]]) -> tuple[str, float]:
+    """The language and its margin: the share by which the next smallest is larger."""
+    if len(two) < 2:
+        return (two[0][0], 1.0) if two else (UNKNOWN, 0.0)
+    (best, size), (_, following) = two
+    return best, (following - size) / following
+
+
 def classify(text: str, compressors: dict[str, zstandard.ZstdCompressor]) -> tuple[str, float]:
     """The language with the smallest encoding (the more frequent one of a tie)
     and its margin: the share by which the next smallest is larger."""
-    if not compressors or not any(map(str.isalpha, text)):
-        return UNKNOWN, 0.0
-    data = normalised(text)
-    blocks = [data[i:i + BLOCK] for i in range(0, len(data), BLOCK)]
-    sizes = {lang: sum(len(c.compress(b)) for b in blocks) for lang, c in compressors.items()}
-    best = min(sizes, key=sizes.get)
-    others = [v for k, v in sizes.items() if k != best]
-    return best, (min(others) - sizes[best]) / min(others) if others else 1.0
+    return _chosen(smallest(text, compressors))
 
 
 def identify(docs: DataFrame, dictionaries: dict[str, bytes], id_col: str = "doc_id", text_col: str = "text",
@@ -86,9 +108,14 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], id_col: str = "doc
     shared, key = docs.sparkSession.sparkContext.broadcast(dictionaries), uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        compressors = worker_cache(("compressors", key), lambda: _compressors(shared.value))
+        parts = _parts(shared.value)
         for batch in slices(batches):
-            found = [classify(t, compressors) for t in strings(batch, "text")]
+            texts = strings(batch, "text")
+            two: list[list] = [[] for _ in texts]
+            for k, part in enumerate(parts):
+                compressors = worker_cache(("compressors", key, k), lambda part=part: _compressors(part))
+                two = [smallest(t, compressors, b) for t, b in zip(texts, two, strict=True)]
+            found = [_chosen(x) for x in two]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), pa.array([x for x, _ in found], pa.string()), pa.array([m for _, m in found], pa.float64())],
                 names=["id", "lang_pred", "margin"])

@@ -5,9 +5,10 @@ when it holds at least the template's threshold share of its distinct words.
 Template words are ordered by the number of documents that hold them, rarest
 first. A block that meets the threshold must hold one of the template's first
 words in that order (prefix filter), so only blocks around such words are
-looked at; blocks with too few words (length filter), or whose words from the
-shared one on cannot reach the threshold (positional filter), are passed over.
-What remains is verified in full, so nothing is missed.
+looked at; texts with too few words (length filter), and shared words around
+which too few template words stand, are passed over. The place of the shared word
+in the order prunes nothing more. What remains is verified in full, so nothing is
+missed.
 
 The templates are a short list of the caller's (see ``TEMPLATE_WORDS``), so the
 join needs no shuffle: every row is joined where it is read, with DataFrame

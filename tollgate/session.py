@@ -4,9 +4,13 @@ work folder every lake write of the query catalog goes to."""
 from __future__ import annotations
 
 import atexit
+import hashlib
+import io
 import logging
 import os
+import shutil
 import tempfile
+import threading
 import uuid
 import zipfile
 from pathlib import Path
@@ -115,16 +119,27 @@ def move_path(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"could not move {source} to {target}")
 
 
+_shipping = threading.Lock()
+
+
 def ship_package(spark: SparkSession) -> None:
     """Sends this package's modules to the executors, once per application, so
-    that Python workers can import them wherever the driver was started."""
+    that Python workers can import them wherever the driver was started. Threads
+    that ask at a time wait for the one that ships; the archive is named by its
+    content and holds no dates, so a second one of the same name is the same."""
     sc = spark.sparkContext
-    if getattr(sc, "_tollgate_shipped", False):
-        return
-    root = Path(__file__).resolve().parent
-    path = os.path.join(tempfile.mkdtemp(prefix="tollgate-modules-"), "tollgate-modules.zip")
-    with zipfile.ZipFile(path, "w") as z:
-        for f in sorted(root.rglob("*.py")):
-            z.write(f, f.relative_to(root.parent))
-    sc.addPyFile(path)
-    sc._tollgate_shipped = True
+    with _shipping:
+        if getattr(sc, "_tollgate_shipped", False):
+            return
+        root = Path(__file__).resolve().parent
+        content = io.BytesIO()
+        with zipfile.ZipFile(content, "w") as z:
+            for f in sorted(root.rglob("*.py")):
+                z.writestr(zipfile.ZipInfo(str(f.relative_to(root.parent))), f.read_bytes())
+        name = f"tollgate-modules-{hashlib.sha256(content.getvalue()).hexdigest()[:16]}.zip"
+        folder = tempfile.mkdtemp(prefix="tollgate-modules-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        path = os.path.join(folder, name)
+        Path(path).write_bytes(content.getvalue())
+        sc.addPyFile(path)
+        sc._tollgate_shipped = True

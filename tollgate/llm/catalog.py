@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language, licenses, pii, toxicity
+from . import best_fit, conversations, language, licenses, pii, repetition, toxicity
 from .common import table
 from .decontaminate import contamination
 from .oracle import oracle_sql
@@ -60,9 +60,22 @@ def op10_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op11_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_fit.pack(table(spark, sf_dir, "documents"))
+
+
+def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    damaged = conversations.damage(table(spark, sf_dir, "conversations"))
+    return conversations.repair(damaged, present_col="present")
+
+
+def op13_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repetition.collapse(repetition.plant_repetitions(table(spark, sf_dir, "documents")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     every = (op1_licenses, op2_toxicity, op3_language, op4_simhash, op5_pii, op6_token_counts, op7_warc,
-             op8_decontamination, op9_packing, op10_spotsigs)
+             op8_decontamination, op9_packing, op10_spotsigs, op11_best_fit, op12_conversations, op13_repetition)
     return {f.__name__: f for f in every}
 
 

@@ -15,10 +15,10 @@ equal rows meet. In a task long ones arrive first: the short ones then close the
 from __future__ import annotations
 
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,61 +30,60 @@ TOKENIZER, END = "word_bpe_49k.json", 0
 SIZE, OPEN = 2048, 32_768
 #: Rests that one task packs, about; each task leaves its open sequences as they are.
 PACKED_ROWS = 100_000
-WORKER_ENTRIES, CACHED_CHARS = 150_000, 64
+WORKER_ENTRIES, CACHED_CHARS = 400_000, 64
 
 
-#: Letters whose lower case and composition are the same everywhere, and
-#: punctuation after them: two pre-tokens.
-_SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-įı-ž]*)([.,;:!?]*)")
+#: Letters whose lower case and composition are the same everywhere, and where marks
+#: follow such a letter up to a space: they are a pre-token of their own.
+_LETTERS = "A-Za-zÀ-ÖØ-öø-įı-ž"
+_WORD, _OTHER = re.compile(f"[{_LETTERS}]+"), re.compile("[^\x00-\u012f\u0131-\u017f]")
+_MARKED = re.compile(f"(?<=[{_LETTERS}])(?=[.,;:!?]+(?:[ \\n]|$))")
 #: How byte-level vocabularies write bytes: printable ones of Latin-1 as they are,
 #: the others in order from 256 on.
 _SHOWN = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
 _BYTES = {b: 256 + k for k, b in enumerate(sorted(set(range(256)) - set(_SHOWN)))}
 
 
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class _Ids(dict):
-    """Stretch between spaces -> its token ids as 32-bit bytes. A stretch of a word
-    and punctuation goes to the tokenizer's model by its parts, others to all of it."""
+    """Stretch between spaces -> its token ids as 32-bit bytes. A word goes to the
+    tokenizer's model at once, without what the tokenizer does before."""
 
     def __init__(self, tokenizer: str):
         super().__init__()
         whole = bpe.tokenizer(tokenizer)
-        self.encode, self.model, self.words = whole.encode, whole.model, {"": b""}
+        self.encode, self.tokenize = whole.encode, whole.model.tokenize
 
     def __missing__(self, stretch: str) -> bytes:
-        if len(self) > WORKER_ENTRIES:
-            self.clear()
-        if simple := _SIMPLE.fullmatch(stretch):
-            ids = self.word(simple[1].lower()) + self.word(simple[2])
+        if _WORD.fullmatch(stretch):
+            lower = stretch.lower()
+            shown = lower if lower.isascii() else lower.encode().decode("latin-1").translate(_BYTES)
+            ids = _packed([t.id for t in self.tokenize(shown)])
         else:
-            ids = np.array(self.encode(stretch, add_special_tokens=False).ids, dtype="<u4").tobytes()
+            ids = _packed(self.encode(stretch, add_special_tokens=False).ids)
         if len(stretch) <= CACHED_CHARS:
+            if len(self) > WORKER_ENTRIES:
+                self.clear()
             self[stretch] = ids
         return ids
 
-    def word(self, word: str) -> bytes:
-        ids = self.words.get(word)
-        if ids is None:
-            shown = word if word.isascii() else word.encode().decode("latin-1").translate(_BYTES)
-            ids = np.array([t.id for t in self.model.tokenize(shown)], dtype="<u4").tobytes()
-            if len(self.words) > WORKER_ENTRIES:
-                self.words = {"": b""}
-            if len(word) <= CACHED_CHARS:
-                self.words[word] = ids
-        return ids
-
 
 def token_bytes(text: str, tokenizer: str = TOKENIZER, end: int = END) -> bytes:
     """The ids of a text as a word-level tokenizer gives them, and the end id, as
     little-endian unsigned 32-bit integers. White space always ends a word and never
     joins a character after it, so the stretches between spaces and line feeds are
-    encoded by themselves; a text that may hold an added token is encoded as a whole."""
+    encoded by themselves, and marks at the end of a word too; a text that may hold an
+    added token is encoded as a whole."""
     ids = worker_cache(("word ids", tokenizer), lambda: _Ids(tokenizer))
     if "<|" in text:
-        whole = np.array(bpe.tokenizer(tokenizer).encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-    else:
-        whole = b"".join(map(ids.__getitem__, text.replace("\n", " ").split(" ")))
-    return whole + np.array([end], dtype="<u4").tobytes()
+        return _packed([*bpe.tokenizer(tokenizer).encode(text, add_special_tokens=False).ids, end])
+    if not _OTHER.search(text):
+        text = text.lower()
+    stretches = _MARKED.sub(" ", text).replace("\n", " ").split(" ")
+    return b"".join(map(ids.__getitem__, stretches)) + _packed([end])
 
 
 class OpenSequences:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.rules import FAILED_COLUMNS, NO_MATCH, VALIDATION, Rule
+from ..session import glob_escaped
 from ..sources.local import local_frame
 from .patterns import failure_count_exprs
 
@@ -68,3 +69,13 @@ def record_failure(spark: SparkSession, path: str, *, run_id: str, odate: str, l
     row = (run_id, odate, layer, stage, source, str(error), now_iso())
     append_rows(spark, [row], JOB_FAILURE_SCHEMA, path)
     return dict(zip(JOB_FAILURE_SCHEMA.names, row))
+
+
+def record_unreadable(spark: SparkSession, reports: Sequence[str], path: str, *, run_id: str, odate: str, layer: str) -> None:
+    """Appends a failure row for every file that the file reports (see
+    ``schemas.survey_files``) say cannot be read: one job, whatever their number,
+    and nothing of it comes to the driver."""
+    files = spark.read.schema("source string, file string, error string").parquet(*map(glob_escaped, reports)).filter("error is not null")
+    files.select(F.lit(run_id).alias("run_id"), F.lit(odate).alias("odate"), F.lit(layer).alias("layer"),
+                 F.lit("schema").alias("stage"), "source", F.concat_ws(": ", "file", "error").alias("error"),
+                 F.lit(now_iso()).alias("timestamp")).write.mode("append").parquet(path)

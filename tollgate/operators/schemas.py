@@ -15,15 +15,16 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator, Mapping, Sequence
+from dataclasses import dataclass
 from urllib.parse import unquote
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import ship_package
-from ..sources.lake import data_files
+from ..session import glob_escaped, ship_package
+from ..sources.lake import data_files, write_leaf
 from ..sources.local import local_frame
 
 STRING, LONG, INT, DOUBLE = T.StringType(), T.LongType(), T.IntegerType(), T.DoubleType()
@@ -202,8 +203,8 @@ def schema_diff(spark: SparkSession, actual: Mapping[str, object],
 # ---- per file ---------------------------------------------------------------
 
 _ROW_METADATA = b"org.apache.spark.sql.parquet.row.metadata"
-_FILE_REPORT = ("source string, folder string, file string, validation_status string, error string, "
-                "differences array<struct<column_name:string,status:string,expected_type:string,actual_type:string>>")
+_FILE_REPORT = ("source string, folder string, file string, validation_status string, error string, n_rows long, "
+                "schema_json string, differences array<struct<column_name:string,status:string,expected_type:string,actual_type:string>>")
 
 
 def _nullable(dt: T.DataType) -> T.DataType:
@@ -217,9 +218,9 @@ def _nullable(dt: T.DataType) -> T.DataType:
     return dt
 
 
-def _footer_schema(uri: str) -> T.StructType:
-    """Schema in a file's footer, and the folders below ``odate=`` that a read
-    would add as partition columns."""
+def _footer(uri: str) -> tuple[T.StructType, int]:
+    """Schema in a file's footer, with the folders below ``odate=`` that a read
+    would add as partition columns, and its number of rows."""
     import pyarrow.parquet as pq
     from pyarrow import fs
     from pyspark.sql.pandas.types import from_arrow_schema
@@ -227,13 +228,14 @@ def _footer_schema(uri: str) -> T.StructType:
     local = re.fullmatch(r"file:/*(/.*)", uri)
     store, path = fs.FileSystem.from_uri(unquote(local[1]) if local else uri.replace("s3a://", "s3://", 1))
     with store.open_input_file(path) as f:
-        schema = pq.read_schema(f)
+        footer = pq.read_metadata(f)
+    schema = footer.schema.to_arrow_schema()
     own = (schema.metadata or {}).get(_ROW_METADATA)
     found = T.StructType.fromJson(json.loads(own)) if own else from_arrow_schema(schema, prefer_timestamp_ntz=True)
     below = re.search(r"/odate=[^/]+((?:/[^/]+=[^/]*)*)/[^/]+$", uri)
     parts = [p.split("=", 1) for p in below[1].split("/") if p] if below else []
     return _nullable(T.StructType([*found.fields, *(
-        T.StructField(k, INT if re.fullmatch(r"[0-9]{1,9}", v) else STRING) for k, v in parts)]))
+        T.StructField(k, INT if re.fullmatch(r"[0-9]{1,9}", v) else STRING) for k, v in parts)])), footer.num_rows
 
 
 def _folder(uri: str) -> str:
@@ -249,21 +251,26 @@ def file_schema_report(spark: SparkSession, source: str, path: str, expected: T.
     return footer_report(data_files(spark, path), source, expected)
 
 
-def footer_report(files: DataFrame, source: str, expected: T.StructType) -> DataFrame:
-    """``file_schema_report`` of the paths in column ``file``."""
+def footer_report(files: DataFrame, source: str, expected: T.StructType | None) -> DataFrame:
+    """``file_schema_report`` of the paths in column ``file``. Without an expected
+    schema nothing is compared, only read."""
     ship_package(files.sparkSession)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             for uri in batch.column("file").to_pylist():
-                row = {"source": source, "folder": _folder(uri), "file": uri, "error": None, "differences": []}
+                row = {"source": source, "folder": _folder(uri), "file": uri, "error": None, "n_rows": None,
+                       "schema_json": None, "differences": []}
                 try:
-                    actual = _footer_schema(uri)
-                    row["differences"] = [
-                        {"column_name": r[2], "status": r[7], "expected_type": r[5], "actual_type": r[6]}
-                        for r in schema_diff_rows(source, "", actual, expected) if r[7] != MATCH]
+                    actual, row["n_rows"] = _footer(uri)
                     row["validation_status"] = MATCH if actual == expected else NO_MATCH
+                    if actual != expected:
+                        row["schema_json"] = actual.json()
+                    if expected is not None:
+                        row["differences"] = [
+                            {"column_name": r[2], "status": r[7], "expected_type": r[5], "actual_type": r[6]}
+                            for r in schema_diff_rows(source, "", actual, expected) if r[7] != MATCH]
                 except Exception as exc:  # noqa: BLE001 - reported as the file's verdict
                     row |= {"validation_status": NO_MATCH, "error": str(exc) or repr(exc)}
                 rows.append(row)
@@ -274,21 +281,65 @@ def footer_report(files: DataFrame, source: str, expected: T.StructType) -> Data
 
 _FILE_ARROW = pa.schema([
     ("source", pa.string()), ("folder", pa.string()), ("file", pa.string()), ("validation_status", pa.string()),
-    ("error", pa.string()), ("differences", pa.list_(pa.struct([(n, pa.string()) for n in (
+    ("error", pa.string()), ("n_rows", pa.int64()), ("schema_json", pa.string()), ("differences", pa.list_(pa.struct([(n, pa.string()) for n in (
         "column_name", "status", "expected_type", "actual_type")])))])
 
 
+@dataclass(frozen=True)
+class LoadFiles:
+    """What the footers of a load say, and where the row of each file is."""
+
+    path: str
+    n_files: int
+    n_rows: int  # of the files that can be read
+    n_unreadable: int
+    n_differing: int
+    n_below: int  # files in folders below the leaf, which a read may treat in its own way
+
+    @property
+    def exact(self) -> bool:
+        """Whether n_rows is what a read of the load gives."""
+        return not self.n_unreadable and not self.n_below
+
+    def report(self, spark: SparkSession) -> DataFrame:
+        return spark.read.schema(_FILE_REPORT).parquet(glob_escaped(self.path))
+
+
+def survey_files(spark: SparkSession, source: str, path: str, expected: T.StructType | None, out: str) -> LoadFiles:
+    """Reads every footer of a load once: ``file_schema_report``, written to
+    ``out``, with its totals counted by the same job (in its last stage, so that a
+    lost task does not count twice)."""
+    seen = Observation()
+    below = F.col("file").rlike(r"/odate=[^/]+/[^/]+/")
+    write_leaf(file_schema_report(spark, source, path, expected).observe(
+        seen, F.count(F.lit(1)).alias("files"), F.sum("n_rows").alias("rows"), F.count("error").alias("unreadable"),
+        F.count_if(F.col("validation_status") == NO_MATCH).alias("differing"), F.count_if(below).alias("below")), out)
+    got = seen.get
+    return LoadFiles(out, got.get("files") or 0, got.get("rows") or 0, got.get("unreadable") or 0, got.get("differing") or 0,
+                     got.get("below") or 0)
+
+
+def schema_variants(spark: SparkSession, files: LoadFiles, expected: T.StructType) -> list[tuple[T.StructType, list[str]]]:
+    """The schemas of a load's readable files and the paths of the files that
+    have each: what the driver of a read of these files holds anyway."""
+    found: dict[str | None, list[str]] = {}
+    for r in files.report(spark).filter("error is null").select("schema_json", "file").collect():
+        found.setdefault(r.schema_json, []).append(r.file)
+    return [(expected if k is None else T.StructType.fromJson(json.loads(k)), sorted(v))
+            for k, v in sorted(found.items(), key=lambda x: (x[0] is not None, x[0] or ""))]
+
+
 def by_folder(files: DataFrame) -> DataFrame:
-    """``folder, validation_status, n_files, n_differences, variants, errors`` for
-    each folder of a ``file_schema_report``: a folder matches when every file
+    """``folder, validation_status, n_files, n_differences, variants, n_unreadable``
+    for each folder of a ``file_schema_report``: a folder matches when every file
     does. ``variants`` has the distinct lists of differences of its files (an
     empty one for files that match); n_differences counts what is in any."""
     variants = F.array_sort(F.collect_set("differences"))
     return (files.groupBy("folder")
             .agg(F.max("validation_status").alias("validation_status"), F.count("*").alias("n_files"),
-                 variants.alias("variants"), F.array_sort(F.collect_set("error")).alias("errors"))
+                 variants.alias("variants"), F.count("error").alias("n_unreadable"))
             .select("folder", "validation_status", "n_files",
-                    F.size(F.array_distinct(F.flatten("variants"))).alias("n_differences"), "variants", "errors"))
+                    F.size(F.array_distinct(F.flatten("variants"))).alias("n_differences"), "variants", "n_unreadable"))
 
 
 def type_clashes(variants: Sequence[Sequence], expected: T.StructType) -> dict[str, list[str]]:

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -421,6 +422,91 @@ def q_stream_drift(spark, sf):
     return rejected.unionByName(reported)
 
 
+def q_stream_typed_delivery(spark, sf):
+    """Of three deliveries the second holds im_rating as a number: a read with the
+    declared schema fails on it. It is reported, and the third is checked like the
+    first. One row per delivery: its rejected rows, and the types that were reported."""
+    root = fresh_run_dir(spark, "stream_typed")
+    landing, out = f"{root}/landing", f"{root}/quarantine"
+    src = _review(spark, sf, "apple_store")
+    for k in (1, 2, 3):  # one after the other: a file stream takes the oldest first
+        df = src.filter(f"o_orderkey % 3 = {k - 1}")
+        write_leaf(df.withColumn("im_rating", F.col("im_rating").cast("int")) if k == 2 else df, f"{landing}/delivery={k}")
+    quarantine_stream(spark, landing, src.schema, SILVER_RULES["apple_store"], out, f"{root}/checkpoint",
+                      max_files_per_trigger=1).awaitTermination()
+    rejected = (read_parquet(spark, out).groupBy((F.col("o_orderkey") % 3 + 1).cast("string").alias("delivery"))
+                .agg(F.count(F.lit(1)).alias("n_rejected")).withColumn("reported", F.lit("")))
+    types = F.transform("differences", lambda d: F.concat_ws(" ", d["column_name"], d["expected_type"], d["actual_type"]))
+    drift = read_parquet(spark, drift_path(out)).select(
+        F.regexp_extract("file", "delivery=([0-9]+)", 1).alias("delivery"), F.lit(0).cast("long").alias("n_rejected"),
+        F.array_join(types, ",").alias("reported")).distinct()
+    return rejected.unionByName(drift)
+
+
+def q_unregistered_source_run(spark, sf):
+    """The events land as a source that no schema is registered for: its schema check
+    raises and is on record, the other two sources keep all their rows and results."""
+    base, quality = _silver_lake(spark, sf, "unregistered", sources=("google_play", "apple_store"))
+    write_leaf(table(spark, sf, "events"), source_path(base, "silver", "event_feed", RUN_ODATE))
+    res = run_quality(spark, base, "silver", RUN_ODATE, quality, sources=("google_play", "event_feed", "apple_store"))
+    failed = read_parquet(spark, job_failures_path(quality)).select("stage", "source", "error")
+    return (res.summary(spark).drop("elapsed_sec").withColumn("run_status", F.lit(res.status))
+            .join(failed, "source", "left"))
+
+
+def q_unreadable_files_log(spark, sf):
+    """Beside mongodb's load lies a text file for each nation. The rows that can be
+    read are checked, and every such file is a row of the failure log."""
+    base, quality = _silver_lake(spark, sf, "unreadable", sources=("mongodb",))
+    names = table(spark, sf, "nation").select(F.col("n_name").alias("value")).coalesce(1)
+    names.write.mode("append").option("maxRecordsPerFile", 1).text(source_path(base, "silver", "mongodb", RUN_ODATE))
+    res = run_quality(spark, base, "silver", RUN_ODATE, quality, sources=("mongodb",))
+    log = (read_parquet(spark, job_failures_path(quality)).filter("error like '%.txt: %'")
+           .groupBy("source", F.col("stage").alias("check")).agg(F.count_distinct("error").alias("n_logged")))
+    return (res.summary(spark).drop("elapsed_sec").withColumn("run_status", F.lit(res.status))
+            .join(log, ["source", "check"], "left"))
+
+
+#: Java does not know this way to name a group: a job with the rule fails.
+_BROKEN_RULE = regex("comment", "(?P<x>a)", label="broken")
+
+
+def q_failed_rerun_keeps_rejects(spark, sf):
+    """A second run of the day, whose write for mongodb fails: the rejects of the
+    first run are still there, whole, and those of the other sources are new."""
+    base, quality = _silver_lake(spark, sf, "failed_rerun")
+    run_quality(spark, base, "silver", RUN_ODATE, quality)
+    again = run_quality(spark, base, "silver", RUN_ODATE, quality, rules={"mongodb": [*SILVER_RULES["mongodb"], _BROKEN_RULE]})
+    counts = [read_quarantine(spark, quality, s, [RUN_ODATE]).agg(F.count(F.lit(1)).alias("n_rejected")).select(
+        F.lit(s).alias("source"), "n_rejected") for s in REVIEWS]
+    second = again.summary(spark).filter("check = 'pattern'").select("source", F.col("status").alias("second_run"))
+    return reduce(DataFrame.unionByName, counts).join(second, "source")
+
+
+def q_silver_typed_variants(spark, sf):
+    """Part of apple_store lands with its rating as a number: the load does not match,
+    and the rows of both kinds of files are checked by the same rules."""
+    root = fresh_run_dir(spark, "typed_variants")
+    leaf = source_path(f"{root}/lake", "silver", "apple_store", RUN_ODATE)
+    src = silver_source(spark, sf, "apple_store")
+    number = F.coalesce(F.col("im_rating").isin("1", "2", "3"), F.lit(False))
+    write_leaf(src.filter(number).withColumn("im_rating", F.col("im_rating").cast("int")), leaf)
+    src.filter(~number).write.mode("append").parquet(leaf)
+    res = run_quality(spark, f"{root}/lake", "silver", RUN_ODATE, f"{root}/quality", sources=("apple_store",))
+    kept = (read_quarantine(spark, f"{root}/quality", "apple_store", [RUN_ODATE])
+            .agg(F.count_if(number).alias("n_numbers"), F.count_if(~number).alias("n_others")))
+    return (res.summary(spark).drop("elapsed_sec").withColumn("run_status", F.lit(res.status))
+            .join(kept.withColumn("source", F.lit("apple_store")), "source"))
+
+
+def q_rebalanced_run_summary(spark, sf):
+    """Rejects go through an exchange before they are written; row totals come from
+    the footers, so that no map stage counts."""
+    base, quality = _silver_lake(spark, sf, "rebalanced")
+    res = run_quality(spark, base, "silver", RUN_ODATE, quality, rebalance_rejects=True)
+    return res.summary(spark).drop("elapsed_sec")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "parquet_scan": q_parquet_scan,
@@ -456,6 +542,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "bronze_drift_run": q_bronze_drift_run,
         "silver_two_schemas": q_silver_two_schemas,
         "dated_landings": q_dated_landings,
+        "stream_typed_delivery": q_stream_typed_delivery,
+        "unregistered_source_run": q_unregistered_source_run,
+        "unreadable_files_log": q_unreadable_files_log,
+        "failed_rerun_keeps_rejects": q_failed_rerun_keeps_rejects,
+        "silver_typed_variants": q_silver_typed_variants,
+        "rebalanced_run_summary": q_rebalanced_run_summary,
     }
 
 
@@ -594,4 +686,32 @@ def oracle_sql() -> dict[str, str]:
         f"where validation = 'no_match' and app = 'A B'\nunion all\n"
         f"select distinct '2' as delivery, cast(0 as bigint) as n_rejected, 'title' as missing "
         f"from ({review_sql('apple_store')}) r where app <> 'A B'")
+    bad = O.any_violation_sql(SILVER_RULES["apple_store"])
+    sql["stream_typed_delivery"] = (
+        f"select cast(o_orderkey % 3 + 1 as varchar) as delivery, count(*) as n_rejected, '' as reported "
+        f"from ({_review_annotated_sql('apple_store')}) a where validation = 'no_match' and o_orderkey % 3 <> 1 group by 1\nunion all\n"
+        f"select distinct '2' as delivery, cast(0 as bigint) as n_rejected, 'im_rating string int' as reported "
+        f"from ({review_sql('apple_store')}) r where o_orderkey % 3 = 1")
+    sql["unregistered_source_run"] = (
+        f"select s.*, 'partial' as run_status, cast(null as varchar) as stage, cast(null as varchar) as error "
+        f"from ({sql['quality_run_summary']}) s where source <> 'mongodb'\nunion all\n"
+        f"select 'event_feed' as source, c.\"check\", c.status, case when c.\"check\" = 'volumetry' then n end as n_rows, "
+        f"cast(null as bigint) as n_bad, 'partial' as run_status, 'schema' as stage, "
+        f"'no expected schema is registered for ''event_feed'' in layer ''silver''' as error from (select count(*) as n from events) e, "
+        f"(values ('volumetry', 'ok'), ('schema', 'error'), ('pattern', 'skipped')) c(\"check\", status)")
+    sql["unreadable_files_log"] = (
+        f"select source, \"check\", case when \"check\" = 'schema' then 'no_match' else status end as status, n_rows, n_bad, "
+        f"'partial' as run_status, case when \"check\" = 'schema' then (select count(*) from nation) end as n_logged "
+        f"from ({sql['quality_run_summary']}) s where source = 'mongodb'")
+    sql["failed_rerun_keeps_rejects"] = (
+        f"select source, n_bad as n_rejected, case when source = 'mongodb' then 'error' else status end as second_run "
+        f"from ({sql['quality_run_summary']}) s where \"check\" = 'pattern'")
+    number = "coalesce(im_rating in ('1', '2', '3'), false)"
+    sql["silver_typed_variants"] = (
+        f"select source, \"check\", case when \"check\" = 'schema' then 'no_match' else status end as status, n_rows, "
+        f"case when \"check\" = 'schema' then 1 else n_bad end as n_bad, 'success' as run_status, k.* "
+        f"from ({sql['quality_run_summary']}) s, (select count(*) filter (where {bad} and {number}) as n_numbers, "
+        f"count(*) filter (where {bad} and not {number}) as n_others from ({review_sql('apple_store')}) r) k "
+        f"where source = 'apple_store'")
+    sql["rebalanced_run_summary"] = sql["quality_run_summary"]
     return sql

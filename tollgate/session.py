@@ -8,6 +8,7 @@ import hashlib
 import io
 import logging
 import os
+import re
 import shutil
 import tempfile
 import threading
@@ -84,7 +85,7 @@ def _remove_scratch() -> None:
         try:
             if spark.sparkContext._jsc is None or spark.sparkContext._jsc.sc().isStopped():
                 continue
-            remove_paths(spark, path)
+            remove_path(spark, path)
         except Exception as exc:  # noqa: BLE001 - the driver is ending, maybe its JVM has gone
             log.debug("scratch folder %s stays: %s", path, exc)
     _scratch.clear()
@@ -100,9 +101,21 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return store.exists(p)
 
 
+def glob_escaped(path: str) -> str:
+    """A path as a glob that matches it alone."""
+    return re.sub(r"([\\\[\]{}*?])", r"\\\1", path)
+
+
+def remove_path(spark: SparkSession, path: str) -> bool:
+    """Removes one file or folder, in whatever store Spark reads; its name is
+    taken as it is. Whether there was one."""
+    p, store = _hadoop_path(spark, path)
+    return store.delete(p, True)
+
+
 def remove_paths(spark: SparkSession, pattern: str) -> int:
-    """Removes what ``pattern`` (a path, or a glob) matches, in whatever store
-    Spark reads; returns how many entries that were."""
+    """Removes what the glob ``pattern`` matches; returns how many entries that
+    were. Names that may hold glob characters go through ``glob_escaped``."""
     p, store = _hadoop_path(spark, pattern)
     found = [st.getPath() for st in store.globStatus(p) or []]
     for one in found:
@@ -110,6 +123,32 @@ def remove_paths(spark: SparkSession, pattern: str) -> int:
     return len(found)
 
 
+def folders_in(spark: SparkSession, path: str) -> list[str]:
+    """The folders right under ``path``; none if it is not there."""
+    p, store = _hadoop_path(spark, path)
+    if not store.exists(p):
+        return []
+    return sorted(st.getPath().toString() for st in store.listStatus(p) if st.isDirectory())
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, whole or not at all: written beside, then renamed."""
+    p, store = _hadoop_path(spark, path + ".part")
+    out = store.create(p, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    move_path(spark, path + ".part", path)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    p, store = _hadoop_path(spark, path)
+    found = store.open(p)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(found, "UTF-8")
+    finally:
+        found.close()
+
+
 def move_path(spark: SparkSession, source: str, target: str) -> None:
     """Renames a folder in its store; the target must not exist."""
     p, store = _hadoop_path(spark, source)

@@ -5,7 +5,8 @@ Layout (paths are strings; ``odate`` is ``YYYYMMDD``)::
     <base>/<layer>/<prefix>/<SourceDir>/odate=D          silver: one leaf
     <base>/<layer>/<prefix>/<SourceDir>/*/odate=D        bronze: one leaf per app
     <quality>/schema/odate=D                                     schema mismatches
-    <quality>/schema_folders/odate=D                             folders whose files differ
+    <quality>/schema_folders/odate=D                             the verdict of every folder
+    <quality>/schema_files/odate=D                               the footer of every file
     <quality>/pattern/<pattern dir>/odate=D                      rejected rows
     <quality>/valid/<pattern dir>/odate=D                        accepted rows (opt-in)
 
@@ -18,15 +19,16 @@ source; reading the parent directory instead discovers ``odate`` as an
 
 from __future__ import annotations
 
+import json
 import logging
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import move_path, path_exists, remove_paths
+from ..session import folders_in, glob_escaped, move_path, path_exists, read_text, remove_path, remove_paths, write_text
 
 log = logging.getLogger("tollgate.lake")
 
@@ -60,6 +62,10 @@ def schema_folders_path(quality: str, odate: str) -> str:
     return f"{quality.rstrip('/')}/schema_folders/odate={odate}"
 
 
+def schema_files_path(quality: str, odate: str) -> str:
+    return f"{quality.rstrip('/')}/schema_files/odate={odate}"
+
+
 def pattern_root(quality: str, source: str, kind: str = "pattern") -> str:
     return f"{quality.rstrip('/')}/{kind}/{PATTERN_DIRS.get(source, source)}"
 
@@ -147,21 +153,66 @@ def write_leaf(df: DataFrame, path: str, fmt: str = "parquet") -> None:
        .format(fmt).save(path))
 
 
-def write_split(df: DataFrame, column: str, paths: Mapping[str, str], staging: str) -> None:
-    """Replace several leaves from one pass over ``df``: rows whose ``column``
-    has a key of ``paths`` go to that leaf. The job writes a tree under
-    ``staging`` that is split on a copy of the column; its folders are then
-    moved into place, a value without rows leaves an empty leaf."""
-    spark = df.sparkSession
+def stage_split(df: DataFrame, column: str, values: Sequence[str], staging: str) -> dict[str, str]:
+    """One pass over ``df`` into a folder under ``staging`` for each value of
+    ``column``, a copy of which splits the rows; returns them. A value without
+    rows has an empty one."""
+    spark, tree = df.sparkSession, f"{staging}/split"
     (df.withColumn("_leaf", F.col(column)).write.mode("overwrite").option("partitionOverwriteMode", "static")
-       .partitionBy("_leaf").parquet(staging))
-    for value, path in paths.items():
-        remove_paths(spark, path)
-        if path_exists(spark, f"{staging}/_leaf={value}"):
-            move_path(spark, f"{staging}/_leaf={value}", path)
-        else:
+       .partitionBy("_leaf").parquet(tree))
+    found = {value: f"{tree}/_leaf={value}" for value in values}
+    for path in found.values():
+        if not path_exists(spark, path):
             write_leaf(df.limit(0), path)
-    remove_paths(spark, staging)
+    return found
+
+
+_COMMIT = "_commit.json"
+
+
+def commit_leaves(spark: SparkSession, staging: str, leaves: Mapping[str, str | None]) -> None:
+    """Replaces leaves by folders written under ``staging`` (None: the leaf just
+    goes). Nothing is touched before the list of moves is in the store; from then
+    on the swap is decided, and ``recover_leaves`` ends one that was broken off."""
+    write_text(spark, f"{staging}/{_COMMIT}", json.dumps(dict(leaves)))
+    _swap(spark, staging)
+
+
+def _swap(spark: SparkSession, staging: str) -> None:
+    for leaf, staged in json.loads(read_text(spark, f"{staging}/{_COMMIT}")).items():
+        if staged is None:
+            remove_path(spark, leaf)
+        elif path_exists(spark, staged):  # else it was moved before
+            remove_path(spark, leaf)
+            move_path(spark, staged, leaf)
+    remove_path(spark, staging)
+
+
+def recover_leaves(spark: SparkSession, root: str) -> dict[str, bool]:
+    """Ends what earlier runs left in the staging folders right under ``root``:
+    a decided swap is carried out, anything else is thrown away. Returns
+    folder -> whether it was carried out. Runs that share a root must not overlap."""
+    found = {}
+    for staging in folders_in(spark, root):
+        found[staging] = path_exists(spark, f"{staging}/{_COMMIT}")
+        if found[staging]:
+            _swap(spark, staging)
+        else:
+            remove_path(spark, staging)
+    return found
+
+
+def staging_root(quality: str, layer: str, odate: str, source: str) -> str:
+    """Where a run writes a source's leaves of one date before they are swapped in."""
+    return f"{quality.rstrip('/')}/_staging/{layer}/odate={odate}/{source}"
+
+
+def write_split(df: DataFrame, column: str, paths: Mapping[str, str], staging: str) -> None:
+    """Replace several leaves from one pass over ``df``: rows whose ``column``
+    has a key of ``paths`` go to that leaf; a value without rows leaves an empty
+    leaf. The old leaves stay until everything is written (``commit_leaves``)."""
+    staged = stage_split(df, column, list(paths), staging)
+    commit_leaves(df.sparkSession, staging, {path: staged[value] for value, path in paths.items()})
 
 
 def read_quarantine(spark: SparkSession, quality: str, source: str, odates=None,
@@ -208,6 +259,6 @@ def land_by_app(df: DataFrame, base: str, layer: str, source: str, odate: str,
     dealt by app before the write, and AQE splits large apps, so files follow
     the data, not tasks times apps."""
     root = source_root(base, layer, source, prefix)
-    remove_paths(df.sparkSession, f"{root}/*/odate={odate}")
+    remove_paths(df.sparkSession, f"{glob_escaped(root)}/*/odate={odate}")
     (df.withColumn("odate", F.lit(odate)).hint("rebalance", F.col(app_col))
        .write.mode("append").partitionBy(app_col, "odate").parquet(root))

@@ -3,11 +3,13 @@
 The row logic is stateless (one row in, at most one row out), so the batch
 ``rejects`` transformation applies unchanged to each micro-batch of a file
 stream. Before a batch is checked, the footers of its files are compared with
-the declared schema on the executors: a file that lacks a declared column, or
-holds it in another type, would be read as NULL and pass rules it was never
-held against, so its rows are not checked and it becomes a row of the drift
-table instead. A batch replaces its own leaves (``batch_id=N``), so the output
-is exactly-once across restarts and lost executors.
+the declared schema on the executors: a file that lacks a declared column would be
+read as NULL and pass rules it was never held against, and one that holds it in
+another type, or that is not Parquet, cannot be read with the declared schema at
+all. Such a file becomes a row of the drift table and is not opened again; the
+batch's other files are read by their names, and the stream goes on. A batch
+replaces its own leaves (``batch_id=N``), so the output is exactly-once across
+restarts and lost executors.
 """
 
 from __future__ import annotations
@@ -22,8 +24,10 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions.rules import Rule
 from ..operators.patterns import rejects
 from ..operators.schemas import footer_report
+from ..session import glob_escaped
 from ..sources.lake import write_leaf
 
+
 def drift_path(out: str) -> str:
     """Where a stream that writes to ``out`` reports files it did not check."""
     return f"{out.rstrip('/')}_drift"
@@ -39,23 +43,25 @@ def quarantine_stream(spark: SparkSession, landing: str, schema: T.StructType,
     bounded micro-batches and stops; otherwise the query runs on
     ``processing_time``. Columns beyond the declared ones are passed over.
     """
-    reader = spark.readStream.schema(schema).format("parquet")
+    # The stream is one of files: none is opened before its footer has been read.
+    reader = spark.readStream.schema("path string, modificationTime timestamp, length long, content binary").format("binaryFile")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     names = [F.col(f"`{n}`") for n in schema.fieldNames()]
-    landed = reader.load(landing).select(*names, F.col("_metadata.file_path").alias(_FILE))
+    landed = reader.load(landing).select(F.col("path").alias("file"))
 
     def check(batch: DataFrame, batch_id: int) -> None:
-        files = batch.select(F.col(_FILE).alias("file")).distinct()
-        drift = (footer_report(files, "", schema).withColumn("broken", F.filter(
+        drift = (footer_report(batch, "", schema).withColumn("broken", F.filter(
                      "differences", lambda d: ~d["status"].isin("unexpected", "moved", "nullability_mismatch")))
                  .filter("error is not null or size(broken) > 0")
                  .select("file", "error", F.col("broken").alias("differences")))
         report = f"{drift_path(out)}/batch_id={batch_id}"
         write_leaf(drift, report)
-        # a small table: files of one micro-batch that differ
-        broken = spark.read.schema(drift.schema).parquet(report).select(F.col("file").alias(_FILE))
-        whole = batch.join(broken, _FILE, "left_anti").select(*names)
+        # Spark's driver lists the files of a micro-batch too
+        broken = {r.file for r in spark.read.schema(drift.schema).parquet(report).select("file").collect()}
+        good = sorted({r.file for r in batch.collect()} - broken)
+        whole = (spark.read.schema(schema).parquet(*map(glob_escaped, good)) if good else
+                 spark.createDataFrame([], schema)).select(*names)
         write_leaf(rejects(whole, rules), f"{out.rstrip('/')}/batch_id={batch_id}")
 
     writer = landed.writeStream.foreachBatch(check).option("checkpointLocation", checkpoint)
@@ -66,9 +72,6 @@ def quarantine_stream(spark: SparkSession, landing: str, schema: T.StructType,
     return writer.start()
 
 
-_FILE = "_tollgate_file"
-
-
 def rejected_rows(spark: SparkSession, out: str) -> int:
     """Rejected rows that the stream has written, counted in its output (a
     query's progress reports are forgotten after a while)."""

@@ -88,16 +88,18 @@ def test_packing_edge_cases(spark, edge_docs):
     assert len({(r.sequence_id, r.offset) for r in rows}) == len(rows)
 
 
-@pytest.mark.parametrize("kind", ["edge", "empty"])
+@pytest.mark.parametrize("kind", ["edge", "edge, every item has an id", "empty"])
 def test_pipeline_edge_cases(spark, edge_docs, no_docs, workdir, kind):
     columns = ["doc_id", "text", "lang", "source", "n_chars"]
-    (edge_docs if kind == "edge" else no_docs).select(*columns, F.lit("x").alias("_fp")).write.parquet(f"{workdir}/documents.parquet")
+    (no_docs if kind == "empty" else edge_docs).select(*columns, F.lit("x").alias("_fp")).write.parquet(f"{workdir}/documents.parquet")
     labels(spark).write.parquet(f"{workdir}/labels.parquet")
-    benchmark(spark).write.parquet(f"{workdir}/benchmark.parquet")
+    benchmark(spark, ITEMS if kind == "edge" else [x for x in ITEMS if x[0]]).write.parquet(f"{workdir}/benchmark.parquet")
     rows = corpus_pipeline.run(spark, workdir).collect()
     left = {r.doc_id for r in rows}
     if kind == "empty":
         assert rows == []
+    elif kind == "edge":
+        assert not left & {4, 5, 12} and 9 in left  # 4 is the text of an item without an id
     else:
         assert 4 in left and 12 not in left and 5 not in left  # 12 and 5 hold benchmark windows
         assert sum(r.doc_id == 4 and r.start == 0 for r in rows) == 1  # of two equal rows one stays

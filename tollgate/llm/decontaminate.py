@@ -2,94 +2,176 @@
 
 Words are runs of letters, digits and non-ASCII characters after A-Z is
 lower-cased. A window is ``n`` consecutive words of an item (all of a shorter
-item). Texts are scanned where they are: a window of k words must cover one of
-the word pairs that start at every (k-1)-th word, so only these pairs are
-probed; around a known pair every window is compared in full with the set.
+item). The set holds a 64-bit hash of every window in a sorted array, with the
+window's place in the items' words; texts are scanned where they are, every window
+of theirs is hashed, and where the hash is in the set the words are compared, so
+that nothing but equal words is a hit.
 
 The set is broadcast, so the benchmark is dealt into slices of about
-``slice_chars`` characters of text; each slice is one scan over the rows, in a
-chain without any shuffle that is written out after every fourth. A benchmark
-of usual size is one slice.
+``slice_chars`` characters of text, a few bytes of memory for each; each slice is
+one scan over the rows, in a chain without any shuffle that is written out after
+every fourth. A benchmark of usual size is one slice.
 """
 
 from __future__ import annotations
 
 import re
-from collections import defaultdict
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD_BYTES, slices, utf8, written
+from .common import WORD_BYTES, slices, utf8, worker_cache, written
 
 _WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 _FOUND = "spans array<struct<start:long,end:long>>, items array<string>"
+#: What an item takes beside its text, counted as characters of it.
+ITEM_CHARS = 64
+#: Words whose hashes a worker keeps.
+WORKER_ENTRIES = 300_000
 
 
 def words(text: bytes) -> list[bytes]:
     return text.translate(WORD_BYTES).split()
 
 
-def windows(items: list[tuple[str, str]], n: int) -> dict[int, tuple[set, dict]]:
-    """Window length -> (its word pairs, window -> ids of its items)."""
-    known: dict[int, tuple[set, dict]] = {}
+class _Hashes(dict):
+    def __missing__(self, word: bytes) -> int:
+        if len(self) > WORKER_ENTRIES:
+            self.clear()
+        self[word] = h = xxhash.xxh64_intdigest(word)
+        return h
+
+
+def _window_hashes(h: np.ndarray, k: int) -> np.ndarray:
+    """A hash of each k neighbouring words, from the hashes of the words."""
+    n = len(h) - k + 1
+    out = h[:n].copy()
+    for j in range(1, k):
+        out *= np.uint64(0x9E3779B97F4A7C15)
+        out += h[j:j + n]
+    out ^= out >> np.uint64(31)
+    return out
+
+
+@dataclass(frozen=True)
+class Windows:
+    """The windows of a slice of the benchmark. ``words``: all words, a space after
+    each; ``at``: where each begins; ``first``: the first word of each item;
+    ``grams``: window length -> (sorted hashes, first word of each window, a bitmap
+    over the hashes' high bits)."""
+
+    words: bytes
+    at: np.ndarray
+    first: np.ndarray
+    ids: pa.Array
+    grams: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]
+
+    def items(self, gram: bytes, k: int, low: int, high: int) -> set[str | None]:
+        """The ids of the items that hold ``gram`` (words, a space after each), of
+        the windows from low to high."""
+        place = self.grams[k][1][low:high]
+        same = [p for p in place.tolist() if self.words[self.at[p]:self.at[p + k]] == gram]
+        return {self.ids[i].as_py() for i in np.searchsorted(self.first, same, side="right") - 1}
+
+
+def windows(items: Iterable[tuple[str | None, str | None]], n: int) -> Windows:
+    """The set for (id, text) rows; items without an id have windows too."""
+    cache, blob, sizes, hashes, first, ids = _Hashes(), [], array("I"), array("Q"), array("q"), []
     for item, text in items:
         w = words((text or "").encode())
-        k = min(n, len(w))
-        if not k:
+        if w:
+            first.append(len(hashes))
+            ids.append(item)
+            blob.append(b" ".join(w))
+            sizes.extend(map(len, w))
+            hashes.extend(map(cache.__getitem__, w))
+    h, starts = np.frombuffer(hashes, dtype=np.uint64), np.frombuffer(first, dtype=np.int64)
+    at = np.zeros(len(h) + 1, dtype=np.uint32)
+    np.cumsum(np.frombuffer(sizes, dtype=np.uint32) + 1, out=at[1:], dtype=np.uint32)
+    counts = np.diff(np.r_[starts, len(h)])
+    grams = {}
+    for k in np.unique(np.minimum(counts, n)).tolist():
+        own = counts == k if k < n else counts >= n
+        if k < n:
+            place = starts[own]
+        else:  # every start that leaves room for a window in its item
+            room = np.repeat(starts + counts - k, counts)
+            place = np.flatnonzero((np.arange(len(h)) <= room) & np.repeat(own, counts))
+        found = _window_hashes(h, k)[place]
+        order = np.argsort(found, kind="stable")
+        found, place = found[order], place[order].astype(np.uint32)
+        bits = min(30, max(10, len(found).bit_length() + 4))
+        filled = np.zeros(1 << bits >> 3, dtype=np.uint8)
+        high = found >> np.uint64(64 - bits)
+        np.bitwise_or.at(filled, (high >> np.uint64(3)).astype(np.int64), np.uint8(1) << (high & np.uint64(7)).astype(np.uint8))
+        grams[k] = (found, place, filled)
+    return Windows(b"".join(x + b" " for x in blob), at, starts, pa.array(ids, pa.string()), grams)
+
+
+def scan(texts: list[list[bytes]], known: Windows) -> list[tuple[list[tuple[int, int]], set[str]]]:
+    """For each text, as its words: the merged word spans that windows cover, and
+    the ids of their items."""
+    cache = worker_cache("word hashes", _Hashes)
+    every = [x for w in texts for x in w]
+    h = np.fromiter(map(cache.__getitem__, every), dtype=np.uint64, count=len(every))
+    counts = np.array([len(w) for w in texts], dtype=np.int64)
+    ends = np.cumsum(counts)
+    covers: list[list[tuple[int, int]]] = [[] for _ in texts]
+    items: list[set] = [set() for _ in texts]
+    room = np.repeat(ends, counts)
+    for k, (hashes, _, filled) in known.grams.items():
+        if len(h) < k:
             continue
-        pairs, grams = known.setdefault(k, (set(), defaultdict(set)))
-        pairs.update(zip(w, w[1:], strict=False) if k > 1 else [(w[0],)])
-        for i in range(len(w) - k + 1):
-            grams[tuple(w[i:i + k])].add(item)
-    return {k: (pairs, {g: sorted(x) for g, x in grams.items()}) for k, (pairs, grams) in known.items()}
-
-
-def scan(w: list[bytes], known: dict[int, tuple[set, dict]]) -> tuple[list[tuple[int, int]], set[str]]:
-    """Merged word spans that windows cover, and the ids of their items."""
-    covers, items = [], set()
-    for k, (pairs, grams) in known.items():
-        step = max(1, k - 1)
-        probes = zip(w[::step], w[1::step], strict=False) if k > 1 else zip(w, strict=True)
-        last = -1  # windows that start up to here have been compared
-        for j, pair in enumerate(probes):
-            if pair in pairs:
-                for s in range(max(last + 1, j * step - step + 1), min(j * step, len(w) - k) + 1):
-                    if found := grams.get(tuple(w[s:s + k])):
-                        covers.append((s, s + k))
-                        items.update(found)
-                last = j * step
-    spans: list[tuple[int, int]] = []
-    for a, b in sorted(covers):
-        if spans and a <= spans[-1][1]:
-            spans[-1] = (spans[-1][0], max(b, spans[-1][1]))
-        else:
-            spans.append((a, b))
-    return spans, items
+        found = _window_hashes(h, k)
+        bits = (len(filled) * 8).bit_length() - 1
+        high = found >> np.uint64(64 - bits)
+        maybe = np.flatnonzero((filled[(high >> np.uint64(3)).astype(np.int64)] >> (high & np.uint64(7)).astype(np.uint8) & 1)
+                               .astype(bool) & (np.arange(len(found)) + k <= room[:len(found)]))
+        low, top = np.searchsorted(hashes, found[maybe]), np.searchsorted(hashes, found[maybe], side="right")
+        hit, seen = low < top, {}
+        for i, a, b in zip(maybe[hit].tolist(), low[hit].tolist(), top[hit].tolist(), strict=True):
+            gram = b"".join(x + b" " for x in every[i:i + k])
+            if gram not in seen:
+                seen[gram] = known.items(gram, k, a, b)
+            if seen[gram]:
+                d = int(np.searchsorted(ends, i, side="right"))
+                start = i - int(ends[d] - counts[d])
+                covers[d].append((start, start + k))
+                items[d] |= seen[gram]
+    return [(_merged(c), x - {None}) for c, x in zip(covers, items, strict=True)]
 
 
-def _slices(benchmark: DataFrame, item_col: str, text_col: str, slice_chars: int):
-    """The benchmark's items, dealt by a hash of the id, slice by slice."""
-    rows = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(text_col).alias("text"))
-    rows = rows.filter(F.col("item").isNotNull() & F.col("text").isNotNull())
-    size = rows.agg(F.sum(F.length("text"))).first()[0] or 0
+def _slices(benchmark: DataFrame, item_col: str, text_col: str, slice_chars: int) -> Iterator[pa.Table]:
+    """The benchmark's items, dealt by a hash of the row, slice by slice."""
+    rows = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(text_col).alias("text")).filter("text is not null")
+    size = rows.agg(F.sum(F.length("text") + F.lit(ITEM_CHARS))).first()[0] or 0
     n = -(-size // slice_chars) or 1
     for k in range(n):
-        part = rows.filter(F.pmod(F.xxhash64("item"), F.lit(n)) == k)
-        yield [(r.item, r.text) for r in part.collect()]
+        yield rows.filter(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == k).toArrow()
+
+
+def _rows(items: pa.Table) -> Iterator[tuple[str | None, str]]:
+    for batch in items.to_batches(max_chunksize=1_000):
+        yield from zip(batch.column("item").to_pylist(), batch.column("text").to_pylist(), strict=True)
 
 
 def find_windows(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", *, item_col: str = "item_id",
-                 item_text_col: str = "text", n: int = 13, slice_chars: int = 64_000_000) -> DataFrame:
+                 item_text_col: str = "text", n: int = 13, slice_chars: int = 32_000_000) -> DataFrame:
     """``docs`` with a column ``found``: n_words, the word spans that benchmark
     windows cover (end exclusive, apart from each other), and the ids of the
     items whose windows occur, as strings.
 
-    Null and empty texts have no words; repeated rows are scanned one by one;
-    items without id or words are ignored; an existing column ``found`` is
-    replaced.
+    Null and empty texts have no words; a text of any length is scanned whole;
+    repeated rows are scanned one by one; an empty table gives an empty result.
+    Items without words are ignored, those without an id have windows but are not
+    among the ids; repeated items count once. An existing column ``found`` is
+    replaced, others stay.
     """
     spark = docs.sparkSession
     cols = [c for c in docs.columns if c != "found"]
@@ -98,14 +180,13 @@ def find_windows(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
     out = docs.select(*cols, F.lit(None).cast("struct<n_words:long," + _FOUND.replace(" array", ":array") + ">").alias("found"))
     for k, items in enumerate(_slices(benchmark, item_col, item_text_col, slice_chars)):
         out = written(out, "decontaminate") if k and k % 4 == 0 else out
-        known = spark.sparkContext.broadcast(windows(items, n))
+        known = spark.sparkContext.broadcast(windows(_rows(items), n))
 
         def search(batches: Iterator[pa.RecordBatch], known=known) -> Iterator[pa.RecordBatch]:
             for batch in slices(batches):
                 found = []
-                for text, before in zip(utf8(batch, text_col), batch.column("found").to_pylist(), strict=True):
-                    w = words(text)
-                    spans, items = scan(w, known.value)
+                texts = [words(t) for t in utf8(batch, text_col)]
+                for w, (spans, items), before in zip(texts, scan(texts, known.value), batch.column("found").to_pylist(), strict=True):
                     if before:
                         spans = _merged(spans + [(x["start"], x["end"]) for x in before["spans"]])
                         items.update(before["items"])

@@ -50,7 +50,7 @@ select page_id, cast(strlen(html) as bigint) as payload_bytes,
 from p join f on p.h = f.h"""
 
 _CONTAMINATION = f"""
-with b as (select item_id, {_WORDS} as w from benchmark where text is not null and item_id is not null),
+with b as (select item_id, {_WORDS} as w from benchmark where text is not null),
 win as (select distinct item_id, least(13, len(w)) as k, array_to_string(w[i:i + least(13, len(w)) - 1], ' ') as gram
         from (select *, unnest(range(1, len(w) - least(13, len(w)) + 2)) as i from b where len(w) > 0) x),
 sizes as (select distinct k from win),
@@ -60,7 +60,7 @@ dw as (select doc_id, k, i, array_to_string(w[i:i + k - 1], ' ') as gram
 hits as (select doc_id, dw.k, i, item_id from dw join win on dw.gram = win.gram and dw.k = win.k),
 covered as (select doc_id, count(distinct i + j) as n_hit from (select doc_id, i, unnest(range(0, k)) as j from hits) x group by doc_id),
 items as (select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as list
-          from (select distinct doc_id, cast(item_id as varchar) as item from hits) x group by doc_id)
+          from (select distinct doc_id, cast(item_id as varchar) as item from hits where item_id is not null) x group by doc_id)
 select d.doc_id, cast(len(w) as bigint) as n_words, cast(coalesce(n_hit, 0) as bigint) as n_hit,
        cast(coalesce(n_items, 0) as bigint) as n_items, sha256(coalesce(list, '')) as items_sha256,
        coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(w) as contaminated

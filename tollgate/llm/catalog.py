@@ -57,7 +57,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fingerprints(table(spark, sf_dir, "documents"))
+    return fingerprints(table(spark, sf_dir, "documents")).drop("signatures")
 
 
 def op11_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:

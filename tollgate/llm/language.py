@@ -21,9 +21,9 @@ from pyspark.sql import functions as F
 from .common import highest_hash, id_text_crc32, slices, strings, worker_cache
 
 UNKNOWN = "und"
-#: Bounds of the training sample: documents for each language (about),
-#: characters of each, bytes of a dictionary, and languages at a time.
-SAMPLE_DOCS, SAMPLE_CHARS, DICTIONARY_BYTES, LANGUAGES = 400, 1_500, 98_304, 200
+#: Bounds of the training sample: blocks of text for each language (about), their
+#: characters, and languages at a time. A dictionary is all of its language's blocks.
+SAMPLE_BLOCKS, BLOCK_CHARS, LANGUAGES = 100, 1_000, 200
 BLOCK, LEVEL, MIN_MATCH = 4_096, 5, 3
 _LETTER_BYTES = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c > 127 else 32 for c in range(256))
 
@@ -33,21 +33,31 @@ def normalised(text: str) -> bytes:
     return b" ".join(text.lower().encode().translate(_LETTER_BYTES).split())
 
 
-def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> dict[str, bytes]:
+def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", *,
+          blocks: int = SAMPLE_BLOCKS, block_chars: int = BLOCK_CHARS) -> dict[str, bytes]:
     """Language -> dictionary, the most frequent language first. Learned from
     rows with a language and a text whose crc32 of the id modulo 4 is not 2;
-    rows without an id are left out. Sampled by a hash of the id."""
+    rows without an id are left out.
+
+    Texts are cut into blocks of ``block_chars`` characters, and about ``blocks`` of
+    each language are taken by a hash of id and place: any part of any text may be
+    among them, and a dictionary holds whatever was taken.
+    """
     rows = (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
             .filter((id_text_crc32("id") % 4 != 2) & F.col("lang").isNotNull() & (F.length("text") > 0)))
-    counts = [(r.lang, r["count"]) for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").collect()]
+    many = F.ceil(F.length("text") / block_chars)
+    counts = [(r.lang, r.n, r.blocks) for r in rows.groupBy("lang").agg(F.count("*").alias("n"), F.sum(many).alias("blocks"))
+              .orderBy(F.desc("n"), "lang").collect()]
     out: dict[str, bytes] = {}
-    for part in _parts(dict(counts)):
-        highest = F.create_map(*(F.lit(x) for lang, n in part.items() for x in (lang, highest_hash(SAMPLE_DOCS, n))))
-        chosen = rows.filter(F.xxhash64("id") <= highest[F.col("lang")])
+    for part in _parts({lang: n for lang, _, n in counts}):
+        highest = F.create_map(*(F.lit(x) for lang, n in part.items() for x in (lang, highest_hash(blocks, n))))
+        places = F.filter(F.sequence(F.lit(0).cast("long"), many - 1), lambda i: F.xxhash64("id", i) <= highest[F.col("lang")])
+        chosen = (rows.select("id", "lang", "text", F.explode(places).alias("place"))
+                  .select(F.xxhash64("id", "place").alias("h"), "lang", F.expr(f"substring(text, cast(place * {int(block_chars)} + 1 as int), {int(block_chars)})").alias("text")))
         found: dict[str, list] = {lang: [] for lang in part}
-        for r in chosen.select("id", "lang", F.substring("text", 1, SAMPLE_CHARS).alias("text")).collect():
-            found[r.lang].append((r.id, normalised(r.text)))
-        out |= {k: b"\n".join(t for _, t in sorted(v))[-DICTIONARY_BYTES:] for k, v in found.items() if any(t for _, t in v)}
+        for r in chosen.collect():
+            found[r.lang].append((r.h, normalised(r.text)))
+        out |= {k: b"\n".join(t for _, t in sorted(v)) for k, v in found.items() if any(t for _, t in v)}
     return out
 
 
@@ -101,7 +111,10 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], id_col: str = "doc
     the margin is under ``narrow``, so that lang_pred is a guess.
 
     A null text, one without a letter, and any text when nothing was learned is
-    ``und`` with score 0 and rejected. Other columns are ignored.
+    ``und`` with score 0 and rejected. A text of any length is encoded whole, and of
+    languages with equal encodings the more frequent one is taken. Equal rows have
+    equal results; other columns, whatever their names, are ignored; an empty table
+    gives an empty result.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()

@@ -5,12 +5,13 @@ when it holds at least the template's threshold share of its distinct words.
 Template words are ordered by the number of documents that hold them, rarest
 first. A block that meets the threshold must hold one of the template's first
 words in that order (prefix filter), so only blocks around such words are
-looked at; texts with too few words (length filter), and shared words around
-which too few template words stand, are passed over. The place of the shared word
-in the order prunes nothing more. What remains is verified in full, so nothing is
-missed.
+looked at, and texts with too few words are passed over (length filter). Of a
+block's shared words the first in the order is one of them, and all others follow
+it there; so around a shared word only the template's words from its place in the
+order on are counted, and where there are too few it is passed over (positional
+filter). What remains is verified in full, so nothing is missed.
 
-The templates are a short list of the caller's (see ``TEMPLATE_WORDS``), so the
+The templates are the caller's, and literals of the plan, so the
 join needs no shuffle: every row is joined where it is read, with DataFrame
 expressions only. One aggregate counts the template words' documents.
 """
@@ -23,8 +24,6 @@ from math import ceil
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Words of all templates together at most: they are literals of the plan.
-TEMPLATE_WORDS = 2_000
 #: Separators of words after A-Z is lower-cased. lower() changes letters outside
 #: ASCII too, but makes no template word of a word that is none.
 _SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -100,25 +99,33 @@ def _literal(values: tuple[str, ...]) -> Column:
     return F.array(*map(F.lit, values))
 
 
-def _blocks(w: Column, n: Column, t: _Ordered) -> Column:
-    """Starts and overlaps of the blocks of ``w`` that meet the threshold."""
+def _hits(w: Column, t: _Ordered, positional: bool = True) -> Column:
+    """Places of the words of ``w`` that are in the template's prefix and have enough
+    of its words around them, with ``positional`` only those that can follow them in
+    the order."""
     length, tokens, prefix = len(t.sequence), _literal(t.tokens), _literal(t.prefix)
-    size = F.least(n, F.lit(length))
-
-    def around(p: Column) -> Column:  # the blocks that hold word p
-        return F.sequence(F.greatest(p - length + 1, F.lit(0)), F.least(p, F.greatest(n - length, F.lit(0))))
 
     def reaches(p: Column) -> Column:
-        rank = F.array_position(prefix, w[p]).cast("int") - 1  # shared words follow it in the order
         near = F.slice(w, F.greatest(p - length + 2, F.lit(1)), F.lit(2 * length - 1))
-        bound = F.least(F.lit(len(t.tokens)) - rank, size)
-        return (bound >= t.need) & (F.size(F.array_intersect(near, tokens)) >= t.need)
+        rank = F.array_position(prefix, w[p]).cast("int") if positional else F.lit(1)
+        return F.size(F.array_intersect(near, F.slice(tokens, rank, F.lit(len(t.tokens))))) >= t.need
+
+    found = F.filter(F.sequence(F.lit(0), F.size(w) - 1), lambda p: F.array_contains(prefix, w[p]))
+    return F.filter(found, reaches)
+
+
+def _blocks(w: Column, n: Column, t: _Ordered, positional: bool = True) -> Column:
+    """Starts and overlaps of the blocks of ``w`` that meet the threshold."""
+    length, tokens = len(t.sequence), _literal(t.tokens)
+
+    def around(p: Column) -> Column:  # the blocks that hold word p
+        return F.sequence(F.greatest(p - length + 1, F.lit(0)), F.least(p, F.greatest(n - length, F.lit(0))))
 
-    hits = F.filter(F.sequence(F.lit(0), n - 1), lambda p: F.array_contains(prefix, w[p]))
-    starts = F.array_distinct(F.flatten(F.transform(F.filter(hits, reaches), around)))
+    starts = F.array_distinct(F.flatten(F.transform(_hits(w, t, positional), around)))
     scored = F.transform(starts, lambda s: F.struct(
         s.alias("start"), F.size(F.array_intersect(F.slice(w, s + 1, F.lit(length)), tokens)).alias("overlap")))
-    return F.when(F.arrays_overlap(w, prefix) & (size >= t.need), F.filter(scored, lambda b: b["overlap"] >= t.need))
+    possible = F.arrays_overlap(w, _literal(t.prefix)) & (F.least(n, F.lit(length)) >= t.need)
+    return F.when(possible, F.filter(scored, lambda b: b["overlap"] >= t.need))
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -129,12 +136,12 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     a template that a matching block holds; 0 without any) and blocks (label,
     start, share of every matching block).
 
-    Null and empty texts have no words; repeated rows are scanned one by one;
-    other columns are ignored.
+    Null and empty texts have no words; a text of any length is scanned whole;
+    repeated rows are scanned one by one; other columns, whatever their names, are
+    ignored; an empty table gives an empty result. The templates may be of any number
+    and length; the plan grows with their words.
     """
     vocabulary = sorted({w for t in templates for w in t.text.split()})
-    if len(vocabulary) > TEMPLATE_WORDS:
-        raise ValueError(f"{len(vocabulary)} template words; the plan holds at most {TEMPLATE_WORDS}")
     order = _ordered(templates, document_frequencies(docs, vocabulary, text_col))
     every_prefix = _literal(tuple(sorted({w for t in order for w in t.prefix})))
     rows = docs.select(F.col(id_col).alias("id"), words(F.col(text_col)).alias("w"))
@@ -160,9 +167,9 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         return F.coalesce(F.array_join(F.array_sort(F.array_distinct(F.filter(labels, lambda x: x.isNotNull()))), ","), F.lit(""))
 
     bases = [t for t in order if t.template.base]
-    found = found.withColumn("places", every(places, lambda t: t.template.base))
+    found = found.withColumn("places", every(places, lambda t: t.template.base).cast("array<array<int>>"))
     starts = F.flatten("places")
-    base_labels = F.when(F.col("places").isNotNull(), F.array(*(label(t, F.size(F.col("places")[i]) > 0) for i, t in enumerate(bases))))
+    base_labels = F.when(F.col("places").isNotNull(), F.array(*(label(t, F.size(F.col("places")[i]) > 0) for i, t in enumerate(bases))).cast("array<string>"))
     # A block with a phrase's words in another order is a match of the method too.
     all_labels = every(lambda t, b: label(t, F.size(b) > 0), lambda t: True)
     blocks = F.flatten(every(lambda t, b: F.transform(b, lambda x: F.struct(

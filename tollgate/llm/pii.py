@@ -2,14 +2,12 @@
 
 The base spans (email, ip, card, phone) are always taken. Besides, generators
 of high recall propose looser spans that may overlap: numbers in groups and
-their parts between separators, spelt mail addresses and long keys. Rules
-confirm some of them (a check digit, a plus, a well-formed spelt address) and
-refute others (``verdict``). Boosted trees judge the format and the context of
-the rest. They learn from the corpus itself, from candidates that a rule settles
-and the features do not give away; what no rule settles is in neither class, so
-that a form does not become less likely by being common. The probability is
-calibrated; candidates that a rule confirms, and those over the threshold, are
-taken as well where they overlap no better span.
+their parts between separators, spelt mail addresses and long keys. Boosted trees
+judge the format and the context of every candidate, and only those whose
+calibrated probability reaches the threshold are taken, the likeliest first. The
+trees learn from the corpus itself: rules label the candidates that they settle (a
+check digit, a plus, a well-formed spelt address, an order number, a date) and
+leave the rest out, so that a form does not become less likely by being common.
 """
 
 from __future__ import annotations
@@ -31,7 +29,7 @@ from .common import bounded_share, slices, strings
 KINDS = ("email", "ip", "card", "phone")
 ADDED_KINDS = (*KINDS, "secret")
 #: Documents and candidates that a fit uses at most, about.
-SAMPLE_DOCS, SAMPLE_CANDIDATES = 12_000, 20_000
+SAMPLE_DOCS, SAMPLE_CANDIDATES = 12_000, 30_000
 THRESHOLD = 0.9
 
 _LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
@@ -130,9 +128,10 @@ def candidates(text: str) -> list[tuple[str, int, int]]:
 
 
 def features(text: str, kind: str, start: int, end: int) -> list[float]:
-    """Format and context of a candidate; nothing that names its own rule (no
-    leading plus, check digit, number range, key word or spelling of an address). What refutes by context is shown: it
-    must not speak against the form elsewhere."""
+    """Format and context of a candidate: check digits, number ranges and dates as
+    well, but not what only a labelled form has (a leading plus, a key's name, the
+    spelling of an address), so that the forms that no rule settles are judged by
+    what they share with others."""
     s = _plain(text[start:end]) if kind == "email" else text[start:end].lstrip("+")
     before, after = text[max(0, start - 24):start], text[end:end + 12]
     groups = [len(g) for g in re.split(r"[^0-9]+", s) if g] or [0]
@@ -144,11 +143,25 @@ def features(text: str, kind: str, start: int, end: int) -> list[float]:
         float(min(groups)), float(s.count(" ")), float(s.count("-")), float(s.count(".")), float(s.count("(") + s.count(")")),
         entropy, sum(c in "0123456789abcdef" for c in s) / n, sum(c.isupper() for c in s) / n,
         float(before[-1:].isalnum()), float(after[:1].isalnum()), sum(c.isdigit() for c in before + after) / 36,
-        *(float(bool(p.search(before))) for p in _CUES),
+        *(float(bool(p.search(before))) for p in _CUES), *_checks(s, kind, before, after),
     ]
 
 
-N_FEATURES = 17 + len(_CUES)
+def _checks(s: str, kind: str, before: str, after: str) -> list[float]:
+    """Check digit, issuer and usual groups of a card; parts of an address in their
+    range and ended; a date. -1 where it does not apply."""
+    digits = _digits(s)
+    card, ip = kind == "card", kind == "ip"
+    groups = [len(g) for g in re.split("[^0-9]+", s) if g] if card else []
+    usual = groups in ([len(digits)], [4, 6, 5]) or groups[:4] == [4] * 4 and len(groups) <= 5
+    quad = ip and bool(_QUAD.fullmatch(s)) and all(_octet(p) for p in s.split("."))
+    return [float(luhn(digits)) if card else -1.0, float(bool(_ISSUED.match(digits))) if card else -1.0,
+            float(usual) if card else -1.0, float(len(digits) == 15 and not _AMEX.match(digits)) if card else -1.0,
+            float(quad and before[-1:] != "." and not (after[:1] == "." and after[1:2].isdigit())) if ip else -1.0,
+            float(bool(_DATE.match(s))) if kind == "phone" else -1.0, float(bool(_LOOSE.search(s))) if kind == "email" else -1.0]
+
+
+N_FEATURES = 24 + len(_CUES)
 
 
 def _plain(address: str) -> str:
@@ -198,16 +211,47 @@ def label(text: str, kind: str, start: int, end: int, base: list[tuple[str, int,
 
 def examples(text: str) -> Iterator[tuple[int, int, list[float]]]:
     """(start, label, features) of candidates and base addresses that have a
-    label, and of base phone numbers as if written without their country code."""
+    label, and of base spans as if written in another way."""
     base = base_spans(text)
     for c in (*candidates(text), *(b for b in base if b[0] == "email")):
         if (y := label(text, *c, base)) is not None:
             yield c[1], y, features(text, *c)
     for kind, s, e in base:
-        if kind == "phone":
-            groups = [m.start() for m in _GROUP.finditer(text, s, e)]
-            if len(groups) > 1 and len(_digits(text[groups[1]:e])) >= 7:
-                yield groups[1], 1, features(text[:s] + text[groups[1]:], kind, s, s + e - groups[1])
+        for y, before, form, after in _rewritten(text, kind, s, e):
+            at = s + len(before)
+            yield at, y, features(text[:s] + before + form + after + text[e:], kind, at, at + len(form))
+
+
+def _rewritten(text: str, kind: str, start: int, end: int) -> Iterator[tuple[int, str, str, str]]:
+    """(label, text before, span, text after) of what could stand for a base span: a
+    phone number without its country code, in the writing that its place in the text
+    picks, also as an order's number; an address out of range or with a part too
+    many; a date or an amount; a card with a wrong digit; a sentence that only looks like a
+    spelt address."""
+    s = text[start:end]
+    if kind == "phone":
+        groups = [m.start() for m in _GROUP.finditer(text, start, end)]
+        if len(groups) > 1 and len(d := _digits(text[groups[1]:end])) >= 7:
+            written = (f"0{d[:3]} {d[3:6]} {d[6:]}", f"({d[:3]}) {d[3:6]}-{d[6:]}", f"{d[:3]} {d[3:6]} {d[6:]}", f"0{d[:2]} {d[2:4]} {d[4:]}",
+                       f"(0{d[:2]}) {d[2:7]}-{d[7:]}", d, f"0{d[:3]} {d[3:]}", f"0{d[:2]}/{d[2:]}")[start % 8].rstrip(" -/")
+            yield 1, "", text[groups[1]:end], ""
+            yield 1, "", written, ""
+            yield 0, ("order ", "invoice no. ", "ref ", "ticket ")[start % 4], written, ""
+            yield 0, "", (f"20{d[:2]}-0{1 + int(d[2]) % 9}-1{d[3]}", f"1{d[3]}.0{1 + int(d[2]) % 9}.19{d[:2]}")[start % 2], ""
+            yield 0, "", (f"{d[:2]} {d[2:5]} {d[3:6]}", f"19{d[:2]} 20{d[2:4]} 20{d[4:6]}", " ".join(d[:8]), f"{d[:3]}.{d[3:6]}.{d[4:7]}")[start // 2 % 4], ""
+    elif kind == "card":
+        d = _digits(s)
+        wrong = d[:-1] + str((int(d[-1]) + 1 + start % 8) % 10)
+        yield 1, "", " ".join(d[i:i + 4] for i in range(0, len(d), 4)), ""
+        yield 0, "", " ".join(wrong[i:i + 4] for i in range(0, len(d), 4)), ""
+        yield 0, "", wrong, ""
+    elif kind == "ip":
+        a, b, c, d = s.split(".")
+        yield 0, "", f"{a}.{b}.{300 + int(c) % 600}.{d}", ""
+        yield 0, "", s, f".{d}"
+    elif kind == "email":
+        local, domain = s.split("@", 1)
+        yield 0, "", f"{local} (at) {domain.split('.')[0]}. Then", ""
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> boosting.Boosted:
@@ -229,22 +273,20 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> boos
     proposed = bounded_share(rows, F.col("id"), SAMPLE_DOCS).mapInArrow(
         propose, "key string, label int, features array<double>").persist()
     try:
-        return boosting.fit(bounded_share(proposed, F.col("key"), SAMPLE_CANDIDATES))
+        return boosting.fit(bounded_share(proposed, F.col("key"), SAMPLE_CANDIDATES), rounds=30, depth=5)
     finally:
         proposed.unpersist()
 
 
 def added_spans(text: str, base: list[tuple[str, int, int]], model: boosting.Boosted, threshold: float) -> list[tuple[str, int, int]]:
-    """Candidates that a rule confirms, then those of at least ``threshold`` that
-    none refutes, the likeliest first (the longest of a tie), if they overlap
-    neither a base span nor a better candidate."""
+    """Candidates of at least ``threshold``, the likeliest first (the longest of a
+    tie), if they overlap neither a base span nor a better candidate."""
     taken = _disjoint((s, e) for _, s, e in base)
-    free = [(v or 0, c) for c in candidates(text) if not _meets(taken, c[1], c[2]) and (v := verdict(text, *c)) != 0]
+    free = [c for c in candidates(text) if not _meets(taken, c[1], c[2])]
     if not free:
         return []
     out = []
-    scored = zip(free, _scores(text, [c for _, c in free], model), strict=True)
-    for _, _, _, c in sorted((-v, -q, c[1] - c[2], c) for (v, c), q in scored if v or q >= threshold):
+    for _, _, c in sorted((-q, c[1] - c[2], c) for c, q in zip(free, _scores(text, free, model), strict=True) if q >= threshold):
         if not _meets(taken, c[1], c[2]):
             out.append(c)
             insort(taken, c[1:])
@@ -288,8 +330,9 @@ def find(docs: DataFrame, model: boosting.Boosted, id_col: str = "doc_id", text_
     """One row per row of ``docs``: id, n_email, n_ip, n_card, n_phone (base
     spans), base_sha256 and spans (kind:start:end, comma-joined).
 
-    Null and empty texts have no spans; repeated rows are searched one by one;
-    other columns are ignored.
+    Null and empty texts have no spans; a text of any length is searched whole;
+    repeated rows are searched one by one; other columns, whatever their names, are
+    ignored; an empty table gives an empty result.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
@@ -322,7 +365,8 @@ def redacted(text: str, spans: list[tuple[str, int, int]]) -> str:
 
 def redact(docs: DataFrame, model: boosting.Boosted, text_col: str = "text", *, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` with personal data in the text replaced; null texts stay null,
-    texts without findings and all other columns stay as they are."""
+    texts without findings, repeated rows and all other columns stay as they are; a
+    text of any length is searched whole; an empty table gives an empty result."""
     cols = docs.columns
     inner = docs.toDF(*(f"c{i}" for i in range(len(cols))))
     text = f"c{cols.index(text_col)}"

@@ -4,8 +4,10 @@ A signature starts at a common word (the anchor) and chains the next content
 words after it, passing over other common words. One word in sixteen, by its hash, is
 an anchor as well, so that texts of other languages and lists of rare words
 have signatures too. The set of a text's signatures is its fingerprint. Sets are dealt into partitions by their length: sets more
-partitions apart than a likeness allows cannot reach it, so Jaccard is computed
-only where the lengths leave it possible.
+partitions apart than a likeness allows cannot reach it, so where a least likeness
+is asked for, Jaccard is computed only where the lengths leave it possible. The
+likeness of stated pairs (a document and its edit, a document and the next one) has
+no such bound and is always computed.
 """
 
 from __future__ import annotations
@@ -29,8 +31,9 @@ ANCHORS = (
 CHAIN, REACH = 2, 8
 #: Of the other words, one in so many is an anchor.
 RARE = 16
-#: Likeness below which pairs are not told apart from unlike ones.
-LEAST = 0.05
+#: Least likeness that is asked of stated pairs, and the likeness that sets a
+#: partition's width.
+LEAST, PARTITION = 0.0, 0.05
 _SETS = "array<int>"
 
 
@@ -77,8 +80,11 @@ def length_partition(n: Column, least: float) -> Column:
 
 
 def jaccard(a: Column, b: Column, least: float = LEAST) -> Column:
-    """Jaccard of two sets; 0 where their lengths keep it under ``least``."""
+    """Jaccard of two sets; with a ``least``, 0 where their lengths keep it under that."""
     n, m = F.size(a), F.size(b)
+    if least <= 0:
+        shared = F.size(F.array_intersect(a, b))
+        return shared / (n + m - shared)
     apart = F.abs(length_partition(n, least) - length_partition(m, least)) > 1
     possible = ~apart & (F.least(n, m) >= least * F.greatest(n, m))
     shared = F.size(F.array_intersect(a, b))
@@ -104,13 +110,16 @@ def next_ids(ids: DataFrame, rows_per_range: int = 500_000) -> DataFrame:
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: id, n_chars, edited_sha256, fingerprint,
-    edited_fingerprint, near_edited, near_next, and length_partition.
+    edited_fingerprint, near_edited, near_next, length_partition, and signatures:
+    the set itself, from which any other pair can be compared.
 
     The edited text has the last third of the code points replaced by the first
     as many of the next document's (next smaller id; after the smallest the
     largest; a null id counts as smallest). Rows that share an id share a next
     document; of several rows with that next id, the text that sorts first is
-    taken. Null texts are empty; other columns are ignored. Ids are integers.
+    taken. Null texts are empty and texts of any length are fingerprinted whole;
+    equal rows have equal results; other columns, whatever their names, are ignored;
+    an empty table gives an empty result. Ids are integers.
     """
     lowest = F.lit(-(1 << 63))
     # Both joins below deal out exactly these rows by id, so that texts are
@@ -136,4 +145,4 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), digest(F.col("sigs")).alias("fingerprint"),
         digest(F.col("edited_sigs")).alias("edited_fingerprint"), jaccard(F.col("sigs"), F.col("edited_sigs")).alias("near_edited"),
         jaccard(F.col("sigs"), F.col("next_sigs")).alias("near_next"),
-        length_partition(F.size("sigs"), LEAST).alias("length_partition"))
+        length_partition(F.size("sigs"), PARTITION).alias("length_partition"), F.col("sigs").alias("signatures"))

@@ -26,7 +26,7 @@ from .common import WORD_BYTES, bounded_share, id_text_crc32, slices, utf8, work
 
 #: Labelled documents that a fit uses at most, about.
 SAMPLE = 12_000
-#: Learned lexicon entries at most, the most telling first.
+#: Learned lexicon entries that a fit takes at most, the most telling first.
 LEXICON = 4_000
 SEED_LEXICON = ("idiot idiots moron morons stupid dumb loser losers scum trash garbage worthless pathetic "
                 "disgusting clown imbecile fool jerk creep freak").split()
@@ -97,7 +97,7 @@ class Model:
     boosted: boosting.Boosted
 
 
-def _learn_lexicon(sample: DataFrame) -> dict[bytes, float]:
+def _learn_lexicon(sample: DataFrame, entries: int) -> dict[bytes, float]:
     """Terms with log odds of at least log 8 and no fewer than 4 toxic texts in
     each half of the sample; the smaller log odds is the weight."""
 
@@ -123,7 +123,7 @@ def _learn_lexicon(sample: DataFrame) -> dict[bytes, float]:
     odds = [F.log((F.col(f"t{h}") / sizes[h, 1]) / ((F.col(f"c{h}") + 1) / sizes[h, 0])) for h in (0, 1)]
     telling = (counted.filter("t0 >= 4 and t1 >= 4").withColumn("weight", F.least(*odds))
                .filter(F.col("weight") >= math.log(8)).orderBy(F.desc(F.col("weight") * F.log(F.col("t0") + F.col("t1"))), "term")
-               .limit(LEXICON))
+               .limit(entries))
     return {bytes(r.term): float(r.weight) for r in telling.collect()}
 
 
@@ -141,7 +141,7 @@ def _featured(rows: DataFrame, weights: dict[bytes, float], key: str) -> DataFra
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-        *, sample: int = SAMPLE) -> Model:
+        *, sample: int = SAMPLE, lexicon: int = LEXICON) -> Model:
     """A model from labelled rows whose crc32 of the id is not divisible by 5.
 
     At most about ``sample`` labelled ids (chosen by their hash) are used, so
@@ -155,7 +155,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             .join(F.broadcast(chosen), "key").withColumn("half", F.pmod(F.xxhash64("key", F.lit(1)), F.lit(2)).cast("int"))
             .persist())
     try:
-        weights = _learn_lexicon(rows) | {w.encode(): 8.0 for w in SEED_LEXICON}
+        weights = _learn_lexicon(rows, lexicon) | {w.encode(): 8.0 for w in SEED_LEXICON}
         return Model(weights, boosting.fit(_featured(rows, weights, uuid.uuid4().hex)))
     finally:
         rows.unpersist()

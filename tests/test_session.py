@@ -42,3 +42,13 @@ def test_shipping_again_does_nothing(spark):
     with ThreadPoolExecutor(8) as pool:
         list(pool.map(lambda _: ship_package(spark), range(64)))
     assert spark.sparkContext._tollgate_shipped
+
+
+def test_released_scratch_is_gone(spark):
+    from tollgate.session import fresh_run_dir, path_exists, release_scratch, scratch_folders
+    paths = [fresh_run_dir(spark, f"scratch-{k}") for k in range(3)]
+    for path in paths:
+        spark.range(2).write.parquet(path)
+    release_scratch(spark, [paths[0], paths[2], "/never/registered"])
+    assert [path_exists(spark, p) for p in paths] == [False, True, False]
+    assert paths[1] in scratch_folders() and not set(scratch_folders()) & {paths[0], paths[2]}

@@ -14,6 +14,7 @@ import tempfile
 import threading
 import uuid
 import zipfile
+from collections.abc import Iterable
 from pathlib import Path
 
 from pyspark.sql import SparkSession
@@ -80,6 +81,19 @@ def fresh_run_dir(spark: SparkSession, label: str) -> str:
 _scratch: list[tuple[SparkSession, str]] = []
 
 
+def scratch_folders() -> list[str]:
+    """The folders that ``fresh_run_dir`` gave and that are still there, oldest first."""
+    return [path for _, path in _scratch]
+
+
+def release_scratch(spark: SparkSession, paths: Iterable[str]) -> None:
+    """Removes scratch folders before the driver ends: nothing reads them any more."""
+    for path in set(paths):
+        if (spark, path) in _scratch:
+            _scratch.remove((spark, path))
+            remove_path(spark, path)
+
+
 def _remove_scratch() -> None:
     for spark, path in _scratch:
         try:

@@ -119,15 +119,15 @@ def _encode_special(part: str) -> bytes:
 
 
 def cut(docs: DataFrame, id_col: str, text_col: str, size: int, with_ids: bool = False) -> DataFrame:
-    """One row per piece: id, start, length, ids_crc32, doc_tokens, full_no (a
-    number that no other full piece of this table has, null for a rest), and
-    with ``with_ids`` the ids themselves."""
+    """One row per piece: id, start, length, ids_crc32, doc_tokens, no (a number
+    that no other piece of this table has), and with ``with_ids`` the ids
+    themselves."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.spark_partition_id().alias("part"))
     kind = rows.schema["id"].dataType.simpleString()
-    schema = f"id {kind}, start long, length long, ids_crc32 long, doc_tokens long, full_no long" + ", ids binary" * with_ids
+    schema = f"id {kind}, start long, length long, ids_crc32 long, doc_tokens long, no long" + ", ids binary" * with_ids
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fulls = 0
+        no = 0
         for batch in slices(batches):
             out: list[list] = [[] for _ in range(7)]
             part = batch.column("part")[0].as_py() << 36
@@ -143,12 +143,12 @@ def cut(docs: DataFrame, id_col: str, text_col: str, size: int, with_ids: bool =
                     out[2].append(k)
                     out[3].append(zlib.crc32(piece))
                     out[4].append(n)
-                    out[5].append(part + fulls if k == size else None)
-                    fulls += k == size
+                    out[5].append(part + no)
+                    no += 1
                     if with_ids:
                         out[6].append(piece)
             columns = [batch.column("id").take(pa.array(at, pa.int64())), *(pa.array(c, pa.int64()) for c in out[1:6])]
-            names = ["id", "start", "length", "ids_crc32", "doc_tokens", "full_no"]
+            names = ["id", "start", "length", "ids_crc32", "doc_tokens", "no"]
             yield pa.RecordBatch.from_arrays(columns + [pa.array(out[6], pa.binary())] * with_ids, names=names + ["ids"] * with_ids)
 
     return rows.mapInArrow(pieces, schema)
@@ -161,19 +161,21 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, siz
 
     Null and empty texts are a single end id. Ids may be null or repeat: each
     row is a document. Full pieces fill a sequence of their own, whose id is
-    at least 2**62; sequences of rests are numbered from 0. An empty table gives
-    an empty result; other columns are ignored.
+    at least 2**62; sequences of rests are numbered from 0. Texts of any length are
+    cut whole. Equal rows are dealt by the number of their piece, not by what they
+    hold, so that any number of them spreads over all tasks. An empty table gives an
+    empty result; other columns, whatever their names, are ignored.
     """
     spark = docs.sparkSession
     cutted = written(cut(docs, id_col, text_col, size, with_ids), "packing-pieces")
     keep = ["id", "start", "length", "ids_crc32", "doc_tokens", *(["ids"] if with_ids else [])]
-    full = cutted.filter("full_no is not null").select(
-        *keep, (F.col("full_no") + F.lit(1 << 62)).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    full = cutted.filter(F.col("length") == size).select(
+        *keep, (F.col("no") + F.lit(1 << 62)).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
 
-    rests = cutted.filter("full_no is null").withColumn("order", F.xxhash64("id", "doc_tokens", "ids_crc32"))
+    rests = cutted.filter(F.col("length") < size)
     n = rests.count()
     salts = max(64, -(-n // RANKED_ROWS))
-    rests = rests.withColumn("salt", F.pmod(F.col("order"), F.lit(salts)).cast("int"))
+    rests = rests.withColumn("salt", F.pmod(F.xxhash64("no"), F.lit(salts)).cast("int"))
     counts = rests.groupBy("length", "salt").agg(F.count("*").alias("n"))
     by_length = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
     bases = written(counts.withColumn("base", F.coalesce(F.sum("n").over(by_length), F.lit(0))), "packing-ranks")
@@ -181,7 +183,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, siz
     rows = places(patterns(histogram, size), 0)
     table = spark.createDataFrame(
         rows, "length long, from_rank long, to_rank long, sequence long, k long, place long") if rows else None
-    ranked = (rests.withColumn("row", F.row_number().over(Window.partitionBy("length", "salt").orderBy("order", "id", "ids_crc32")))
+    ranked = (rests.withColumn("row", F.row_number().over(Window.partitionBy("length", "salt").orderBy("no")))
               .join(bases.select("length", "salt", "base"), ["length", "salt"])
               .withColumn("rank", F.col("base") + F.col("row") - 1))
     if table is None:

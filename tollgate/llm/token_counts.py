@@ -3,10 +3,11 @@
 Tier one is a compact hash table of the corpus's frequent pre-tokens (as
 space-led chunks, see ``bpe``) and their token counts. Each task sketches the
 chunks of its own rows in a bounded counter; only its heaviest entries leave
-the task, and the heaviest of all are broadcast - at most ``table_size`` keys
-of at most ``MAX_KEY`` characters, whatever the corpus. Tier two is a bounded
+the task, as one row. Sketches are merged as a tree, each merge keeping the
+heaviest ``table_size``, and the last one is broadcast - keys of at most
+``MAX_KEY`` characters, whatever the corpus. Tier two is a bounded
 cache in each Python worker, where a miss is encoded once by the tokenizer.
-No pre-token is shuffled to be counted, and texts never leave their task.
+No pre-token is a row or a key of any shuffle, and texts never leave their task.
 """
 
 from __future__ import annotations
@@ -26,6 +27,42 @@ TOKENIZER = "byte_bpe_50k.json"
 MAX_KEY = 64
 #: Entries a worker's counter or cache may hold before it is pruned or emptied.
 WORKER_ENTRIES = 200_000
+#: Groups of sketches at each level of the tree. A merge reads its sketches as a
+#: stream, so the first level takes those of any number of tasks.
+LEVELS = (1_024, 32, 1)
+_SKETCH = "part long, chunks array<string>, counts array<long>"
+
+
+def _sketch_row(part: int, counts: Counter[str], most: int) -> pa.RecordBatch:
+    top = sorted(counts.items(), key=lambda kv: (-kv[1], kv[0]))[:most]
+    return pa.RecordBatch.from_pydict({
+        "part": pa.array([part], pa.int64()), "chunks": pa.array([[k for k, _ in top]], pa.list_(pa.string())),
+        "counts": pa.array([[n for _, n in top]], pa.list_(pa.int64()))})
+
+
+def merged(sketches: DataFrame, groups: int, table_size: int) -> DataFrame:
+    """Sketches (part, chunks, counts) whose part is the same modulo ``groups``
+    as one of at most ``table_size`` entries, its part the remainder."""
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: Counter[str] = Counter()
+        part = None
+        for batch in batches:
+            for i in range(batch.num_rows):  # one sketch as Python objects at a time
+                here = batch.column("part")[i].as_py()
+                if part is not None and here != part:
+                    yield _sketch_row(part, counts, table_size)
+                    counts.clear()
+                part = here
+                for k, n in zip(batch.column("chunks")[i].as_py(), batch.column("counts")[i].as_py(), strict=True):
+                    counts[k] += n
+                if len(counts) > WORKER_ENTRIES:
+                    counts = Counter(dict(counts.most_common(WORKER_ENTRIES // 2)))
+        if part is not None:
+            yield _sketch_row(part, counts, table_size)
+
+    dealt = sketches.withColumn("part", F.pmod("part", F.lit(groups)))
+    return dealt.repartition("part").sortWithinPartitions("part").mapInArrow(merge, _SKETCH)
 
 
 def frequent_chunks(docs: DataFrame, text_col: str = "text", table_size: int = 32_768,
@@ -39,19 +76,21 @@ def frequent_chunks(docs: DataFrame, text_col: str = "text", table_size: int = 3
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter[str] = Counter()
+        part = None
         for batch in slices(batches):
+            part = batch.column("part")[0].as_py()
             for text in strings(batch, "text"):
                 counts.update(bpe.chunks(text)[1:])
                 if len(counts) > WORKER_ENTRIES:
                     counts = Counter(dict(counts.most_common(WORKER_ENTRIES // 2)))
-        top = [(k, v) for k, v in counts.most_common(per_task) if len(k) <= MAX_KEY]
-        yield pa.RecordBatch.from_pydict({"chunk": pa.array([k for k, _ in top], pa.string()),
-                                          "n": pa.array([v for _, v in top], pa.int64())})
-
-    ranked = (docs.select(F.col(text_col).alias("text")).mapInArrow(sketch, "chunk string, n long")
-              .groupBy("chunk").agg(F.sum("n").alias("n"))
-              .orderBy(F.desc("n"), "chunk").limit(table_size).collect())
-    keys = [r.chunk for r in ranked]
+        if part is not None:
+            yield _sketch_row(part, Counter({k: n for k, n in counts.items() if len(k) <= MAX_KEY}), per_task)
+
+    tree = docs.select(F.spark_partition_id().cast("long").alias("part"), F.col(text_col).alias("text")).mapInArrow(sketch, _SKETCH)
+    for groups in LEVELS:
+        tree = merged(tree, groups, table_size)
+    root = tree.collect()  # a row at most
+    keys = root[0].chunks if root else []
     encoded = bpe.tokenizer(tokenizer).encode_batch([" " + k for k in keys], add_special_tokens=False)
     return {k: len(e) for k, e in zip(keys, encoded, strict=True)}
 
@@ -77,9 +116,9 @@ def count_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                  tokenizer: str = TOKENIZER, table_size: int = 32_768) -> DataFrame:
     """One row per row of ``docs``: id, n_bytes (UTF-8), n_tokens, over_limit.
 
-    Null and empty texts have 0 bytes and 0 tokens; ids may be null or repeat,
-    every row is counted by itself; other columns are ignored; an empty table
-    gives an empty result.
+    Null and empty texts have 0 bytes and 0 tokens, texts of any length are counted
+    whole; ids may be null or repeat, every row is counted by itself; other columns,
+    whatever their names, are ignored; an empty table gives an empty result.
     """
     frequent = frequent_chunks(docs, text_col, table_size, tokenizer=tokenizer)
     shared, key = docs.sparkSession.sparkContext.broadcast(frequent), uuid.uuid4().hex

@@ -18,6 +18,7 @@ import re
 import uuid
 import zlib
 from collections.abc import Iterator
+from urllib.parse import unquote
 
 import pyarrow as pa
 from pyarrow import fs
@@ -54,6 +55,11 @@ def _line(text: str) -> str:
     return re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m[0]):02X}", text)
 
 
+def _id_line(text: str) -> str:
+    """An id as header text; ``unquote`` gives it back."""
+    return _line(text.replace("%", "%25"))
+
+
 def record(page_id: str | None, url: str | None, payload: bytes, refers_to: str | None, revisit: bool) -> bytes:
     """One uncompressed record; a revisit holds the HTTP head only."""
     digest = payload_digest(payload)
@@ -63,10 +69,10 @@ def record(page_id: str | None, url: str | None, payload: bytes, refers_to: str
         f"WARC-Record-ID: <urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{page_id} {url} {digest}')}>",
         f"WARC-Date: {DATE}", f"WARC-Payload-Digest: sha1:{digest}", f"X-Payload-Length: {len(payload)}",
     ]
-    head += [f"X-Page-ID: {page_id}"] if page_id is not None else []
+    head += [f"X-Page-ID: {_id_line(page_id)}"] if page_id is not None else []
     head += [f"WARC-Target-URI: {_line(url)}"] if url is not None else []
     if revisit:
-        head += [f"WARC-Profile: {_PROFILE}", f"X-Refers-To-Page-ID: {refers_to}"]
+        head += [f"WARC-Profile: {_PROFILE}", f"X-Refers-To-Page-ID: {_id_line(str(refers_to))}"]
     head += ["Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}"]
     return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
@@ -78,6 +84,7 @@ def parse(data: bytes) -> dict:
     if not lines[0].startswith("WARC/"):
         raise ValueError("not a WARC record")
     fields = dict(x.split(": ", 1) for x in lines[1:])
+    fields |= {k: unquote(fields[k]) for k in ("X-Page-ID", "X-Refers-To-Page-ID") if k in fields}
     block = rest[:int(fields["Content-Length"])]
     payload = block.partition(b"\r\n\r\n")[2]
     digest = fields["WARC-Payload-Digest"].removeprefix("sha1:")
@@ -183,8 +190,11 @@ def archive_round_trip(pages: DataFrame, id_col: str = "page_id", url_col: str =
                        *, least_bytes: int = 0) -> DataFrame:
     """Writes ``pages`` to archives and reads every record back: one row per row
     of ``pages`` with page_id, payload_bytes, payload_digest, record_type and
-    refers_to, as the archives have them. Other columns are ignored; an empty
-    table writes no archive."""
+    refers_to, as the archives have them. Null and empty html are empty payloads,
+    which are equal; long ones are written and digested whole; an id may be any text;
+    each of several equal rows has its record, and if it has the smallest id each is
+    the response; other columns, whatever their names, are ignored; an empty table
+    writes no archive."""
     folder = f"{fresh_run_dir(pages.sparkSession, 'warc')}/archives"
     index = write_archives(pages, folder, id_col, url_col, html_col, least_bytes=least_bytes)
     kind = pages.schema[id_col].dataType

@@ -103,3 +103,43 @@ def test_pipeline_edge_cases(spark, edge_docs, no_docs, workdir, kind):
     else:
         assert 4 in left and 12 not in left and 5 not in left  # 12 and 5 hold benchmark windows
         assert sum(r.doc_id == 4 and r.start == 0 for r in rows) == 1  # of two equal rows one stays
+
+
+def test_page_ids_may_be_any_text(spark):
+    ids = ["a\r\nb", "100%25", " x: y ", "plain", "ü\t%"]
+    pages = spark.createDataFrame([(i, "http://x/", "same") for i in ids] + [("z", None, None)], "page_id string, url string, html string")
+    rows = {r.page_id: r for r in warc.archive_round_trip(pages).collect()}
+    first = min(ids)
+    assert set(rows) == {*ids, "z"}
+    assert all((rows[i].record_type, rows[i].refers_to) == (("response", None) if i == first else ("revisit", first)) for i in ids)
+
+
+def test_toxicity_learns_from_text_ids(spark):
+    texts = [("you idiot, awful grumblefax" if i % 2 else "a calm and friendly walk in the park") + f" {i}" for i in range(200)]
+    docs = spark.createDataFrame([(f"doc-{i}", t) for i, t in enumerate(texts)], "doc_id string, text string")
+    marks = spark.createDataFrame([(f"doc-{i}", i % 2) for i in range(200)], "doc_id string, toxic int")
+    rows = toxicity.predict(docs, toxicity.fit(docs, marks)).collect()
+    assert all(r.predicted == int(r.doc_id[4:]) % 2 for r in rows)
+
+
+def test_equal_rows_are_packed_over_all_salts(spark):
+    docs = spark.createDataFrame([(None, "same words")] * 600, "doc_id long, text string").repartition(4)
+    rows = packing.pack(docs, size=64).collect()
+    filled = {}
+    for r in rows:
+        filled.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    assert len(rows) == 600 and all(sorted(x)[0][0] == 0 and sum(n for _, n in x) <= 64 for x in filled.values())
+    assert all(a + n == b for x in filled.values() for (a, n), (b, _) in zip(sorted(x), sorted(x)[1:]))
+
+
+def test_sketches_merge_to_the_heaviest(spark):
+    rows = [(part, [f"w{part % 7}", "all"], [part, 2]) for part in range(100)]
+    sketches = spark.createDataFrame(rows, token_counts._SKETCH).repartition(5)
+    for groups in token_counts.LEVELS:
+        sketches = token_counts.merged(sketches, groups, 8)
+    root, = sketches.collect()
+    totals = {f"w{k}": sum(range(k, 100, 7)) for k in range(7)} | {"all": 200}
+    assert root.chunks == sorted(totals, key=lambda k: (-totals[k], k)) and root.counts == [totals[k] for k in root.chunks]
+    # a table too small for all keeps the heaviest of what reaches it
+    small, = token_counts.merged(spark.createDataFrame(rows, token_counts._SKETCH), 1, 3).collect()
+    assert small.chunks == sorted(totals, key=lambda k: (-totals[k], k))[:3]

@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import boosting
 from .common import WORD_BYTES, bounded_share, id_text_crc32, slices, utf8, worker_cache
@@ -129,6 +130,7 @@ def _learn_lexicon(sample: DataFrame, entries: int) -> dict[bytes, float]:
 
 def _featured(rows: DataFrame, weights: dict[bytes, float], key: str) -> DataFrame:
     """(key, label, features) of rows (key, label, text)."""
+    kind = rows.schema["key"].dataType.simpleString()
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon = worker_cache(("lexicon", key), lambda: Lexicon(weights))
@@ -137,7 +139,7 @@ def _featured(rows: DataFrame, weights: dict[bytes, float], key: str) -> DataFra
             yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("label"), pa.array(found, pa.list_(pa.float64()))],
                                              names=["key", "label", "features"])
 
-    return rows.select("key", "label", "text").mapInArrow(compute, "key long, label int, features array<double>")
+    return rows.select("key", "label", "text").mapInArrow(compute, f"key {kind}, label int, features array<double>")
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
@@ -146,12 +148,16 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     At most about ``sample`` labelled ids (chosen by their hash) are used, so
     their broadcast is bounded and no text is shuffled. A repeated label counts
-    as toxic if one of its rows is; null ids and labels are left out.
+    as toxic if one of its rows is; null ids and labels are left out; ids may be
+    numbers or texts. Null and empty texts have zero features, texts of any length
+    are read whole; without labels nothing is learned, and nothing is rejected.
     """
-    known = (labels.select(F.col(id_col).cast("long").alias("key"), F.col(label_col).cast("int").alias("label"))
+    whole = all(isinstance(df.schema[id_col].dataType, T.IntegralType) for df in (docs, labels))
+    kind = "long" if whole else "string"
+    known = (labels.select(F.col(id_col).cast(kind).alias("key"), F.col(label_col).cast("int").alias("label"))
              .filter((id_text_crc32("key") % 5 != 0) & F.col("label").isin(0, 1)).groupBy("key").agg(F.max("label").alias("label")))
     chosen = bounded_share(known, F.col("key"), sample)
-    rows = (docs.select(F.col(id_col).cast("long").alias("key"), F.col(text_col).alias("text"))
+    rows = (docs.select(F.col(id_col).cast(kind).alias("key"), F.col(text_col).alias("text"))
             .join(F.broadcast(chosen), "key").withColumn("half", F.pmod(F.xxhash64("key", F.lit(1)), F.lit(2)).cast("int"))
             .persist())
     try:
@@ -176,7 +182,9 @@ def _scored(docs: DataFrame, model: Model, text_col: str, use) -> DataFrame:
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: id, held_out (crc32 of the id divisible by
     5; false for a null id), score and predicted. Null and empty texts are
-    scored by their (zero) features; other columns are ignored."""
+    scored by their (zero) features, texts of any length whole; equal rows score
+    alike; other columns, whatever their names, are ignored; an empty table gives
+    an empty result."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
     score = _scored(rows, model, "text", lambda batch, p: pa.RecordBatch.from_arrays(
@@ -187,7 +195,8 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
 
 
 def drop_toxic(docs: DataFrame, model: Model, text_col: str = "text", *, threshold: float = 0.5) -> DataFrame:
-    """``docs`` without the rows that score at least ``threshold``."""
+    """``docs`` without the rows that score at least ``threshold``; each row is judged
+    by itself, nulls and columns stay as they are, an empty table stays empty."""
     cols = docs.columns
     inner = docs.toDF(*(f"c{i}" for i in range(len(cols))))
     keep = _scored(inner, model, f"c{cols.index(text_col)}", lambda batch, p: batch.filter(pa.array(p < threshold)))

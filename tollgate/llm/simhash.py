@@ -154,8 +154,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     bits reach.
 
     Null, empty and white texts have fingerprint zero and are linked like any
-    other. Null ids are never a component_id unless a component has no other.
-    Repeated rows stay, each with its result; other columns are ignored.
+    other; texts of any length are read whole. Null ids are never a component_id
+    unless a component has no other. Repeated rows stay, each with its result, and
+    rows that share an id are documents of their own; other columns, whatever their
+    names, are ignored; an empty table gives an empty result.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     rows = written(with_fingerprints(rows, "text", shingle).select("id", "_row", "_fp"), "simhash-rows")
@@ -167,7 +169,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, shingle: int = 3,
                 max_bits: int = 2) -> DataFrame:
     """``docs`` with one row of each component: that with the smallest id (of
-    rows that share it, one). Columns stay as they are."""
+    rows that share it, one). A null id is kept only where a component has no other.
+    Of null, empty and white texts one stays, as they are linked; texts of any length
+    are read whole, columns stay as they are, an empty table stays empty."""
     cols = docs.columns
     inner = docs.toDF(*(f"c{i}" for i in range(len(cols))))
     rows = written(with_fingerprints(inner, f"c{cols.index(text_col)}", shingle), "simhash-docs")

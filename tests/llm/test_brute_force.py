@@ -65,6 +65,61 @@ def test_token_bytes(plain_tokenizer, texts):
         assert packing.token_bytes(t) == np.array(want, dtype="<u4").tobytes(), t
 
 
+def test_rare_words_are_not_looked_up_one_by_one(monkeypatch, plain_tokenizer):
+    """Latin texts are a few calls, however many distinct words they hold; in texts
+    with other characters, only the stretches around those are looked up by chunk."""
+    calls = []
+
+    class Counted:
+        def __init__(self, inner, ask):
+            self.inner, self.ask = inner, ask
+
+        def __getattr__(self, name):
+            if name == self.ask:
+                calls.append(name)
+            return getattr(self.inner, name)
+
+    ranks, whole = Counted(bpe.rank_encoder(packing.RANKS), "encode_ordinary"), Counted(bpe.tokenizer(packing.TOKENIZER), "encode")
+    bpe.special_strings(packing.TOKENIZER)
+    monkeypatch.setattr(bpe, "rank_encoder", lambda name: ranks)
+    monkeypatch.setattr(bpe, "tokenizer", lambda name: whole)
+    rng = random.Random(6)
+    words = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyzé") for _ in range(8)) for _ in range(10_000)]
+    latin = " ".join(words)
+    mixed = " ".join([*words[:5_000], "“你”", *words[5_000:]])
+    for text, most in ((latin, 1), (mixed, 1_000)):
+        calls.clear()
+        assert packing.token_bytes(text) == np.array([*plain_tokenizer.encode(text, add_special_tokens=False).ids, 0], dtype="<u4").tobytes()
+        assert 0 < len(calls) <= most
+
+
+def test_token_bytes_of_long_white_space(plain_tokenizer):
+    """The rank encoder gives up on a million of white space in a row."""
+    for t in ("a" + "\n" * 1_200_000 + "b c", "é" + " " * 1_200_000 + "“b” c", " \n" * 600_000):
+        want = [*plain_tokenizer.encode(t, add_special_tokens=False).ids, 0]
+        assert packing.token_bytes(t) == np.array(want, dtype="<u4").tobytes(), (len(t), t[:3])
+
+
+def test_token_bytes_of_stretches(monkeypatch, plain_tokenizer):
+    """Every Latin character between others, and texts cut into short stretches."""
+    rng = random.Random(7)
+    latin, tricky = [chr(c) for c in range(0x250)], "ab  \n\t.1'é 你“\x1c\x85\u2028\u3000"
+    singles = [f.format(c) for c in latin for f in ("a{0}b", "a {0}b", "a{0} b", " \n{0}\n x", "{0}'s {0}'S")]
+    mixed = ["".join(rng.choice(rng.choice((latin, tricky))) for _ in range(rng.randrange(80))) for _ in range(500)]
+    for stretch, short in ((packing.STRETCH, packing.MIXED_STRETCH), (11, 7)):
+        monkeypatch.setattr(packing, "STRETCH", stretch)
+        monkeypatch.setattr(packing, "MIXED_STRETCH", short)
+        for t in singles + mixed:
+            want = [*plain_tokenizer.encode(t, add_special_tokens=False).ids, 0]
+            assert packing.token_bytes(t) == np.array(want, dtype="<u4").tobytes(), t
+
+
+def test_stretches_join_to_the_text(texts):
+    for t in [*TRICKY, *texts.values()]:
+        cut = list(bpe.stretches(t, 5))
+        assert "".join(cut) == t and all(len(s) >= 5 for s in cut[:-1])
+
+
 def test_chunks_join_to_the_text(texts):
     for t in [*TRICKY, *texts.values()]:
         assert " ".join(bpe.chunks(t)) == t

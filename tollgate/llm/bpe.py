@@ -11,6 +11,7 @@ from __future__ import annotations
 import base64
 import os
 import re
+from collections.abc import Iterator
 from functools import lru_cache
 
 #: A space that another white space (or the end) follows opens no pre-token.
@@ -24,6 +25,17 @@ def chunks(text: str) -> list[str]:
     return _SAFE_SPACE.split(text) if _UNSAFE.search(text) else text.split(" ")
 
 
+def stretches(text: str, least: int) -> Iterator[str]:
+    """The text cut in front of spaces that open a pre-token, into stretches of at
+    least ``least`` characters (the last may be shorter): their tokens, one after the
+    other, are those of the text."""
+    start = 0
+    while cut := _SAFE_SPACE.search(text, start + least):
+        yield text[start:cut.start()]
+        start = cut.start()
+    yield text[start:]
+
+
 def vocabulary_path(name: str) -> str:
     """Where a vocabulary file is on this machine (a path is taken as it is)."""
     if os.path.isabs(name):

@@ -11,10 +11,11 @@ within a salt, so no task holds a whole length.
 
 from __future__ import annotations
 
+import re
+import struct
 import zlib
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -76,6 +77,39 @@ def places(packs: list[tuple[list[int], int]], first_id: int) -> list[tuple[int,
     return rows
 
 
+#: Characters above Latin letters: the classes of the two libraries need not agree there.
+_WIDE = re.compile("[^\x00-\u024f]")
+#: The rank encoder cannot take white space of any length; runs from here on go to the tokenizer.
+RUN = 1 << 15
+_RUN = re.compile(rf"\s{{{RUN}}}")
+#: Characters that the rank encoder takes at a time, about, and those of a stretch
+#: in texts that also hold what it does not take.
+STRETCH, MIXED_STRETCH = 1 << 20, 256
+
+
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
+def _ranked(text: str) -> bool:
+    """Whether the rank encoder gives this text's ids as the tokenizer does."""
+    return (text.isascii() or not _WIDE.search(text)) and (len(text) < RUN or not _RUN.search(text))
+
+
+def _by_ranks(text: str) -> bytes:
+    return _packed(bpe.rank_encoder(RANKS).encode_ordinary(text))
+
+
+def _by_tokenizer(text: str) -> bytes:
+    return _packed(bpe.tokenizer(TOKENIZER).encode(text, add_special_tokens=False).ids)
+
+
+def _encode(chunk: str) -> bytes:
+    if not chunk:
+        return b""
+    return _by_ranks(chunk) if _ranked(chunk) else _by_tokenizer(chunk)
+
+
 class _Ids(dict):
     """Chunk (without its leading space) -> its token ids as 32-bit bytes."""
 
@@ -88,36 +122,29 @@ class _Ids(dict):
         return ids
 
 
-def _encode(chunk: str) -> bytes:
-    if not chunk:
-        return b""
-    if ord(max(chunk)) < 0x250:
-        ids = bpe.rank_encoder(RANKS).encode_ordinary(chunk)
-    else:
-        ids = bpe.tokenizer(TOKENIZER).encode(chunk, add_special_tokens=False).ids
-    return np.array(ids, dtype="<u4").tobytes()
-
-
 def token_bytes(text: str) -> bytes:
     """The ids of a text as the tokenizer gives them, and the end id, as
-    little-endian unsigned 32-bit integers."""
+    little-endian unsigned 32-bit integers. Texts of Latin letters go through the rank
+    encoder in long stretches, without a look-up by chunk: where most words are rare
+    a look-up misses too often. Others are cut into short stretches, and only those
+    that it does not take are looked up by chunk."""
     ids = worker_cache("token ids", _Ids)
     out = []
     for i, part in enumerate(bpe.segments(text, TOKENIZER)):
         if i % 2:
-            out.append(_encode_special(part))
-        else:
-            first, *rest = bpe.chunks(part)
-            out.append(_encode(first))
-            out += map(ids.__getitem__, rest)
-    out.append(np.array([END], dtype="<u4").tobytes())
+            out.append(_by_tokenizer(part))
+            continue
+        for stretch in bpe.stretches(part, STRETCH if _ranked(part) else MIXED_STRETCH):
+            if _ranked(stretch):
+                out.append(_by_ranks(stretch))
+            else:
+                first, *rest = bpe.chunks(stretch)
+                out.append(_encode(first))
+                out += map(ids.__getitem__, rest)
+    out.append(_packed([END]))
     return b"".join(out)
 
 
-def _encode_special(part: str) -> bytes:
-    return np.array(bpe.tokenizer(TOKENIZER).encode(part, add_special_tokens=False).ids, dtype="<u4").tobytes()
-
-
 def cut(docs: DataFrame, id_col: str, text_col: str, size: int, with_ids: bool = False) -> DataFrame:
     """One row per piece: id, start, length, ids_crc32, doc_tokens, no (a number
     that no other piece of this table has), and with ``with_ids`` the ids

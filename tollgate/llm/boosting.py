@@ -7,12 +7,16 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+#: Rows of the sample that one task holds in each of the training's many passes, about.
+TASK_ROWS = 2_000
+
 
 @dataclass(frozen=True)
 class Boosted:
@@ -64,7 +68,8 @@ def fit(sample: DataFrame, *, rounds: int = 15, depth: int = 4, step: float = 0.
     value; its hash sets a share ``held`` aside, on which the isotonic steps are
     fitted). The caller bounds the sample. With fewer than 20 rows, or one class
     only, nothing is learned: the score is the share of label 1, but under 0.5, so
-    that such a model rejects nothing."""
+    that such a model rejects nothing. The passes over the sample run in few tasks,
+    however many its scan has: there are some hundreds of them."""
     rows = sample.select(array_to_vector("features").alias("features"), F.col("label").cast("double").alias("label"),
                          (F.pmod(F.xxhash64("key"), F.lit(1000)) < int(1000 * held)).alias("held")).persist()
     try:
@@ -73,15 +78,16 @@ def fit(sample: DataFrame, *, rounds: int = 15, depth: int = 4, step: float = 0.
         if n < 20 or len(got) < 4:
             return Boosted((), (), np.zeros(1), np.zeros(1), min(0.49, ones / n) if n else 0.0)
         model = GBTClassifier(maxIter=rounds, maxDepth=depth, stepSize=step, minInstancesPerNode=5, maxBins=64,
-                              seed=7).fit(rows.filter("not held"))
+                              seed=7).fit(rows.filter("not held").coalesce(max(2, -(-n // TASK_ROWS))))
         java = model._java_obj  # the trees' nodes have no Python form
         trees = tuple(_flat(t.rootNode()) for t in java.trees())
         weights = tuple(float(w) for w in java.treeWeights())
         bare = Boosted(trees, weights, np.zeros(1), np.zeros(1), 0.0)
         aside = rows.filter("held").select("features", "label").collect()
         margin = bare.margin(np.array([r.features.toArray() for r in aside]))
+        # From an Arrow table: a list would start Python workers of another kind, which then stay.
         steps = IsotonicRegression().fit(sample.sparkSession.createDataFrame(
-            [(float(m), r.label) for m, r in zip(margin, aside, strict=True)], "features double, label double"))
+            pa.table({"features": margin, "label": pa.array([r.label for r in aside], pa.float64())})))
         return Boosted(trees, weights, np.array(steps.boundaries.toArray()), np.array(steps.predictions.toArray()), 0.0)
     finally:
         rows.unpersist()

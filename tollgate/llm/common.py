@@ -60,6 +60,11 @@ def worker_cache(owner: object, make: Callable[[], Any]) -> Any:
     return _worker["value"]
 
 
+def forget_cache() -> None:
+    """Lets go of what an earlier operator left in this Python worker."""
+    worker_cache(None, lambda: None)
+
+
 def utf8(batch: pa.RecordBatch, name: str) -> list[bytes]:
     """A string column of an Arrow batch as UTF-8 bytes; null is empty."""
     return [x or b"" for x in batch.column(name).cast(pa.binary()).to_pylist()]

@@ -33,7 +33,7 @@ _FOUND = "spans array<struct<start:long,end:long>>, items array<string>"
 #: What an item takes beside its text, counted as characters of it.
 ITEM_CHARS = 64
 #: Words whose hashes a worker keeps.
-WORKER_ENTRIES = 300_000
+WORKER_ENTRIES = 100_000
 
 
 def words(text: bytes) -> list[bytes]:

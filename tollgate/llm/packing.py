@@ -208,8 +208,9 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, siz
     bases = written(counts.withColumn("base", F.coalesce(F.sum("n").over(by_length), F.lit(0))), "packing-ranks")
     histogram = {r.length: r.n for r in bases.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     rows = places(patterns(histogram, size), 0)
-    table = spark.createDataFrame(
-        rows, "length long, from_rank long, to_rank long, sequence long, k long, place long") if rows else None
+    names = ["length", "from_rank", "to_rank", "sequence", "k", "place"]
+    # From an Arrow table: a list would start Python workers of another kind, which then stay.
+    table = spark.createDataFrame(pa.table([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], names)) if rows else None
     ranked = (rests.withColumn("row", F.row_number().over(Window.partitionBy("length", "salt").orderBy("no")))
               .join(bases.select("length", "salt", "base"), ["length", "salt"])
               .withColumn("rank", F.col("base") + F.col("row") - 1))

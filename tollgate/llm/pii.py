@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import boosting
-from .common import bounded_share, slices, strings
+from .common import bounded_share, forget_cache, slices, strings
 
 KINDS = ("email", "ip", "card", "phone")
 ADDED_KINDS = (*KINDS, "secret")
@@ -260,6 +260,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> boos
     rows = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"))
 
     def propose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_cache()
         for batch in slices(batches):
             out: dict[str, list] = {"key": [], "label": [], "features": []}
             for key, text in zip(batch.column("id").to_pylist(), strings(batch, "text"), strict=True):
@@ -373,6 +374,7 @@ def redact(docs: DataFrame, model: boosting.Boosted, text_col: str = "text", *,
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def replace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_cache()
         for batch in slices(batches):
             out = [t and redacted(t, all_spans(t, shared.value, threshold)[1]) for t in batch.column(text).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.string()) if c == text else batch.column(c)

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, utf8, written
+from .common import forget_cache, slices, utf8, written
 from .components import components
 
 #: Generator x^11+x^9+x^7+x^6+x^5+x+1 of the [23, 12, 7] Golay code (fixed value).
@@ -102,6 +102,7 @@ def with_fingerprints(docs: DataFrame, text_col: str, shingle: int) -> DataFrame
     cols = rows.columns
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_cache()
         for batch in slices(batches):
             fps = np.array([fingerprint(t, shingle) for t in utf8(batch, text_col)], dtype=np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(fps, pa.int64())], names=[*cols, "_fp"])

@@ -172,6 +172,19 @@ def move_path(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"could not move {source} to {target}")
 
 
+#: Rows and bytes that Spark sends to a Python worker at a time: its defaults (10,000 rows, 64 MB)
+#: are held several times over, by the JVM and by the worker of each task.
+ARROW_BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20)}
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Arrow batches of this session get the bounds above, but for those that the caller has set."""
+    known = spark.conf.getAll
+    for key, value in ARROW_BATCHES.items():
+        if key not in known:
+            spark.conf.set(key, value)
+
+
 _shipping = threading.Lock()
 
 

@@ -37,35 +37,51 @@ LEAST, PARTITION = 0.0, 0.05
 _SETS = "array<int>"
 
 
-def _signatures(text: Column, w: Column, marked: Column) -> Column:
-    """The sorted set of a text's signatures (32-bit hashes); never empty.
+def _anchor(x: Column) -> Column:
+    return x.isin(ANCHORS) | (F.pmod(F.hash(x), F.lit(RARE)) == 0)
 
-    ``w``: its words, ``marked``: the same with a mark before each anchor.
-    Without an anchor that a content word follows, runs of up to three words
-    stand for chains; without words, the text itself (null: empty)."""
-    n = F.size(w)
-    at = F.filter(F.sequence(F.lit(0), n - 1), lambda i: marked[i].startswith("#"))
 
-    def chain(i: Column) -> Column:
-        after = F.filter(F.slice(marked, i + 2, F.lit(REACH)), lambda x: ~x.startswith("#"))
-        return F.when(F.size(after) > 0, F.hash(marked[i], F.slice(after, F.lit(1), F.lit(CHAIN))))
+def _chains(w: Column, anchors: Column, content: Column) -> Column:
+    """The distinct chains of a text's anchors, hashed; empty if no content word is near one.
+
+    ``w``: its words, ``anchors`` and ``content``: the places of the anchors and of
+    the other words, ascending. The j-th anchor, at place i, has i - j content words
+    before it, so the next ones are looked up by number instead of searched for."""
+
+    def chain(i: Column, j: Column) -> Column:
+        following = [F.get(content, i - j + k) for k in range(CHAIN)]
+        near = [F.when(at <= i + REACH, F.get(w, at)) for at in following]
+        # a null is passed over by the hash
+        return F.when(following[0] <= i + REACH, F.hash(F.concat(F.lit("#"), F.get(w, i)), *near))
+
+    return F.array_compact(F.array_distinct(F.transform(anchors, chain)))
 
-    chains = F.array_compact(F.array_distinct(F.transform(at, chain)))
+
+def _signatures(text: Column, w: Column, chains: Column) -> Column:
+    """The sorted set of a text's signatures (32-bit hashes); never empty.
+
+    ``w``: its words, ``chains``: the chains of its anchors. Without an anchor that a
+    content word follows, runs of up to three words stand for chains; without words,
+    the text itself (null: empty)."""
+    n = F.size(w)
     runs = F.array_distinct(F.transform(F.sequence(F.lit(0), F.greatest(n - 3, F.lit(0))),
                                         lambda i: F.hash(F.slice(w, i + 1, F.lit(3)))))
-    chains = F.when(n > 0, chains).otherwise(F.array().cast(_SETS))
     whole = F.array(F.hash(F.coalesce(text, F.lit(""))))
     found = F.when(F.size(chains) > 0, chains).when(n > 0, runs).otherwise(whole)
     return F.sort_array(found)
 
 
 def with_signatures(rows: DataFrame, text_col: str, name: str) -> DataFrame:
-    """``rows`` with the signatures of a text column; words and marks are columns
-    of their own on the way, so that each is computed once."""
-    marked = F.transform("_w", lambda x: F.when(x.isin(ANCHORS) | (F.pmod(F.hash(x), F.lit(RARE)) == 0),
-                                                F.concat(F.lit("#"), x)).otherwise(x))
-    return (rows.withColumn("_w", words(F.col(text_col))).withColumn("_m", marked)
-            .withColumn(name, _signatures(F.col(text_col), F.col("_w"), F.col("_m"))).drop("_w", "_m"))
+    """``rows`` with the signatures of a text column; words, places and chains are
+    columns of their own on the way, so that each is computed once."""
+    w, places, anchors, content, chains = steps = "_w", "_w_places", "_w_anchors", "_w_content", "_w_chains"
+    n = F.size(w)
+    return (rows.withColumn(w, words(F.col(text_col)))
+            .withColumn(places, F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast(_SETS)))
+            .withColumn(anchors, F.filter(places, lambda i: _anchor(F.get(w, i))))
+            .withColumn(content, F.array_except(places, anchors))
+            .withColumn(chains, _chains(F.col(w), F.col(anchors), F.col(content)))
+            .withColumn(name, _signatures(F.col(text_col), F.col(w), F.col(chains))).drop(*steps))
 
 
 def digest(sigs: Column) -> Column:
